@@ -56,10 +56,10 @@ def test_fold_and_rounds_agree_with_a_loop(spark, seed, largest, supply):
 def test_rounds_on_awkward_amounts(spark):
     """A falling staircase of amounts, where each refusal is followed by a fit."""
     amounts = [x for top in range(20, 0, -1) for x in (1, top)] + [16, 8, 4, 2, 1, 1, 1]
-    lines = [(i, 0, a, f"line {i}") for i, a in enumerate(amounts)]
-    for supply in (0, 1, 2, 3, 15, 16, 17, 31, 33, 64, 1000):
-        expected = one_by_one(lines, {0: supply})
-        assert admitted(spark, lines, {0: supply}, task_lines=1, block_bits=2) == expected
+    stock = dict(enumerate((0, 1, 2, 3, 15, 16, 17, 31, 33, 64, 1000)))
+    wanted = [(product, amount) for amount in amounts for product in stock]
+    lines = [(i, product, amount, f"line {i}") for i, (product, amount) in enumerate(wanted)]
+    assert admitted(spark, lines, stock, task_lines=1, block_bits=5) == one_by_one(lines, stock)
 
 
 def test_invalid_amounts_are_refused_and_use_nothing(spark):

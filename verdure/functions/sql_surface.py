@@ -6,6 +6,8 @@ key is a filter that the optimizer pushes into the report's plan.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 from verdure.functions.periods import AsOf
@@ -18,19 +20,25 @@ from verdure.plans.sales import (
     revenue_running_total,
 )
 
-_FUNCTIONS = (
-    "increment(i INT) RETURNS INT RETURN i + 1",
-    "cost(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
+_FUNCTIONS = {
+    "increment": "(i INT) RETURNS INT RETURN i + 1",
+    "cost": "(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
     " (SELECT max(c.cost) FROM order_cost c WHERE c.id_sale = sale_number)",
-    "full_name(id_flower INT) RETURNS STRING RETURN"
+    "full_name": "(id_flower INT) RETURNS STRING RETURN"
     " (SELECT max(n.fullname) FROM full_names n WHERE n.id = id_flower)",
     # The column names of the table function.
-    "sale_info(sale_number INT) RETURNS TABLE(`Статус заказа` STRING, `ФИО клиента` STRING,"
+    "sale_info": "(sale_number INT) RETURNS TABLE(`Статус заказа` STRING, `ФИО клиента` STRING,"
     " `Адресс доставки` STRUCT<code: STRING, city: STRING, street: STRING, phone_number: STRING>,"
     " `Цветок` STRING, `Количество` INT) RETURN"
     " SELECT status, client, adress, product, CAST(amount AS INT)"
     " FROM order_info o WHERE o.id_sale = sale_number",
-)
+}
+
+
+def register_sql_functions(spark: SparkSession, names: Iterable[str] = tuple(_FUNCTIONS)) -> None:
+    """Register functions by name; all but ``increment`` need the report views."""
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{_FUNCTIONS[name]}")
 
 
 def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
@@ -47,5 +55,4 @@ def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    for definition in _FUNCTIONS:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {definition}")
+    register_sql_functions(spark)
