@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,23 +48,12 @@ def sound(spark):
     return sound_tables(spark)
 
 
-def test_sound_tables_break_no_rule(spark, sound):
-    for name, relation in CATALOG.items():
-        rules = quality.row_rules(relation, AS_OF)
-        if rules:
-            assert quality.row_violations(sound[name], rules).count() == 0, name
+def test_sound_tables_break_no_rule(sound):
     some = {name: sound[name] for name in ("user", "flower", "sale", "sale_detail", "adress_sale")}
     report = quality.quality_report(some, AS_OF).collect()
     assert len(report) > 30 and not [r for r in report if r.violations]
 
 
-def flaws():
-    """One flaw per row rule of every table."""
-    for name, relation in CATALOG.items():
-        for rule in quality_rule_names(relation):
-            yield name, rule
-
-
 def quality_rule_names(relation):
     names = [f"not_null:{f.name}" for f in relation.fields if f.required]
     names += [f"length:{f.name}" for f in relation.fields if f.width]
@@ -75,53 +65,38 @@ def quality_rule_names(relation):
     return names + [f"check:{text}" for text in relation.checks]
 
 
-def spoil(df, relation, rule):
-    """The rows with one value of row 1 changed so that ``rule`` is broken."""
+def spoilt_row(relation, rule):
+    """A sound row with one value changed so that only ``rule`` is broken."""
+    row = {f.name: sound_value(f, 1) for f in relation.fields}
     kind, _, what = rule.partition(":")
-    if kind == "check":
-        what, _, _ = what.partition(" ")
-    field, _, part = what.partition(".")
+    name, _, part = what.partition(" ")[0].partition(".")
     if part:
-        bad = F.col(field).withField(part, F.lit("x" * 40))
+        row[name] = tuple("x" * 40 if p == part else "x" for p in ADDRESS.names)
     elif kind == "not_null":
-        bad = F.lit(None)
+        row[name] = None
     elif kind == "length":
-        bad = F.lit("x" * (relation.field(field).width + 1))
-    elif kind == "check" and isinstance(relation.field(field).type, T.DateType):
-        bad = F.lit("2020-01-02")
+        row[name] = "x" * (relation.field(name).width + 1)
     elif kind == "check":
-        bad = F.lit(0)
+        is_date = isinstance(relation.field(name).type, T.DateType)
+        row[name] = dt.date(2020, 1, 2) if is_date else type(row[name])(0)
     else:
-        bad = F.lit("neither word nor mail\n")
-    first = F.monotonically_increasing_id() == 0
-    spoiled = df.coalesce(1).withColumn(
-        field, F.when(first, bad.cast(df.schema[field].dataType)).otherwise(F.col(field))
-    )
-    return spoiled
+        row[name] = "neither word nor mail\n"
+    return tuple(row.values())
 
 
-def test_every_row_rule_finds_its_flaw(sound):
-    parts = []
-    for name, rule in flaws():
-        relation = CATALOG[name]
-        rules = quality.row_rules(relation, AS_OF)
-        assert rule in rules
-        spoiled = spoil(sound[name], relation, rule)
-        parts.append((name, rule, spoiled, rules))
-    assert len(parts) == sum(len(quality.row_rules(r, AS_OF)) for r in CATALOG.values())
-    for name in CATALOG:
-        counted = [
-            quality.count_row_violations(df, rule, {rule: rules[rule]})
-            for n, rule, df, rules in parts
-            if n == name
-        ]
-        if not counted:
-            continue
-        union = counted[0]
-        for more in counted[1:]:
-            union = union.unionByName(more)
-        for row in union.collect():
-            assert row.violations == 1, (name, row)
+@pytest.mark.parametrize("name", [n for n in CATALOG if n != "sale_sum"])
+def test_every_row_rule_finds_its_flaw(spark, name):
+    relation = CATALOG[name]
+    expected = quality_rule_names(relation)
+    rules = quality.row_rules(relation, AS_OF)
+    assert sorted(rules) == sorted(expected)
+    rows = [(rule, *spoilt_row(relation, rule)) for rule in expected]
+    schema = T.StructType([T.StructField("flaw", T.StringType()), *relation.schema.fields])
+    df = spark.createDataFrame(rows, schema)
+    found = quality.row_violations(df, rules).select("flaw", "rule").collect()
+    assert sorted(map(tuple, found)) == sorted((rule, rule) for rule in expected)
+    counted = quality.count_row_violations(df, name, rules).collect()
+    assert {(r.table_name, r.rule, r.violations) for r in counted} == {(name, rule, 1) for rule in expected}
 
 
 def test_null_passes_a_check_but_not_beside_a_false_part(spark):
@@ -156,16 +131,22 @@ def test_unique_ignores_nulls(spark, sound):
         assert [r.violations for c in counted for r in c.collect()] == [expected]
 
 
-def test_every_reference_finds_its_orphan(spark, sound):
+def test_every_reference_finds_its_orphan(sound):
+    parts = []
     for name, relation in CATALOG.items():
         for reference in relation.references:
             child = sound[name].withColumn(
                 reference.column, F.when(F.col(reference.column) == 1, 77).cast("int")
             )
-            keys = quality.orphan_keys(child, reference, sound[reference.parent])
             # The other row has NULL, which refers to nothing.
-            assert [tuple(r) for r in keys.collect()] == [(77, 1)], (name, reference)
-            assert quality.orphan_rows(child, reference, sound[reference.parent]).count() == 1
+            keys = quality.orphan_keys(child, reference, sound[reference.parent])
+            rows = quality.orphan_rows(child, reference, sound[reference.parent])
+            parts.append(keys.select(F.col(reference.column).alias("key"), "row_count"))
+            parts.append(rows.select(F.col(reference.column).alias("key"), F.lit(1).cast("bigint")))
+    for start in range(0, len(parts), 20):
+        group = parts[start : start + 20]
+        found = reduce(lambda x, y: x.union(y), group).collect()
+        assert [tuple(r) for r in found] == [(77, 1)] * len(group)
 
 
 def test_report_names_the_flaws(spark, sound):

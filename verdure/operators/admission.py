@@ -6,9 +6,6 @@ Lines carry ``id`` (a unique whole number that gives their order),
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +27,14 @@ def check_running_demand(
     Adds ``available`` (what the line finds), ``ok`` and ``message`` (NULL for
     accepted lines). A product without stock has 0.
     """
-    demand = running_total(lines, "id_flower", "id", "amount", "_demand", block_bits)
-    supply = stock.select(F.col("id_flower").alias("_product"), F.col("available").alias("_supply"))
+    supply = stock.select("id_flower", F.col("available").alias("_supply"))
+    demand = running_total(lines, "id_flower", "id", "amount", "_demand", block_bits, supply)
     found = F.coalesce("_supply", F.lit(0)) - F.col("_demand") + F.col("amount")
     return (
-        demand.join(supply, F.col("id_flower") == F.col("_product"), "left")
-        .withColumn("available", found.cast("bigint"))
+        demand.withColumn("available", found.cast("bigint"))
         .withColumn("ok", F.col("amount") <= F.col("available"))
         .withColumn("message", F.when(~F.col("ok"), refusal(F.col("amount"), F.col("available"))))
-        .drop("_product", "_supply", "_demand")
+        .drop("_supply", "_demand")
     )
 
 
@@ -65,7 +61,9 @@ def admit_one_by_one(
     """
     wanted = F.when(F.col("amount") > 0, F.col("amount"))
     totals = lines.groupBy(F.col("id_flower").alias("_product")).agg(
-        F.sum(wanted).alias("_demand"), F.count(wanted).alias("_lines")
+        F.sum(wanted).alias("_demand"),
+        F.count(wanted).alias("_lines"),
+        F.max(wanted).alias("_largest"),
     )
     supply = stock.select(F.col("id_flower").alias("_product"), F.col("available").alias("_supply"))
     way = (
@@ -76,7 +74,7 @@ def admit_one_by_one(
     products = cut_lineage(
         totals.join(supply, "_product")
         .where("_supply > 0")
-        .select("_product", "_supply", way.alias("_way"))
+        .select("_product", "_supply", "_largest", way.alias("_way"))
     )
     sized = lines.join(products, F.col("id_flower") == F.col("_product"), "left").withColumn(
         # Lines that no stock or no valid amount lets pass need no more than this.
@@ -85,12 +83,12 @@ def admit_one_by_one(
     plain = (
         sized.where(F.col("_way").isin(_NONE, _ALL))
         .withColumn("accepted", F.col("_way") == _ALL)
-        .drop("_product", "_supply", "_way")
+        .drop("_product", "_supply", "_largest", "_way")
     )
     folded = _fold_in_order(sized.where(F.col("_way") == _FOLD), lines.columns)
     result = plain.unionByName(folded)
 
-    big = products.where(F.col("_way") == _ROUNDS).select("_product", "_supply")
+    big = products.where(F.col("_way") == _ROUNDS).drop("_way")
     if big.isEmpty():
         return result
     big_lines = lines.where("amount > 0").join(
@@ -101,35 +99,38 @@ def admit_one_by_one(
 
 def _fold_in_order(sized: DataFrame, columns: list[str]) -> DataFrame:
     """First-fit over sorted partitions; only a product's remaining stock is carried."""
+
+    # Nested, so that it travels by value and workers need not have the package.
+    def first_fit(batches):
+        import pyarrow as pa
+
+        product, remaining = None, 0
+        for batch in batches:
+            accepted = []
+            for key, amount, supply in zip(
+                batch.column("id_flower").to_pylist(),
+                batch.column("amount").to_pylist(),
+                batch.column("_supply").to_pylist(),
+            ):
+                if key != product:
+                    product, remaining = key, supply
+                fits = amount <= remaining
+                if fits:
+                    remaining -= amount
+                accepted.append(fits)
+            names = [name for name in batch.schema.names if name != "_supply"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in names), pa.array(accepted, pa.bool_())],
+                names=[*names, "accepted"],
+            )
+
     ordered = (
         sized.select(*columns, F.col("_supply").cast("bigint").alias("_supply"))
         .repartition("id_flower")
         .sortWithinPartitions("id_flower", "id")
     )
     schema = ordered.drop("_supply").schema.add("accepted", "boolean")
-    return ordered.mapInArrow(_first_fit, schema)
-
-
-def _first_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    product, remaining = None, 0
-    for batch in batches:
-        accepted = []
-        for key, amount, supply in zip(
-            batch.column("id_flower").to_pylist(),
-            batch.column("amount").to_pylist(),
-            batch.column("_supply").to_pylist(),
-        ):
-            if key != product:
-                product, remaining = key, supply
-            fits = amount <= remaining
-            if fits:
-                remaining -= amount
-            accepted.append(fits)
-        names = [name for name in batch.schema.names if name != "_supply"]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in names), pa.array(accepted, pa.bool_())],
-            names=[*names, "accepted"],
-        )
+    return ordered.mapInArrow(first_fit, schema)
 
 
 def _magnitude(value: Column) -> Column:
@@ -151,8 +152,9 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
     * has equal magnitude and fits what that running sum has left.
 
     That line is found for all products together by one running total and one
-    minimum. Each round drops the magnitude, so there are at most as many
-    rounds as the largest stock has digits, and each reads only the lines that
+    minimum. Each round drops the magnitude. A stock far above the largest line
+    counts as one digit above it, so there are at most as many rounds as the
+    largest line has digits, and one more. A round reads only the lines that
     still can fit. The phases, a few per product, then decide every line.
     """
     lines = lines.withColumn("_digits", _magnitude(F.col("amount")))
@@ -160,14 +162,15 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
         "_product",
         F.lit(None).cast("bigint").alias("_after"),
         F.col("_supply").cast("bigint").alias("_left"),
+        (_magnitude(F.col("_largest")) + 1).alias("_top"),
     )
     phases = None
     while True:
-        state = state.withColumn("_level", _magnitude(F.col("_left")))
+        state = state.withColumn("_level", F.least(_magnitude(F.col("_left")), "_top"))
         ends = cut_lineage(_phase_ends(lines, state, block_bits))
         phases = ends if phases is None else phases.unionByName(ends)
         state = ends.where("_end IS NOT NULL AND _rest > 0").select(
-            "_product", F.col("_end").alias("_after"), F.col("_rest").alias("_left")
+            "_product", F.col("_end").alias("_after"), F.col("_rest").alias("_left"), "_top"
         )
         if state.isEmpty():
             break
@@ -217,6 +220,7 @@ def _phase_ends(lines: DataFrame, state: DataFrame, block_bits: int) -> DataFram
         "_product",
         "_after",
         "_level",
+        "_top",
         F.col("_first.end").cast("bigint").alias("_end"),
         F.col("_first.rest").cast("bigint").alias("_rest"),
         F.coalesce("_first.taken", F.lit(False)).alias("_taken"),

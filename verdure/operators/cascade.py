@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verdure.operators.joins import join_by_key
 from verdure.sources.catalog import CATALOG, Reference, Relation
 
 Tables = Mapping[str, DataFrame]
@@ -79,10 +80,9 @@ def plan_deletion(tables: Tables, root: str, keys: DataFrame) -> Deletion:
         taken = []
         for ref in _owned_by(relation, doomed):
             gone = _doomed_values(doomed[ref.parent])
-            on = F.col(ref.column) == F.col("_gone")
             # Each further reference looks only at rows that are still there.
-            taken.append(survivors.join(gone, on, "left_semi"))
-            survivors = survivors.join(gone, on, "left_anti")
+            taken.append(join_by_key(survivors, ref.column, gone, "_gone", "left_semi"))
+            survivors = join_by_key(survivors, ref.column, gone, "_gone", "left_anti")
         doomed[name] = reduce(DataFrame.unionByName, taken)
         kept[name] = survivors
     return Deletion(kept, doomed, _blockers(tables, kept, doomed))

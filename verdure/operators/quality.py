@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdure.functions.periods import AsOf, as_of_date
+from verdure.operators.joins import join_by_key
 from verdure.sources.catalog import (
     ADDRESS,
     ADDRESS_WIDTHS,
@@ -137,8 +138,8 @@ def orphan_keys(child: DataFrame, reference: Reference, parent: DataFrame) -> Da
 
 def orphan_rows(child: DataFrame, reference: Reference, parent: DataFrame) -> DataFrame:
     """The rows themselves that refer to a missing parent."""
-    missing = orphan_keys(child, reference, parent).select(reference.column)
-    return child.join(missing, reference.column, "left_semi")
+    missing = orphan_keys(child, reference, parent).select(F.col(reference.column).alias("_missing"))
+    return join_by_key(child, reference.column, missing, "_missing", "left_semi")
 
 
 def _summary(table: str, rule: str, counted: DataFrame, violations: Column) -> DataFrame:

@@ -25,6 +25,7 @@ def running_total(
     value: str,
     into: str,
     block_bits: int = BLOCK_BITS,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` per key, in the order of a unique whole number.
 
@@ -32,6 +33,10 @@ def running_total(
     a block of a key holds at most as many rows even if the key owns most of the
     table. Sums run inside the blocks; the block totals, formed before the
     shuffle, supply what came earlier.
+
+    ``per_key`` holds at most one row per key; its other columns are attached
+    to the rows on the way, with the block totals, so the rows are not
+    shuffled again for them.
     """
     rows = df.withColumn("_block", F.shiftright(order, block_bits))
     totals = rows.groupBy(key, "_block").agg(F.sum(value).alias("_sum"))
@@ -43,6 +48,10 @@ def running_total(
         F.col("_block").alias("_key_block"),
         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
     )
+    if per_key is not None:
+        attached = per_key.withColumnRenamed(key, "_attached_key")
+        same_key = F.col("_key") == F.col("_attached_key")
+        offsets = offsets.join(attached, same_key, "left").drop("_attached_key")
     inside = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -80,7 +80,8 @@ def unsold_products_last_month(
     )
     sold = tables["sale_detail"].join(sales, "id_sale", "left_semi").select("id_flower")
     products = tables["flower"].where(F.col("id_parent").isNotNull()).select("id", "name")
-    return not_in(products, "id", sold).select("name")
+    # Neither key is ever NULL, and a product is listed once.
+    return not_in(products, "id", sold, nullable=False, unique=True).select("name")
 
 
 def revenue_by_month(tables: Tables, as_of: AsOf = None, calendar: bool = False) -> DataFrame:
