@@ -164,7 +164,9 @@ def _primary_keys(spark: SparkSession, sf: str) -> DataFrame:
     tables = star_schema.flawed_tables(spark, sf)
     parts = []
     for name in ("sale_detail", "sale_flower"):
-        parts += quality.count_key_violations(tables[name], CATALOG[name])
+        relation = CATALOG[name]
+        parts += quality.count_key_violations(tables[name], relation)
+        parts.append(quality.count_row_violations(tables[name], name, quality.key_rules(relation)))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -11,6 +11,7 @@ from verdure.operators.identity import assign_ids, dense_ranks, fill_defaults
 from verdure.operators.joins import lookup_total, not_in
 from verdure.operators.ranking import extreme_rows, running_total
 from verdure.sources.catalog import CATALOG
+from verdure.sources.lineage import cut_lineage
 
 
 @pytest.mark.parametrize(
@@ -81,6 +82,22 @@ def test_assign_ids_descending_with_empty_ranges(spark):
     assert result == {3: 1, 2: 2, 1: 3}
 
 
+def test_copies_of_one_row_are_spread_over_the_ranges(spark, monkeypatch):
+    written = []
+
+    def keep(df):
+        written.append(cut_lineage(df))
+        return written[-1]
+
+    monkeypatch.setattr("verdure.operators.identity.cut_lineage", keep)
+    df = spark.createDataFrame([(1,)] * 400 + [(2,)] * 10, "a int").repartition(8)
+    numbered = assign_ids(df, ["a"], partitions=8)
+    assert sorted(r.id for r in numbered.where("a = 1").collect()) == list(range(1, 401))
+    assert sorted(r.id for r in numbered.where("a = 2").collect()) == list(range(401, 411))
+    ranges = written[0].where("a = 1").groupBy(F.shiftright("_slot", 33)).count().collect()
+    assert len(ranges) >= 4 and max(r["count"] for r in ranges) <= 150
+
+
 def test_dense_ranks(spark):
     df = spark.createDataFrame([(v,) for v in [5, 5, 9, 1, 1, 7]], "v int")
     assert {r.v: r["rank"] for r in dense_ranks(df, "v").collect()} == {1: 1, 5: 2, 7: 3, 9: 4}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdure.operators import quality
-from verdure.sources.catalog import ADDRESS, CATALOG
+from verdure.sources.catalog import ADDRESS, CATALOG, Relation
 
 AS_OF = "2020-01-01"
 
@@ -120,7 +120,8 @@ def test_keys(spark):
     rows = [(1, 1), (1, 1), (1, 2), (None, 2), (None, 2), (2, None)]
     df = spark.createDataFrame(rows, "a int, b int")
     assert [tuple(r) for r in quality.repeated_keys(df, ("a", "b")).collect()] == [(1, 1, 2)]
-    assert quality.null_keys(df, ("a", "b")).count() == 3
+    rules = quality.key_rules(Relation("t", (), key=("a", "b")))
+    assert [r.violations for r in quality.count_row_violations(df, "t", rules).collect()] == [3]
 
 
 def test_unique_ignores_nulls(spark, sound):

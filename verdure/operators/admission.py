@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdure.functions.columns import refusal
+from verdure.operators.joins import join_by_key
 from verdure.operators.ranking import BLOCK_BITS, running_total
 from verdure.sources.lineage import cut_lineage
 
@@ -184,7 +185,7 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
         & ((F.col("_digits") < p["_level"]) | (p["_taken"] & (F.col("id") == p["_end"]))),
     )
     return (
-        lines.join(timeline, F.col("id_flower") == F.col("_product"), "left")
+        join_by_key(lines, "id_flower", timeline, "_product", "left")
         .withColumn("accepted", F.coalesce(inside, F.lit(False)))
         .drop("_product", "_phases", "_digits")
     )

@@ -9,7 +9,7 @@ from verdure.functions.periods import AsOf, as_of_date
 from verdure.sources.catalog import TODAY, Relation
 from verdure.sources.lineage import cut_lineage
 
-_SLOT = "_slot"
+_SLOT, _ORIGIN = "_slot", "_origin"
 
 
 def assign_ids(
@@ -22,16 +22,22 @@ def assign_ids(
     """Number the rows ``start, start + 1, …`` in the order given.
 
     The order must be total for the numbers to be reproducible. Rows are range
-    partitioned by it, so no task sees more than its range; the position inside
-    a range comes from the slot number (range number in the high bits, row
-    number in the low 33). Only the row counts of the ranges, one row each,
-    are brought together.
+    partitioned by it, so no task sees more than its range. Rows that the order
+    does not tell apart are ordered by the partition they come from; many
+    copies of one row are therefore spread over the ranges as well. The
+    position inside a range comes from the slot number (range number in the
+    high bits, row number in the low 33). Only the row counts of the ranges,
+    one row each, are brought together.
     """
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *order_by).sortWithinPartitions(*order_by)
-    slotted = cut_lineage(ranged.withColumn(_SLOT, F.monotonically_increasing_id()))
+    order = [*order_by, _ORIGIN]
+    placed = df.withColumn(_ORIGIN, F.spark_partition_id())
+    ranged = placed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    slotted = cut_lineage(
+        ranged.drop(_ORIGIN).withColumn(_SLOT, F.monotonically_increasing_id())
+    )
     part = F.shiftright(_SLOT, 33)
     place = F.col(_SLOT).bitwiseAND((1 << 33) - 1)
     sizes = slotted.groupBy(part.alias("_part")).agg((F.max(place) + 1).alias("_rows"))

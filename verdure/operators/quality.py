@@ -71,6 +71,18 @@ def length_rules(relation: Relation) -> Rules:
     return rules
 
 
+def key_rules(relation: Relation) -> Rules:
+    """A part of the primary key is NULL."""
+    if not relation.key:
+        return {}
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in relation.key])
+    return {f"{_key_label(relation)}:null": missing}
+
+
+def _key_label(relation: Relation) -> str:
+    return f"primary_key:{','.join(relation.key)}"
+
+
 def row_rules(relation: Relation, as_of: AsOf = None) -> Rules:
     return {
         **null_rules(relation),
@@ -120,11 +132,6 @@ def repeated_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     )
 
 
-def null_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Rows whose key has a NULL part."""
-    return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key]))
-
-
 def orphan_keys(child: DataFrame, reference: Reference, parent: DataFrame) -> DataFrame:
     """Referenced keys without a parent row, with the number of rows that use them."""
     used = (
@@ -149,15 +156,11 @@ def _summary(table: str, rule: str, counted: DataFrame, violations: Column) -> D
 
 
 def count_key_violations(df: DataFrame, relation: Relation) -> list[DataFrame]:
-    """Surplus rows per repeated primary key, and rows whose key has a NULL."""
+    """Surplus rows per repeated primary key."""
     if not relation.key:
         return []
-    label = f"primary_key:{','.join(relation.key)}"
     surplus = F.sum(F.col("row_count") - 1)
-    return [
-        _summary(relation.name, label, repeated_keys(df, relation.key), surplus),
-        _summary(relation.name, f"{label}:null", null_keys(df, relation.key), F.count(F.lit(1))),
-    ]
+    return [_summary(relation.name, _key_label(relation), repeated_keys(df, relation.key), surplus)]
 
 
 def count_unique_violations(df: DataFrame, relation: Relation) -> list[DataFrame]:
@@ -186,7 +189,7 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> DataF
     parts = []
     for name, df in tables.items():
         relation = CATALOG[name]
-        rules = row_rules(relation, as_of)
+        rules = {**row_rules(relation, as_of), **key_rules(relation)}
         if rules:
             parts.append(count_row_violations(df, name, rules))
         parts += count_key_violations(df, relation)

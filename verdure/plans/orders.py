@@ -51,15 +51,15 @@ def _cost(tables: Tables, per_lot: Column, id_sale: int | None) -> DataFrame:
     prices = tables["flower_warehouse"].select(F.col("id").alias("id_flower_warehouse"), "cost")
     lines = tables["sale_detail"].select(F.col("id").alias("id_sale_detail"), "id_sale")
     sale = tables["sale"].select(F.col("id").alias("id_sale"))
+    bridge = tables["sale_flower"].select("id_sale_detail", "id_flower_warehouse", "amount")
     if id_sale is not None:
         lines = lines.where(F.col("id_sale") == id_sale)
         sale = sale.where(F.col("id_sale") == id_sale)
+        bridge = bridge.join(lines, "id_sale_detail", "left_semi")
     # Summed per line before the lines are shuffled in, then per order before
     # the orders are.
     per_line = (
-        tables["sale_flower"]
-        .select("id_sale_detail", "id_flower_warehouse", "amount")
-        .join(prices, "id_flower_warehouse")
+        bridge.join(prices, "id_flower_warehouse")
         .groupBy("id_sale_detail")
         .agg(F.sum(per_lot).alias("cost"))
     )
