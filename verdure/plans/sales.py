@@ -19,14 +19,9 @@ from verdure.operators.ranking import extreme_rows
 Tables = Mapping[str, DataFrame]
 
 
-def product_sales_last_year(
-    tables: Tables, as_of: AsOf = None, calendar: bool = False, dedupe_lots: bool = False
+def _units_sold(
+    tables: Tables, as_of: AsOf, calendar: bool = False, dedupe_lots: bool = False
 ) -> DataFrame:
-    """``flower, sum_amount``: units of each product sold in the last year.
-
-    A line counts once per stock lot that serves it and not at all without a
-    lot; ``dedupe_lots`` counts it once.
-    """
     sales = within_last_year(tables["sale"], "buy_date", as_of, calendar).select(
         F.col("id").alias("id_sale")
     )
@@ -36,39 +31,52 @@ def product_sales_last_year(
         .groupBy(F.col("id_sale_detail").alias("id"))
         .agg((F.lit(1) if dedupe_lots else F.count(F.lit(1))).cast("bigint").alias("lots"))
     )
-    products = tables["flower"].select(F.col("id").alias("flower"))
     return (
         lines.join(sales, "id_sale", "left_semi")
         .join(lots, "id")
         .groupBy(F.col("id_flower").alias("flower"))
         .agg(F.sum(F.col("amount") * F.col("lots")).cast("bigint").alias("sum_amount"))
-        .join(products, "flower", "left_semi")
     )
 
 
+def product_sales_last_year(
+    tables: Tables, as_of: AsOf = None, calendar: bool = False, dedupe_lots: bool = False
+) -> DataFrame:
+    """``flower, sum_amount``: units of each product sold in the last year.
+
+    A line counts once per stock lot that serves it and not at all without a
+    lot; ``dedupe_lots`` counts it once.
+    """
+    products = tables["flower"].select(F.col("id").alias("flower"))
+    sold = _units_sold(tables, as_of, calendar, dedupe_lots)
+    return sold.join(products, "flower", "left_semi")
+
+
 def product_sales_ranked(tables: Tables, as_of: AsOf = None, highest: bool = False) -> DataFrame:
     """``flower, sum_amount, rank`` with the dense rank over all products."""
     sold = product_sales_last_year(tables, as_of)
     return dense_ranks(sold, "sum_amount", "rank", highest).select("flower", "sum_amount", "rank")
 
 
-def _names(tables: Tables, sold: DataFrame) -> DataFrame:
-    flower = tables["flower"].select("id", "name")
-    return sold.join(flower, F.col("flower") == F.col("id")).select("name")
+def _extreme_names(tables: Tables, sold: DataFrame, highest: bool) -> DataFrame:
+    # The names are joined before the extreme is sought: both it and the rows
+    # then read one and the same shuffle of the sums.
+    flower = tables["flower"].select(F.col("id").alias("flower"), "name")
+    return extreme_rows(sold.join(flower, "flower"), "sum_amount", highest).select("name")
 
 
 def least_sold_products(tables: Tables, as_of: AsOf = None) -> DataFrame:
     """Names of the products sold least, with ties: rank 1 in ascending order."""
-    sold = product_sales_last_year(tables, as_of)
-    return _names(tables, extreme_rows(sold, "sum_amount", highest=False))
+    return _extreme_names(tables, _units_sold(tables, as_of), highest=False)
 
 
 def best_selling_products(
     tables: Tables, as_of: AsOf = None, calendar: bool = False, dedupe_lots: bool = False
 ) -> DataFrame:
     """Names of the products sold most, with ties."""
-    sold = product_sales_last_year(tables, as_of, calendar, dedupe_lots)
-    return _names(tables, extreme_rows(sold, "sum_amount", highest=True))
+    return _extreme_names(
+        tables, _units_sold(tables, as_of, calendar, dedupe_lots), highest=True
+    )
 
 
 def unsold_products_last_month(

@@ -8,6 +8,9 @@ serve the line.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache, partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,64 +186,105 @@ def places(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFra
     )
 
 
-def sales_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+class DerivedTables(Mapping):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def sales_tables(spark: SparkSession, folder: str) -> DerivedTables:
     """Tables of the sales and order reports; lots carry prices."""
-    nation = read_star(spark, folder, "nation")
-    lineitem = read_star(spark, folder, "lineitem")
-    return {
-        "user": clients(read_star(spark, folder, "customer"), nation),
-        "adress_sale": order_addresses(nation),
-        "flower": products(read_star(spark, folder, "part")),
-        "flower_warehouse": priced_lots(read_star(spark, folder, "supplier")),
-        "sale": sales(read_star(spark, folder, "orders")),
-        "sale_detail": order_lines(lineitem),
-        "sale_flower": lots_of_lines(lineitem),
-    }
+    read = cache(partial(read_star, spark, folder))
+    return DerivedTables(
+        {
+            "user": lambda: clients(read("customer"), read("nation")),
+            "adress_sale": lambda: order_addresses(read("nation")),
+            "flower": lambda: products(read("part")),
+            "flower_warehouse": lambda: priced_lots(read("supplier")),
+            "sale": lambda: sales(read("orders")),
+            "sale_detail": lambda: order_lines(read("lineitem")),
+            "sale_flower": lambda: lots_of_lines(read("lineitem")),
+        }
+    )
 
 
-def stock_tables(spark: SparkSession, folder: str, sold_before: str | None = None) -> dict[str, DataFrame]:
+def stock_tables(spark: SparkSession, folder: str, sold_before: str | None = None) -> DerivedTables:
     """Tables of the stock reports: lots are part-supplier totals.
 
     With ``sold_before`` only orders before that date count as sold, and the
     lines of the later orders are under ``new_lines``.
     """
-    lineitem = read_star(spark, folder, "lineitem")
-    sale = sales(read_star(spark, folder, "orders"))
-    lines = order_lines(lineitem)
-    tables = {
-        "flower": products(read_star(spark, folder, "part")),
-        "flower_warehouse": stock_lots(lineitem),
+    read = cache(partial(read_star, spark, folder))
+
+    def sale() -> DataFrame:
+        all_sales = sales(read("orders"))
+        return all_sales if sold_before is None else all_sales.where(F.col("buy_date") < cutoff())
+
+    def cutoff() -> Column:
+        return F.lit(sold_before).cast("timestamp_ntz")
+
+    def new_lines() -> DataFrame:
+        later = sales(read("orders")).where(F.col("buy_date") >= cutoff())
+        orders = later.select(F.col("id").alias("id_sale"))
+        return order_lines(read("lineitem")).join(orders, "id_sale", "left_semi")
+
+    builders = {
+        "flower": lambda: products(read("part")),
+        "flower_warehouse": lambda: stock_lots(read("lineitem")),
         "sale": sale,
-        "sale_detail": lines,
+        "sale_detail": lambda: order_lines(read("lineitem")),
     }
     if sold_before is not None:
-        cutoff = F.lit(sold_before).cast("timestamp_ntz")
-        tables["sale"] = sale.where(F.col("buy_date") < cutoff)
-        later = sale.where(F.col("buy_date") >= cutoff).select(F.col("id").alias("id_sale"))
-        tables["new_lines"] = lines.join(later, "id_sale", "left_semi")
-    return tables
+        builders["new_lines"] = new_lines
+    return DerivedTables(builders)
 
 
-def greenhouse_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def greenhouse_tables(spark: SparkSession, folder: str) -> DerivedTables:
     """Tables of the greenhouse reports."""
-    supplier = read_star(spark, folder, "supplier")
-    return {
-        "flower": products(read_star(spark, folder, "part")),
-        "flower_warehouse": priced_lots(supplier),
-        "greenhouse": greenhouses(supplier),
-        "prevention": treatments(read_star(spark, folder, "events")),
-    }
+    read = cache(partial(read_star, spark, folder))
+    return DerivedTables(
+        {
+            "flower": lambda: products(read("part")),
+            "flower_warehouse": lambda: priced_lots(read("supplier")),
+            "greenhouse": lambda: greenhouses(read("supplier")),
+            "prevention": lambda: treatments(read("events")),
+        }
+    )
 
 
-def flawed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def flawed_tables(spark: SparkSession, folder: str) -> DerivedTables:
     """Tables with rule violations at fixed keys, for the quality reports.
 
     Lines and lots stay ungrouped, so repeated keys are those of the data.
     """
-    customer = read_star(spark, folder, "customer")
-    part = read_star(spark, folder, "part")
-    lineitem = read_star(spark, folder, "lineitem")
-    user = customer.selectExpr(
+    read = cache(partial(read_star, spark, folder))
+    return DerivedTables(
+        {
+            "user": lambda: _flawed_clients(read("customer")),
+            "adress_sale": lambda: order_addresses(read("nation")),
+            "flower": lambda: products(read("part")),
+            "sale": lambda: _flawed_sales(read("orders")),
+            "sale_detail": lambda: _flawed_lines(read("lineitem")),
+            "sale_flower": lambda: _ungrouped_lots(read("lineitem")),
+        }
+    )
+
+
+def _flawed_clients(customer: DataFrame) -> DataFrame:
+    return customer.selectExpr(
         "c_custkey AS id",
         "CASE WHEN c_custkey % 40 <> 3 THEN c_name END AS name",
         "CASE WHEN c_custkey % 30 = 4 THEN repeat(c_mktsegment, 4) ELSE c_mktsegment END AS surname",
@@ -250,11 +294,15 @@ def flawed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "named_struct('code', cast(c_nationkey AS string), 'city', repeat(c_mktsegment, 4),"
         " 'street', c_name, 'phone_number', cast(NULL AS string)) AS adress",
     )
-    sale = sales(read_star(spark, folder, "orders"))
-    sale = sale.withColumn(
-        "status", F.when(F.col("status") == "formation", "on hold").otherwise(F.col("status"))
-    )
-    lines = lineitem.select(
+
+
+def _flawed_sales(orders: DataFrame) -> DataFrame:
+    unknown = F.when(F.col("status") == "formation", "on hold").otherwise(F.col("status"))
+    return sales(orders).withColumn("status", unknown)
+
+
+def _flawed_lines(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         line_id().alias("id"),
         F.col("l_orderkey").alias("id_sale"),
         F.expr(
@@ -262,16 +310,11 @@ def flawed_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         ).alias("id_flower"),
         (F.col("l_quantity").cast("int") - 1).alias("amount"),
     )
-    lots = lineitem.select(
+
+
+def _ungrouped_lots(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         line_id().alias("id_sale_detail"),
         F.col("l_suppkey").alias("id_flower_warehouse"),
         F.col("l_quantity").cast("int").alias("amount"),
     )
-    return {
-        "user": user,
-        "adress_sale": order_addresses(read_star(spark, folder, "nation")),
-        "flower": products(part),
-        "sale": sale,
-        "sale_detail": lines,
-        "sale_flower": lots,
-    }
