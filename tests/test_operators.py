@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verdure.functions.columns import increment
 from verdure.operators.hierarchy import full_names
-from verdure.operators.identity import assign_ids, dense_ranks, fill_defaults
+from verdure.operators.identity import assign_ids, dense_ranks, fill_defaults, next_id
 from verdure.operators.joins import lookup_total, not_in
 from verdure.operators.ranking import extreme_rows, running_total
 from verdure.sources.catalog import CATALOG
@@ -82,6 +82,14 @@ def test_assign_ids_descending_with_empty_ranges(spark):
     assert result == {3: 1, 2: 2, 1: 3}
 
 
+def test_new_rows_continue_the_ids_in_use(spark):
+    existing = spark.createDataFrame([(4,), (17,)], "id int")
+    assert (next_id(existing), next_id(existing.limit(0))) == (18, 1)
+    new = spark.createDataFrame([("b",), ("a",)], "name string")
+    result = assign_ids(new, ["name"], start=next_id(existing)).collect()
+    assert {r.name: r.id for r in result} == {"a": 18, "b": 19}
+
+
 def test_copies_of_one_row_are_spread_over_the_ranges(spark, monkeypatch):
     written = []
 

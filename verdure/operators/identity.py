@@ -54,6 +54,12 @@ def assign_ids(
     )
 
 
+def next_id(existing: DataFrame, column: str = "id") -> int:
+    """First free number after the largest id in use; 1 for an empty table."""
+    last = existing.agg(F.max(column).alias("last")).first()["last"]
+    return 1 if last is None else last + 1
+
+
 def dense_ranks(df: DataFrame, value: str, into: str = "rank", highest: bool = False) -> DataFrame:
     """Dense rank over all rows without bringing them into one task.
 
