@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The file may be loaded by path from another folder.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import oracles
 from verdure.functions.columns import increment
 from verdure.operators import cascade, quality

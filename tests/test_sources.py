@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdure.functions.periods import within_last_month, within_last_year
+from verdure.functions.periods import stored_last_month, within_last_month, within_last_year
 from verdure.plans import sales
 from verdure.sources import store
 from verdure.sources.catalog import CATALOG, INT, LONG
@@ -123,17 +123,36 @@ def test_snapshot(spark, nursery, folder):
         assert sorted(map(str, loaded[name].collect())) == sorted(map(str, df.collect()))
 
 
+def years_read(df, table):
+    files = [f for f in df.inputFiles() if f"/{table}/" in f]
+    return {f.split("buy_date_year=")[1].split("/")[0] for f in files}
+
+
 def test_stored_years_are_pruned(spark, nursery, folder):
     store.save_snapshot(nursery, folder)
     tables = store.load_tables(spark, folder, nursery)
+    for name in ("sale", "sale_detail", "sale_flower"):
+        assert years_read(tables[name], name) == {"2018", "2019"}
     result = sales.revenue_by_month(tables, "2019-12-17")
     assert {r.month: r["sum"] for r in result.collect()} == {7: 660, 8: 50, 11: 410, 12: 60}
-    recent = within_last_month(tables["sale"], "buy_date", "2019-12-17")
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(buy_date_year" in plan
-    assert {f.split("buy_date_year=")[1][:4] for f in recent.inputFiles()} == {"2018", "2019"}
-    only = recent.select("buy_date_year").distinct().collect()
-    assert [r[0] for r in only] == [2019]
+    plan = sales.revenue_by_month(tables, "2018-12-01")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [(isnull(buy_date_year") == 3
+    lines = stored_last_month(tables["sale_detail"], "buy_date", "2019-12-17")
+    assert {r.buy_date_year for r in lines.collect()} == {2019}
+    assert lines.count() == 13
+
+
+def test_lines_appended_without_orders_are_still_found(spark, nursery, folder):
+    store.save_snapshot({k: v for k, v in nursery.items() if k != "sale_detail"}, folder)
+    early = nursery["sale_detail"].where("id < 9")
+    store.append_rows(early, folder, "sale_detail", tables={"sale": nursery["sale"]})
+    store.append_rows(nursery["sale_detail"].where("id >= 9"), folder, "sale_detail")
+    tables = store.load_tables(spark, folder, nursery)
+    assert years_read(tables["sale_detail"], "sale_detail") == {"2018", "2019", "__HIVE_DEFAULT_PARTITION__"}
+    result = sales.product_sales_last_year(tables, "2019-12-17").collect()
+    assert {r.flower: r.sum_amount for r in result} == {7: 2, 10: 3, 12: 2, 15: 1, 17: 1}
+    unsold = sales.unsold_products_last_month(tables, "2019-12-17")
+    assert unsold.count() == 18
 
 
 def test_files_without_years_are_read_whole(spark, nursery, folder):

@@ -30,35 +30,71 @@ def year_column(column: str) -> str:
     return f"{column}_year"
 
 
-def _between(df: DataFrame, column: str, lower: Column, upper: Column, open_end: bool) -> Column:
+def _rolling(as_of: AsOf, months: int) -> tuple[Column, Column]:
+    day = as_of_date(as_of)
+    return F.add_months(day, -months), day
+
+
+def _year_bounds(as_of: AsOf, calendar: bool) -> tuple[Column, Column]:
+    if not calendar:
+        return _rolling(as_of, 12)
+    start = F.trunc(as_of_date(as_of), "year")
+    return F.add_months(start, -12), start
+
+
+def _month_bounds(as_of: AsOf, calendar: bool) -> tuple[Column, Column]:
+    if not calendar:
+        return _rolling(as_of, 1)
+    start = F.trunc(as_of_date(as_of), "month")
+    return start, F.add_months(start, 1)
+
+
+def _in_years(df: DataFrame, column: str, bounds: tuple[Column, Column]) -> DataFrame:
+    """Prune stored years outside the bounds; rows without a known year stay."""
+    if year_column(column) not in df.columns:
+        return df
+    lower, upper = bounds
+    year = F.col(year_column(column))
+    return df.where(year.isNull() | year.between(F.year(lower), F.year(upper)))
+
+
+def _between(
+    df: DataFrame, column: str, bounds: tuple[Column, Column], calendar: bool
+) -> DataFrame:
     kind = df.schema[column].dataType
-    low, high = lower.cast(kind), upper.cast(kind)
+    low, high = (bound.cast(kind) for bound in bounds)
     value = F.col(column)
-    inside = (value >= low) & (value < high if open_end else value <= high)
-    if year_column(column) in df.columns:
-        year = F.col(year_column(column))
-        # No year is known where the files are not laid out by year.
-        inside = inside & (year.isNull() | year.between(F.year(lower), F.year(upper)))
-    return inside
+    inside = (value >= low) & (value < high if calendar else value <= high)
+    return _in_years(df, column, bounds).where(inside)
 
 
 def within_last_year(
     df: DataFrame, column: str, as_of: AsOf = None, calendar: bool = False
 ) -> DataFrame:
     """Rows of the year up to the as-of date, or of the calendar year before it."""
-    day = as_of_date(as_of)
-    if calendar:
-        start = F.trunc(day, "year")
-        return df.where(_between(df, column, F.add_months(start, -12), start, True))
-    return df.where(_between(df, column, F.add_months(day, -12), day, False))
+    return _between(df, column, _year_bounds(as_of, calendar), calendar)
 
 
 def within_last_month(
     df: DataFrame, column: str, as_of: AsOf = None, calendar: bool = False
 ) -> DataFrame:
     """Rows of the month up to the as-of date, or of the calendar month it lies in."""
-    day = as_of_date(as_of)
-    if calendar:
-        start = F.trunc(day, "month")
-        return df.where(_between(df, column, start, F.add_months(start, 1), True))
-    return df.where(_between(df, column, F.add_months(day, -1), day, False))
+    return _between(df, column, _month_bounds(as_of, calendar), calendar)
+
+
+def stored_last_year(
+    df: DataFrame, column: str, as_of: AsOf = None, calendar: bool = False
+) -> DataFrame:
+    """Rows that may belong to ``within_last_year`` by the year they are stored under.
+
+    For tables without the date itself, such as the lines of orders: a cheap
+    cut of the scan before the exact join with the dated table.
+    """
+    return _in_years(df, column, _year_bounds(as_of, calendar))
+
+
+def stored_last_month(
+    df: DataFrame, column: str, as_of: AsOf = None, calendar: bool = False
+) -> DataFrame:
+    """Rows that may belong to ``within_last_month`` by the year they are stored under."""
+    return _in_years(df, column, _month_bounds(as_of, calendar))

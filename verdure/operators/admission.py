@@ -185,7 +185,7 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
         & ((F.col("_digits") < p["_level"]) | (p["_taken"] & (F.col("id") == p["_end"]))),
     )
     return (
-        join_by_key(lines, "id_flower", timeline, "_product", "left")
+        join_by_key(lines, "id_flower", timeline, "_product", "left", ["id"])
         .withColumn("accepted", F.coalesce(inside, F.lit(False)))
         .drop("_product", "_phases", "_digits")
     )

@@ -81,8 +81,9 @@ def plan_deletion(tables: Tables, root: str, keys: DataFrame) -> Deletion:
         for ref in _owned_by(relation, doomed):
             gone = _doomed_values(doomed[ref.parent])
             # Each further reference looks only at rows that are still there.
-            taken.append(join_by_key(survivors, ref.column, gone, "_gone", "left_semi"))
-            survivors = join_by_key(survivors, ref.column, gone, "_gone", "left_anti")
+            lookup = (ref.column, gone, "_gone")
+            taken.append(join_by_key(survivors, *lookup, "left_semi", relation.key))
+            survivors = join_by_key(survivors, *lookup, "left_anti", relation.key)
         doomed[name] = reduce(DataFrame.unionByName, taken)
         kept[name] = survivors
     return Deletion(kept, doomed, _blockers(tables, kept, doomed))

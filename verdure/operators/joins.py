@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _EMPTY, _PLAIN, _HAS_NULL = 0, 1, 2
 SALTS = 8
 
 
 def join_by_key(
-    rows: DataFrame, column: str, lookup: DataFrame, key: str, how: str, salts: int = SALTS
+    rows: DataFrame,
+    column: str,
+    lookup: DataFrame,
+    key: str,
+    how: str,
+    salt_from: Sequence[str] | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join rows with hot values of ``column`` to a table that has each ``key`` once.
 
@@ -20,11 +29,18 @@ def join_by_key(
     salt spreads a hot value over ``salts`` tasks and gives both inputs their
     own shuffle, so that what is still too large is split further. A small
     table is broadcast all the same.
+
+    The salt is a hash of the columns ``salt_from``, best a key of the rows; by
+    default of all numbers, dates and flags, or of everything if there are none.
     """
+    if salt_from is None:
+        plain = (T.NumericType, T.DatetimeType, T.TimestampNTZType, T.BooleanType)
+        others = [f.name for f in rows.schema if isinstance(f.dataType, plain) and f.name != column]
+        salt_from = others or rows.columns
     salted = lookup.withColumn(
         "_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int"))
     same = (F.col(column) == F.col(key)) & (F.col("_salt") == F.col("_lookup_salt"))
     return spread.join(salted, same, how).drop("_salt", "_lookup_salt")
 

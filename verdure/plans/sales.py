@@ -11,7 +11,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdure.functions.periods import AsOf, within_last_month, within_last_year
+from verdure.functions.periods import (
+    AsOf,
+    stored_last_month,
+    stored_last_year,
+    within_last_month,
+    within_last_year,
+)
 from verdure.operators.identity import dense_ranks
 from verdure.operators.joins import not_in
 from verdure.operators.ranking import extreme_rows
@@ -25,9 +31,10 @@ def _units_sold(
     sales = within_last_year(tables["sale"], "buy_date", as_of, calendar).select(
         F.col("id").alias("id_sale")
     )
-    lines = tables["sale_detail"].select("id", "id_sale", "id_flower", "amount")
+    lines = stored_last_year(tables["sale_detail"], "buy_date", as_of, calendar)
+    lines = lines.select("id", "id_sale", "id_flower", "amount")
     lots = (
-        tables["sale_flower"]
+        stored_last_year(tables["sale_flower"], "buy_date", as_of, calendar)
         .groupBy(F.col("id_sale_detail").alias("id"))
         .agg((F.lit(1) if dedupe_lots else F.count(F.lit(1))).cast("bigint").alias("lots"))
     )
@@ -86,7 +93,8 @@ def unsold_products_last_month(
     sales = within_last_month(tables["sale"], "buy_date", as_of, calendar).select(
         F.col("id").alias("id_sale")
     )
-    sold = tables["sale_detail"].join(sales, "id_sale", "left_semi").select("id_flower")
+    lines = stored_last_month(tables["sale_detail"], "buy_date", as_of, calendar)
+    sold = lines.join(sales, "id_sale", "left_semi").select("id_flower")
     products = tables["flower"].where(F.col("id_parent").isNotNull()).select("id", "name")
     # Neither key is ever NULL, and a product is listed once.
     return not_in(products, "id", sold, nullable=False, unique=True).select("name")
@@ -102,10 +110,11 @@ def revenue_by_month(tables: Tables, as_of: AsOf = None, calendar: bool = False)
     sales = within_last_year(tables["sale"], "buy_date", as_of, calendar).select(
         F.col("id").alias("id_sale"), F.month("buy_date").alias("month")
     )
-    lines = tables["sale_detail"].select(
+    lines = stored_last_year(tables["sale_detail"], "buy_date", as_of, calendar).select(
         F.col("id").alias("id_sale_detail"), "id_sale", F.col("amount").cast("bigint")
     )
-    bridge = tables["sale_flower"].select("id_sale_detail", "id_flower_warehouse")
+    bridge = stored_last_year(tables["sale_flower"], "buy_date", as_of, calendar)
+    bridge = bridge.select("id_sale_detail", "id_flower_warehouse")
     prices = tables["flower_warehouse"].select(F.col("id").alias("id_flower_warehouse"), "cost")
     return (
         lines.join(sales, "id_sale")

@@ -67,7 +67,10 @@ class Relation:
     unique: tuple[str, ...] = ()
     checks: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
-    year_of: str | None = None  # date column that large copies are partitioned by
+    # Date column whose year stored copies are partitioned by. It is a column of
+    # the table itself or, along ``dated_by``, of the table it belongs to.
+    year_of: str | None = None
+    dated_by: Reference | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -165,6 +168,8 @@ _RELATIONS = (
         key=("id",),
         checks=("amount > 0", "id_sale > 0 AND id_flower > 0"),
         references=(_owned("id_sale", "sale"), _owned("id_flower", "flower")),
+        year_of="buy_date",
+        dated_by=_owned("id_sale", "sale"),
     ),
     Relation(
         "sale_flower",
@@ -179,6 +184,8 @@ _RELATIONS = (
             _owned("id_sale_detail", "sale_detail"),
             _owned("id_flower_warehouse", "flower_warehouse"),
         ),
+        year_of="buy_date",
+        dated_by=_owned("id_sale_detail", "sale_detail"),
     ),
     Relation("sale_sum", (_may("sum", LONG),)),
     Relation(

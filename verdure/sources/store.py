@@ -40,7 +40,29 @@ def load_tables(
     return {name: load_table(spark, base, name, wide) for name in names}
 
 
-def _write(df: DataFrame, base: str, relation: Relation, mode: str, wide: bool) -> None:
+def _with_year(
+    rows: DataFrame, relation: Relation, tables: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Rows with the year of their date; NULL where the dated table is not at hand."""
+    year = year_column(relation.year_of)
+    owner = relation.dated_by
+    if owner is None:
+        return rows.withColumn(year, F.year(relation.year_of))
+    if owner.parent not in tables:
+        return rows.withColumn(year, F.lit(None).cast(INT))
+    parents = _with_year(tables[owner.parent], CATALOG[owner.parent], tables)
+    years = parents.select(F.col("id").alias("_owner"), year)
+    return rows.join(years, F.col(owner.column) == F.col("_owner"), "left").drop("_owner")
+
+
+def _write(
+    df: DataFrame,
+    base: str,
+    relation: Relation,
+    mode: str,
+    wide: bool,
+    tables: Mapping[str, DataFrame],
+) -> None:
     schema = stored_schema(relation, wide)
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     if not relation.year_of:
@@ -49,26 +71,42 @@ def _write(df: DataFrame, base: str, relation: Relation, mode: str, wide: bool)
     year = year_column(relation.year_of)
     # Rows of a year stay on many tasks, so a year that holds most of the data
     # is written in parallel; AQE splits the oversized ones and merges the rest.
-    rows = rows.withColumn(year, F.year(relation.year_of)).hint("rebalance", year)
+    rows = _with_year(rows, relation, tables).hint("rebalance", year)
     rows.write.mode(mode).partitionBy(year).parquet(table_path(base, relation.name))
 
 
 def append_rows(
-    df: DataFrame, base: str, name: str, as_of: AsOf = None, wide: bool = False
+    df: DataFrame,
+    base: str,
+    name: str,
+    as_of: AsOf = None,
+    wide: bool = False,
+    tables: Mapping[str, DataFrame] | None = None,
 ) -> None:
-    """Append rows that name only some columns; defaults fill the absent ones."""
+    """Append rows that name only some columns; defaults fill the absent ones.
+
+    Order lines and their lots are stored by the year of the order if
+    ``tables`` has the orders (and lines); otherwise under no year, where every
+    report still finds them.
+    """
     relation = CATALOG[name]
-    _write(fill_defaults(df, relation, as_of), base, relation, "append", wide)
+    _write(fill_defaults(df, relation, as_of), base, relation, "append", wide, tables or {})
 
 
-def save_table(df: DataFrame, base: str, name: str, wide: bool = False) -> None:
-    _write(df, base, CATALOG[name], "overwrite", wide)
+def save_table(
+    df: DataFrame,
+    base: str,
+    name: str,
+    wide: bool = False,
+    tables: Mapping[str, DataFrame] | None = None,
+) -> None:
+    _write(df, base, CATALOG[name], "overwrite", wide, tables or {})
 
 
 def save_snapshot(tables: Mapping[str, DataFrame], base: str, wide: bool = False) -> None:
     """Write every table given. Check keys and references after reloading."""
     for name, df in tables.items():
-        save_table(df, base, name, wide)
+        save_table(df, base, name, wide, tables)
 
 
 def load_snapshot(
