@@ -46,6 +46,8 @@ def test_decode_address(spark):
         ('(60005,Port,"Sea lane, 14",380001)', ("60005", "Port", "Sea lane, 14", "380001")),
         ('(,Port,"sth st",)', (None, "Port", "sth st", None)),
         ("(,,,)", (None, None, None, None)),
+        ('(1,"a ""b"" c","x\\\\y","")', ("1", 'a "b" c', "x\\y", "")),
+        ("( 1,Порт,x y ,2)", (" 1", "Порт", "x y ", "2")),
         (None, None),
     ]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string")

@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 from verdure.sources.lineage import cut_lineage
 
 
-def full_names(nodes: DataFrame, id: str = "id", parent: str = "id_parent", name: str = "name") -> DataFrame:
+def full_names(
+    nodes: DataFrame, id: str = "id", parent: str = "id_parent", name: str = "name"
+) -> DataFrame:
     """``(id, fullname)`` for every node of a forest, any depth.
 
     A root's full name is empty; below it every level adds a blank and its
     name. Nodes that no root reaches (a missing parent, a cycle) get NULL.
 
-    Every node keeps the part of its path found so far and the ancestor where
-    that part ends. One round lets it take over the part of that ancestor, so
-    the known length doubles: a chain of depth d needs about log2(d) rounds,
-    each a join on the ancestor. A round that finishes no node means that the
-    rest is unreachable. Duplicate rows count once.
+    Every node keeps the part of its path found so far and the anchor, the
+    ancestor where that part ends. In each round an open node takes over the
+    part of its anchor, so the known length doubles: a chain of depth d needs
+    about log2(d) rounds, each a join on the anchor. Only open nodes are
+    written again. A round that closes no node has met nothing but cycles.
+    Duplicate rows count once.
     """
-    state = (
+    start = (
         nodes.select(
             F.col(id).alias("id"), F.col(parent).alias("anchor"), F.col(name).alias("name")
         )
@@ -33,42 +36,42 @@ def full_names(nodes: DataFrame, id: str = "id", parent: str = "id_parent", name
             .alias("path"),
         )
     )
-    # The first round runs on the nodes themselves, so shallow forests are
-    # written once.
-    state = cut_lineage(_advance(state))
-    open_nodes = _count_open(state)
-    while open_nodes:
-        state = cut_lineage(_advance(state))
-        left = _count_open(state)
-        if left == open_nodes:
+    # The roots go into the first copy, so the nodes are not read again.
+    step = cut_lineage(_closed(start).unionByName(_extend(_open(start), start)))
+    closed, still = _closed(step), _open(step)
+    left = still.count()
+    while left:
+        step = cut_lineage(_extend(still, closed.unionByName(still)))
+        before, left = left, _open(step).count()
+        if left == before:
             break
-        open_nodes = left
-    return state.select(
-        "id", F.when(F.col("anchor").isNull(), F.col("path")).alias("fullname")
+        closed, still = closed.unionByName(_closed(step)), _open(step)
+    return closed.select("id", F.col("path").alias("fullname")).unionByName(
+        still.select("id", F.lit(None).cast("string").alias("fullname"))
     )
 
 
-def _advance(state: DataFrame) -> DataFrame:
-    """Extend each open path by the path of its anchor."""
-    anchors = state.select(
+def _open(state: DataFrame) -> DataFrame:
+    return state.where(F.col("anchor").isNotNull())
+
+
+def _closed(state: DataFrame) -> DataFrame:
+    return state.where(F.col("anchor").isNull())
+
+
+def _extend(still: DataFrame, known: DataFrame) -> DataFrame:
+    """Extend each open path by the path of its anchor.
+
+    Where the anchor does not exist, or is itself without a path, the node
+    closes with a NULL path.
+    """
+    anchors = known.select(
         F.col("id").alias("anchor"),
         F.col("anchor").alias("next_anchor"),
         F.col("path").alias("head"),
-        F.lit(True).alias("found"),
     )
-    closed = state.where(F.col("anchor").isNull())
-    extended = (
-        state.where(F.col("anchor").isNotNull())
-        .join(anchors, "anchor", "left")
-        .select(
-            "id",
-            # An anchor that does not exist stays, so the node stays open.
-            F.when(F.col("found"), F.col("next_anchor")).otherwise(F.col("anchor")).alias("anchor"),
-            F.when(F.col("found"), F.concat("head", "path")).otherwise(F.col("path")).alias("path"),
-        )
+    return still.join(anchors, "anchor", "left").select(
+        "id",
+        F.col("next_anchor").alias("anchor"),
+        F.concat("head", "path").alias("path"),
     )
-    return closed.unionByName(extended)
-
-
-def _count_open(state: DataFrame) -> int:
-    return state.where(F.col("anchor").isNotNull()).count()

@@ -9,9 +9,22 @@ from verdure.sources.catalog import ADDRESS, MONEY
 
 
 def decode_address(text: Column) -> Column:
-    """``(60005,Odessa,"Sea lane, 14",)`` to a struct; an empty part is NULL."""
+    """``(60005,Port,"Sea lane, 14",)`` to a struct.
+
+    An empty part is NULL, ``""`` is an empty text; inside quotes a quote and a
+    backslash are doubled.
+    """
     inner = F.substring(text, F.lit(2), F.length(text) - 2)
-    return F.when(text.isNotNull(), F.from_csv(inner, ADDRESS.simpleString()[7:-1].replace(":", " ")))
+    schema = ", ".join(f"{part} string" for part in ADDRESS.names)
+    # A zero character, which no stored text has, tells empty texts from NULLs.
+    parts = F.from_csv(inner, schema, {"escape": '"', "emptyValue": "\0"})
+
+    def plain(part: Column) -> Column:
+        single = F.replace(part, F.lit("\\\\"), F.lit("\\"))
+        return F.replace(single, F.lit("\0"), F.lit(""))
+
+    address = F.struct(*[plain(parts[part]).alias(part) for part in ADDRESS.names])
+    return F.when(text.isNotNull(), address)
 
 
 def decode_money(text: Column) -> Column:
