@@ -107,9 +107,12 @@ def test_copies_of_one_row_are_spread_over_the_ranges(spark, monkeypatch):
 
 
 def test_dense_ranks(spark):
-    df = spark.createDataFrame([(v,) for v in [5, 5, 9, 1, 1, 7]], "v int")
-    assert {r.v: r["rank"] for r in dense_ranks(df, "v").collect()} == {1: 1, 5: 2, 7: 3, 9: 4}
-    assert {r.v: r["rank"] for r in dense_ranks(df, "v", highest=True).collect()} == {9: 1, 7: 2, 5: 3, 1: 4}
+    df = spark.createDataFrame([(v,) for v in [5, 5, 9, 1, 1, 7, None]], "v int")
+    upward = dense_ranks(df, "v").collect()
+    assert len(upward) == 7
+    assert {r.v: r["rank"] for r in upward} == {1: 1, 5: 2, 7: 3, 9: 4, None: 5}
+    downward = dense_ranks(df, "v", highest=True).collect()
+    assert {r.v: r["rank"] for r in downward} == {None: 1, 9: 2, 7: 3, 5: 4, 1: 5}
 
 
 def test_fill_defaults(spark):

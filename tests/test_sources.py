@@ -144,6 +144,16 @@ def test_stored_years_are_pruned(spark, nursery, folder):
     assert lines.count() == 13
 
 
+def test_saving_again_replaces_all_years(spark, nursery, folder):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.save_table(nursery["sale"], folder, "sale")
+        store.save_table(nursery["sale"].where("year(buy_date) = 2019"), folder, "sale")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert store.load_table(spark, folder, "sale").count() == 7
+
+
 def test_lines_appended_without_orders_are_still_found(spark, nursery, folder):
     store.save_snapshot({k: v for k, v in nursery.items() if k != "sale_detail"}, folder)
     early = nursery["sale_detail"].where("id < 9")

@@ -52,6 +52,15 @@ def test_a_repeated_batch_counts_once(spark):
     assert decisions(spark, folder) == {1: True, 2: True, 3: False}
 
 
+def test_a_repeated_batch_replaces_its_outcome(spark):
+    folder = tempfile.mkdtemp(prefix="verdure-test-")
+    lines = spark.createDataFrame([(1, 0, 6, "a")], LINE)
+    for units, accepted in ((10, True), (2, False)):
+        available = spark.createDataFrame([(0, units)], "id_flower int, available bigint")
+        admit_batch(available, folder)(lines, 0)
+        assert decisions(spark, folder) == {1: accepted}
+
+
 def test_empty_batch(spark):
     folder = tempfile.mkdtemp(prefix="verdure-test-")
     available = spark.createDataFrame([(0, 10)], "id_flower int, available bigint")

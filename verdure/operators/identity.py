@@ -63,11 +63,14 @@ def next_id(existing: DataFrame, column: str = "id") -> int:
 def dense_ranks(df: DataFrame, value: str, into: str = "rank", highest: bool = False) -> DataFrame:
     """Dense rank over all rows without bringing them into one task.
 
-    The distinct values are numbered range by range and joined back.
+    The distinct values are numbered range by range and joined back. NULL
+    counts as the highest value.
     """
-    order = F.desc(value) if highest else F.asc(value)
-    levels = assign_ids(df.select(value).distinct(), [order], into=into)
-    return df.join(levels.withColumn(into, F.col(into).cast("int")), value)
+    order = F.desc_nulls_first("_level") if highest else F.asc_nulls_last("_level")
+    values = df.select(F.col(value).alias("_level")).distinct()
+    levels = assign_ids(values, [order], into=into)
+    ranked = levels.withColumn(into, F.col(into).cast("int"))
+    return df.join(ranked, F.col(value).eqNullSafe(F.col("_level"))).drop("_level")
 
 
 def default_expression(default: str, as_of: AsOf = None) -> Column:

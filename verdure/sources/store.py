@@ -72,7 +72,9 @@ def _write(
     # Rows of a year stay on many tasks, so a year that holds most of the data
     # is written in parallel; AQE splits the oversized ones and merges the rest.
     rows = _with_year(rows, relation, tables).hint("rebalance", year)
-    rows.write.mode(mode).partitionBy(year).parquet(table_path(base, relation.name))
+    # An overwrite replaces the table, not only the years that come again.
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(year).parquet(table_path(base, relation.name))
 
 
 def append_rows(

@@ -58,7 +58,8 @@ def admit_batch(
         # the lines are decided once.
         decided_path = f"{folder}/decided/batch={number}"
         decided = admit_one_by_one(lines, left)
-        decided.write.mode("overwrite").partitionBy("accepted").parquet(decided_path)
+        writer = decided.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("accepted").parquet(decided_path)
         accepted = (
             spark.read.schema(decided.schema)
             .parquet(decided_path)
