@@ -89,6 +89,15 @@ def test_running_demand(spark, block_bits):
     assert len(result) == len(lines)
 
 
+def test_a_line_without_amount_takes_nothing_but_does_not_pass(spark):
+    lines = spark.createDataFrame([(1, 0, None, "a"), (2, 0, 5, "b")], LINE)
+    available = spark.createDataFrame([(0, 5)], "id_flower int, available bigint")
+    checked = check_running_demand(lines, available)
+    assert {r.id: (r.available, r.ok) for r in checked.collect()} == {1: (5, None), 2: (5, True)}
+    with pytest.raises(Exception):
+        require_accepted(checked).collect()
+
+
 def test_strict_mode(spark):
     available = spark.createDataFrame([(0, 5)], "id_flower int, available bigint")
     good = spark.createDataFrame([(1, 0, 3, "a"), (2, 0, 2, "b")], LINE)

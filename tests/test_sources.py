@@ -4,11 +4,17 @@ import datetime as dt
 import tempfile
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdure.functions.periods import stored_last_month, within_last_month, within_last_year
+from verdure.functions.periods import (
+    _rolling,
+    stored_last_month,
+    within_last_month,
+    within_last_year,
+)
 from verdure.plans import sales
 from verdure.sources import store
 from verdure.sources.catalog import CATALOG, INT, LONG
@@ -99,6 +105,19 @@ def test_calendar_periods(spark):
     assert kept(within_last_month(rows, "at", "2020-01-31", calendar=True)) == ["2020-01-01 00:00:00"]
 
 
+def test_window_starts_agree_with_another_engine(spark):
+    first = dt.date(2019, 1, 25)
+    days = [first + dt.timedelta(days=n) for n in range(0, 800, 1) if (first + dt.timedelta(days=n)).day > 26 or n % 9 == 0]
+    for months in (1, 12):
+        starts = spark.range(1).select(
+            *[_rolling(day, months)[0].cast("string").alias(f"c{i}") for i, day in enumerate(days)]
+        )
+        other = duckdb.sql(
+            "SELECT " + ", ".join(f"CAST(CAST(DATE '{d}' - INTERVAL {months} MONTH AS DATE) AS VARCHAR)" for d in days)
+        )
+        assert tuple(starts.first()) == other.fetchall()[0]
+
+
 def test_default_is_today(spark):
     rows = spark.range(1).select(F.current_date().cast("timestamp_ntz").alias("at"))
     assert within_last_month(rows, "at").count() == 1

@@ -89,6 +89,10 @@ def test_scalar_functions(surface):
         surface.sql("SELECT increment(id) FROM VALUES (2147483647) AS t(id)").collect()
 
 
+def test_unit_costs(surface):
+    assert tuple(surface.sql("SELECT sale_cost(11), sale_cost(6)").first()) == (Decimal("610.00"), None)
+
+
 def test_functions_over_a_table(surface):
     rows = surface.sql("SELECT id, full_name(id) AS n FROM flower WHERE id IN (6, 23)").collect()
     assert {r.id: r.n for r in rows} == {6: " Echeveria", 23: " Aloe vera"}

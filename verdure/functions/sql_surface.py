@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from verdure.functions.periods import AsOf
 from verdure.operators.hierarchy import full_names
-from verdure.plans.orders import order_cost, order_info
+from verdure.plans.orders import order_cost, order_info, order_unit_cost_sum
 from verdure.plans.sales import (
     Tables,
     product_sales_last_year,
@@ -24,6 +24,8 @@ _FUNCTIONS = {
     "increment": "(i INT) RETURNS INT RETURN i + 1",
     "cost": "(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
     " (SELECT max(c.cost) FROM order_cost c WHERE c.id_sale = sale_number)",
+    "sale_cost": "(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
+    " (SELECT max(c.cost) FROM order_unit_cost c WHERE c.id_sale = sale_number)",
     "full_name": "(id_flower INT) RETURNS STRING RETURN"
     " (SELECT max(n.fullname) FROM full_names n WHERE n.id = id_flower)",
     # The column names of the table function.
@@ -42,7 +44,10 @@ def register_sql_functions(spark: SparkSession, names: Iterable[str] = tuple(_FU
 
 
 def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
-    """Register the tables, the stored views and the callable functions."""
+    """Register the tables, the stored views and the callable functions.
+
+    The full names are resolved here, once; everything else is lazy.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     views = {
@@ -51,6 +56,7 @@ def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None
         "sum_for_year": revenue_running_total(tables, as_of),
         "order_info": order_info(tables),
         "order_cost": order_cost(tables),
+        "order_unit_cost": order_unit_cost_sum(tables),
         "full_names": full_names(tables["flower"]),
     }
     for name, df in views.items():

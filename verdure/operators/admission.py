@@ -30,7 +30,8 @@ def check_running_demand(
     """
     supply = stock.select("id_flower", F.col("available").alias("_supply"))
     demand = running_total(lines, "id_flower", "id", "amount", "_demand", block_bits, supply)
-    found = F.coalesce("_supply", F.lit(0)) - F.col("_demand") + F.col("amount")
+    before = F.col("_demand") - F.coalesce("amount", F.lit(0))
+    found = F.coalesce("_supply", F.lit(0)) - before
     return (
         demand.withColumn("available", found.cast("bigint"))
         .withColumn("ok", F.col("amount") <= F.col("available"))

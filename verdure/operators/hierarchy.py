@@ -9,7 +9,7 @@ from verdure.sources.lineage import cut_lineage
 
 
 def full_names(
-    nodes: DataFrame, id: str = "id", parent: str = "id_parent", name: str = "name"
+    nodes: DataFrame, key: str = "id", parent: str = "id_parent", name: str = "name"
 ) -> DataFrame:
     """``(id, fullname)`` for every node of a forest, any depth.
 
@@ -25,7 +25,7 @@ def full_names(
     """
     start = (
         nodes.select(
-            F.col(id).alias("id"), F.col(parent).alias("anchor"), F.col(name).alias("name")
+            F.col(key).alias("id"), F.col(parent).alias("anchor"), F.col(name).alias("name")
         )
         .distinct()
         .select(
