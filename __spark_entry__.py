@@ -208,9 +208,8 @@ def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _deletion(spark: SparkSession, sf: str) -> cascade.Deletion:
     tables = star_schema.sales_tables(spark, sf)
-    return cascade.plan_deletion(
-        tables, "flower", tables["flower"].where("id % 50 IN (7, 20)").select("id")
-    )
+    red = tables["flower"].where("name LIKE 'red %'")
+    return cascade.plan_deletion(tables, "flower", red.select("id"))
 
 
 def _cascade_delete(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,8 +226,8 @@ def _delete_blockers(spark: SparkSession, sf: str) -> DataFrame:
 
 def _key_change(spark: SparkSession, sf: str) -> cascade.KeyChange:
     tables = star_schema.sales_tables(spark, sf)
-    changes = tables["flower"].where("id % 10 = 3").selectExpr("id", "id + 1000000000")
-    return cascade.change_keys(tables, "flower", changes)
+    blue = tables["flower"].where("name LIKE 'blue %'")
+    return cascade.change_keys(tables, "flower", blue.selectExpr("id", "id + 1000000000"))
 
 
 def _changed_lines(spark: SparkSession, sf: str) -> DataFrame:

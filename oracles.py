@@ -247,9 +247,12 @@ _REPORT = [
     ),
 ]
 
-_GONE = "gone AS (SELECT id FROM flower WHERE id % 50 IN (7, 20))"
+_GONE = "gone AS (SELECT id FROM flower WHERE name LIKE 'red %')"
 _GONE_LINES = "gone_line AS (SELECT * FROM sale_detail WHERE id_flower IN (SELECT id FROM gone))"
-_MOVED = "CASE WHEN {0} % 10 = 3 THEN {0} + 1000000000 ELSE {0} END"
+_MOVED = (
+    "CASE WHEN {0} IN (SELECT id FROM flower WHERE name LIKE 'blue %')"
+    " THEN {0} + 1000000000 ELSE {0} END"
+)
 
 _LINE_COLUMNS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,"
@@ -354,7 +357,7 @@ def statements() -> dict[str, str]:
         + """SELECT 'flower' AS table_name, 'id_parent' AS column_name, id_parent AS parent_key,
         count(*) AS row_count FROM flower WHERE id_parent IN (SELECT id FROM gone)
         AND id NOT IN (SELECT id FROM gone) GROUP BY id_parent""",
-        "cascade_update_keys": _with("sale_detail")
+        "cascade_update_keys": _with("sale_detail flower")
         + f"SELECT id, id_sale, {_MOVED.format('id_flower')} AS id_flower, amount FROM sale_detail",
         "cascade_update_self": _with("flower")
         + f"SELECT {_MOVED.format('id')} AS id, {_MOVED.format('id_parent')} AS id_parent, name"
