@@ -66,7 +66,8 @@ def plan_deletion(tables: Tables, root: str, keys: DataFrame) -> Deletion:
 
     The references are walked once, parents first: doomed rows are those with
     a doomed parent along an owning reference. Any other reference to a doomed
-    row blocks the deletion unless the referring row is doomed as well.
+    row blocks the deletion unless the referring row is doomed as well. Only the
+    tables given take part.
     """
     victims = keys.toDF("id").distinct()
     doomed: dict[str, DataFrame] = {
