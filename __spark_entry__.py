@@ -25,6 +25,11 @@ from verdure.sources.catalog import CATALOG
 from verdure.sources.lineage import checkpoint_folder
 from verdure.streaming.admission_stream import admission_stream, decided_lines
 
+try:  # The training-data operators are a part that can be left out.
+    from verdure.llm import registry as training_data
+except ImportError:
+    training_data = None
+
 AS_OF = star_schema.ORDERS_AS_OF
 TREATED_AS_OF = star_schema.EVENTS_AS_OF
 SOLD_BEFORE = "1998-01-01"
@@ -283,6 +288,7 @@ def _materialised_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    added = training_data.queries() if training_data else {}
     return {
         "product_sales_last_year": _of_sales(sales.product_sales_last_year, as_of=AS_OF),
         "product_sales_calendar_year": _of_sales(
@@ -336,8 +342,10 @@ def queries() -> dict[str, Query]:
         "append_roundtrip": _append_roundtrip,
         "snapshot_roundtrip": _snapshot_roundtrip,
         "materialised_sum": _materialised_sum,
+        **added,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    added = training_data.oracle_sql() if training_data else {}
+    return {**oracles.statements(), **added}
