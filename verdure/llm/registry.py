@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import decontamination
+from verdure.llm import decontamination, near_duplicates, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,23 @@ def _decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents"))
+
+
+def _near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates.duplicate_report(table(spark, sf, "documents"))
+
+
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_substring_dedup": _substrings,
+        "op5_near_duplicates": _near_duplicates,
+        "op6_toxicity": _toxicity,
         "op7_decontamination": _decontamination,
     }
 
