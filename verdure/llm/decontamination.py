@@ -197,15 +197,17 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N) -> Dat
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """Documents without any test window, with all their columns."""
-    hit = (
-        window_hits(documents, benchmark, n)
-        .where(F.size("hits") > 0)
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"),
-                F.col("text_check").alias("_c"))
+    hit = window_hits(documents, benchmark, n).where(F.size("hits") > 0)
+    found = hit.select("doc_id", "text_hash", "text_check")
+    rows = documents.select(
+        F.struct(*documents.columns).alias("row"),
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
+        F.xxhash64(F.lit(_SEED), "text").alias("text_check"),
     )
     same = (
-        documents["doc_id"].eqNullSafe(F.col("_id"))
-        & (F.xxhash64(documents["text"]) == F.col("_h"))
-        & (F.xxhash64(F.lit(_SEED), documents["text"]) == F.col("_c"))
+        rows["doc_id"].eqNullSafe(found["doc_id"])
+        & (rows["text_hash"] == found["text_hash"])
+        & (rows["text_check"] == found["text_check"])
     )
-    return documents.join(hit, same, "left_anti")
+    return rows.join(found, same, "left_anti").select("row.*")

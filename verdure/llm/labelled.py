@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Most labelled documents of each class that a model is fitted on.
-SAMPLE = 2000
+SAMPLE = 1500
 
 
 def held_out(doc_id: Column) -> Column:

@@ -112,13 +112,14 @@ def _overlaps(width: int):
     return run
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
+def _keyed(documents: DataFrame, *more: Column) -> DataFrame:
     text_key = F.xxhash64("text")
     beyond = F.lit(_NULL_FROM) + text_key.bitwiseAND(_NULL_FROM - 1)
     return documents.select(
         F.coalesce(F.col("doc_id").cast("bigint"), beyond).alias("id"),
         text_key.alias("text_key"),
         "text",
+        *more,
     )
 
 
@@ -311,13 +312,9 @@ def drop_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT
     kept = (
         near_duplicates(documents, width, percent)
         .where("id = component")
-        .groupBy("id").agg(F.min("text_key").alias("_key"))
-        .withColumnRenamed("id", "_id")
-    )
-    text_key = F.xxhash64(documents["text"])
-    beyond = F.lit(_NULL_FROM) + text_key.bitwiseAND(_NULL_FROM - 1)
-    same = (F.coalesce(documents["doc_id"].cast("bigint"), beyond) == F.col("_id")) & (
-        text_key == F.col("_key")
+        .groupBy("id")
+        .agg(F.min("text_key").alias("text_key"))
     )
+    keyed = _keyed(documents, F.struct(*documents.columns).alias("row")).drop("text")
     # Rows that repeat one text under one id stand together already.
-    return documents.join(kept, same).dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    return keyed.join(kept, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("row.*")

@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdure.llm import decontamination, near_duplicates, substrings, toxicity
+from verdure.llm import (
+    decontamination,
+    near_duplicates,
+    nearest,
+    packing,
+    personal_data,
+    quality,
+    substrings,
+    token_counts,
+    toxicity,
+    warc,
+)
+from verdure.sources.lineage import checkpoint_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +36,35 @@ def _decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf, "documents"), path)
+
+
+def _nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.neighbours_of_every_twentieth(table(spark, sf, "embeddings"))
+
+
+def _token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.edited_counts(
+        table(spark, sf, "documents"), path, public_tokenizers.PATTERN
+    )
+
+
+def _archives(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{checkpoint_folder(spark)}/verdure-{uuid.uuid4().hex}"
+    return warc.archive_report(table(spark, sf, "pages"), folder)
+
+
+def _quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data.personal_data_report(table(spark, sf, "documents"))
+
+
 def _substrings(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf, "documents"))
 
@@ -35,10 +79,17 @@ def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_best_fit_packing": _packing,
+        "op2_nearest_neighbours": _nearest,
         "op3_substring_dedup": _substrings,
+        "op4_token_counts": _token_counts,
         "op5_near_duplicates": _near_duplicates,
         "op6_toxicity": _toxicity,
         "op7_decontamination": _decontamination,
+        "op8_personal_data": _personal_data,
+        "op9_warc": _archives,
+        "op10_quality": _quality,
+        "pipeline": corpus_pipeline.run,
     }
 
 

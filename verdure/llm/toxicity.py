@@ -3,8 +3,8 @@
 Words are tagged toxic or other. The features of a word are hashes of itself, of
 its beginnings and of its end, lower-cased. Labels exist for documents only, so
 labelled tokens are made from them: in documents labelled toxic, a word counts
-as toxic if one of its features is found in several different toxic documents
-and hardly anywhere else. Near copies in the sample count once. The field is
+as toxic if one of its features is found in toxic documents, hardly anywhere else
+and far more often than by chance. Near copies in the sample count once. The field is
 trained by stochastic gradients of its exact likelihood; the tagger
 runs over every word of every text, in sequences of up to ``SEQUENCE`` words.
 
@@ -42,13 +42,14 @@ from verdure.llm.words import (
 
 THRESHOLD = 0.3
 SEQUENCE = 64
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 _BEGINNINGS = (4, 5, 6, 7, 8, 9)
 _FEATURES = len(_BEGINNINGS) + 2
-#: A feature marks toxic words if so many toxic documents of the sample have it …
-SUPPORT = 3
-#: … and they are this share of all documents that would have it in the corpus.
+#: A feature marks toxic words if this share of the documents that would have it in
+#: the corpus are toxic …
 PRECISION = 0.8
+#: … and chance would give so many of them with a probability below exp(-EVIDENCE).
+EVIDENCE = 9.0
 _LIMIT = 30.0
 
 
@@ -65,14 +66,18 @@ def token_features(data: np.ndarray, offsets: np.ndarray):
     words = split_words(data, offsets, lower=True)
     sums = byte_prefix(words.data)
     size = words.ends - words.starts
-    columns = [words.hashes]
-    for n in _BEGINNINGS:
+    table = np.empty((len(size), _FEATURES), dtype=np.int32)
+
+    def fill(column: int, hashes: np.ndarray) -> None:
+        table[:, column] = mix(hashes) % np.uint64(BUCKETS)
+
+    fill(0, words.hashes)
+    for k, n in enumerate(_BEGINNINGS, 1):
         # A shorter word has no such beginning; its bucket is that of the word.
         cut = span_hashes(sums, words.starts, words.starts + np.minimum(n, size), 1)
-        columns.append(np.where(size > n, cut + np.uint64(n), words.hashes))
+        fill(k, np.where(size > n, cut + np.uint64(n), words.hashes))
     tail = span_hashes(sums, words.ends - np.minimum(4, size), words.ends, 1)
-    columns.append(tail + np.uint64(99))
-    table = np.stack([(mix(c) % np.uint64(BUCKETS)).astype(np.int32) for c in columns], axis=1)
+    fill(_FEATURES - 1, tail + np.uint64(99))
     return words, table
 
 
@@ -103,10 +108,12 @@ def forward_backward(scores: np.ndarray, inside: np.ndarray, transitions: np.nda
     return gain, ahead, back
 
 
-def marginals(words, table: np.ndarray, tagger: Tagger) -> np.ndarray:
+def marginals(first: np.ndarray, table: np.ndarray, tagger: Tagger) -> np.ndarray:
     """Probability of each word to be toxic."""
-    scores = tagger.weights[table].sum(axis=1)
-    places = sequences(words.first)
+    scores = np.zeros(len(table))
+    for k in range(_FEATURES):
+        scores += tagger.weights[table[:, k]]
+    places = sequences(first)
     inside = places >= 0
     held = np.where(inside, scores[np.maximum(places, 0)] if len(scores) else 0.0, -_LIMIT)
     _, ahead, back = forward_backward(held, inside, tagger.transitions)
@@ -122,6 +129,16 @@ def _arrays(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), dtype=np.uint8), offsets
 
 
+def _sample_features(texts: list[str], step: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Word offsets and features of the sample, made in small parts."""
+    counts, tables = [np.zeros(1, dtype=np.int64)], [np.zeros((0, _FEATURES), dtype=np.int32)]
+    for at in range(0, len(texts), step):
+        words, table = token_features(*_arrays(texts[at : at + step]))
+        counts.append(np.diff(words.first))
+        tables.append(table)
+    return np.cumsum(np.concatenate(counts)), np.concatenate(tables)
+
+
 def different(texts: list[str]) -> list[int]:
     """Indices of texts of which no near copy came before: bottom sketches do not meet."""
     seen: set[int] = set()
@@ -135,12 +152,22 @@ def different(texts: list[str]) -> list[int]:
     return chosen
 
 
+def _evidence(clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Chernoff bound of the surprise that ``toxic`` of all documents with a feature are toxic."""
+    base = toxic.sum() / max(toxic.sum() + clean.sum(), 1)
+    n = np.maximum(toxic + clean, 1)
+    part = np.clip(toxic / n, 1e-12, 1 - 1e-12)
+    base = min(max(base, 1e-12), 1 - 1e-12)
+    away = part * np.log(part / base) + (1 - part) * np.log((1 - part) / (1 - base))
+    return np.where(part > base, n * away, 0.0)
+
+
 def _statistics(chance: np.ndarray, first: np.ndarray) -> np.ndarray:
-    sums = np.append(0.0, np.cumsum(chance))
-    total = sums[first[1:]] - sums[first[:-1]]
+    total = np.zeros(len(first) - 1)
     largest = np.zeros(len(total))
     full = np.flatnonzero(np.diff(first))
     if len(full):
+        total[full] = np.add.reduceat(chance, first[:-1][full])
         largest[full] = np.maximum.reduceat(chance, first[:-1][full])
     return np.stack([np.ones(len(total)), np.log1p(total), largest], axis=1)
 
@@ -167,8 +194,7 @@ def train(sample: Sample, rounds: int = 8, batch: int = 1024, rate: float = 0.5)
             np.zeros(BUCKETS), np.zeros(4), np.zeros(3),
             sample.sizes[1] / total if total else 0.0,
         )
-    words, table = token_features(*_arrays(sample.texts))
-    first = words.first
+    first, table = _sample_features(sample.texts)
     ratio = (sample.sizes[0] / (labels == 0).sum()) / (sample.sizes[1] / (labels == 1).sum())
 
     lone = set(different(sample.texts))
@@ -180,10 +206,13 @@ def train(sample: Sample, rounds: int = 8, batch: int = 1024, rate: float = 0.5)
                 total[np.unique(table[first[i] : first[i + 1]])] += 1
         counts.append(total)
     share = counts[1] / np.maximum(counts[1] + counts[0] * ratio, 1e-9)
-    marks = (counts[1] >= SUPPORT) & (share >= PRECISION)
+    marks = (share >= PRECISION) & (_evidence(*counts) >= EVIDENCE)
     owner = np.repeat(labels, np.diff(first))
     # The end of a word alone marks nothing.
-    target = (marks[table[:, :-1]].any(axis=1) & (owner == 1)).astype(np.float64)
+    target = np.zeros(len(table), dtype=bool)
+    for k in range(_FEATURES - 1):
+        target |= marks[table[:, k]]
+    target = (target & (owner == 1)).astype(np.float64)
 
     places = sequences(first)
     order = np.random.default_rng(1).permutation(len(places))
@@ -224,7 +253,7 @@ def train(sample: Sample, rounds: int = 8, batch: int = 1024, rate: float = 0.5)
             steps_seen += push**2
             steps += 0.2 * push / np.sqrt(steps_seen)
     tagger = Tagger(weights, steps, np.zeros(3))
-    rows = _statistics(marginals(words, table, tagger), first)
+    rows = _statistics(marginals(first, table, tagger), first)
     tagger.calibration = logistic(rows, labels, np.where(labels == 1, 1.0, ratio))
     return tagger
 
@@ -246,9 +275,10 @@ def _score(shared, floor: float):
         for batch in batches:
             for row, end, data, offsets in text_chunks(batch.column("text")):
                 words, table = token_features(data, offsets)
-                chance = marginals(words, table, tagger)
+                chance = marginals(words.first, table, tagger)
                 rows = _statistics(chance, words.first)
-                score = 1 / (1 + np.exp(-np.clip(rows @ tagger.calibration, -_LIMIT, _LIMIT)))
+                total = (rows * tagger.calibration).sum(axis=1)
+                score = 1 / (1 + np.exp(-np.clip(total, -_LIMIT, _LIMIT)))
                 if tagger.constant is not None:
                     score[:] = tagger.constant
                 # Bytes that start a code point, counted up to each byte.
