@@ -16,7 +16,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles
 from verdure.functions.columns import increment
+from verdure.functions.sql_surface import register_sql_functions, register_sql_surface
 from verdure.operators import cascade, quality
+from verdure.operators.admission import admit_one_by_one, require_accepted
 from verdure.operators.hierarchy import full_names
 from verdure.operators.identity import assign_ids, fill_defaults
 from verdure.plans import greenhouses, orders, sales, stock
@@ -33,20 +35,30 @@ except ImportError:
 AS_OF = star_schema.ORDERS_AS_OF
 TREATED_AS_OF = star_schema.EVENTS_AS_OF
 SOLD_BEFORE = "1998-01-01"
+# First days of the windows of one year, one calendar year and one month that end at AS_OF.
+YEAR, CALENDAR, MONTH = "2000-08-01", "2000-01-01", "2001-07-01"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by month with its running total on the smallest data set."""
-    return _of_sales(sales.revenue_running_total, as_of=AS_OF)(spark, "/root/testdata/sf0.001")
+    return _of_sales(sales.revenue_running_total, YEAR, as_of=AS_OF)(spark, "/root/testdata/sf0.001")
 
 
 def _new_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/verdure-{uuid.uuid4().hex}"
 
 
-def _of_sales(report: Callable[..., DataFrame], **options) -> Query:
-    return lambda spark, sf: report(star_schema.sales_tables(spark, sf), **options)
+def _of_sales(report: Callable[..., DataFrame], since: str | None = None, **options) -> Query:
+    return lambda spark, sf: report(
+        star_schema.sales_tables(spark, sf, bought_since=since), **options
+    )
+
+
+def _of_order(report: Callable[..., DataFrame], order: int) -> Query:
+    return lambda spark, sf: report(
+        star_schema.sales_tables(spark, sf, order=order), id_sale=order
+    )
 
 
 def _of_greenhouses(report: Callable[..., DataFrame], **options) -> Query:
@@ -61,7 +73,7 @@ def _flat_order_info(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _one_order(spark: SparkSession, sf: str) -> DataFrame:
-    info = orders.order_info(star_schema.sales_tables(spark, sf), id_sale=77)
+    info = orders.order_info(star_schema.sales_tables(spark, sf, order=77), id_sale=77)
     return info.select(
         "id_sale", "status", "client", "adress.code", "adress.city", "product", "amount"
     )
@@ -77,7 +89,8 @@ def _place_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _one_place_name(spark: SparkSession, sf: str) -> DataFrame:
-    return full_names(_places(spark, sf)).where("id = 'c42'")
+    wanted = spark.createDataFrame([("c42",)], "id string")
+    return full_names(_places(spark, sf), keys=wanted)
 
 
 def _product_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,6 +115,56 @@ def _admit_order_lines(spark: SparkSession, sf: str) -> DataFrame:
     return stock.admit_order_lines(tables, tables["new_lines"])
 
 
+def _admit_in_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every contested product is resolved in rounds, as very large ones are."""
+    tables = star_schema.stock_tables(spark, sf, SOLD_BEFORE)
+    return admit_one_by_one(tables["new_lines"], stock.available_stock(tables), task_lines=0)
+
+
+def _accepted_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """What a strict insert takes once the refused lines are left out."""
+    tables = star_schema.stock_tables(spark, sf, SOLD_BEFORE)
+    checked = stock.check_order_lines(tables, tables["new_lines"])
+    return require_accepted(checked.where("ok"))
+
+
+def _stream_in_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines arrive in four parts, in the order of their ids; stock is carried along."""
+    lineitem = star_schema.read_star(spark, sf, "lineitem")
+    lots = star_schema.stock_lots(lineitem)
+    ready = (
+        lots.where("ready_to_sale").groupBy("id_flower").agg(F.sum("amount").alias("available"))
+    )
+    lines = star_schema.order_lines(lineitem)
+    folder = _new_folder(spark)
+    last = lineitem.agg(F.max("l_orderkey").alias("k")).first()["k"] or 0
+    for part in range(4):
+        low, high = last * part // 4, last * (part + 1) // 4
+        arrived = lines.where(F.col("id_sale").between(low + (part > 0), high))
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(lines.schema).parquet(f"{folder}/in")
+        writer = admission_stream(arriving, ready, f"{folder}/out", f"{folder}/state")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    schema = "id bigint, id_sale bigint, id_flower bigint, amount int"
+    return decided_lines(spark, f"{folder}/out", schema).drop("batch")
+
+
+def _on_sql_surface(statement: str) -> Query:
+    """A statement that calls the SQL functions over the stored wide tables."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        register_sql_surface(spark, star_schema.sales_tables(spark, sf), AS_OF)
+        return spark.sql(statement)
+
+    return run
+
+
+def _sql_increment(spark: SparkSession, sf: str) -> DataFrame:
+    star_schema.read_star(spark, sf, "part").createOrReplaceTempView("part")
+    register_sql_functions(spark, ["increment"])
+    return spark.sql("SELECT p_partkey, increment(p_size) AS next_size FROM part")
+
+
 def _stream_admission(spark: SparkSession, sf: str) -> DataFrame:
     """All lines arrive as a file stream and meet the ready lots of their products."""
     lots = star_schema.stock_lots(star_schema.read_star(spark, sf, "lineitem"))
@@ -211,10 +274,23 @@ def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(star_schema.flawed_tables(spark, sf), AS_OF)
 
 
+def _left_out(tables: dict[str, DataFrame]) -> set[str]:
+    """Tables of the catalog that the star schema has no rows for."""
+    return set(CATALOG) - set(tables)
+
+
 def _deletion(spark: SparkSession, sf: str) -> cascade.Deletion:
     tables = star_schema.sales_tables(spark, sf)
     red = tables["flower"].where("name LIKE 'red %'")
-    return cascade.plan_deletion(tables, "flower", red.select("id"))
+    return cascade.plan_deletion(tables, "flower", red.select("id"), _left_out(tables))
+
+
+def _deleted_lots(spark: SparkSession, sf: str) -> DataFrame:
+    """Lots as the root: their bridge rows go, everything else stays."""
+    tables = star_schema.sales_tables(spark, sf)
+    lots = tables["flower_warehouse"].where("id_greenhouse = 3")
+    plan = cascade.plan_deletion(tables, "flower_warehouse", lots.select("id"), _left_out(tables))
+    return plan.apply()["sale_flower"]
 
 
 def _cascade_delete(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +308,18 @@ def _delete_blockers(spark: SparkSession, sf: str) -> DataFrame:
 def _key_change(spark: SparkSession, sf: str) -> cascade.KeyChange:
     tables = star_schema.sales_tables(spark, sf)
     blue = tables["flower"].where("name LIKE 'blue %'")
-    return cascade.change_keys(tables, "flower", blue.selectExpr("id", "id + 1000000000"))
+    changes = blue.selectExpr("id", "id + 1000000000")
+    return cascade.change_keys(tables, "flower", changes, _left_out(tables))
+
+
+def _key_change_blockers(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes that collide: every product moves to the next number, some twice."""
+    tables = star_schema.sales_tables(spark, sf)
+    part = tables["flower"].where("id % 10 = 0")
+    changes = part.selectExpr("id", "id + 1").union(
+        part.where("id % 50 = 0").selectExpr("id", "id + 2000000000")
+    )
+    return cascade.change_keys(tables, "flower", changes, _left_out(tables)).blockers
 
 
 def _changed_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,18 +353,25 @@ def _append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark)
     tables = star_schema.sales_tables(spark, sf)
-    names = ["user", "adress_sale", "flower", "sale", "sale_detail", "sale_flower"]
-    store.save_snapshot({name: tables[name] for name in names}, folder, wide=True)
+    names = list(tables)
+    store.save_snapshot(tables, folder, wide=True)
     loaded = store.load_snapshot(spark, folder, names, wide=True)
-    parts = [
-        loaded[name].agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(loaded[name].columns[0]).cast("bigint").alias("key_sum"),
-        )
-        for name in names
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_fingerprint(name, loaded[name]) for name in names])
+
+
+def _fingerprint(name: str, df: DataFrame) -> DataFrame:
+    """Rows and an order-free hash over every column of a table."""
+    plain = []
+    for field in df.schema.fields:
+        parts = field.dataType.names if field.dataType.typeName() == "struct" else []
+        plain += [F.col(f"{field.name}.{part}") for part in parts] or [F.col(field.name)]
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in plain])
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.agg(
+        F.lit(name).alias("table_name"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(number).alias("fingerprint"),
+    )
 
 
 def _materialised_sum(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,20 +384,20 @@ def _materialised_sum(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     added = training_data.queries() if training_data else {}
     return {
-        "product_sales_last_year": _of_sales(sales.product_sales_last_year, as_of=AS_OF),
+        "product_sales_last_year": _of_sales(sales.product_sales_last_year, YEAR, as_of=AS_OF),
         "product_sales_calendar_year": _of_sales(
-            sales.product_sales_last_year, as_of=AS_OF, calendar=True, dedupe_lots=True
+            sales.product_sales_last_year, CALENDAR, as_of=AS_OF, calendar=True, dedupe_lots=True
         ),
-        "product_sales_ranked": _of_sales(sales.product_sales_ranked, as_of=AS_OF),
-        "least_sold_products": _of_sales(sales.least_sold_products, as_of=AS_OF),
-        "best_selling_products": _of_sales(sales.best_selling_products, as_of=AS_OF),
-        "unsold_products_last_month": _of_sales(sales.unsold_products_last_month, as_of=AS_OF),
-        "revenue_by_month": _of_sales(sales.revenue_by_month, as_of=AS_OF),
-        "revenue_running_total": _of_sales(sales.revenue_running_total, as_of=AS_OF),
+        "product_sales_ranked": _of_sales(sales.product_sales_ranked, YEAR, as_of=AS_OF),
+        "least_sold_products": _of_sales(sales.least_sold_products, YEAR, as_of=AS_OF),
+        "best_selling_products": _of_sales(sales.best_selling_products, YEAR, as_of=AS_OF),
+        "unsold_products_last_month": _of_sales(sales.unsold_products_last_month, MONTH, as_of=AS_OF),
+        "revenue_by_month": _of_sales(sales.revenue_by_month, YEAR, as_of=AS_OF),
+        "revenue_running_total": _of_sales(sales.revenue_running_total, YEAR, as_of=AS_OF),
         "order_info": _flat_order_info,
         "order_info_one": _one_order,
         "order_cost": _of_sales(orders.order_cost),
-        "order_cost_one": _of_sales(orders.order_cost, id_sale=77),
+        "order_cost_one": _of_order(orders.order_cost, 77),
         "order_unit_cost_sum": _of_sales(orders.order_unit_cost_sum),
         "treatment_counts": _of_greenhouses(greenhouses.treatment_counts, as_of=TREATED_AS_OF),
         "untreated_lots": _of_greenhouses(greenhouses.untreated_lots, as_of=TREATED_AS_OF),
@@ -315,6 +409,23 @@ def queries() -> dict[str, Query]:
         "check_order_lines": _check_order_lines,
         "admit_order_lines_sequential": _admit_order_lines,
         "stream_admission": _stream_admission,
+        "admit_order_lines_rounds": _admit_in_rounds,
+        "accepted_order_lines": _accepted_lines,
+        "stream_admission_batches": _stream_in_batches,
+        "sql_increment": _sql_increment,
+        "sql_cost": _on_sql_surface(
+            "SELECT id AS id_sale, cost(id) AS cost FROM sale"
+        ),
+        "sql_sale_cost": _on_sql_surface(
+            "SELECT id AS id_sale, sale_cost(id) AS cost FROM sale"
+        ),
+        "sql_full_name": _on_sql_surface("SELECT id, full_name(id) AS fullname FROM flower"),
+        "sql_sale_info": _on_sql_surface(
+            "SELECT s.id AS id_sale, i.`Статус заказа` AS status, i.`ФИО клиента` AS client,"
+            " i.`Адресс доставки`.city AS city, i.`Цветок` AS product, i.`Количество` AS amount"
+            " FROM sale s, LATERAL sale_info(s.id) i"
+        ),
+        "sql_running_revenue": _on_sql_surface("SELECT month, sum FROM sum_for_year"),
         "increment_values": _increment_values,
         "decode_address": _decode_address,
         "decode_money": _decode_money,
@@ -335,6 +446,8 @@ def queries() -> dict[str, Query]:
         "cascade_delete": _cascade_delete,
         "cascade_deleted_lines": _deleted_lines,
         "cascade_blockers": _delete_blockers,
+        "cascade_delete_lots": _deleted_lots,
+        "cascade_update_blockers": _key_change_blockers,
         "cascade_update_keys": _changed_lines,
         "cascade_update_self": _changed_products,
         "assign_ids": _assign_ids,

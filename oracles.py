@@ -12,18 +12,20 @@ _PARTS = {
         nullif(o_orderkey % 26, 25) AS id_adress, o_orderdate AS buy_date,
         CASE o_orderstatus WHEN 'F' THEN 'sent' WHEN 'O' THEN 'not processed'
         WHEN 'P' THEN 'formation' END AS status FROM orders)""",
-    "sale_detail": """sale_detail AS (SELECT l_orderkey * 8 + l_linenumber AS id,
+    "sale_detail": """sale_detail AS (SELECT l_orderkey * 1048576 + l_linenumber AS id,
         l_orderkey AS id_sale, min(l_partkey) AS id_flower,
         CAST(min(l_quantity) AS INTEGER) AS amount
         FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
-    "sale_flower": """sale_flower AS (SELECT l_orderkey * 8 + l_linenumber AS id_sale_detail,
+    "sale_flower": """sale_flower AS (SELECT l_orderkey * 1048576 + l_linenumber AS id_sale_detail,
         l_suppkey AS id_flower_warehouse,
         CAST(sum(CAST(l_quantity AS INTEGER)) AS INTEGER) AS amount
         FROM lineitem GROUP BY l_orderkey, l_linenumber, l_suppkey)""",
     "flower": """flower AS (SELECT p_partkey AS id,
         CAST(nullif(p_size % 10, 0) AS BIGINT) AS id_parent, p_name AS name FROM part)""",
     "lot": """lot AS (SELECT s_suppkey AS id, abs(CAST(s_acctbal AS DECIMAL(19,2))) AS cost,
-        nullif(s_suppkey % 10, 9) AS id_greenhouse, s_suppkey * 20 AS id_flower FROM supplier)""",
+        nullif(s_suppkey % 10, 9) AS id_greenhouse, s_suppkey * 20 AS id_flower,
+        s_suppkey % 5 <> 0 AS ready_to_sale, DATE '2001-01-01' AS date,
+        CAST(s_suppkey % 50 AS INTEGER) AS amount, CAST(NULL AS VARCHAR) AS notes FROM supplier)""",
     "stock_lot": """stock_lot AS (SELECT l_partkey AS id_flower,
         sum(CAST(l_quantity AS INTEGER)) AS amount, l_suppkey % 5 <> 0 AS ready_to_sale
         FROM lineitem GROUP BY l_partkey, l_suppkey)""",
@@ -38,10 +40,10 @@ _PARTS = {
         WHEN c_custkey % 50 = 7 THEN lower(c_name) ELSE lower(c_name) || '@example.com' END AS e_mail,
         CAST(c_nationkey AS VARCHAR) AS code, repeat(c_mktsegment, 4) AS city, c_name AS street
         FROM customer)""",
-    "raw_line": """raw_line AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS id_sale,
+    "raw_line": """raw_line AS (SELECT l_orderkey * 1048576 + l_linenumber AS id, l_orderkey AS id_sale,
         CASE WHEN l_partkey % 97 = 0 THEN l_partkey + 1000000000 ELSE nullif(l_partkey, 13) END
         AS id_flower, CAST(l_quantity AS INTEGER) - 1 AS amount FROM lineitem)""",
-    "raw_lot": """raw_lot AS (SELECT l_orderkey * 8 + l_linenumber AS id_sale_detail,
+    "raw_lot": """raw_lot AS (SELECT l_orderkey * 1048576 + l_linenumber AS id_sale_detail,
         l_suppkey AS id_flower_warehouse, CAST(l_quantity AS INTEGER) AS amount FROM lineitem)""",
 }
 
@@ -170,7 +172,7 @@ def _primary(table: str, source: str, key: str) -> list[str]:
     return [_surplus(table, label, source, key), _count(table, f"{label}:null", source, missing)]
 
 
-_FLAWED = "account flower sale raw_line raw_lot"
+_FLAWED = "account flower sale raw_line raw_lot lot"
 _ON_HOLD = "CASE status WHEN 'formation' THEN 'on hold' ELSE status END"
 
 _NOT_NULL_USER = _nulls("user", "account", "id", "name", "surname", "e_mail")
@@ -245,8 +247,31 @@ _REPORT = [
         "sale_detail",
         "SELECT id FROM raw_line",
     ),
+    _orphans(
+        "sale_flower", "raw_lot", "id_flower_warehouse", "flower_warehouse", "SELECT id FROM lot"
+    ),
+    *_nulls(
+        "flower_warehouse", "lot", "id", "id_flower", "ready_to_sale", "date", "amount", "cost"
+    ),
+    *_checks("flower_warehouse", "lot", "amount > 0", "cost > 0", "id_flower > 0"),
+    *_primary("flower_warehouse", "lot", "id"),
+    _orphans("flower_warehouse", "lot", "id_flower", "flower", "SELECT id FROM flower"),
+    # Greenhouses are not among the tables of the report: not checked.
+    "SELECT 'flower_warehouse', 'foreign_key:id_greenhouse->greenhouse', CAST(NULL AS BIGINT)",
 ]
 
+_SURFACE_ORDERS = "SELECT id FROM sale"
+
+
+def _fingerprint(table: str, source: str, *columns: str) -> str:
+    """Rows and an order-free hash over all columns of a table."""
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS row_count,"
+        f" CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)) AS BIGINT)"
+        f" AS fingerprint FROM {source}"
+    )
+
 _GONE = "gone AS (SELECT id FROM flower WHERE name LIKE 'red %')"
 _GONE_LINES = "gone_line AS (SELECT * FROM sale_detail WHERE id_flower IN (SELECT id FROM gone))"
 _MOVED = (
@@ -357,6 +382,14 @@ def statements() -> dict[str, str]:
         + """SELECT 'flower' AS table_name, 'id_parent' AS column_name, id_parent AS parent_key,
         count(*) AS row_count FROM flower WHERE id_parent IN (SELECT id FROM gone)
         AND id NOT IN (SELECT id FROM gone) GROUP BY id_parent""",
+        "cascade_delete_lots": _with("sale_flower lot")
+        + """SELECT * FROM sale_flower WHERE id_flower_warehouse NOT IN
+        (SELECT id FROM lot WHERE id_greenhouse = 3)""",
+        "cascade_update_blockers": _with("flower")
+        + """SELECT 'flower' AS table_name, 'id:changed_twice' AS column_name, id AS parent_key,
+        CAST(2 AS BIGINT) AS row_count FROM flower WHERE id % 50 = 0
+        UNION ALL SELECT 'flower', 'id:taken', id, 2 FROM flower
+        WHERE id % 10 = 1 AND id - 1 IN (SELECT id FROM flower)""",
         "cascade_update_keys": _with("sale_detail flower")
         + f"SELECT id, id_sale, {_MOVED.format('id_flower')} AS id_flower, amount FROM sale_detail",
         "cascade_update_self": _with("flower")
@@ -370,19 +403,55 @@ def statements() -> dict[str, str]:
         "append_roundtrip": _with("sale")
         + """SELECT id, id_user, id_adress, buy_date, CASE WHEN buy_date < TIMESTAMP '1998-01-01'
         THEN status ELSE 'not processed' END AS status FROM sale""",
-        "snapshot_roundtrip": _with("sale sale_detail sale_flower flower")
-        + " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count,"
-            f" CAST(sum({key}) AS BIGINT) AS key_sum FROM {source}"
-            for name, source, key in (
-                ("user", "customer", "c_custkey"),
-                ("adress_sale", "nation", "n_nationkey"),
-                ("flower", "flower", "id"),
-                ("sale", "sale", "id"),
-                ("sale_detail", "sale_detail", "id"),
-                ("sale_flower", "sale_flower", "id_sale_detail"),
-            )
+        "snapshot_roundtrip": _with("sale sale_detail sale_flower flower lot")
+        + _union(
+            _fingerprint(
+                "user",
+                "customer LEFT JOIN nation ON n_nationkey = c_nationkey",
+                "c_custkey", "c_name", "c_mktsegment", "lower(c_name) || '@example.com'",
+                "n_nationkey", "n_name", "NULL", "NULL",
+            ),
+            _fingerprint("adress_sale", "nation", "n_nationkey", "'N'", "n_name", "NULL", "NULL"),
+            _fingerprint("flower", "flower", "id", "id_parent", "name"),
+            _fingerprint(
+                "flower_warehouse", "lot", "id", "id_flower", "ready_to_sale", "date", "amount",
+                "cost", "notes", "id_greenhouse",
+            ),
+            _fingerprint("sale", "sale", "id", "id_user", "id_adress", "buy_date", "status"),
+            _fingerprint("sale_detail", "sale_detail", "id", "id_sale", "id_flower", "amount"),
+            _fingerprint(
+                "sale_flower", "sale_flower", "id_sale_detail", "id_flower_warehouse", "amount"
+            ),
+        ),
+        "admit_order_lines_rounds": _with(
+            _STOCK_TABLES, _STOCK_OLD, _NEW, _admit("new_line", "stock"), recursive=True
         ),
+        "stream_admission_batches": _with(
+            "sale_detail stock_lot",
+            "ready AS (SELECT id_flower, sum(amount) AS available FROM stock_lot"
+            " WHERE ready_to_sale GROUP BY 1)",
+            _admit("sale_detail", "ready"),
+            recursive=True,
+        ),
+        "accepted_order_lines": _with(_STOCK_TABLES, _STOCK_OLD, _NEW)
+        + """SELECT id, id_sale, id_flower, amount FROM (SELECT n.*, coalesce(s.available, 0)
+        - sum(n.amount) OVER (PARTITION BY n.id_flower ORDER BY n.id) AS rest
+        FROM new_line n LEFT JOIN stock s ON s.id_flower = n.id_flower) WHERE rest >= 0""",
+        "sql_increment": "SELECT p_partkey, p_size + 1 AS next_size FROM part",
+        "sql_cost": chain
+        + f"""SELECT s.id AS id_sale, t.cost FROM ({_SURFACE_ORDERS}) s
+        LEFT JOIN ({_cost('lot.cost * sf.amount')} GROUP BY s.id) t ON t.id_sale = s.id""",
+        "sql_sale_cost": chain
+        + f"""SELECT s.id AS id_sale, t.cost FROM ({_SURFACE_ORDERS}) s
+        LEFT JOIN ({_cost('lot.cost')} GROUP BY s.id) t ON t.id_sale = s.id""",
+        "sql_full_name": _with("flower", _paths("flower"), recursive=True)
+        + "SELECT n.id, p.fullname FROM flower n LEFT JOIN path p ON p.id = n.id",
+        "sql_sale_info": _with("sale sale_detail flower")
+        + f"SELECT id_sale, status, client, city, product, amount FROM ({_INFO})"
+        f" WHERE id_sale IN ({_SURFACE_ORDERS})",
+        "sql_running_revenue": _with("sale sale_detail sale_flower lot", _REVENUE)
+        + """SELECT month, CAST(sum(sum) OVER (ORDER BY month) AS DECIMAL(38,2)) AS sum
+        FROM revenue""",
         "materialised_sum": _with("sale_detail")
         + "SELECT CAST(sum(amount) AS BIGINT) AS sum FROM sale_detail",
     }

@@ -1,8 +1,4 @@
-"""A small nursery with results worked out by hand.
-
-Fixed values: keys, amounts, dates and prices that the expected results in the
-tests follow from. Clients and addresses are invented.
-"""
+"""A small invented nursery; results in the tests are worked out from these rows by hand."""
 
 from __future__ import annotations
 
@@ -13,118 +9,106 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdure.sources.catalog import CATALOG
 
-AS_OF = dt.date(2019, 12, 17)
+AS_OF = dt.date(2021, 6, 10)
 
 # id, parent, name
 FLOWERS = [
-    (1, None, "Asclepiadaceae"),
-    (2, None, "Asphodelaceae"),
-    (3, None, "Crassulaceae"),
-    (4, None, "Aizoaceae"),
-    (5, None, "Cactaceae"),
-    (6, 3, "Echeveria"),
-    (7, 6, "elegans"),
-    (8, 6, "derenbergii"),
-    (9, 6, "gibbiflora"),
-    (10, 6, "Black Prince"),
-    (11, 3, "Aeonium"),
-    (12, 11, "arboreum"),
-    (13, 11, "Kiwi"),
-    (14, 11, "tabulaeforme"),
-    (15, 11, "undulatum"),
-    (16, 3, "Sedum"),
-    (17, 16, "morganianum"),
-    (18, 16, "pahyphyllum"),
-    (19, 3, "Kalanchoe"),
-    (20, 19, "daigremontiana"),
-    (21, 19, "blossfeldiana"),
-    (22, 2, "Aloe"),
-    (23, 22, "vera"),
-    (24, 22, "ferox"),
-    (25, 22, "mitriformis"),
+    (1, None, "Ropeworts"),
+    (2, None, "Torchroots"),
+    (3, None, "Duskcups"),
+    (4, None, "Glasstars"),
+    (6, 3, "Lampflower"),
+    (7, 6, "amber"),
+    (8, 6, "pale"),
+    (9, 6, "broad"),
+    (10, 6, "Night Lamp"),
+    (11, 4, "Prism"),
+    (12, 11, "tall"),
+    (13, 11, "lime"),
+    (14, 11, "flat"),
+    (15, 11, "wavy"),
+    (17, 1, "hanging rope"),
+    (20, 2, "spotted bell"),
+    (22, 2, "Torch"),
+    (23, 22, "healing"),
+    (24, 22, "wild"),
+    (25, 22, "crowned"),
 ]
 
 # id, product, ready, amount, cost, greenhouse
 LOTS = [
-    (1, 7, True, 5, 50, 2),
-    (2, 8, True, 10, 150, 2),
-    (3, 9, True, 7, 75, 2),
-    (4, 10, True, 12, 60, 2),
-    (5, 11, True, 1, 400, 1),
-    (6, 13, True, 10, 40, 3),
-    (7, 14, True, 3, 50, 3),
-    (8, 15, True, 4, 50, 3),
-    (9, 24, True, 13, 100, 5),
-    (10, 10, True, 2, 60, 2),
-    (11, 14, True, 5, 50, 3),
-    (12, 24, True, 7, 100, 5),
-    (13, 14, True, 9, 50, 3),
-    (14, 13, True, 7, 40, 3),
-    (15, 11, True, 1, 400, 1),
-    (16, 12, True, 4, 300, 3),
-    (17, 17, True, 3, 250, 4),
-    (19, 25, True, 20, 100, 1),
-    (21, 20, False, 10, 20, 1),
+    (1, 7, True, 9, 20, 2),
+    (2, 8, True, 6, 35, 2),
+    (4, 10, True, 15, 45, 2),
+    (5, 11, True, 3, 120, 1),
+    (6, 13, True, 8, 25, 3),
+    (7, 14, True, 2, 30, 3),
+    (8, 15, True, 11, 32, 3),
+    (9, 24, True, 5, 70, 4),
+    (10, 10, True, 4, 45, 2),
+    (12, 24, True, 3, 70, 4),
+    (13, 12, True, 7, 210, 3),
+    (14, 17, True, 5, 160, 4),
+    (15, 25, True, 30, 90, 1),
+    (16, 20, False, 12, 15, 1),
 ]
 
 # id, client, order address, day
 SALES = [
-    (3, 12, None, "2018-11-24"),
-    (4, 4, 3, "2019-11-04"),
-    (5, 12, 2, "2018-10-05"),
-    (6, 3, 1, "2019-03-12"),
-    (7, 7, 4, "2019-08-15"),
-    (10, 4, None, "2019-07-18"),
-    (11, 5, None, "2019-07-18"),
-    (16, 7, None, "2019-11-24"),
-    (33, 4, None, "2019-12-02"),
+    (3, 12, None, "2020-05-20"),
+    (4, 4, 3, "2021-05-15"),
+    (5, 12, 2, "2020-04-02"),
+    (6, 3, 1, "2020-11-12"),
+    (7, 7, 4, "2021-02-15"),
+    (10, 4, None, "2021-01-18"),
+    (11, 5, None, "2021-01-19"),
+    (16, 7, None, "2021-05-28"),
+    (33, 4, None, "2021-06-02"),
 ]
 
 # id, order, product, amount
 LINES = [
-    (1, 3, 12, 1),
+    (1, 3, 12, 2),
     (2, 3, 15, 1),
     (3, 5, 12, 1),
-    (4, 10, 7, 1),
+    (4, 10, 7, 2),
     (5, 11, 12, 1),
     (6, 11, 17, 1),
     (7, 11, 10, 1),
-    (8, 33, 10, 1),
-    (9, 4, 10, 1),
+    (8, 33, 10, 3),
+    (9, 4, 10, 2),
     (10, 4, 12, 1),
     (11, 7, 7, 1),
     (12, 16, 15, 1),
-    (15, 10, 14, 16),
-    (16, 4, 25, 10),
-    (18, 4, 25, 10),
-    (24, 4, 13, 10),
+    (15, 10, 14, 1),
+    (16, 4, 25, 12),
+    (18, 4, 25, 12),
+    (24, 4, 13, 5),
 ]
 
 # line, lot, amount
 LINE_LOTS = [
-    (1, 16, 1),
-    (2, 8, 2),
-    (3, 16, 2),
-    (4, 1, 3),
-    (5, 16, 1),
-    (6, 17, 3),
+    (1, 13, 2),
+    (2, 8, 1),
+    (3, 13, 1),
+    (4, 1, 2),
+    (5, 13, 2),
+    (6, 14, 3),
     (7, 10, 1),
-    (8, 10, 2),
-    (9, 10, 1),
-    (10, 16, 1),
+    (8, 10, 1),
+    (9, 4, 2),
+    (10, 13, 1),
     (11, 1, 1),
     (12, 8, 1),
 ]
 
 # id, day, greenhouse
 TREATMENTS = [
-    (1, "2019-11-25", 2),
-    (2, "2019-11-25", 2),
-    (3, "2019-11-25", 2),
-    (4, "2019-11-25", 1),
-    (5, "2019-11-25", 1),
-    (6, "2019-11-25", 2),
-    (7, "2019-08-12", 2),
+    (1, "2021-05-12", 2),
+    (2, "2021-05-30", 2),
+    (3, "2021-06-01", 1),
+    (4, "2021-06-10", 2),
+    (5, "2021-03-12", 3),
 ]
 
 
@@ -138,7 +122,7 @@ def _frame(spark: SparkSession, name: str, rows: list[tuple]) -> DataFrame:
 
 def tables(spark: SparkSession) -> dict[str, DataFrame]:
     users = [(i, f"Name{i}", f"Client{i}", f"c{i}@post", _address(f"Home {i}")) for i in (3, 4, 5, 7, 12)]
-    day = dt.date(2019, 11, 24)
+    day = dt.date(2021, 4, 1)
     return {
         "user": _frame(spark, "user", users),
         "adress_sale": _frame(
@@ -160,7 +144,7 @@ def tables(spark: SparkSession) -> dict[str, DataFrame]:
         ),
         "sale_detail": _frame(spark, "sale_detail", LINES),
         "sale_flower": _frame(spark, "sale_flower", LINE_LOTS),
-        "greenhouse": _frame(spark, "greenhouse", [(i, 1) for i in range(1, 6)]),
+        "greenhouse": _frame(spark, "greenhouse", [(i, 1) for i in range(1, 5)]),
         "prevention": _frame(
             spark,
             "prevention",

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from verdure.operators.admission import (
     admit_one_by_one,
@@ -106,3 +107,16 @@ def test_strict_mode(spark):
     bad = spark.createDataFrame([(1, 0, 3, "a"), (2, 0, 3, "b")], LINE)
     with pytest.raises(Exception, match=r"\(3\).*\(2\)"):
         require_accepted(check_running_demand(bad, available)).collect()
+
+
+@pytest.mark.parametrize("read", [lambda df: df.count(), lambda df: df.select("id").collect()])
+def test_a_refused_line_fails_whatever_is_read(spark, read):
+    lines = spark.createDataFrame([(1, 1, 5), (2, 1, 6)], "id bigint, id_flower int, amount int")
+    supply = spark.createDataFrame([(1, 10)], "id_flower int, available bigint")
+    checked = check_running_demand(lines, supply)
+    with pytest.raises(Exception, match="6"):
+        read(require_accepted(checked))
+    assert read(require_accepted(checked.where("id = 1"))) in (1, [(1,)])
+    unknown = lines.withColumn("amount", F.lit(None).cast("int"))
+    with pytest.raises(Exception, match="without an amount"):
+        read(require_accepted(check_running_demand(unknown, supply)))

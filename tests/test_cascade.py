@@ -3,7 +3,16 @@ from __future__ import annotations
 import pytest
 from test_quality import sound_tables
 
-from verdure.operators.cascade import change_keys, plan_deletion
+from verdure.operators import cascade
+from verdure.sources.catalog import CATALOG
+
+
+def plan_deletion(tables, root, keys):
+    return cascade.plan_deletion(tables, root, keys, set(CATALOG) - set(tables))
+
+
+def change_keys(tables, root, changes):
+    return cascade.change_keys(tables, root, changes, set(CATALOG) - set(tables))
 
 
 def ids(df, column="id"):
@@ -21,7 +30,7 @@ def test_deletion_follows_owned_rows(spark, nursery):
     kept = deletion.apply()
     assert ids(kept["sale"]) == [3, 5, 6, 7, 11, 16, 33]
     assert kept["sale_flower"].count() == 9
-    assert kept["flower"].count() == 25
+    assert kept["flower"].count() == 20
 
 
 def test_rows_with_two_doomed_parents_go_once(spark, nursery):
@@ -39,7 +48,7 @@ def test_children_block_unless_they_go_too(spark, nursery):
         deletion.apply()
     whole = plan_deletion(nursery, "flower", key(spark, 22, 23, 24, 25))
     assert whole.blockers.count() == 0
-    assert ids(whole.apply()["flower_warehouse"]) == [1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 13, 14, 15, 16, 17, 21]
+    assert ids(whole.apply()["flower_warehouse"]) == [1, 2, 4, 5, 6, 7, 8, 10, 13, 14, 16]
 
 
 def test_users_of_orders_block(spark, nursery):
@@ -87,3 +96,27 @@ def test_a_swap_of_keys_does_not_chain(spark, nursery):
     changes = spark.createDataFrame([(10, 12), (12, 10)], "o int, n int")
     lines = {r.id: r.id_flower for r in change_keys(nursery, "flower", changes).tables["sale_detail"].collect()}
     assert lines[7] == 12 and lines[1] == 10
+
+
+def test_absent_tables_are_refused(spark, nursery):
+    few = {name: nursery[name] for name in ("flower", "sale_flower", "sale")}
+    with pytest.raises(ValueError, match="flower_warehouse.*sale_detail"):
+        cascade.plan_deletion(few, "flower", key(spark, 10))
+    with pytest.raises(ValueError, match="sale_detail"):
+        cascade.change_keys(few, "flower", spark.createDataFrame([(1, 2)], "o int, n int"))
+
+
+def test_changes_that_collide_are_refused(spark, nursery):
+    rows = [(10, 7), (12, 112), (12, 113), (13, 200), (14, 200)]
+    change = change_keys(nursery, "flower", spark.createDataFrame(rows, "o int, n int"))
+    found = sorted(tuple(r) for r in change.blockers.collect())
+    assert found == [
+        ("flower", "id:changed_twice", 12, 2),
+        ("flower", "id:taken", 7, 2),
+        ("flower", "id:taken", 200, 2),
+    ]
+    assert change.tables["sale_detail"].count() == nursery["sale_detail"].count()
+    with pytest.raises(ValueError, match="forbids"):
+        change.apply()
+    fine = change_keys(nursery, "flower", spark.createDataFrame([(10, 110)], "o int, n int"))
+    assert 110 in ids(fine.apply()["flower"])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdure.functions.columns import increment
-from verdure.operators.hierarchy import full_names
+from verdure.operators.hierarchy import ancestry, full_names
 from verdure.operators.identity import assign_ids, dense_ranks, fill_defaults, next_id
 from verdure.operators.joins import lookup_total, not_in
 from verdure.operators.ranking import extreme_rows, running_total
@@ -198,3 +198,13 @@ def test_full_names_agree_with_a_recursive_query(spark):
         " ON p.id = n.id_parent) SELECT * FROM path"
     )
     assert names_of(spark, rows) == {r.id: r.fullname for r in sql.collect()}
+
+
+def test_names_of_chosen_nodes(spark):
+    rows = [(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (4, 2, "d"), (5, 99, "e"), (6, 7, "f"), (7, 6, "g")]
+    nodes = spark.createDataFrame(rows, "id int, id_parent int, name string")
+    keys = spark.createDataFrame([(3,), (3,), (1,), (5,), (6,), (50,)], "k int")
+    found = {r.id: r.fullname for r in full_names(nodes, keys=keys).collect()}
+    assert found == {3: " b c", 1: "", 5: None, 6: None}
+    touched = {r.id for r in ancestry(nodes, keys.where("k = 3")).collect()}
+    assert touched == {1, 2, 3}

@@ -120,3 +120,15 @@ def test_hot_product_is_split_in_the_order_report(spark, small_limits):
     assert len(info.collect()) == 120_000
     plan = plan_of(info)
     assert "skew=true" in plan
+
+
+def test_the_order_key_reaches_the_line_scan(spark):
+    for name in ("order_info_one", "order_cost_one"):
+        plan = plan_of(driver.queries()[name](spark, FOLDER))
+        assert "EqualTo(l_orderkey,77)" in plan
+
+
+def test_the_years_orders_cut_the_lines_before_they_are_grouped(spark):
+    tables = star_schema.sales_tables(spark, FOLDER, bought_since="2000-08-01")
+    plan = tables["sale_detail"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")

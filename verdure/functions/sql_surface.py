@@ -20,27 +20,37 @@ from verdure.plans.sales import (
     revenue_running_total,
 )
 
+# {key}: type of the tables' keys.
 _FUNCTIONS = {
     "increment": "(i INT) RETURNS INT RETURN i + 1",
-    "cost": "(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
+    "cost": "(sale_number {key}) RETURNS DECIMAL(38,2) RETURN"
     " (SELECT max(c.cost) FROM order_cost c WHERE c.id_sale = sale_number)",
-    "sale_cost": "(sale_number INT) RETURNS DECIMAL(38,2) RETURN"
+    "sale_cost": "(sale_number {key}) RETURNS DECIMAL(38,2) RETURN"
     " (SELECT max(c.cost) FROM order_unit_cost c WHERE c.id_sale = sale_number)",
-    "full_name": "(id_flower INT) RETURNS STRING RETURN"
+    "full_name": "(id_flower {key}) RETURNS STRING RETURN"
     " (SELECT max(n.fullname) FROM full_names n WHERE n.id = id_flower)",
     # The column names of the table function.
-    "sale_info": "(sale_number INT) RETURNS TABLE(`Статус заказа` STRING, `ФИО клиента` STRING,"
+    "sale_info": "(sale_number {key}) RETURNS TABLE(`Статус заказа` STRING, `ФИО клиента` STRING,"
     " `Адресс доставки` STRUCT<code: STRING, city: STRING, street: STRING, phone_number: STRING>,"
-    " `Цветок` STRING, `Количество` INT) RETURN"
-    " SELECT status, client, adress, product, CAST(amount AS INT)"
+    " `Цветок` STRING, `Количество` {amount}) RETURN"
+    " SELECT status, client, adress, product, amount"
     " FROM order_info o WHERE o.id_sale = sale_number",
 }
 
 
-def register_sql_functions(spark: SparkSession, names: Iterable[str] = tuple(_FUNCTIONS)) -> None:
-    """Register functions by name; all but ``increment`` need the report views."""
+def register_sql_functions(
+    spark: SparkSession,
+    names: Iterable[str] = tuple(_FUNCTIONS),
+    key: str = "INT",
+    amount: str = "INT",
+) -> None:
+    """Register functions by name; all but ``increment`` need the report views.
+
+    ``key`` and ``amount`` are the types that the tables have for them.
+    """
     for name in names:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{_FUNCTIONS[name]}")
+        text = _FUNCTIONS[name].replace("{key}", key).replace("{amount}", amount)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{text}")
 
 
 def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
@@ -61,4 +71,6 @@ def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    register_sql_functions(spark)
+    kinds = [tables["sale"].schema["id"].dataType, tables["sale_detail"].schema["amount"].dataType]
+    key, amount = (kind.simpleString() for kind in kinds)
+    register_sql_functions(spark, key=key, amount=amount)

@@ -41,12 +41,14 @@ def check_running_demand(
 
 
 def require_accepted(checked: DataFrame) -> DataFrame:
-    """The lines as they came, failing the job at the first refused one."""
-    passed = F.when(F.col("ok"), F.col("amount")).otherwise(
-        F.raise_error(F.col("message")).cast("bigint")
-    )
-    kind = checked.schema["amount"].dataType
-    return checked.withColumn("amount", passed.cast(kind)).drop("available", "ok", "message")
+    """The lines as they came, failing the job at the first refused one.
+
+    The failure is in a filter, so it does not depend on the columns that are
+    read afterwards.
+    """
+    reason = F.coalesce("message", F.lit("a line without an amount cannot be checked"))
+    passed = F.when(F.col("ok"), F.lit(True)).otherwise(F.raise_error(reason).cast("boolean"))
+    return checked.where(passed).drop("available", "ok", "message")
 
 
 def admit_one_by_one(

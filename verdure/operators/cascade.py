@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,6 +34,29 @@ class Deletion:
         return self.kept
 
 
+def _refuse_absent(tables: Tables, parents: set[str], left_out: Iterable[str], follow: bool) -> None:
+    """Raise for tables that refer to ``parents``, directly or (``follow``) through owned rows."""
+    reached, needed = set(parents), set()
+    while True:
+        more = {
+            name
+            for name, relation in CATALOG.items()
+            if any(r.parent in reached for r in relation.references)
+        }
+        needed |= more
+        owned = {
+            name
+            for name in more - reached
+            if any(r.on_delete_cascade and r.parent in reached for r in CATALOG[name].references)
+        }
+        if not follow or not owned - set(left_out):
+            break
+        reached |= owned - set(left_out)
+    absent = sorted(needed - set(tables) - set(left_out))
+    if absent:
+        raise ValueError(f"tables that may be affected are absent: {', '.join(absent)}")
+
+
 def _doomed_values(doomed: DataFrame) -> DataFrame:
     return doomed.select(F.col("id").alias("_gone")).distinct()
 
@@ -61,14 +84,18 @@ def _owned_by(relation: Relation, doomed: Mapping[str, DataFrame]) -> list[Refer
     return [r for r in relation.references if r.on_delete_cascade and r.parent in doomed]
 
 
-def plan_deletion(tables: Tables, root: str, keys: DataFrame) -> Deletion:
+def plan_deletion(
+    tables: Tables, root: str, keys: DataFrame, left_out: Iterable[str] = ()
+) -> Deletion:
     """Delete the rows of ``root`` whose id is in the one-column ``keys``.
 
     The references are walked once, parents first: doomed rows are those with
     a doomed parent along an owning reference. Any other reference to a doomed
-    row blocks the deletion unless the referring row is doomed as well. Only the
-    tables given take part.
+    row blocks the deletion unless the referring row is doomed as well. A table
+    that the deletion could reach and that is neither given nor named in
+    ``left_out`` is an error; what is left out is taken to have no rows.
     """
+    _refuse_absent(tables, {root}, left_out, follow=True)
     victims = keys.toDF("id").distinct()
     doomed: dict[str, DataFrame] = {
         root: tables[root].join(victims, "id", "left_semi")
@@ -119,9 +146,21 @@ def _blockers(tables: Tables, kept: Tables, doomed: Mapping[str, DataFrame]) ->
 
 @dataclass(frozen=True)
 class KeyChange:
+    """What a change of keys would do; nothing may change where ``blockers`` has rows."""
+
     tables: dict[str, DataFrame]
     blockers: DataFrame
 
+    def apply(self) -> dict[str, DataFrame]:
+        """The tables after the change; refuses if a row blocks it."""
+        blocked = self.blockers.take(1)
+        if blocked:
+            row = blocked[0]
+            raise ValueError(
+                f"{row['table_name']}.{row['column_name']} forbids the change of key {row['parent_key']}"
+            )
+        return self.tables
+
 
 def _replaced(df: DataFrame, column: str, changes: DataFrame) -> DataFrame:
     """``df`` with ``column`` taken from the change of its value, if there is one."""
@@ -131,15 +170,46 @@ def _replaced(df: DataFrame, column: str, changes: DataFrame) -> DataFrame:
     return changed.withColumn(column, value).select(*df.columns)
 
 
-def change_keys(tables: Tables, root: str, changes: DataFrame) -> KeyChange:
+def _blocker(table: str, column: str, found: DataFrame) -> DataFrame:
+    return found.select(
+        F.lit(table).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        F.col("parent_key").cast("bigint").alias("parent_key"),
+        "row_count",
+    )
+
+
+def change_keys(
+    tables: Tables, root: str, changes: DataFrame, left_out: Iterable[str] = ()
+) -> KeyChange:
     """Change ids of ``root`` by an ``(old, new)`` table and carry them to all references.
 
-    References that do not follow are listed as blockers.
+    Blockers are references that do not follow, old keys that several changes
+    name (column ``id:changed_twice``), and new keys that a surviving row or
+    another change takes as well (``id:taken``). A NULL changes nothing. A
+    referring table that is neither given nor named in ``left_out`` is an error.
     """
-    pairs = changes.toDF("_old", "_new")
+    _refuse_absent(tables, {root}, left_out, follow=False)
+    given = changes.toDF("_old", "_new").where("_old IS NOT NULL AND _new IS NOT NULL")
+    # One change per key, so that no row is ever multiplied.
+    pairs = given.groupBy("_old").agg(F.min("_new").alias("_new"), F.count(F.lit(1)).alias("_times"))
+    twice = pairs.where("_times > 1").select(
+        F.col("_old").alias("parent_key"), F.col("_times").alias("row_count")
+    )
+    pairs = pairs.drop("_times")
     changed = dict(tables)
     changed[root] = _replaced(tables[root], "id", pairs)
-    parts = []
+    targets = pairs.where("_old <> _new").select(F.col("_new").alias("_target")).distinct()
+    taken = (
+        changed[root]
+        .where("id IS NOT NULL")
+        .groupBy(F.col("id").alias("parent_key"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .where("row_count > 1")
+        .join(targets, F.col("parent_key") == F.col("_target"), "left_semi")
+    )
+    parts = [_blocker(root, "id:changed_twice", twice), _blocker(root, "id:taken", taken)]
+    moved = pairs.where("_old <> _new")
     for name in tables:
         for ref in CATALOG[name].references:
             if ref.parent != root:
@@ -150,18 +220,6 @@ def change_keys(tables: Tables, root: str, changes: DataFrame) -> KeyChange:
             used = tables[name].groupBy(F.col(ref.column).alias("parent_key")).agg(
                 F.count(F.lit(1)).alias("row_count")
             )
-            moved = pairs.where("_old <> _new")
-            parts.append(
-                used.join(moved, F.col("parent_key") == F.col("_old"), "left_semi").select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(ref.column).alias("column_name"),
-                    F.col("parent_key").cast("bigint").alias("parent_key"),
-                    "row_count",
-                )
-            )
-    if parts:
-        return KeyChange(changed, reduce(DataFrame.unionByName, parts))
-    empty = tables[root].sparkSession.createDataFrame(
-        [], "table_name string, column_name string, parent_key bigint, row_count bigint"
-    )
-    return KeyChange(changed, empty)
+            held = used.join(moved, F.col("parent_key") == F.col("_old"), "left_semi")
+            parts.append(_blocker(name, ref.column, held))
+    return KeyChange(changed, reduce(DataFrame.unionByName, parts))

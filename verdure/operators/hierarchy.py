@@ -8,11 +8,42 @@ from pyspark.sql import functions as F
 from verdure.sources.lineage import cut_lineage
 
 
+def ancestry(
+    nodes: DataFrame, keys: DataFrame, key: str = "id", parent: str = "id_parent"
+) -> DataFrame:
+    """The nodes of the one-column ``keys`` and all their ancestors.
+
+    Each round looks up the parents met last, so it takes as many rounds as the
+    deepest key has levels, and only ancestors are written.
+    """
+    wanted = keys.toDF("_wanted").distinct()
+    found = None
+    while True:
+        step = cut_lineage(nodes.join(wanted, F.col(key) == F.col("_wanted"), "left_semi"))
+        if step.isEmpty():
+            return step if found is None else found
+        found = step if found is None else found.unionByName(step)
+        known = found.select(F.col(key).alias("_known"))
+        wanted = (
+            step.select(F.col(parent).alias("_wanted"))
+            .where("_wanted IS NOT NULL")
+            .distinct()
+            .join(known, F.col("_wanted") == F.col("_known"), "left_anti")
+        )
+
+
 def full_names(
-    nodes: DataFrame, key: str = "id", parent: str = "id_parent", name: str = "name"
+    nodes: DataFrame,
+    key: str = "id",
+    parent: str = "id_parent",
+    name: str = "name",
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """``(id, fullname)`` for every node of a forest, any depth.
 
+    With ``keys``, a table of one column, only for those nodes; then nothing
+    but they and their ancestors is worked on.
+
     A root's full name is empty; below it every level adds a blank and its
     name. Nodes that no root reaches (a missing parent, a cycle) get NULL.
 
@@ -23,6 +54,9 @@ def full_names(
     written again. A round that closes no node has met nothing but cycles.
     Duplicate rows count once.
     """
+    if keys is not None:
+        names = full_names(ancestry(nodes, keys, key, parent), key, parent, name)
+        return names.join(keys.toDF("_key").distinct(), F.col("id") == F.col("_key"), "left_semi")
     start = (
         nodes.select(
             F.col(key).alias("id"), F.col(parent).alias("anchor"), F.col(name).alias("name")

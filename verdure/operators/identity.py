@@ -40,7 +40,11 @@ def assign_ids(
     )
     part = F.shiftright(_SLOT, 33)
     place = F.col(_SLOT).bitwiseAND((1 << 33) - 1)
-    sizes = slotted.groupBy(part.alias("_part")).agg((F.max(place) + 1).alias("_rows"))
+    rows, last = F.count(F.lit(1)), F.max(place) + 1
+    too_many = F.raise_error(F.lit("a range has more rows than a slot number can hold"))
+    sizes = slotted.groupBy(part.alias("_part")).agg(
+        F.when(rows == last, last).otherwise(too_many.cast("bigint")).alias("_rows")
+    )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")

@@ -172,20 +172,28 @@ def count_unique_violations(df: DataFrame, relation: Relation) -> list[DataFrame
 
 
 def count_orphans(tables: Mapping[str, DataFrame], relation: Relation) -> list[DataFrame]:
-    return [
-        _summary(
-            relation.name,
-            f"foreign_key:{ref.column}->{ref.parent}",
-            orphan_keys(tables[relation.name], ref, tables[ref.parent]),
-            F.sum("row_count"),
-        )
-        for ref in relation.references
-        if ref.parent in tables
-    ]
+    """Rows per reference that point nowhere; NULL where the parent table is not given."""
+    child, counted = tables[relation.name], []
+    for ref in relation.references:
+        rule = f"foreign_key:{ref.column}->{ref.parent}"
+        if ref.parent in tables:
+            orphans = orphan_keys(child, ref, tables[ref.parent])
+            counted.append(_summary(relation.name, rule, orphans, F.sum("row_count")))
+        else:
+            unknown = child.sparkSession.range(1).select(
+                F.lit(relation.name).alias("table_name"),
+                F.lit(rule).alias("rule"),
+                F.lit(None).cast("bigint").alias("violations"),
+            )
+            counted.append(unknown)
+    return counted
 
 
 def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> DataFrame:
-    """``table_name, rule, violations`` for every declared rule of the given tables."""
+    """``table_name, rule, violations`` for every declared rule of the given tables.
+
+    A reference whose parent is not among them has NULL violations: not checked.
+    """
     parts = []
     for name, df in tables.items():
         relation = CATALOG[name]

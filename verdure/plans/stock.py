@@ -34,7 +34,11 @@ def available_stock(tables: Tables, trust_orders: bool = False) -> DataFrame:
     return (
         lots.unionByName(sold)
         .groupBy("id_flower")
-        .agg(F.sum("ready").alias("ready"), F.sum("sold").alias("sold"))
+        .agg(
+            # Lots or lines without any amount count as none.
+            F.coalesce(F.sum("ready"), F.lit(0)).alias("ready"),
+            F.coalesce(F.sum("sold"), F.lit(0)).alias("sold"),
+        )
         .withColumn("available", F.col("ready") - F.col("sold"))
     )
 

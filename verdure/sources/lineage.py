@@ -16,13 +16,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder:
+        return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"{SETTING} must name a folder that all executors share")
-    folder = context.getCheckpointDir()
-    if folder is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="verdure-"))
-        folder = context.getCheckpointDir()
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="verdure-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -36,7 +36,8 @@ SCHEMAS = {
 
 ORDERS_AS_OF = "2001-08-01"
 EVENTS_AS_OF = "2024-01-15"
-LINES_PER_ORDER = 8  # line numbers run from 1 to 7
+# A line's id holds its order key above this many bits and its line number below.
+LINE_BITS = 20
 
 
 def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,30 +45,40 @@ def read_star(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def line_id(order: str = "l_orderkey", line: str = "l_linenumber") -> Column:
-    return F.col(order) * LINES_PER_ORDER + F.col(line)
-
-
-def order_of_line(line: str = "id") -> Column:
-    return F.expr(f"{line} div {LINES_PER_ORDER}")
+    """Id of a line; fails the job where a number does not fit its bits."""
+    fits = (
+        F.col(line).between(0, (1 << LINE_BITS) - 1)
+        & F.col(order).between(0, (1 << 63 - LINE_BITS) - 1)
+    )
+    packed = F.col(order) * (1 << LINE_BITS) + F.col(line)
+    refused = F.raise_error(F.concat_ws(" ", F.lit("no line id for"), order, line))
+    absent = F.col(order).isNull() | F.col(line).isNull()
+    return F.when(fits | absent, packed).otherwise(refused.cast("bigint"))
 
 
 def order_lines(lineitem: DataFrame) -> DataFrame:
     """``sale_detail``: one row per order key and line number."""
     return (
-        lineitem.groupBy(line_id().alias("id"))
+        lineitem.groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.min("l_partkey").alias("id_flower"),
             F.min("l_quantity").cast("int").alias("amount"),
         )
-        .select("id", order_of_line().alias("id_sale"), "id_flower", "amount")
+        .select(line_id().alias("id"), F.col("l_orderkey").alias("id_sale"), "id_flower", "amount")
     )
 
 
 def lots_of_lines(lineitem: DataFrame) -> DataFrame:
     """``sale_flower``: units per line and supplier."""
-    return lineitem.groupBy(
-        line_id().alias("id_sale_detail"), F.col("l_suppkey").alias("id_flower_warehouse")
-    ).agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("amount"))
+    return (
+        lineitem.groupBy("l_orderkey", "l_linenumber", "l_suppkey")
+        .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("amount"))
+        .select(
+            line_id().alias("id_sale_detail"),
+            F.col("l_suppkey").alias("id_flower_warehouse"),
+            "amount",
+        )
+    )
 
 
 def priced_lots(supplier: DataFrame) -> DataFrame:
@@ -77,6 +88,10 @@ def priced_lots(supplier: DataFrame) -> DataFrame:
         F.abs(F.col("s_acctbal").cast(MONEY)).cast(MONEY).alias("cost"),
         F.expr("nullif(s_suppkey % 10, 9)").alias("id_greenhouse"),
         (F.col("s_suppkey") * 20).alias("id_flower"),
+        (F.col("s_suppkey") % 5 != 0).alias("ready_to_sale"),
+        F.lit("2001-01-01").cast("date").alias("date"),
+        (F.col("s_suppkey") % 50).cast("int").alias("amount"),
+        F.lit(None).cast("string").alias("notes"),
     )
 
 
@@ -205,9 +220,38 @@ class DerivedTables(Mapping):
         return len(self._builders)
 
 
-def sales_tables(spark: SparkSession, folder: str) -> DerivedTables:
-    """Tables of the sales and order reports; lots carry prices."""
-    read = cache(partial(read_star, spark, folder))
+def _lines_of(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rows of ``lineitem`` of some orders, before anything is grouped.
+
+    Spark moves such a join below a grouping only where it can broadcast.
+    """
+    keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    return lineitem.join(keys, "l_orderkey", "left_semi")
+
+
+def sales_tables(
+    spark: SparkSession, folder: str, order: int | None = None, bought_since: str | None = None
+) -> DerivedTables:
+    """Tables of the sales and order reports; lots carry prices.
+
+    ``order`` leaves one order and its lines, ``bought_since`` the orders from
+    that date on and their lines. Either cuts the lines at their scan or before
+    their first shuffle; a report with a window takes the window's first day.
+    """
+    read_all = cache(partial(read_star, spark, folder))
+
+    def read(name: str) -> DataFrame:
+        rows = read_all(name)
+        if name == "orders" and order is not None:
+            rows = rows.where(F.col("o_orderkey") == order)
+        if name == "orders" and bought_since is not None:
+            rows = rows.where(F.col("o_orderdate") >= F.lit(bought_since).cast("timestamp_ntz"))
+        if name == "lineitem" and order is not None:
+            rows = rows.where(F.col("l_orderkey") == order)
+        if name == "lineitem" and bought_since is not None:
+            rows = _lines_of(rows, read("orders"))
+        return rows
+
     return DerivedTables(
         {
             "user": lambda: clients(read("customer"), read("nation")),
@@ -237,9 +281,8 @@ def stock_tables(spark: SparkSession, folder: str, sold_before: str | None = Non
         return F.lit(sold_before).cast("timestamp_ntz")
 
     def new_lines() -> DataFrame:
-        later = sales(read("orders")).where(F.col("buy_date") >= cutoff())
-        orders = later.select(F.col("id").alias("id_sale"))
-        return order_lines(read("lineitem")).join(orders, "id_sale", "left_semi")
+        later = read("orders").where(F.col("o_orderdate") >= cutoff())
+        return order_lines(_lines_of(read("lineitem"), later))
 
     builders = {
         "flower": lambda: products(read("part")),
@@ -276,6 +319,7 @@ def flawed_tables(spark: SparkSession, folder: str) -> DerivedTables:
             "user": lambda: _flawed_clients(read("customer")),
             "adress_sale": lambda: order_addresses(read("nation")),
             "flower": lambda: products(read("part")),
+            "flower_warehouse": lambda: priced_lots(read("supplier")),
             "sale": lambda: _flawed_sales(read("orders")),
             "sale_detail": lambda: _flawed_lines(read("lineitem")),
             "sale_flower": lambda: _ungrouped_lots(read("lineitem")),

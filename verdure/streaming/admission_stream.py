@@ -84,7 +84,14 @@ def admission_stream(
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataStreamWriter:
-    """Writer that admits a stream of lines; set a trigger and start it."""
+    """Writer that admits a stream of lines; set a trigger and start it.
+
+    The opening stock is worked out and written here, once; the batches read it.
+    """
+    opening = stock.groupBy("id_flower").agg(
+        F.sum(F.col("available").cast("bigint")).alias("available")
+    )
+    stock = cut_lineage(opening)
     return lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         admit_batch(stock, folder, prepare)
     )
