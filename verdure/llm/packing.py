@@ -23,6 +23,7 @@ rows and NULL ids are documents like others; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,8 +41,8 @@ SEPARATOR = 0
 NODES = 20_000
 #: Fillings that are looked at around one piece before the search moves on.
 FILLINGS = 400
-#: Words whose ids a task remembers.
-HELD_WORDS = 1 << 17
+#: Words whose ids a worker remembers: about 250 MB.
+HELD_WORDS = 1_500_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
 Packing = list[tuple[Filling, int]]  # a filling and the number of sequences that have it
@@ -197,31 +198,84 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     return best
 
 
+# Letters whose case and form never depend on their neighbours, and lines of them and ASCII.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f"
+_PLAIN = re.compile(f"[\t\n\r\x20-\x7e{_LETTERS}]*")
+# How the vocabulary splits text, for such lines in lower case.
+_SPLIT = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\\sa-z0-9{_LETTERS}]+"
+)
+
+
 class WordIds:
     """Token ids of texts through a memory of the ids of words.
 
-    The vocabulary's rules never look across a blank or a line end, so a text's
-    ids are those of its pieces between them, one after the other.
+    The vocabulary splits a text into words, single digits and marks before it
+    encodes, and never looks across a line end. Lines of plain letters and ASCII
+    are split here and looked up; new words are encoded many at a time, where
+    each gives ids of which only the last ends a word. Other lines, and those
+    that may name a special token, are encoded as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.held: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+
+    def _one(self, piece: str) -> bytes:
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _add(self, new: list[str]) -> None:
+        for at in range(0, len(new), 256):
+            part = new[at : at + 256]
+            made = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(made[0].ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                raw, start = ids.tobytes(), 0
+                for word, stop in zip(part, (stops * 4).tolist(), strict=True):
+                    self.words[word] = raw[start:stop]
+                    start = stop
+            else:
+                for word in part:
+                    self.words[word] = self._one(word)
+
+    def _lines(self, text: str) -> list[tuple[bool, str]]:
+        """Parts of the text and whether they are plain."""
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return [(True, text)]
+        lines = text.split("\n")
+        return [(bool(_PLAIN.fullmatch(x)) and "<|" not in x, x) for x in lines]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        held = self.held
-        new = list({w for p in pieces for w in p if w not in held})
-        if len(held) + len(new) > HELD_WORDS:
-            held.clear()
-            new = list({w for p in pieces for w in p})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, made in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                held[word] = np.array(made.ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join([held[w] for w in p]), dtype="<u4") for p in pieces]
+        if len(self.words) > HELD_WORDS:
+            self.words.clear()
+        held, split = self.words.get, _SPLIT.findall
+        found: list[list] = []  # per text: ids, or words where some are new
+        late = []
+        for text in texts:
+            parts = []
+            for plain, line in self._lines(text):
+                if not plain:
+                    parts.append(self._one(line))
+                    continue
+                words = split(line.lower())
+                ids = list(map(held, words))
+                if None in ids:
+                    late.append((parts, len(parts), words))
+                    parts.append([w for w, f in zip(words, ids, strict=True) if f is None])
+                else:
+                    parts.append(b"".join(ids))
+            found.append(parts)
+        self._add(list({w for parts, k, _ in late for w in parts[k]}))
+        for parts, k, words in late:
+            parts[k] = b"".join(map(held, words))
+        return [np.frombuffer(b"".join(parts), dtype="<u4") for parts in found]
 
 
 _READY: dict[str, WordIds] = {}
@@ -229,7 +283,9 @@ _READY: dict[str, WordIds] = {}
 
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _READY.setdefault(path, WordIds(path)) if path not in _READY else _READY[path]
+        if path not in _READY:
+            _READY[path] = WordIds(path)
+        words = _READY[path]
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
