@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from verdure.llm import (
     decontamination,
     near_duplicates,
@@ -16,6 +16,7 @@ from verdure.llm import (
     packing,
     personal_data,
     quality,
+    statements,
     substrings,
     token_counts,
     toxicity,
@@ -94,4 +95,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return statements.statements()
