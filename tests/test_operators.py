@@ -208,3 +208,13 @@ def test_names_of_chosen_nodes(spark):
     assert found == {3: " b c", 1: "", 5: None, 6: None}
     touched = {r.id for r in ancestry(nodes, keys.where("k = 3")).collect()}
     assert touched == {1, 2, 3}
+
+
+def test_running_total_of_one_key_with_ids_far_apart(spark):
+    step = 1 << 41
+    rows = spark.range(0, 3000).select(
+        F.lit(7).alias("k"), (F.col("id") * step).alias("id"), F.lit(2).alias("v")
+    )
+    found = running_total(rows, "k", "id", "v", "total", block_bits=20)
+    assert found.where(F.col("total") != (F.col("id") / step + 1) * 2).count() == 0
+    assert found.count() == 3000

@@ -18,6 +18,12 @@ def extreme_rows(df: DataFrame, value: str, highest: bool) -> DataFrame:
     return df.where(F.col(value) == df.agg(pick(value).alias("extreme")).scalar())
 
 
+def _earlier(totals: DataFrame, keys: list[str], order: str, into: str) -> DataFrame:
+    """``_sum`` replaced by the sum of the rows before, per ``keys``."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn(into, F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+
+
 def running_total(
     df: DataFrame,
     key: str,
@@ -32,7 +38,9 @@ def running_total(
     ``order`` is cut into blocks of ``2 ** block_bits`` numbers. It is unique, so
     a block of a key holds at most as many rows even if the key owns most of the
     table. Sums run inside the blocks; the block totals, formed before the
-    shuffle, supply what came earlier.
+    shuffle, supply what came earlier. Numbers that lie far apart give a key as
+    many blocks as rows, so the totals are cut into blocks of blocks in the same
+    way; of those a key has no more than 64-bit numbers have at that width.
 
     ``per_key`` holds at most one row per key; its other columns are attached
     to the rows on the way, with the block totals, so the rows are not
@@ -40,18 +48,31 @@ def running_total(
     """
     rows = df.withColumn("_block", F.shiftright(order, block_bits))
     totals = rows.groupBy(key, "_block").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
-        F.col(key).alias("_key"),
-        F.col("_block").alias("_key_block"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+    totals = totals.withColumn("_group", F.shiftright("_block", block_bits))
+    groups = _earlier(
+        totals.groupBy(F.col(key).alias("_key"), F.col("_group").alias("_of")).agg(
+            F.sum("_sum").alias("_sum")
+        ),
+        ["_key"],
+        "_of",
+        "_before_group",
     )
     if per_key is not None:
         attached = per_key.withColumnRenamed(key, "_attached_key")
         same_key = F.col("_key") == F.col("_attached_key")
-        offsets = offsets.join(attached, same_key, "left").drop("_attached_key")
+        groups = groups.join(attached, same_key, "left").drop("_attached_key")
+    same_group = (F.col("_block_key") == F.col("_key")) & (F.col("_group") == F.col("_of"))
+    blocks = _earlier(
+        totals.withColumnRenamed(key, "_block_key").withColumnRenamed("_block", "_key_block"),
+        ["_block_key", "_group"],
+        "_key_block",
+        "_before_block",
+    )
+    offsets = (
+        blocks.join(groups, same_group)
+        .withColumn("_before", F.col("_before_block") + F.col("_before_group"))
+        .drop("_block_key", "_group", "_of", "_before_block", "_before_group")
+    )
     inside = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
