@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from verdure.llm.graph import components
 from verdure.llm.words import mix, shingle_sets, signed, split_words, text_chunks
 from verdure.operators.identity import assign_ids
+from verdure.operators.joins import join_by_key
 from verdure.sources.lineage import cut_lineage
 
 WIDTH = 4
@@ -136,8 +137,13 @@ def neighbours(classes: DataFrame) -> DataFrame:
         F.expr(f"substring(labels, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("label"),
     )
     rows = rows.withColumn("region", F.xxhash64("tree", F.substring("label", 1, 4 * LEAST)))
-    shared = rows.groupBy("region").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return rows.join(shared, "region")
+    shared = (
+        rows.groupBy(F.col("region").alias("_region"))
+        .agg(F.count(F.lit(1)).alias("members"))
+        .where("members > 1")
+    )
+    # A region of near copies may hold a large share of the rows.
+    return join_by_key(rows, "region", shared, "_region", "inner", salt_from=["id"]).drop("_region")
 
 
 def candidate_pairs(members: DataFrame) -> DataFrame:
@@ -213,9 +219,9 @@ def _pivot_pairs(crowded: DataFrame, links: DataFrame, labels: DataFrame) -> Dat
     )
     pivot = rows.groupBy("region").agg(
         F.max(F.struct("degree", -F.col("id"), "id", "text_key", "component")).alias("p")
-    ).select("region", "p")
+    ).select(F.col("region").alias("_region"), "p")
     return (
-        rows.join(pivot, "region")
+        join_by_key(rows, "region", pivot, "_region", "inner", salt_from=["id"])
         .where("component <> p.component")
         .select(
             F.least("id", "p.id").alias("a"),
@@ -275,8 +281,12 @@ def near_duplicates(
         links = links.union(found)
         labels = components(links)
 
-    classes = owners.select("set_a", "set_b", "n_shingles", F.col("own.id").alias("owner"))
-    rows = described.drop("labels").join(classes, ["set_a", "set_b", "n_shingles"], "left")
+    same_set = F.struct("set_a", "set_b", "n_shingles")
+    classes = owners.select(same_set.alias("_set"), F.col("own.id").alias("owner"))
+    # Copies of one text may hold a large share of the rows.
+    rows = join_by_key(
+        described.drop("labels").withColumn("set", same_set), "set", classes, "_set", "left", ["id"]
+    )
     rows = cut_lineage(rows.select("id", "text_key", "n_shingles", F.coalesce("owner", "id").alias("owner")))
     # A doc_id whose rows have different texts ties their classes together.
     several = rows.where("n_shingles > 0").groupBy("id").agg(
