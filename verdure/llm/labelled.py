@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +27,12 @@ class Sample:
     sizes: tuple[int, int]
 
 
-def labelled_sample(
+def sample_rows(
     documents: DataFrame, labels: DataFrame, column: str, bound: int = SAMPLE
-) -> Sample:
-    """At most ``bound`` documents of each label, picked by a hash of their id.
+) -> tuple[DataFrame, tuple[int, int]]:
+    """``doc_id, text, label`` of the sample, and the sizes of both classes.
+
+    At most ``bound`` documents of each label, picked by a hash of their id.
 
     NULL labels are no labels; of repeated labels of one document the largest
     counts. Only ids travel before the bound is met, and at most ``2 * bound``
@@ -50,13 +55,34 @@ def labelled_sample(
     rows = (
         documents.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-        .groupBy("_id")
+        .groupBy("doc_id")
         .agg(F.max("text").alias("text"), F.first("label").alias("label"))
-        .collect()
-    )
-    rows.sort(key=lambda r: r["_id"])
-    return Sample(
-        [r["text"] or "" for r in rows],
-        [r["label"] for r in rows],
-        (counts.get(0, 0), counts.get(1, 0)),
     )
+    return rows, (counts.get(0, 0), counts.get(1, 0))
+
+
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, column: str, bound: int = SAMPLE
+) -> Sample:
+    """The sample on the driver."""
+    rows, sizes = sample_rows(documents, labels, column, bound)
+    return _sample([(r["doc_id"], r["text"], r["label"]) for r in rows.collect()], sizes)
+
+
+def _sample(rows: list[tuple], sizes: tuple[int, int]) -> Sample:
+    rows = sorted(rows, key=lambda r: r[0])
+    return Sample([r[1] or "" for r in rows], [r[2] for r in rows], sizes)
+
+
+def fitted(rows: DataFrame, sizes: tuple[int, int], train: Callable[[Sample], object]) -> object:
+    """The model that ``train`` makes of the sample, in one task; only it comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        model = pickle.dumps(train(_sample(held, sizes)))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+
+    made = rows.select("doc_id", "text", "label").repartition(1).mapInArrow(run, "model binary")
+    row = made.first()
+    # Spark plans no task for an empty sample.
+    return train(_sample([], sizes)) if row is None else pickle.loads(row["model"])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdure.llm.labelled import SAMPLE, Sample, held_out, labelled_sample
+from verdure.llm.labelled import SAMPLE, Sample, fitted, held_out, sample_rows
 from verdure.llm.words import (
     byte_prefix,
     mix,
@@ -43,6 +43,8 @@ from verdure.llm.words import (
 THRESHOLD = 0.3
 SEQUENCE = 64
 BUCKETS = 1 << 20
+#: Bytes of text that are tagged together.
+CHUNK = 1 << 19
 _BEGINNINGS = (4, 5, 6, 7, 8, 9)
 _FEATURES = len(_BEGINNINGS) + 2
 #: A feature marks toxic words if this share of the documents that would have it in
@@ -131,12 +133,15 @@ def _arrays(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _sample_features(texts: list[str], step: int = 50) -> tuple[np.ndarray, np.ndarray]:
     """Word offsets and features of the sample, made in small parts."""
-    counts, tables = [np.zeros(1, dtype=np.int64)], [np.zeros((0, _FEATURES), dtype=np.int32)]
+    total = sum(len(split_words(*_arrays([text])).hashes) for text in texts)
+    first = np.zeros(len(texts) + 1, dtype=np.int64)
+    held = np.empty((total, _FEATURES), dtype=np.int32)
     for at in range(0, len(texts), step):
         words, table = token_features(*_arrays(texts[at : at + step]))
-        counts.append(np.diff(words.first))
-        tables.append(table)
-    return np.cumsum(np.concatenate(counts)), np.concatenate(tables)
+        begin = first[at]
+        first[at + 1 : at + 1 + len(words.first) - 1] = begin + words.first[1:]
+        held[begin : begin + len(table)] = table
+    return first, held
 
 
 def different(texts: list[str]) -> list[int]:
@@ -253,7 +258,14 @@ def train(sample: Sample, rounds: int = 8, batch: int = 1024, rate: float = 0.5)
             steps_seen += push**2
             steps += 0.2 * push / np.sqrt(steps_seen)
     tagger = Tagger(weights, steps, np.zeros(3))
-    rows = _statistics(marginals(first, table, tagger), first)
+    # Text by text in small parts, as the messages take several numbers per word.
+    parts = []
+    for at in range(0, len(labels), 100):
+        own = first[at : at + 101]
+        chance = marginals(own - own[0], table[own[0] : own[-1]], tagger)
+        parts.append(_statistics(chance, own - own[0]))
+    rows = np.concatenate(parts)
+    tagger.weights = weights.astype(np.float32)
     tagger.calibration = logistic(rows, labels, np.where(labels == 1, 1.0, ratio))
     return tagger
 
@@ -273,7 +285,7 @@ def _score(shared, floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger: Tagger = shared.value
         for batch in batches:
-            for row, end, data, offsets in text_chunks(batch.column("text")):
+            for row, end, data, offsets in text_chunks(batch.column("text"), CHUNK):
                 words, table = token_features(data, offsets)
                 chance = marginals(words.first, table, tagger)
                 rows = _statistics(chance, words.first)
@@ -307,7 +319,8 @@ def _score(shared, floor: float):
 
 
 def fit(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Tagger:
-    return train(labelled_sample(documents, labels, "toxic", bound))
+    rows, sizes = sample_rows(documents, labels, "toxic", bound)
+    return fitted(rows, sizes, train)
 
 
 def score_documents(documents: DataFrame, tagger: Tagger, floor: float = 0.5) -> DataFrame:
