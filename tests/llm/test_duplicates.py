@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import brute
 import cases
 import pytest
@@ -67,6 +69,30 @@ def test_a_star_of_copies_that_link_only_through_its_centre(spark):
     }
 
 
+def test_a_crowded_family_with_pairs_that_no_pivot_joins(spark):
+    # Two members have about 0.74 in common, each planted pair 0.81.
+    rng = random.Random(77)
+    base = cases.prose(31, 240)
+    slots = [4 * k + 1 for k in range(59)]
+
+    def changed(words, at, name):
+        new = list(words)
+        for k in at:
+            new[k] = f"{name}x{k}"
+        return new
+
+    family = [changed(base, rng.sample(slots, 5), f"m{i}") for i in range(1000)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(family)]
+    for i in range(30):
+        alone = [k for k in slots if family[i * 7][k] == base[k]]
+        rows.append((2000 + i, " ".join(changed(family[i * 7], rng.sample(alone, 6), f"p{i}"))))
+    expected = brute.near_duplicates(rows)
+    assert all(expected[2000 + i][1] == expected[i * 7][1] for i in range(30))
+    assert len({c for _, c in expected.values()}) > 700
+    found = near_duplicates.duplicate_report(cases.documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: c for i, (_, c) in expected.items()}
+
+
 def test_small_corpus_of_the_driver(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = cases.pairs(docs)

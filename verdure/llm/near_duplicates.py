@@ -11,12 +11,17 @@
    deeper prefixes meet.
 3. Candidates are confirmed on the full sets of the whole texts, the best of
    each document first; pairs that are connected by then need no look.
-4. Crowded regions, where not all members met, are finished through pivots: all
-   members that are not yet connected with the best linked member of the region
-   are held against it, until a round finds no new link.
-
-Groups are compared through neighbours and pivots, never in all pairs, and
-copies of one set, however many, count once.
+4. Crowded regions, where not all members met, are joined through pivots first:
+   all members that are not yet connected with the best linked member of the
+   region are held against it, until a round finds no new link.
+5. Then they are finished exactly: the shingles of each crowded member are
+   ordered by how few crowded members have them, and members of different
+   components that share a shingle of their prefixes are candidates. A pair that
+   is similar enough shares one that leaves room for its overlap in both sets
+   (prefix, length and position filter), so none is left out.
+
+Groups are compared through neighbours, pivots and rare shingles, never in all
+pairs, and copies of one set, however many, count once.
 
 Defined results: NULL, empty and blank texts have no shingles and no links. A
 ``doc_id`` is one vertex even if rows repeat it; NULL ids are vertices by text,
@@ -233,6 +238,123 @@ def _pivot_pairs(crowded: DataFrame, links: DataFrame, labels: DataFrame) -> Dat
     )
 
 
+def _shingle_rows(width: int):
+    """One row for each distinct shingle of each text, with the size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in text_chunks(batch.column(2)):
+                flat, bounds = shingle_sets(split_words(data, offsets, lower=True), width)
+                sizes = np.diff(bounds)
+                owner = pa.array(np.repeat(np.arange(row, end), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(owner),
+                        batch.column(1).take(owner),
+                        pa.array(np.repeat(sizes, sizes)),
+                        pa.array(signed(flat)),
+                    ],
+                    ["id", "text_key", "n", "shingle"],
+                )
+
+    return run
+
+
+def prefix_pairs(texts: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
+    """All pairs of ``texts`` (id, text_key, text) that may be similar and are not connected.
+
+    With the shingles of both sets in one order, rarest first, the first common
+    one of two sets with an overlap of ``o`` has ``o - 1`` others behind it in
+    each. The shorter set therefore shows it among its first ``n - o + 1`` for
+    the least ``o`` that two sets of its size need, the longer one for the least
+    that its own size needs. Shingles of one set only take places but no rows.
+    """
+    known = labels.select(F.col("node").alias("id"), "component")
+    owned = texts.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = cut_lineage(
+        texts.select("id", "text_key", "text").mapInArrow(
+            _shingle_rows(width), "id bigint, text_key bigint, n bigint, shingle bigint"
+        )
+    )
+    often = (
+        rows.groupBy(F.col("shingle").alias("_shingle"))
+        .agg(F.count(F.lit(1)).alias("often"))
+        .where("often > 1")
+    )
+    text = Window.partitionBy("id", "text_key")
+    shared = F.count(F.lit(1)).over(text)
+    rank = F.row_number().over(text.orderBy("often", "shingle"))
+    prefixes = (
+        # A shingle of a template stands in all its copies.
+        join_by_key(rows, "shingle", often, "_shingle", "inner", salt_from=["id"])
+        .select("id", "text_key", "n", "shingle", (F.col("n") - shared + rank - 1).alias("place"))
+        .where(F.col("place") * 100 <= F.col("n") * (100 - percent))
+        .withColumn("short", F.col("place") * (100 + percent) <= F.col("n") * (100 - percent))
+        .join(owned.select("id", "text_key", "component"), ["id", "text_key"])
+    )
+    prefixes = cut_lineage(prefixes)
+    # Members of one component need no look: the largest one of each shingle does not meet itself.
+    homes = (
+        prefixes.groupBy("shingle", "component")
+        .agg(F.count(F.lit(1)).alias("held"), F.max("short").alias("short"))
+        .groupBy(F.col("shingle").alias("_shingle"))
+        .agg(
+            F.max(F.struct("held", "component"))["component"].alias("home"),
+            F.count(F.lit(1)).alias("kinds"),
+            F.max("short").alias("met"),
+        )
+        .where("kinds > 1 AND met")
+        .select("_shingle", "home")
+    )
+    spread = cut_lineage(
+        join_by_key(prefixes, "shingle", homes, "_shingle", "inner", salt_from=["id"])
+        .withColumn("away", F.col("component") != F.col("home"))
+        .drop("_shingle", "home")
+    )
+    names = ["id", "text_key", "n", "place", "component", "away"]
+    x = spread.where("short").select("shingle", *[F.col(c).alias(f"x_{c}") for c in names])
+    y = spread.select("shingle", *[F.col(c).alias(f"y_{c}") for c in names])
+    room = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    fits = (
+        (F.struct("x_n", "x_id", "x_text_key") < F.struct("y_n", "y_id", "y_text_key"))
+        & (F.col("x_component") != F.col("y_component"))
+        & ((F.col("x_n") + F.col("y_n")) * percent <= room * (100 + percent))
+    )
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.withColumnRenamed("shingle", "_s").join(y, (F.col("_s") == F.col("shingle")) & fits)
+
+    both = met(x.where("x_away"), y).unionByName(met(x.where("NOT x_away"), y.where("y_away")))
+    less = F.col("x_id") < F.col("y_id")
+
+    def ends(first: str, second: str, a: str, b: str) -> list[Column]:
+        return [
+            F.when(less, F.col(first + c)).otherwise(F.col(second + c)).alias(n)
+            for c, n in (("id", a), ("text_key", b))
+        ]
+
+    return (
+        both.select(*ends("x_", "y_", "a", "a_key"), *ends("y_", "x_", "b", "b_key"))
+        .groupBy("a", "a_key", "b", "b_key")
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+
+
+def _linked(
+    pairs: DataFrame, texts: DataFrame, links: DataFrame | None, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links with those that ``pairs`` confirm, and components: two candidates of each document first."""
+    best = Window.partitionBy("b").orderBy(F.desc("weight"), "a", "a_key", "b_key")
+    ranked = cut_lineage(pairs.withColumn("_rank", F.row_number().over(best)))
+    found = cut_lineage(_confirmed(ranked.where("_rank <= 2"), texts, width, percent))
+    links = found if links is None else links.union(found)
+    labels = components(links)
+    rest = _apart(ranked.where("_rank > 2"), labels)
+    more = cut_lineage(_confirmed(rest, texts, width, percent))
+    links = links.union(more)
+    return links, components(links)
+
+
 def near_duplicates(
     documents: DataFrame, width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
@@ -251,36 +373,35 @@ def near_duplicates(
     owners = cut_lineage(owners)
     members = cut_lineage(neighbours(owners.select("own.*")))
     pairs = cut_lineage(candidate_pairs(members.drop("members")))
+    crowded = members.where(F.col("members") > NEIGHBOURS + 1).select("region", "id", "text_key")
     involved = pairs.select(F.col("a").alias("id"), F.col("a_key").alias("text_key")).union(
         pairs.select("b", "b_key")
-    ).distinct()
+    ).union(crowded.select("id", "text_key")).distinct()
     texts = cut_lineage(keyed.join(involved, ["id", "text_key"]).dropDuplicates(["id", "text_key"]))
 
-    # The best candidates of each document first: two at most.
-    best = Window.partitionBy("b").orderBy(F.desc("weight"), "a")
-    ranked = cut_lineage(pairs.withColumn("_rank", F.row_number().over(best)))
-    links = cut_lineage(_confirmed(ranked.where("_rank <= 2"), texts, width, percent))
-    labels = components(links)
-    rest = _apart(ranked.where("_rank > 2"), labels)
-    more = cut_lineage(_confirmed(rest, texts, width, percent))
-    links = links.union(more)
-    labels = components(links)
+    links, labels = _linked(pairs, texts, None, width, percent)
 
-    crowded = members.where(F.col("members") > NEIGHBOURS + 1).select("region", "id", "text_key")
-    tried = pairs.select("a", "b")
+    tried = pairs.select("a", "a_key", "b", "b_key")
     while True:
         asked = cut_lineage(
-            _pivot_pairs(crowded, links, labels).join(tried, ["a", "b"], "left_anti")
+            _pivot_pairs(crowded, links, labels).join(tried, ["a", "a_key", "b", "b_key"], "left_anti")
         )
         if asked.isEmpty():
             break
-        tried = tried.union(asked.select("a", "b"))
+        tried = tried.union(asked.select("a", "a_key", "b", "b_key"))
         found = cut_lineage(_confirmed(asked, texts, width, percent))
         if found.isEmpty():
             break
         links = links.union(found)
         labels = components(links)
 
+    finishing = texts.join(crowded.select("id", "text_key").distinct(), ["id", "text_key"])
+    asked = cut_lineage(
+        prefix_pairs(finishing, labels, width, percent).join(tried, ["a", "a_key", "b", "b_key"], "left_anti")
+    )
+    if not asked.isEmpty():
+        links, labels = _linked(asked, texts, links, width, percent)
+
     same_set = F.struct("set_a", "set_b", "n_shingles")
     classes = owners.select(same_set.alias("_set"), F.col("own.id").alias("owner"))
     # Copies of one text may hold a large share of the rows.
