@@ -88,6 +88,26 @@ def test_words_that_disclose_an_entity(spark):
         assert ("[TERM]" in r.text and "[EMAIL]" in r.text) == (r.doc_id >= 40)
 
 
+@pytest.mark.parametrize("sent", [personal_data.SENT_WORDS, 0])
+def test_disclosing_words_go_everywhere(spark, monkeypatch, sent):
+    monkeypatch.setattr(personal_data, "SENT_WORDS", sent)
+    rows = [*_disclosing_rows(), *((i, " ".join(cases.prose(i, 100))) for i in range(200, 500))]
+    # Far from the address in its documents; alone in others.
+    rows = [(i, f"{t} {' '.join(cases.prose(1000 + i, 5))} Lampwick" if 40 <= i < 48 else t) for i, t in rows]
+    for i in range(48, 51):
+        rows.append((i, " ".join([*cases.prose(i, 12), "quillfeather", *cases.prose(900 + i, 12), "Lampwick;", "Quillfeather"])))
+    rows.append((None, "Quillfeather"))
+    docs = cases.documents(spark, [*rows, rows[-1], (600, None)])
+    found = {r.doc_id: r.spans for r in personal_data.personal_data_report(docs).collect()}
+    for i, text in rows:
+        for m in re.finditer("quillfeather|lampwick", text.lower()):
+            assert f"term:{m.start()}:{m.end()}" in found[i]
+    clean = {r.doc_id: r.text for r in personal_data.sanitise(docs).collect()}
+    assert not any(re.search("quillfeather|lampwick", (t or "").lower()) for t in clean.values())
+    assert clean[None] == "[TERM]" and clean[600] is None
+    assert all((("[TERM]" in (t or "")) == (i is None or 40 <= i < 51)) for i, t in clean.items())
+
+
 def test_copies_of_one_text_are_no_evidence(spark):
     text = " ".join([*cases.prose(1, 20), "Rareword", "x@y.org"])
     docs = cases.documents(spark, [(i, text) for i in range(50)] + [(99, None)])

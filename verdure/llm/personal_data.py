@@ -1,18 +1,20 @@
 """Personal data by pattern, and terms that disclose it by co-occurrence.
 
 Patterns find e-mail, IP, card and phone spans; each distinct value found is a
-protected entity. Words that stand near an entity may disclose it even when its
-own span is masked. Over the whole corpus the operator counts
+protected entity. Words that occur with an entity may disclose it even when its
+own span is masked. Over the whole corpus the operator counts how often each
+word occurs at all, and how often with each entity, at two ranges:
 
-* how often each word occurs at all, and
-* how often it stands within ``REACH`` words of each entity, and in how many
-  different contexts, so that copies of a text are no evidence.
+* within ``REACH`` words of it, and in how many different contexts, so that
+  copies of a text are no evidence;
+* in the same document, and in how many different texts and contexts.
 
-A word discloses an entity if the entity is near in at least ``SHARE`` of all
-its occurrences, in at least ``CONTEXTS`` contexts, and if seeing the word tells
-at least ``BITS`` bits about the entity (pointwise mutual information). Such
-words are spans of kind ``term`` where they stand near that entity. Sanitising
-replaces every span by the name of its kind, the most general value.
+A word discloses an entity if, at either range, at least ``SHARE`` of all its
+occurrences are with the entity, in at least ``CONTEXTS`` contexts, and if
+seeing the word tells at least ``BITS`` bits about the entity (pointwise mutual
+information). All occurrences of such words, in all documents, are spans of kind
+``term``. Sanitising replaces every span by the name of its kind, the most
+general value.
 
 Defined results: NULL is an empty text; rows with the same id and text are
 found alike; offsets are code points, end exclusive; an empty table discloses
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdure.llm.words import signed, span_hashes, split_words, text_chunks
+from verdure.operators.joins import join_by_key
 from verdure.sources.lineage import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -41,6 +44,8 @@ SHARE = 0.5
 BITS = 4.0
 #: Distinct words that a task counts before it hands its counts on.
 HELD_WORDS = 1 << 20
+#: Disclosing words that are sent to the tasks; more are joined to the words of all texts.
+SENT_WORDS = 1 << 18
 
 # A match starts where a run of its first class starts, or where the last match ended;
 # from inside a run the same characters fail again. This keeps long runs linear.
@@ -96,8 +101,8 @@ def _entity(kind: int, value: str) -> int:
     return int(signed(split_words(data, np.array([0, len(raw)]), blank=no_blank).hashes)[0])
 
 
-def _near_words(text: str, spans: list[tuple[int, int, int]], reach: int):
-    """Words near the spans: dictionaries of word, entity, context, start, end."""
+def _split(text: str, spans: list[tuple[int, int, int]]):
+    """Words of ``text``, their starts and ends in code points, and which of them spans cover."""
     raw = text.encode()
     data = np.frombuffer(raw, dtype=np.uint8)
     words = split_words(data, np.array([0, len(raw)]), lower=True, blank=_NOT_WORD)
@@ -106,20 +111,29 @@ def _near_words(text: str, spans: list[tuple[int, int, int]], reach: int):
     covered = np.zeros(len(starts), dtype=bool)
     for _, begin, end in spans:
         covered[np.searchsorted(ends, begin, "right") : np.searchsorted(starts, end)] = True
+    return words, starts, ends, covered
+
+
+def _words_with(text: str, spans: list[tuple[int, int, int]], reach: int):
+    """Word, entity, context and start of words near the spans, word and context of all words, and the entities."""
+    words, starts, ends, covered = _split(text, spans)
     sums, places = words.prefix(), np.arange(len(starts))
-    context = span_hashes(sums, np.maximum(places - 2, 0), np.minimum(places + 3, len(places)))
-    out = set()
+    context = signed(span_hashes(sums, np.maximum(places - 2, 0), np.minimum(places + 3, len(places))))
+    hashes = signed(words.hashes)
+    near, entities = set(), set()
     for kind, begin, end in spans:
         entity = _entity(kind, text[begin:end])
+        entities.add(entity)
         lo = max(int(np.searchsorted(ends, begin, "right")) - reach, 0)
         hi = int(np.searchsorted(starts, end)) + reach
-        out |= {
-            (int(signed(words.hashes[i : i + 1])[0]), entity, int(signed(context[i : i + 1])[0]),
-             int(starts[i]), int(ends[i]))
+        near |= {
+            (int(hashes[i]), entity, int(context[i]), int(starts[i]))
             for i in range(lo, min(hi, len(starts)))
             if not covered[i]
         }
-    return [dict(zip(("word", "entity", "context", "start", "end"), x, strict=True)) for x in sorted(out)]
+    every = [{"word": w, "context": c} for w, c in zip(hashes[~covered].tolist(), context[~covered].tolist(), strict=True)]
+    names = ("word", "entity", "context", "start")
+    return [dict(zip(names, x, strict=True)) for x in sorted(near)], every, sorted(entities)
 
 
 _SPANS = T.ArrayType(
@@ -129,33 +143,82 @@ _SPANS = T.ArrayType(
 )
 _NEAR = T.ArrayType(
     T.StructType(
-        [T.StructField(n, T.LongType()) for n in ("word", "entity", "context")]
-        + [T.StructField(n, T.IntegerType()) for n in ("start", "end")]
+        [T.StructField(n, T.LongType()) for n in ("word", "entity", "context")] + [T.StructField("start", T.IntegerType())]
     )
 )
+_EVERY = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("word", "context")]))
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.int8()), ("start", pa.int32()), ("end", pa.int32())]))
 _ARROW_NEAR = pa.list_(
-    pa.struct([(n, pa.int64()) for n in ("word", "entity", "context")] + [(n, pa.int32()) for n in ("start", "end")])
+    pa.struct([(n, pa.int64()) for n in ("word", "entity", "context")] + [("start", pa.int32())])
 )
+_ARROW_EVERY = pa.list_(pa.struct([(n, pa.int64()) for n in ("word", "context")]))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]):
+    """Parts of batches with their texts and the spans of the patterns."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            yield part, texts, [base_spans(t) for t in texts]
+
+
+def _named(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"kind": k, "start": a, "end": b} for k, a, b in spans]
 
 
 def _find(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                spans = [base_spans(t) for t in texts]
-                near = [_near_words(t, s, reach) if s else [] for t, s in zip(texts, spans, strict=True)]
-                named = [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(named, _ARROW_SPANS), pa.array(near, _ARROW_NEAR)],
-                    ["doc_id", "text_key", "spans", "near"],
-                )
+        for part, texts, spans in _parts(batches):
+            met = [_words_with(t, s, reach) if s else ([], [], []) for t, s in zip(texts, spans, strict=True)]
+            near, every, entities = zip(*met, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1), pa.array(near, _ARROW_NEAR), pa.array(every, _ARROW_EVERY), pa.array(entities, pa.list_(pa.int64()))],
+                ["text_key", "near", "every", "entities"],
+            )
+
+    return run
+
+
+def _term_spans(sent: np.ndarray):
+    """Spans of the patterns, and of all words whose hashes are in ``sent`` (sorted)."""
+
+    def terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+        if not len(sent):
+            return []
+        words, starts, ends, covered = _split(text, spans)
+        hashes = signed(words.hashes)
+        at = np.minimum(np.searchsorted(sent, hashes), len(sent) - 1)
+        told = (sent[at] == hashes) & ~covered
+        kind = len(KINDS) - 1
+        return _named([(kind, a, b) for a, b in zip(starts[told].tolist(), ends[told].tolist(), strict=True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts, spans in _parts(batches):
+            added = [terms(t, s) for t, s in zip(texts, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([_named(s) for s in spans], _ARROW_SPANS), pa.array(added, _ARROW_SPANS)],
+                ["doc_id", "text_key", "spans", "terms"],
+            )
 
     return run
 
 
+def _word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each word outside the spans of the patterns."""
+    for part, texts, spans in _parts(batches):
+        for i, (text, own) in enumerate(zip(texts, spans, strict=True)):
+            words, starts, ends, covered = _split(text, own)
+            owner = pa.array(np.full(int((~covered).sum()), i))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(owner), part.column(1).take(owner), pa.array(signed(words.hashes)[~covered]),
+                    pa.array(starts[~covered], pa.int32()), pa.array(ends[~covered], pa.int32()),
+                ],
+                ["doc_id", "text_key", "word", "start", "end"],
+            )
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each word in the texts of a task, handed on when many are held."""
 
@@ -188,54 +251,94 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
+def _together(found: DataFrame, contexts: int) -> tuple[DataFrame, DataFrame]:
+    """``word, entity, together, contexts`` within documents, and ``entity, entity_n``.
+
+    Entities of fewer than ``contexts`` texts cannot be disclosed and are left out.
+    """
+    held = found.select("text_key", F.explode("entities").alias("entity")).distinct()
+    several = (
+        held.groupBy(F.col("entity").alias("_entity")).agg(F.count(F.lit(1)).alias("_texts"))
+        .where(F.col("_texts") >= contexts)
+    )
+    held = join_by_key(held, "entity", several, "_entity", "inner", ["text_key"]).select("text_key", "entity")
+    words = (
+        found.select("text_key", F.explode("every").alias("x"))
+        .groupBy("text_key", "x.word", "x.context")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    met = cut_lineage(words.join(held, "text_key"))
+    pairs = met.groupBy("word", "entity").agg(
+        F.sum("n").alias("together"),
+        F.least(F.count_distinct("context"), F.count_distinct("text_key")).alias("contexts"),
+    )
+    return pairs, met.groupBy("entity").agg(F.sum("n").alias("entity_n"))
+
+
 def disclosing_words(
-    documents: DataFrame, near: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS
+    documents: DataFrame, found: DataFrame, contexts: int = CONTEXTS, share: float = SHARE, bits: float = BITS
 ) -> DataFrame:
     """``word, entity`` where the word tells enough about the entity.
 
-    ``near``: one row per occurrence of a word near an entity. Counts are summed
-    in the tasks before they are shuffled.
+    ``found``: the words near entities, and all words and entities, of each row.
+    Counts are summed in the tasks before they are shuffled.
     """
+    near = found.select(F.explode("near").alias("x")).select("x.*")
     pairs = (
         near.groupBy("word", "entity", "context").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("word", "entity")
         .agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("contexts"))
-        .where(F.col("contexts") >= contexts)
     )
     counts = documents.select("text").mapInArrow(_count_words, "word bigint, n bigint")
-    totals = counts.groupBy("word").agg(F.sum("n").alias("occurrences"))
-    entities = near.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_n"))
+    totals = cut_lineage(counts.groupBy("word").agg(F.sum("n").alias("occurrences")))
     every = totals.agg(F.sum("occurrences").alias("all_words"))
     given = F.col("together") / F.col("occurrences")
     told = F.log2(given * F.col("all_words") / F.col("entity_n"))
-    return (
-        pairs.join(totals, "word")
-        .join(entities, "entity")
-        .withColumn("all_words", every.scalar())
-        .where((given >= share) & (told >= bits))
-        .select("word", "entity")
-    )
+
+    def telling(pairs: DataFrame, entities: DataFrame) -> DataFrame:
+        return (
+            pairs.where(F.col("contexts") >= contexts)
+            .join(totals, "word")
+            .join(entities, "entity")
+            .withColumn("all_words", every.scalar())
+            .where((given >= share) & (told >= bits))
+            .select("word", "entity")
+        )
+
+    close = telling(pairs, near.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_n")))
+    return close.union(telling(*_together(found, contexts))).distinct()
 
 
 def find_spans(documents: DataFrame, reach: int = REACH) -> DataFrame:
-    """``doc_id, text_key, spans, terms`` for every row: pattern spans and disclosing words."""
+    """``doc_id, text_key, spans, terms`` for every row: pattern spans and all disclosing words."""
     keyed = _keyed(documents)
+    key = [keyed.schema["doc_id"], keyed.schema["text_key"]]
     schema = T.StructType(
-        [keyed.schema["doc_id"], keyed.schema["text_key"], T.StructField("spans", _SPANS), T.StructField("near", _NEAR)]
+        [key[1], T.StructField("near", _NEAR), T.StructField("every", _EVERY), T.StructField("entities", T.ArrayType(T.LongType()))]
+    )
+    found = cut_lineage(keyed.mapInArrow(_find(reach), schema).where(F.size("entities") > 0))
+    disclosing = cut_lineage(disclosing_words(documents, found).select("word").distinct())
+    schema = T.StructType([*key, T.StructField("spans", _SPANS), T.StructField("terms", _SPANS)])
+    if disclosing.count() <= SENT_WORDS:
+        sent = np.sort(disclosing.toArrow().column("word").to_numpy())
+        return keyed.mapInArrow(_term_spans(sent), schema)
+    places = keyed.mapInArrow(
+        _word_places,
+        T.StructType(
+            [*key, T.StructField("word", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
+        ),
     )
-    found = cut_lineage(keyed.mapInArrow(_find(reach), schema))
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    disclosing = disclosing_words(documents, near)
+    term = F.struct(F.lit(len(KINDS) - 1).cast("tinyint").alias("kind"), "start", "end")
     added = (
-        near.join(disclosing, ["word", "entity"])
+        join_by_key(places, "word", disclosing.withColumnRenamed("word", "_word"), "_word", "inner", ["text_key", "start"])
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        .agg(F.collect_set(F.struct(F.lit(len(KINDS) - 1).cast("tinyint").alias("kind"), "start", "end")).alias("terms"))
+        .agg(F.collect_set(term).alias("added"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     return (
-        found.drop("near")
+        keyed.mapInArrow(_term_spans(np.zeros(0, np.int64)), schema)
         .join(added, same, "left")
-        .select("doc_id", "text_key", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
+        .select("doc_id", "text_key", "spans", F.coalesce("added", F.array().cast(_SPANS)).alias("terms"))
     )
 
 
