@@ -33,4 +33,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/verdure-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    state = df.sparkSession.read.schema(df.schema).parquet(path)
+    state.written_state = path
+    return state
+
+
+def drop_state(state: DataFrame) -> None:
+    """Delete the table behind a result of ``cut_lineage``; any other DataFrame stays as it is.
+
+    For loops whose next state is written: nothing may read this one any more,
+    not even to make up for a lost executor, so only drop what went into a
+    table that is written in full.
+    """
+    path = getattr(state, "written_state", None)
+    if path is None:
+        return
+    spark = state.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
