@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from verdure.llm import (
+    code_compression,
     decontamination,
+    fill_in_middle,
     near_duplicates,
     nearest,
     packing,
     personal_data,
     quality,
+    quality_rules,
     statements,
     substrings,
     token_counts,
@@ -78,6 +81,18 @@ def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def _fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle_report(table(spark, sf, "documents"))
+
+
+def _codes(spark: SparkSession, sf: str) -> DataFrame:
+    return code_compression.code_report(table(spark, sf, "embeddings"))
+
+
+def _rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.rules_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": _packing,
@@ -90,6 +105,9 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": _personal_data,
         "op9_warc": _archives,
         "op10_quality": _quality,
+        "op11_fill_in_middle": _fill_in_middle,
+        "op12_code_compression": _codes,
+        "op13_quality_rules": _rules,
         "pipeline": corpus_pipeline.run,
     }
 

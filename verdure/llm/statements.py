@@ -75,10 +75,70 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, known.digest AS payload_dige
 FROM known LEFT JOIN owner ON owner.digest = known.digest AND n >= 100"""
 
 
+FILL_IN_MIDDLE = """WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (
+    SELECT doc_id, text, u, len(u) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+        CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM doc),
+cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+part AS (
+    SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a+1:b], '') AS m,
+        array_to_string(u[b+1:n], '') AS s FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM part"""
+
+
+def _round(k: int, book: str) -> str:
+    """Codes by a codebook, and the codebook that they lead to."""
+    return f"""code{k} AS (
+    SELECT r, p, any_value(x) AS x, min(d * 64 + e) // 64 AS d, min(d * 64 + e) % 64 AS e FROM (
+        SELECT r, part.p, part.x, e, list_sum(list_transform(range(1, len(part.x) + 1),
+            i -> (part.x[i] - b.x[i]) * (part.x[i] - b.x[i]))) AS d
+        FROM part JOIN {book} b ON part.p = b.p) GROUP BY r, p),
+sum{k} AS (
+    SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM code{k}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL),
+mean{k} AS (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM sum{k} GROUP BY p, e),
+book{k} AS (
+    SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e)"""
+
+
+CODE_COMPRESSION = f"""WITH usable AS (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label,
+        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+part AS (
+    SELECT r, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM usable, unnest(range(16)) AS t(p)),
+start AS (SELECT p, r AS e, x FROM part WHERE r < 64),
+{_round(1, "start")},
+{_round(2, "book1")},
+{_round(3, "book2")},
+book AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2),
+found AS (
+    SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, sum(d) AS error
+    FROM code3 GROUP BY r)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error,
+    CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM usable JOIN found USING (r), book"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op3_substring_dedup": SUBSTRINGS,
         "op5_near_duplicates": NEAR_DUPLICATES,
         "op7_decontamination": DECONTAMINATION,
         "op9_warc": ARCHIVES,
+        "op11_fill_in_middle": FILL_IN_MIDDLE,
+        "op12_code_compression": CODE_COMPRESSION,
     }

@@ -106,11 +106,10 @@ def text_chunks(
         row = end
 
 
-def split_words(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = _BLANK
-) -> Words:
-    if lower:
-        data = _LOWER[data]
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the first word of each text."""
     inside = ~blank[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -120,8 +119,30 @@ def split_words(
     last = offsets[1:][offsets[1:] > 0] - 1
     finishes[last] = inside[last]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def split_words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = _BLANK
+) -> Words:
+    if lower:
+        data = _LOWER[data]
+    starts, ends, first = word_bounds(data, offsets, blank)
     hashes = span_hashes(_prefix(_BYTE_VALUE[data], 1), starts, ends, 1)
-    return Words(hashes, starts, ends, np.searchsorted(starts, offsets), data)
+    return Words(hashes, starts, ends, first, data)
+
+
+def exact_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers of the spans, equal where their bytes are equal, and how many there are."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64), 0
+    places, _ = ranges(starts, ends)
+    bounds = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
+    spans = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[places])]
+    )
+    coded = spans.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
 
 
 def word_text(words: Words, i: int) -> bytes:
