@@ -102,7 +102,7 @@ def _round(k: int, book: str) -> str:
     return f"""code{k} AS (
     SELECT r, p, any_value(x) AS x, min(d * 64 + e) // 64 AS d, min(d * 64 + e) % 64 AS e FROM (
         SELECT r, part.p, part.x, e, list_sum(list_transform(range(1, len(part.x) + 1),
-            i -> (part.x[i] - b.x[i]) * (part.x[i] - b.x[i]))) AS d
+            lambda i: (part.x[i] - b.x[i]) * (part.x[i] - b.x[i]))) AS d
         FROM part JOIN {book} b ON part.p = b.p) GROUP BY r, p),
 sum{k} AS (
     SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM code{k}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL),
@@ -114,9 +114,9 @@ book{k} AS (
 
 CODE_COMPRESSION = f"""WITH usable AS (
     SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label,
-        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings WHERE embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 part AS (
     SELECT r, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM usable, unnest(range(16)) AS t(p)),
 start AS (SELECT p, r AS e, x FROM part WHERE r < 64),
