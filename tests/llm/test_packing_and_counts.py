@@ -79,6 +79,34 @@ def test_a_spent_search_still_places_everything():
     assert _check(packing.complete(counts, 2048, nodes=0), counts, 2048) > 0
 
 
+def test_fewer_repetitions_are_tried():
+    """Using 6 + 4 as often as possible strands the 5s; the optimum takes it less often."""
+    for counts in ({6: 4, 4: 5, 5: 3, 3: 2}, {7: 3, 3: 5, 5: 4, 2: 3}, {60: 8, 40: 9, 33: 7, 27: 12}):
+        capacity = 100 if 60 in counts else 10
+        plain = _check(packing.best_fit_decreasing(counts, capacity), counts, capacity)
+        found = _check(packing.complete(counts, capacity), counts, capacity)
+        assert packing.lower_bound(counts, capacity) <= found <= plain
+
+
+def test_ids_equal_the_tokenizer_on_awkward_texts():
+    rng = random.Random(4)
+    parts = ["'s", "'", "''s", "a", "é", " ", "\n", "don't", "I'll", "'re ", "'v", "'ve", "9", "12", "!!", "'d'", "ÀÉ",
+             "X", "\t", "...'s", "<|", "€", "ß", "'LL", "'tis", "word", "\r\n"]
+    words, plain = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    for _ in range(1500):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        for text, ids in zip(texts, words.ids(texts), strict=True):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_the_memory_of_words_starts_anew(monkeypatch):
+    monkeypatch.setattr(packing, "HELD_WORDS", 50)
+    words, plain = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    for seed in range(6):
+        text = " ".join(cases.prose(seed, 200))
+        assert words.ids([text, text])[1].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_documents(spark):
     texts = [*cases.texts(), (70, "a<|endoftext|>b İ ǅ e\u0301 \u0301x\x1cy\u00a0z 's don't"), (None, "x"), (70, None)]
     docs = cases.documents(spark, texts)

@@ -9,9 +9,13 @@ as the counts allow.
 The search is bin completion: around the largest piece left it enumerates
 fillings that no other filling dominates, best fit first, and branches over
 them. A branch is cut when the waste so far already rules out fewer sequences
-than the incumbent. The first incumbent is best-fit decreasing. The search ends
-when the incumbent meets the lower bound, or after ``nodes`` steps, with the
-best packing found; every piece is placed in either case.
+than the incumbent. A filling is used as often as counts and bound allow, and on
+the way back for half as many sequences, and half of those. The first incumbent
+is best-fit decreasing. The search ends when the incumbent meets the lower
+bound, or after ``nodes`` steps, with the best packing found. Around one piece it
+looks at ``FILLINGS`` fillings at most, and at no more once it has ``PERFECT``
+and one of them leaves no room. So a packing above the bound may not be the
+smallest one, but every piece is placed in every case.
 
 The packing is turned into runs of ranks per length, at most ``capacity``
 decisions of fewer than 64 lengths each, and every piece finds its sequence by
@@ -26,13 +30,16 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdure.llm.words import ranges
 from verdure.operators.identity import assign_ids
 from verdure.sources.lineage import cut_lineage
 
@@ -41,8 +48,12 @@ SEPARATOR = 0
 NODES = 20_000
 #: Fillings that are looked at around one piece before the search moves on.
 FILLINGS = 400
+#: With so many undominated ones, one of them without waste, no more are looked for.
+PERFECT = 8
 #: Words whose ids a worker remembers: about 250 MB.
 HELD_WORDS = 1_500_000
+#: Bytes of text that are split at once; a longer text is taken whole.
+TEXT_BYTES = 2 << 20
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
 Packing = list[tuple[Filling, int]]  # a filling and the number of sequences that have it
@@ -124,7 +135,7 @@ def fillings(size: int, counts: np.ndarray, capacity: int, bound: int = FILLINGS
             seen += 1
             if not dominated(parts, room):
                 found.append((room, tuple(parts)))
-                if room == 0 and len(found) >= 8:
+                if room == 0 and len(found) >= PERFECT:
                     break
             continue
         s = sizes[at]
@@ -151,18 +162,21 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     for s, n in counts.items():
         left[s] = n
     path: list[tuple[Filling, int]] = []
-    choices: list[Iterator[Filling]] = []
+    choices: list[Iterator[tuple[Filling, int]]] = []
     waste = used = steps = 0
 
     def largest() -> int:
         full = np.flatnonzero(left)
         return int(full[-1]) if len(full) else 0
 
+    def tried(top: int) -> Iterator[tuple[Filling, int]]:
+        return iter([(f, sum(counts.values())) for f in fillings(top, left, capacity)])
+
     if fewest > least:
-        choices.append(iter(fillings(largest(), left, capacity)))
+        choices.append(tried(largest()))
     while choices and fewest > least and steps < nodes:
         steps += 1
-        filling = next(choices[-1], None)
+        filling, most = next(choices[-1], (None, 0))
         if filling is None:
             choices.pop()
             if path:
@@ -171,9 +185,12 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
                     left[s] += n * times
                 waste -= (capacity - sum(s * n for s, n in undone)) * times
                 used -= times
+                if times > 1:
+                    # The same filling again, for fewer sequences, before the next one.
+                    choices[-1] = chain([(undone, times // 2)], choices[-1])
             continue
         room = capacity - sum(s * n for s, n in filling)
-        times = min(int(left[s]) // n for s, n in filling)
+        times = min(most, *(int(left[s]) // n for s, n in filling))
         # One sequence fewer than the incumbent leaves so much waste in all.
         allowed = (fewest - 1) * capacity - total
         if waste + room * times > allowed:
@@ -194,27 +211,61 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
         elif used >= fewest - 1:
             choices.append(iter(()))
         else:
-            choices.append(iter(fillings(top, left, capacity)))
+            choices.append(tried(top))
     return best
 
 
 # Letters whose case and form never depend on their neighbours, and lines of them and ASCII.
 _LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f"
 _PLAIN = re.compile(f"[\t\n\r\x20-\x7e{_LETTERS}]*")
-# How the vocabulary splits text, for such lines in lower case.
-_SPLIT = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\\sa-z0-9{_LETTERS}]+"
-)
+# The endings that the vocabulary splits off behind an apostrophe.
+_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+# Classes of bytes in lower-case plain text; beyond ASCII there are only letters.
+_BLANK, _LETTER, _DIGIT, _MARK = range(4)
+_CLASS = np.full(256, _MARK, dtype=np.uint8)
+_CLASS[[9, 10, 13, 32]] = _BLANK
+_CLASS[97:123] = _CLASS[128:] = _LETTER
+_CLASS[48:58] = _DIGIT
+
+
+def plain_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the parts that the vocabulary splits plain lower-case text into.
+
+    Runs of letters, runs of marks, single digits, and an apostrophe with an
+    ending where no other mark stands before it.
+    """
+    kind = _CLASS[data]
+    begins = np.ones(len(data), dtype=bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    quotes = np.flatnonzero((data == 0x27) & begins)
+    if len(quotes):
+        padded = np.append(data, np.zeros(2, dtype=np.uint8))
+        one, two = padded[quotes + 1], padded[quotes + 2]
+        size = np.zeros(len(quotes), dtype=np.int64)
+        for ending in _ENDINGS:
+            same = one == ord(ending[0])
+            if len(ending) == 2:
+                same &= two == ord(ending[1])
+            size[same & (size == 0)] = len(ending)
+        quotes, size = quotes[size > 0], size[size > 0]
+        begins[quotes + 1] = False
+        behind = quotes + 1 + size
+        begins[behind[behind < len(data)]] = True
+    starts = np.flatnonzero(begins)
+    ends = np.append(starts[1:], len(data))
+    kept = kind[starts] != _BLANK
+    return starts[kept], ends[kept]
 
 
 class WordIds:
     """Token ids of texts through a memory of the ids of words.
 
     The vocabulary splits a text into words, single digits and marks before it
-    encodes, and never looks across a line end. Lines of plain letters and ASCII
-    are split here and looked up; new words are encoded many at a time, where
-    each gives ids of which only the last ends a word. Other lines, and those
-    that may name a special token, are encoded as they are.
+    encodes, and never looks across a line end. Texts and lines of plain letters
+    and ASCII are split here, many at once, and each different word of them is
+    looked up once; new words are encoded many at a time, where each gives ids
+    of which only the last ends a word. Other lines, and those that may name a
+    special token, are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -224,11 +275,15 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.ids_of = np.zeros(1 << 16, dtype="<u4")  # ids of all words in a row
+        self.bounds = np.zeros(1 << 16, dtype=np.int64)
 
-    def _one(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+    def _one(self, piece: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4")
 
     def _add(self, new: list[str]) -> None:
         for at in range(0, len(new), 256):
@@ -236,46 +291,63 @@ class WordIds:
             made = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(made[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                raw, start = ids.tobytes(), 0
-                for word, stop in zip(part, (stops * 4).tolist(), strict=True):
-                    self.words[word] = raw[start:stop]
-                    start = stop
-            else:
-                for word in part:
-                    self.words[word] = self._one(word)
-
-    def _lines(self, text: str) -> list[tuple[bool, str]]:
-        """Parts of the text and whether they are plain."""
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            return [(True, text)]
-        lines = text.split("\n")
-        return [(bool(_PLAIN.fullmatch(x)) and "<|" not in x, x) for x in lines]
+            if len(stops) != len(part) or stops[-1] != len(ids):
+                each = [self._one(word) for word in part]
+                ids, stops = np.concatenate(each), np.cumsum([len(x) for x in each])
+            n = len(self.words)
+            begin = int(self.bounds[n])
+            while len(self.ids_of) < begin + len(ids):
+                self.ids_of = np.append(self.ids_of, np.zeros_like(self.ids_of))
+            while len(self.bounds) <= n + len(part):
+                self.bounds = np.append(self.bounds, np.zeros_like(self.bounds))
+            self.ids_of[begin : begin + len(ids)] = ids
+            self.bounds[n + 1 : n + 1 + len(part)] = begin + stops
+            self.words.update(zip(part, range(n, n + len(part)), strict=True))
+
+    def _plain_ids(self, raw: bytes, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain lower-case text, and the first id behind each of the cuts."""
+        data = np.frombuffer(raw, dtype=np.uint8)
+        starts, ends = plain_words(data)
+        if not len(starts):
+            return np.zeros(0, dtype="<u4"), np.zeros(len(cuts), dtype=np.int64)
+        offsets = pa.py_buffer(np.append(0, np.cumsum(ends - starts)).astype(np.int64))
+        places, _ = ranges(starts, ends)
+        coded = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(data[places])).dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in different if w not in self.words]
+        if new:
+            if len(self.words) + len(new) > HELD_WORDS:
+                self._forget()
+                new = different
+            self._add(new)
+        which = np.array([self.words[w] for w in different], dtype=np.int64)[coded.indices.to_numpy()]
+        begin, end = self.bounds[which], self.bounds[which + 1]
+        taken, _ = ranges(begin, end)
+        before = np.append(0, np.cumsum(end - begin))
+        return self.ids_of[taken], before[np.searchsorted(starts, cuts)]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > HELD_WORDS:
-            self.words.clear()
-        held, split = self.words.get, _SPLIT.findall
-        found: list[list] = []  # per text: ids, or words where some are new
-        late = []
+        """Ids of each text."""
+        found: list[list] = []  # per text: numbers of plain parts, or ids
+        plain: list[bytes] = []
         for text in texts:
-            parts = []
-            for plain, line in self._lines(text):
-                if not plain:
-                    parts.append(self._one(line))
-                    continue
-                words = split(line.lower())
-                ids = list(map(held, words))
-                if None in ids:
-                    late.append((parts, len(parts), words))
-                    parts.append([w for w, f in zip(words, ids, strict=True) if f is None])
+            if "<|" not in text and _PLAIN.fullmatch(text):
+                found.append([len(plain)])
+                plain.append(text.lower().encode())
+                continue
+            parts: list = []
+            for line in text.split("\n"):
+                if "<|" not in line and _PLAIN.fullmatch(line):
+                    parts.append(len(plain))
+                    plain.append(line.lower().encode())
                 else:
-                    parts.append(b"".join(ids))
+                    parts.append(self._one(line))
             found.append(parts)
-        self._add(list({w for parts, k, _ in late for w in parts[k]}))
-        for parts, k, words in late:
-            parts[k] = b"".join(map(held, words))
-        return [np.frombuffer(b"".join(parts), dtype="<u4") for parts in found]
+        cuts = np.cumsum([0, *(len(x) + 1 for x in plain)])
+        ids, at = self._plain_ids(b"\n".join(plain), cuts)
+        bounds = at.tolist()
+        pick = lambda p: ids[bounds[p] : bounds[p + 1]] if isinstance(p, int) else p
+        return [pick(x[0]) if len(x) == 1 else np.concatenate([pick(p) for p in x]) for x in found]
 
 
 _READY: dict[str, WordIds] = {}
@@ -286,37 +358,48 @@ def _pieces(path: str, capacity: int, with_ids: bool):
         if path not in _READY:
             _READY[path] = WordIds(path)
         words = _READY[path]
+        separator = np.array([SEPARATOR], dtype="<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                row, piece, start, length, check, ids = [], [], [], [], [], []
-                for i, found in enumerate(words.ids([t or "" for t in part.column(1).to_pylist()])):
-                    found = np.append(found, np.array([SEPARATOR], dtype="<u4")).astype("<u4")
-                    for k, begin in enumerate(range(0, len(found), capacity)):
-                        cut = found[begin : begin + capacity]
-                        row.append(i)
-                        piece.append(k)
-                        start.append(begin)
-                        length.append(len(cut))
-                        check.append(zlib.crc32(cut.tobytes()))
-                        if with_ids:
-                            ids.append(cut)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            groups = np.cumsum(sizes) // TEXT_BYTES
+            for at, end in zip(*_groups(groups), strict=True):
+                part = batch.slice(at, end - at)
+                found = words.ids([t or "" for t in part.column(1).to_pylist()])
+                flat = np.concatenate([x for ids in found for x in (ids, separator)])
+                total = np.array([len(x) + 1 for x in found])
+                pieces = -(-total // capacity)
+                row = np.repeat(np.arange(len(found)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(total[row] - start, capacity)
+                begin = (np.cumsum(total) - total)[row] + start
+                raw = memoryview(flat.astype("<u4", copy=False)).cast("B")
+                check = [
+                    zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(begin.tolist(), (begin + length).tolist(), strict=True)
+                ]
                 columns = [
-                    part.column(0).take(pa.array(row, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
+                    part.column(0).take(pa.array(row)),
+                    pa.array(piece.astype(np.int32)),
+                    pa.array(start),
+                    pa.array(length),
                     pa.array(check, pa.int64()),
                 ]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int64())))
+                    bounds = pa.array(np.append(begin, len(flat)).astype(np.int32))
+                    columns.append(pa.ListArray.from_arrays(bounds, pa.array(flat.astype(np.int64))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
+def _groups(keys: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of equal numbers."""
+    starts = np.flatnonzero(np.diff(keys, prepend=-1)).tolist()
+    return starts, [*starts[1:], len(keys)] if starts else []
+
+
 def token_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document, the separator at its end."""
     source = documents.select("doc_id", "text")
