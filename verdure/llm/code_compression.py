@@ -45,7 +45,7 @@ from verdure.sources.lineage import cut_lineage, drop_state
 
 SCALE, PARTS, ENTRIES, ROUNDS = 256, 16, 64, 2
 #: Rows whose distances are held at once.
-BLOCK = 2048
+BLOCK = 1 << 14
 #: Largest number for which squares of differences are summed in 64 bits.
 _NARROW = 1 << 26
 _LONG = (1 << 63) - 1
@@ -151,7 +151,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _codes(part: pa.RecordBatch) -> np.ndarray:
-    return np.array([list(c) for c in part.column("codes").to_pylist()], dtype=np.int64).reshape(-1, PARTS)
+    raw = b"".join(part.column("codes").to_pylist())
+    return np.frombuffer(raw, dtype=np.uint8).reshape(-1, PARTS).astype(np.int64)
 
 
 def _assign(shared, first: bool):
@@ -161,12 +162,13 @@ def _assign(shared, first: bool):
         books: Codebooks = shared.value
         near = None if first else [books.neighbours(p) for p in range(PARTS)]
         for part, numbers in _blocks(batches):
+            old = None if first else _codes(part)
             found = []
             for p in range(PARTS):
                 if first:
                     found.append(nearest_of_all(numbers[:, p], books.book(p)))
                 else:
-                    found.append(nearest_in_balls(numbers[:, p], _codes(part)[:, p], books.book(p), near[p])[:2])
+                    found.append(nearest_in_balls(numbers[:, p], old[:, p], books.book(p), near[p])[:2])
             codes = np.column_stack([c for c, _ in found]).astype(np.uint8)
             errors = [sum(int(e) for e in row) for row in zip(*(e for _, e in found), strict=True)]
             if errors and max(errors) > _LONG:
