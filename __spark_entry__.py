@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,18 +26,21 @@ from verdure.plans import greenhouses, orders, sales, stock
 from verdure.sources import decoders, star_schema, store
 from verdure.sources.catalog import CATALOG
 from verdure.sources.lineage import checkpoint_folder
-from verdure.streaming.admission_stream import admission_stream, decided_lines
-
-try:  # The training-data operators are a part that can be left out.
+from verdure.streaming.admission_stream import (
+    admission_stream,
+    decided_lines,
+    keyed_admission_stream,
+)
+
+# The training-data operators are a part that can be left out; errors inside it are not swallowed.
+training_data = None
+if find_spec("verdure.llm") is not None and find_spec("verdure.llm.registry") is not None:
     from verdure.llm import registry as training_data
-except ImportError:
-    training_data = None
 
 AS_OF = star_schema.ORDERS_AS_OF
 TREATED_AS_OF = star_schema.EVENTS_AS_OF
 SOLD_BEFORE = "1998-01-01"
-# First days of the windows of one year, one calendar year and one month that end at AS_OF.
-YEAR, CALENDAR, MONTH = "2000-08-01", "2000-01-01", "2001-07-01"
+YEAR, CALENDAR, MONTH = "year", "calendar year", "month"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -49,9 +53,10 @@ def _new_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/verdure-{uuid.uuid4().hex}"
 
 
-def _of_sales(report: Callable[..., DataFrame], since: str | None = None, **options) -> Query:
+def _of_sales(report: Callable[..., DataFrame], window: str | None = None, **options) -> Query:
+    """A report on the orders of its window, cut before the lines are first shuffled."""
     return lambda spark, sf: report(
-        star_schema.sales_tables(spark, sf, bought_since=since), **options
+        star_schema.sales_tables(spark, sf, as_of=options.get("as_of"), window=window), **options
     )
 
 
@@ -85,6 +90,11 @@ def _places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _place_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Three levels: one recursive query."""
+    return full_names(_places(spark, sf), one_job=True)
+
+
+def _place_names_in_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return full_names(_places(spark, sf))
 
 
@@ -129,7 +139,7 @@ def _accepted_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_in_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines arrive in four parts, in the order of their ids; stock is carried along."""
+    """Lines arrive in four parts, in the order of their ids; what is left is keyed state."""
     lineitem = star_schema.read_star(spark, sf, "lineitem")
     lots = star_schema.stock_lots(lineitem)
     ready = (
@@ -140,13 +150,15 @@ def _stream_in_batches(spark: SparkSession, sf: str) -> DataFrame:
     last = lineitem.agg(F.max("l_orderkey").alias("k")).first()["k"] or 0
     for part in range(4):
         low, high = last * part // 4, last * (part + 1) // 4
-        arrived = lines.where(F.col("id_sale").between(low + (part > 0), high))
+        here = F.col("id_sale").between(low + (part > 0), high)
+        # Lines without an order come first.
+        arrived = lines.where(here | F.col("id_sale").isNull() if part == 0 else here)
         arrived.write.mode("append").parquet(f"{folder}/in")
         arriving = spark.readStream.schema(lines.schema).parquet(f"{folder}/in")
-        writer = admission_stream(arriving, ready, f"{folder}/out", f"{folder}/state")
+        writer = keyed_admission_stream(arriving, ready, f"{folder}/out", f"{folder}/state")
         writer.trigger(availableNow=True).start().awaitTermination()
-    schema = "id bigint, id_sale bigint, id_flower bigint, amount int"
-    return decided_lines(spark, f"{folder}/out", schema).drop("batch")
+    schema = "id bigint, id_sale bigint, id_flower bigint, amount int, accepted boolean"
+    return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
 def _on_sql_surface(statement: str) -> Query:
@@ -233,14 +245,14 @@ def _email_rows(spark: SparkSession, sf: str) -> DataFrame:
     return broken.select("id", "e_mail", "rule")
 
 
-def _primary_keys(spark: SparkSession, sf: str) -> DataFrame:
+def _judged(spark: SparkSession, sf: str, kind: str, *names: str) -> DataFrame:
     tables = star_schema.flawed_tables(spark, sf)
-    parts = []
-    for name in ("sale_detail", "sale_flower"):
-        relation = CATALOG[name]
-        parts += quality.count_key_violations(tables[name], relation)
-        parts.append(quality.count_row_violations(tables[name], name, quality.key_rules(relation)))
-    return reduce(DataFrame.unionByName, parts)
+    rules = [r for name in names for r in quality.declared_rules(CATALOG[name]) if r.name.startswith(kind)]
+    return quality.judge({name: tables[name] for name in names}, rules)
+
+
+def _primary_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _judged(spark, sf, "primary_key:", "sale_detail", "sale_flower")
 
 
 def _repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,19 +261,12 @@ def _repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _unique(spark: SparkSession, sf: str) -> DataFrame:
-    tables = star_schema.flawed_tables(spark, sf)
-    parts = []
-    for name in ("user", "flower"):
-        parts += quality.count_unique_violations(tables[name], CATALOG[name])
-    return reduce(DataFrame.unionByName, parts)
+    return _judged(spark, sf, "unique:", "user", "flower")
 
 
 def _foreign_keys(spark: SparkSession, sf: str) -> DataFrame:
     tables = star_schema.flawed_tables(spark, sf)
-    parts = []
-    for name in ("flower", "sale", "sale_detail"):
-        parts += quality.count_orphans(tables, CATALOG[name])
-    return reduce(DataFrame.unionByName, parts)
+    return quality.count_orphans(tables, ("flower", "sale", "sale_detail"))
 
 
 def _orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,6 +279,10 @@ def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(star_schema.flawed_tables(spark, sf), AS_OF)
 
 
+def _quality_report_every_table(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(star_schema.every_flawed_table(spark, sf), AS_OF)
+
+
 def _left_out(tables: dict[str, DataFrame]) -> set[str]:
     """Tables of the catalog that the star schema has no rows for."""
     return set(CATALOG) - set(tables)
@@ -402,6 +411,7 @@ def queries() -> dict[str, Query]:
         "treatment_counts": _of_greenhouses(greenhouses.treatment_counts, as_of=TREATED_AS_OF),
         "untreated_lots": _of_greenhouses(greenhouses.untreated_lots, as_of=TREATED_AS_OF),
         "full_names": _place_names,
+        "full_names_rounds": _place_names_in_rounds,
         "full_name_one": _one_place_name,
         "product_full_names": _product_names,
         "available_stock": _available_stock,
@@ -443,6 +453,7 @@ def queries() -> dict[str, Query]:
         "dq_foreign_key": _foreign_keys,
         "dq_orphan_lines": _orphan_lines,
         "quality_report": _quality_report,
+        "quality_report_every_table": _quality_report_every_table,
         "cascade_delete": _cascade_delete,
         "cascade_deleted_lines": _deleted_lines,
         "cascade_blockers": _delete_blockers,

@@ -260,6 +260,128 @@ _REPORT = [
     "SELECT 'flower_warehouse', 'foreign_key:id_greenhouse->greenhouse', CAST(NULL AS BIGINT)",
 ]
 
+# The other tables, each as a source in SQL and what is declared for it.
+_LINE = "l_orderkey * 1048576 + l_linenumber"
+_BOUGHT = "CASE o_orderstatus WHEN 'F' THEN 'received' WHEN 'O' THEN 'not processed' ELSE 'ordered' END"
+_HOUSES = "SELECT DISTINCT nullif(s_suppkey % 10, 9) AS id FROM supplier WHERE s_suppkey % 10 <> 9"
+_TODAY = "date <= {as_of}"
+_OTHER = {
+    "dead_flowers": f"""SELECT {_LINE} AS id, l_suppkey + CASE WHEN l_linenumber = 3 THEN 100000 ELSE 0 END
+        AS id_flower_warehouse, CAST(l_shipdate AS DATE) AS date, CAST(l_quantity AS INTEGER) - 2 AS count
+        FROM lineitem""",
+    "disease": "SELECT p_partkey AS id, p_type AS name FROM part",
+    "disease_flower": f"""SELECT {_LINE} AS id, l_partkey AS id_flower, l_suppkey * 30 AS id_disease,
+        l_shipdate AS date, CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag END AS foto FROM lineitem""",
+    "pest": """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 30 = 8 THEN repeat(s_name, 2) ELSE s_name END AS name
+        FROM supplier""",
+    "pest_flower": f"""SELECT {_LINE} AS id, CASE WHEN l_linenumber = 5 THEN -l_partkey ELSE l_partkey END AS id_flower,
+        l_suppkey * 2 AS id_pest, CAST(l_shipdate AS DATE) AS date FROM lineitem""",
+    "greenhouse": f"SELECT id, id * 3 AS id_staff FROM ({_HOUSES})",
+    "prevention": """SELECT event_id AS id, nullif(user_id % 20, 11) AS id_staff, ts AS date,
+        user_id % 12 AS id_greenhouse FROM events""",
+    "prevention_detail": """SELECT user_id * 3 AS id_preparation, event_id - event_id % 5 AS id_prevention
+        FROM events""",
+    "sheduled_prevention": """SELECT event_id - event_id % 2 AS id, nullif(user_id % 11, 10) AS id_greenhouse,
+        CASE WHEN event_type <> 'view' THEN ts END AS date FROM events""",
+    "preparation": """SELECT p_partkey AS id, p_size - 1 AS id_type,
+        CASE WHEN p_size = 9 THEN repeat(p_name, 4) ELSE p_name END AS name FROM part""",
+    "preparation_type": """SELECT n_nationkey AS id,
+        CASE WHEN n_nationkey % 6 = 5 THEN 'other' ELSE n_name END AS name FROM nation""",
+    "position_rate": """SELECT n_nationkey AS id, CASE WHEN n_nationkey % 9 = 4 THEN 'gardener' ELSE n_name END
+        AS position, (n_nationkey - 2) * 10 AS rate FROM nation""",
+    "staff": """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 50 = 7 THEN NULL
+        WHEN s_suppkey % 45 = 6 THEN s_name || 'xyz' ELSE s_name END AS name,
+        CASE WHEN s_suppkey % 40 = 3 THEN repeat(s_name, 2) ELSE s_name END AS surname,
+        CASE WHEN s_suppkey % 3 = 0 THEN repeat(s_name, 2) END AS patronymie,
+        s_nationkey + CASE WHEN s_suppkey % 20 = 9 THEN 900 ELSE 0 END AS id_position,
+        s_acctbal AS salary, 0 AS allowance FROM supplier""",
+    "purchase": f"""SELECT o_orderkey AS id, o_custkey % 120 AS id_staff, o_orderdate AS date,
+        {_BOUGHT} AS status FROM orders""",
+    "purchase_detail": """SELECT l_partkey AS id_flower, l_orderkey - l_orderkey % 4 AS id_purchase,
+        CAST(l_quantity AS INTEGER) - 1 AS amount, CAST(l_extendedprice AS DECIMAL(19,2)) - 5000 AS cost
+        FROM lineitem""",
+    "stock": "SELECT p_partkey AS id, p_size - 1 AS id_type, p_name AS name, p_size - 3 AS amount FROM part",
+    "stock_type": "SELECT n_nationkey * 2 AS id, repeat(n_name, 1 + n_nationkey % 5) AS name FROM nation",
+    "stock_purchase": f"""SELECT o_orderkey AS id, nullif(o_custkey % 70, 5) AS id_staff, o_orderdate AS date,
+        {_BOUGHT} AS status FROM orders""",
+    "stock_purchase_detail": """SELECT l_partkey + CASE WHEN l_linenumber = 2 THEN 1000000 ELSE 0 END AS id_stock,
+        l_orderkey - l_orderkey % 3 AS id_stock_purchase, nullif(CAST(l_quantity AS INTEGER) - 2, 5) AS amount,
+        CASE WHEN l_linenumber > 1 THEN CAST(l_extendedprice AS DECIMAL(19,2)) - 9000 END AS cost FROM lineitem""",
+}
+_KEYS_OF = {
+    "flower": "SELECT id FROM flower",
+    "flower_warehouse": "SELECT id FROM lot",
+    **{name: f"SELECT id FROM ({text})" for name, text in _OTHER.items() if " AS id," in text or text.startswith("SELECT id,")},
+}
+
+
+def _other(
+    table: str,
+    required: str,
+    key: str,
+    checks: tuple[str, ...] = (),
+    widths: str = "",
+    unique: str = "",
+    references: str = "",
+    allowed: str = "",
+) -> list[str]:
+    """Statements of all rules of one of the other tables."""
+    source = f"({_OTHER[table]})"
+    parts = _nulls(table, source, *required.split())
+    for name, width in (w.split(":") for w in widths.split()):
+        parts.append(_count(table, f"length:{name}", source, f"length({name}) > {width}"))
+    if allowed:
+        parts.append(_count(table, "enum:status", source, f"status NOT IN ({allowed})"))
+    for text in checks:
+        condition = text.replace("{as_of}", "DATE '2001-08-01'")
+        parts.append(_count(table, f"check:{text}", source, f"NOT ({condition})"))
+    parts += _primary(table, source, key)
+    parts += [_surplus(table, f"unique:{c}", source, c) for c in unique.split()]
+    for column, parent in (r.split(">") for r in references.split()):
+        parts.append(_orphans(table, source, column, parent, _KEYS_OF[parent]))
+    return parts
+
+
+# Fixed value: the status words of purchases.
+_PURCHASE_WORDS = "'not processed', 'formation', 'received'"
+_EVERY_REPORT = [
+    *_REPORT[:-1],
+    _orphans("flower_warehouse", "lot", "id_greenhouse", "greenhouse", _HOUSES),
+    *_other("dead_flowers", "id id_flower_warehouse date count", "id", ("count > 0", "id_flower_warehouse > 0"),
+            references="id_flower_warehouse>flower_warehouse"),
+    *_other("disease", "id name", "id", widths="name:30", unique="name"),
+    *_other("disease_flower", "id id_flower id_disease date foto", "id", ("id_flower > 0 AND id_disease > 0",),
+            references="id_flower>flower id_disease>disease"),
+    *_other("pest", "id name", "id", widths="name:30", unique="name"),
+    *_other("pest_flower", "id id_flower id_pest date", "id", (_TODAY, "id_flower > 0", "id_pest > 0"),
+            references="id_flower>flower id_pest>pest"),
+    *_other("greenhouse", "id id_staff", "id", ("id_staff > 0",), references="id_staff>staff"),
+    *_other("prevention", "id id_staff date id_greenhouse", "id", ("id_greenhouse > 0", "id_staff > 0"),
+            references="id_staff>staff id_greenhouse>greenhouse"),
+    *_other("prevention_detail", "id_preparation id_prevention", "id_preparation,id_prevention",
+            ("id_preparation > 0 AND id_prevention > 0",),
+            references="id_preparation>preparation id_prevention>prevention"),
+    *_other("sheduled_prevention", "id id_greenhouse date", "id", ("id_greenhouse > 0",),
+            references="id_greenhouse>greenhouse"),
+    *_other("preparation", "id id_type name", "id", ("id_type > 0",), "name:30", references="id_type>preparation_type"),
+    *_other("preparation_type", "id name", "id", widths="name:30", unique="name"),
+    *_other("position_rate", "id position rate", "id", ("rate > 0",), "position:30", "position"),
+    *_other("staff", "id name surname id_position salary allowance", "id", ("id_position > 0",),
+            "name:20 surname:30 patronymie:30", references="id_position>position_rate"),
+    *_other("purchase", "id id_staff date status", "id", ("id_staff > 0",), references="id_staff>staff",
+            allowed=_PURCHASE_WORDS),
+    *_other("purchase_detail", "id_flower id_purchase amount cost", "id_flower,id_purchase",
+            ("amount > 0", "id_flower > 0 AND id_purchase > 0", "cost > 0"),
+            references="id_flower>flower id_purchase>purchase"),
+    *_other("stock", "id id_type name amount", "id", ("amount > 0", "id_type > 0"), "name:30", "name", "id_type>stock_type"),
+    *_other("stock_type", "id name", "id", widths="name:30", unique="name"),
+    *_other("stock_purchase", "id id_staff date status", "id", ("id_staff > 0",), references="id_staff>staff",
+            allowed=_PURCHASE_WORDS),
+    *_other("stock_purchase_detail", "id_stock id_stock_purchase", "id_stock,id_stock_purchase",
+            ("amount > 0", "id_stock > 0 AND id_stock_purchase > 0", "cost > 0"),
+            references="id_stock>stock id_stock_purchase>stock_purchase"),
+]
+
 _SURFACE_ORDERS = "SELECT id FROM sale"
 
 
@@ -326,6 +448,8 @@ def statements() -> dict[str, str]:
         WHERE lot.id_greenhouse NOT IN (SELECT id_greenhouse FROM treated) ORDER BY 1""",
         "full_names": _with("place", _paths("place"), recursive=True)
         + "SELECT n.id, p.fullname FROM place n LEFT JOIN path p ON p.id = n.id",
+        "full_names_rounds": _with("place", _paths("place"), recursive=True)
+        + "SELECT n.id, p.fullname FROM place n LEFT JOIN path p ON p.id = n.id",
         "full_name_one": _with("place", _paths("place"), recursive=True)
         + "SELECT id, fullname FROM path WHERE id = 'c42'",
         "product_full_names": _with("flower", _paths("flower"), recursive=True)
@@ -373,6 +497,7 @@ def statements() -> dict[str, str]:
         + """SELECT * FROM raw_line WHERE id_flower IS NOT NULL
         AND id_flower NOT IN (SELECT id FROM flower)""",
         "quality_report": flawed + _union(*_REPORT),
+        "quality_report_every_table": flawed + _union(*_EVERY_REPORT),
         "cascade_delete": _with("flower sale_detail sale_flower lot", _GONE, _GONE_LINES)
         + """SELECT * FROM sale_flower WHERE id_sale_detail NOT IN (SELECT id FROM gone_line)
         AND id_flower_warehouse NOT IN (SELECT id FROM lot WHERE id_flower IN (SELECT id FROM gone))""",

@@ -1,0 +1,101 @@
+"""The reports as plain loops over ``nursery_rows``, one row after another."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+
+from nursery_rows import FLOWERS, GREENHOUSES, LINE_LOTS, LINES, LOTS, SALES, TREATMENTS
+
+ORDERS = {i: dt.date.fromisoformat(day) for i, _, _, day in SALES}
+COST = {i: cost for i, _, _, _, cost, _ in LOTS}
+NAMES = {i: name for i, _, name in FLOWERS}
+PARENTS = {i: parent for i, parent, _ in FLOWERS}
+
+
+def rolling(first: str, last: str):
+    return lambda day: dt.date.fromisoformat(first) <= day <= dt.date.fromisoformat(last)
+
+
+YEAR = rolling("2023-09-30", "2024-09-30")
+MONTH = rolling("2024-08-30", "2024-09-30")
+
+
+def units_sold(inside, once=False):
+    found = Counter()
+    for line, order, product, amount in LINES:
+        lots = sum(owner == line for owner, _, _ in LINE_LOTS)
+        if inside(ORDERS[order]) and lots:
+            found[product] += amount * (1 if once else lots)
+    return dict(found)
+
+
+def extreme(sold, pick):
+    return sorted(NAMES[p] for p, n in sold.items() if n == pick(sold.values()))
+
+
+def unsold(inside):
+    sold = {product for _, order, product, _ in LINES if inside(ORDERS[order])}
+    return sorted(name for i, parent, name in FLOWERS if parent is not None and i not in sold)
+
+
+def revenue(inside):
+    found = Counter()
+    for line, order, _, amount in LINES:
+        for owner, lot, _ in LINE_LOTS:
+            if owner == line and inside(ORDERS[order]):
+                found[ORDERS[order].month] += COST[lot] * amount
+    return dict(found)
+
+
+def running(by_month):
+    total, found = 0, {}
+    for month in sorted(by_month):
+        total += by_month[month]
+        found[month] = total
+    return found
+
+
+def costs(by_amount=True):
+    found = Counter()
+    for line, order, _, _ in LINES:
+        for owner, lot, amount in LINE_LOTS:
+            if owner == line:
+                found[order] += COST[lot] * (amount if by_amount else 1)
+    return dict(found)
+
+
+def stock():
+    ready, sold = Counter(), Counter()
+    for _, product, is_ready, amount, _, _ in LOTS:
+        ready[product] += amount if is_ready else 0
+    for _, _, product, amount in LINES:
+        sold[product] += amount
+    return {p: ready[p] - sold[p] for p in {*ready, *sold}}
+
+
+def treated(inside):
+    found = Counter()
+    for _, day, house in TREATMENTS:
+        if inside(dt.date.fromisoformat(day)) and house in GREENHOUSES:
+            found[house] += 1
+    return dict(found)
+
+
+def untreated(inside):
+    done = treated(inside)
+    # NOT IN: a lot in the open is listed only if nothing was treated.
+    return sorted(i for i, _, _, _, _, house in LOTS if not done or (house is not None and house not in done))
+
+
+def full_name(product):
+    parent = PARENTS[product]
+    return "" if parent is None else f"{full_name(parent)} {NAMES[product]}"
+
+
+def lines_of(*orders):
+    return sorted(line for line, order, _, _ in LINES if order in orders)
+
+
+def lots_of(lines):
+    return sorted(line for line, _, _ in LINE_LOTS if line in lines)

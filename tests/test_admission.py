@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from verdure.operators.admission import (
     admit_one_by_one,
     check_running_demand,
+    first_fit,
     require_accepted,
 )
 
@@ -51,7 +53,7 @@ def test_fold_and_rounds_agree_with_a_loop(spark, seed, largest, supply):
     expected = one_by_one(lines, stock)
     assert admitted(spark, lines, stock) == expected
     # Every contested product is resolved in rounds, with many small blocks.
-    assert admitted(spark, lines, stock, task_lines=5, block_bits=3) == expected
+    assert admitted(spark, lines, stock, task_lines=5, ranges=7) == expected
 
 
 def test_rounds_on_awkward_amounts(spark):
@@ -60,7 +62,54 @@ def test_rounds_on_awkward_amounts(spark):
     stock = dict(enumerate((0, 1, 2, 3, 15, 16, 17, 31, 33, 64, 1000)))
     wanted = [(product, amount) for amount in amounts for product in stock]
     lines = [(i, product, amount, f"line {i}") for i, (product, amount) in enumerate(wanted)]
-    assert admitted(spark, lines, stock, task_lines=1, block_bits=5) == one_by_one(lines, stock)
+    assert admitted(spark, lines, stock, task_lines=1, ranges=5) == one_by_one(lines, stock)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_phases_agree_with_a_loop(seed):
+    draw = random.Random(seed)
+    largest = draw.choice((3, 100, 1 << 40))
+    run = np.sort(np.array([draw.randrange(9) for _ in range(500)]))
+    run = np.unique(run, return_inverse=True)[1]
+    amount = np.array([draw.randint(-2, largest) for _ in run], dtype=np.int64)
+    left = np.array([draw.randint(-5, largest * 20) for _ in range(run.max() + 1)], dtype=np.int64)
+    accepted, rest = first_fit()(run, amount, left)
+    stock, expected = left.tolist(), []
+    for r, a in zip(run.tolist(), amount.tolist(), strict=True):
+        expected.append(0 < a <= stock[r])
+        stock[r] -= a if expected[-1] else 0
+    assert accepted.tolist() == expected
+    assert rest.tolist() == stock
+
+
+def test_a_product_goes_on_over_batches(spark):
+    lines = draw_lines(11, 400, 3, 9)
+    stock = {0: 300, 1: 100, 2: 5}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 7)
+    try:
+        assert admitted(spark, lines, stock) == one_by_one(lines, stock)
+        frame = spark.createDataFrame(lines, LINE)
+        supply = spark.createDataFrame(list(stock.items()), "id_flower int, available bigint")
+        checked = {r.id: r.available for r in check_running_demand(frame, supply).collect()}
+    finally:
+        spark.conf.set(size, before)
+    left = dict(stock)
+    for id_, product, amount, _ in sorted(lines):
+        assert checked[id_] == left[product]
+        left[product] -= amount
+
+
+def test_admission_of_lines_without_product_and_of_none(spark):
+    available = spark.createDataFrame([(0, 10), (None, 10)], "id_flower int, available bigint")
+    lines = spark.createDataFrame([(1, None, 4, "a"), (2, 0, 4, "b")], LINE)
+    found = {r.id: r.accepted for r in admit_one_by_one(lines, available.where("id_flower = 0")).collect()}
+    assert found == {1: False, 2: True}
+    empty = spark.createDataFrame([], LINE)
+    assert admit_one_by_one(empty, available).collect() == []
+    assert check_running_demand(empty, available).collect() == []
+    assert [r.ok for r in check_running_demand(lines, available.limit(0)).collect()] == [False, False]
 
 
 def test_invalid_amounts_are_refused_and_use_nothing(spark):
@@ -74,13 +123,13 @@ def test_negative_stock_admits_nothing(spark):
     assert admitted(spark, lines, {0: -3}) == {1: False}
 
 
-@pytest.mark.parametrize("block_bits", [2, 20])
-def test_running_demand(spark, block_bits):
+@pytest.mark.parametrize("ranges", [1, 4, 23])
+def test_running_demand(spark, ranges):
     lines = draw_lines(7, 200, 5, 9)
     stock = {0: 150, 1: 60, 2: 0, 3: 500}
     frame = spark.createDataFrame(lines, LINE).repartition(3)
     available = spark.createDataFrame(list(stock.items()), "id_flower int, available bigint")
-    result = {r.id: r for r in check_running_demand(frame, available, block_bits).collect()}
+    result = {r.id: r for r in check_running_demand(frame, available, ranges).collect()}
     left = dict(stock)
     for id_, product, amount, _ in sorted(lines):
         found = left.get(product, 0)

@@ -48,13 +48,13 @@ def test_extreme_rows_keeps_ties(spark):
     assert extreme_rows(rows, "v", False).count() == 10
 
 
-@pytest.mark.parametrize("block_bits", [0, 3, 20])
-def test_running_total(spark, block_bits):
-    draw = random.Random(block_bits)
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_running_total(spark, ranges):
+    draw = random.Random(ranges)
     # One key owns a third of the rows; the order numbers may be negative.
     rows = [(i - 150, 0 if draw.random() < 0.33 else draw.randrange(8), draw.randrange(9)) for i in range(400)]
     df = spark.createDataFrame(rows, "seq bigint, k int, v int").repartition(5)
-    result = {r.seq: r.s for r in running_total(df, "k", "seq", "v", "s", block_bits).collect()}
+    result = {r.seq: r.s for r in running_total(df, "k", "seq", "v", "s", ranges=ranges).collect()}
     sums, expected = {}, {}
     for seq, key, value in sorted(rows):
         sums[key] = sums.get(key, 0) + value
@@ -67,6 +67,20 @@ def test_running_total_keeps_rows_without_key(spark):
     assert running_total(df, "k", "seq", "v", "s").count() == 2
 
 
+def test_running_total_with_text_keys_opening_and_hot_key(spark):
+    rows = [(i, "hot" if i % 5 else f"k{i % 35}", 1 if i % 7 else None, "x") for i in range(500)]
+    rows += [(1000 + i, None, 2, "y") for i in range(20)]
+    df = spark.createDataFrame(rows, "seq int, k string, v int, other string").repartition(4)
+    opening = spark.createDataFrame([("hot", 1000), ("k0", -3), ("nowhere", 5)], "k string, v bigint")
+    found = running_total(df, "k", "seq", "v", "s", opening, ranges=25)
+    assert found.columns == [*df.columns, "s"]
+    sums, expected = {"hot": 1000, "k0": -3}, {}
+    for seq, key, value, _ in sorted(rows, key=lambda r: r[0]):
+        sums[key] = sums.get(key, 0) + (value or 0)
+        expected[seq] = sums[key]
+    assert {r.seq: r.s for r in found.collect()} == expected
+
+
 def test_assign_ids(spark):
     draw = random.Random(5)
     rows = [(draw.randrange(1000), i) for i in range(500)]
@@ -215,6 +229,6 @@ def test_running_total_of_one_key_with_ids_far_apart(spark):
     rows = spark.range(0, 3000).select(
         F.lit(7).alias("k"), (F.col("id") * step).alias("id"), F.lit(2).alias("v")
     )
-    found = running_total(rows, "k", "id", "v", "total", block_bits=20)
+    found = running_total(rows, "k", "id", "v", "total", ranges=50)
     assert found.where(F.col("total") != (F.col("id") / step + 1) * 2).count() == 0
     assert found.count() == 3000

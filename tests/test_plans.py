@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from verdure.operators.joins import join_by_key
-from verdure.plans import orders
+from verdure.plans import orders, sales
 from verdure.sources import star_schema
 
 FOLDER = "/root/testdata/sf0.001"
@@ -129,6 +129,47 @@ def test_the_order_key_reaches_the_line_scan(spark):
 
 
 def test_the_years_orders_cut_the_lines_before_they_are_grouped(spark):
-    tables = star_schema.sales_tables(spark, FOLDER, bought_since="2000-08-01")
+    tables = star_schema.sales_tables(spark, FOLDER, as_of="2001-08-01", window="year")
     plan = tables["sale_detail"]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("LeftSemi")
+
+
+@pytest.mark.parametrize(("window", "calendar"), [("year", False), ("calendar year", True)])
+@pytest.mark.parametrize("as_of", ["2001-08-01", "2000-02-29", "1999-01-01"])
+def test_the_cut_changes_no_report(spark, window, calendar, as_of):
+    whole = star_schema.sales_tables(spark, FOLDER)
+    cut = star_schema.sales_tables(spark, FOLDER, as_of=as_of, window=window)
+    for report in (sales.product_sales_last_year, sales.revenue_by_month):
+        rows = [sorted(map(tuple, report(t, as_of, calendar=calendar).collect())) for t in (whole, cut)]
+        assert rows[0] == rows[1]
+    assert len(rows[0]) > 0
+
+
+def test_windows_are_named():
+    with pytest.raises(ValueError, match="unknown window"):
+        star_schema.sales_tables(None, FOLDER, as_of="2001-08-01", window="week")
+
+
+def _exchanges(plan):
+    return plan.count("hashpartitioning(")
+
+
+def test_the_batch_check_plans_few_shuffles(spark, small_limits):
+    """The running demand is made first; what is planned up to it and after it."""
+    seen = []
+    plain = star_schema.stock_tables(spark, FOLDER, driver.SOLD_BEFORE)
+    from verdure.operators import ranking
+
+    def noted(df):
+        seen.append(plan_of(df))
+        return cut(df)
+
+    cut, ranking.cut_lineage = ranking.cut_lineage, noted
+    try:
+        from verdure.plans import stock
+
+        rest = plan_of(stock.check_order_lines(plain, plain["new_lines"]))
+    finally:
+        ranking.cut_lineage = cut
+    assert len(seen) == 1 and "rangepartitioning" in seen[0]
+    assert _exchanges(seen[0]) <= 8 and _exchanges(rest) == 0

@@ -129,7 +129,7 @@ def test_unique_ignores_nulls(spark, sound):
     none = sound["user"].withColumn("e_mail", F.lit(None).cast("string"))
     for df, expected in ((twice, 1), (none, 0)):
         counted = quality.count_unique_violations(df, CATALOG["user"])
-        assert [r.violations for c in counted for r in c.collect()] == [expected]
+        assert [r.violations for r in counted.collect()] == [expected]
 
 
 def test_every_reference_finds_its_orphan(sound):
@@ -164,3 +164,50 @@ def test_report_names_the_flaws(spark, sound):
         ("sale", "primary_key:id"): 1,
         ("sale_detail", "foreign_key:id_sale->sale"): 1,
     }
+
+
+def test_every_reference_of_the_report_finds_its_orphan(sound):
+    """All 27 tables at once: two rows per reference, of which one points nowhere."""
+    spoilt = dict(sound)
+    for name, relation in CATALOG.items():
+        for reference in relation.references:
+            column = F.when(F.col(reference.column) == 1, 77).otherwise(F.col(reference.column)).cast("int")
+            spoilt[name] = spoilt[name].withColumn(reference.column, column)
+    report = quality.quality_report(spoilt, AS_OF).collect()
+    found = {(r.table_name, r.rule): r.violations for r in report}
+    references = [(n, f"foreign_key:{r.column}->{r.parent}") for n, t in CATALOG.items() for r in t.references]
+    assert len(references) == 29 and all(found[r] == 1 for r in references)
+    assert len(report) == sum(len(quality.declared_rules(t)) for t in CATALOG.values())
+    assert not [k for k, v in found.items() if v and k not in references]
+
+
+def test_keys_of_the_report(spark, sound):
+    tables = {n: df.unionByName(df.where("id = 2") if "id" in df.columns else df.limit(1)) for n, df in sound.items()}
+    report = quality.quality_report(tables, AS_OF).collect()
+    found = {(r.table_name, r.rule): r.violations for r in report if r.violations}
+    keys = {(n, f"primary_key:{','.join(t.key)}"): 1 for n, t in CATALOG.items() if t.key}
+    unique = {(n, f"unique:{c}"): 1 for n, t in CATALOG.items() for c in t.unique}
+    assert found == {**keys, **unique}
+    assert (len(keys), len(unique)) == (26, 8)
+
+
+def test_judging_scans_each_table_once(spark, tmp_path, sound):
+    stored = {}
+    for name in ("flower", "sale", "sale_detail"):
+        sound[name].write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.schema(CATALOG[name].schema).parquet(f"{tmp_path}/{name}")
+    plan = quality.quality_report(stored, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+
+
+def test_judging_a_hot_key_and_text_keys(spark):
+    relation = Relation("t", (), key=("a", "b"), unique=("name",))
+    rows = [(1, 1, "x")] * 500 + [(1, 2, "x"), (2, 1, "1"), (None, 1, None), (None, 1, None)]
+    df = spark.createDataFrame(rows, "a int, b int, name string")
+    found = {r.rule: r.violations for r in quality.judge({"t": df}, quality.declared_rules(relation)).collect()}
+    assert found == {"primary_key:a,b": 499, "primary_key:a,b:null": 2, "unique:name": 500}
+
+
+def test_a_reference_to_an_absent_table_is_not_checked(spark, sound):
+    found = {r.rule: r.violations for r in quality.quality_report({"sale_detail": sound["sale_detail"]}).collect()}
+    assert found["foreign_key:id_sale->sale"] is None and found["check:amount > 0"] == 0

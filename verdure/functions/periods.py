@@ -49,6 +49,18 @@ def _month_bounds(as_of: AsOf, calendar: bool) -> tuple[Column, Column]:
     return start, F.add_months(start, 1)
 
 
+#: Windows of the reports by name, for ``window_start``.
+WINDOWS = ("year", "month", "calendar year", "calendar month")
+
+
+def window_start(as_of: AsOf, window: str) -> Column:
+    """First day of a window: nothing before it can be in a report over that window."""
+    if window not in WINDOWS:
+        raise ValueError(f"unknown window: {window}")
+    bounds = _year_bounds if window.endswith("year") else _month_bounds
+    return bounds(as_of, window.startswith("calendar"))[0]
+
+
 def _in_years(df: DataFrame, column: str, bounds: tuple[Column, Column]) -> DataFrame:
     """Prune stored years outside the bounds; rows without a known year stay."""
     if year_column(column) not in df.columns:

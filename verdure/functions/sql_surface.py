@@ -56,7 +56,7 @@ def register_sql_functions(
 def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None) -> None:
     """Register the tables, the stored views and the callable functions.
 
-    The full names are resolved here, once; everything else is lazy.
+    All of it is lazy: nothing runs before a statement asks for it.
     """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
@@ -67,7 +67,7 @@ def register_sql_surface(spark: SparkSession, tables: Tables, as_of: AsOf = None
         "order_info": order_info(tables),
         "order_cost": order_cost(tables),
         "order_unit_cost": order_unit_cost_sum(tables),
-        "full_names": full_names(tables["flower"]),
+        "full_names": full_names(tables["flower"], one_job=True),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)

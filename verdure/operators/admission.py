@@ -8,35 +8,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdure.functions.columns import refusal
 from verdure.operators.joins import join_by_key
-from verdure.operators.ranking import BLOCK_BITS, running_total
+from verdure.operators.ranking import running_total
 from verdure.sources.lineage import cut_lineage
 
 # A product with more lines than this is never handled by one task.
 TASK_LINES = 1 << 20
 
-_NONE, _ALL, _FOLD, _ROUNDS = 0, 1, 2, 3
 
-
-def check_running_demand(
-    lines: DataFrame, stock: DataFrame, block_bits: int = BLOCK_BITS
-) -> DataFrame:
+def check_running_demand(lines: DataFrame, stock: DataFrame, ranges: int | None = None) -> DataFrame:
     """Check the lines as one insert: each sees the stock less all lines before it.
 
     Adds ``available`` (what the line finds), ``ok`` and ``message`` (NULL for
     accepted lines). A product without stock has 0.
     """
-    supply = stock.select("id_flower", F.col("available").alias("_supply"))
-    demand = running_total(lines, "id_flower", "id", "amount", "_demand", block_bits, supply)
-    before = F.col("_demand") - F.coalesce("amount", F.lit(0))
-    found = F.coalesce("_supply", F.lit(0)) - before
+    supply = stock.select("id_flower", F.col("available").alias("_change"))
+    taken = lines.withColumn("_change", -F.col("amount").cast("bigint"))
+    left = running_total(taken, "id_flower", "id", "_change", "_left", supply, ranges)
+    found = F.col("_left") + F.coalesce("amount", F.lit(0))
     return (
-        demand.withColumn("available", found.cast("bigint"))
+        left.withColumn("available", found.cast("bigint"))
         .withColumn("ok", F.col("amount") <= F.col("available"))
         .withColumn("message", F.when(~F.col("ok"), refusal(F.col("amount"), F.col("available"))))
-        .drop("_supply", "_demand")
+        .drop("_change", "_left")
     )
 
 
@@ -52,89 +49,131 @@ def require_accepted(checked: DataFrame) -> DataFrame:
 
 
 def admit_one_by_one(
-    lines: DataFrame, stock: DataFrame, task_lines: int = TASK_LINES, block_bits: int = BLOCK_BITS
+    lines: DataFrame, stock: DataFrame, task_lines: int = TASK_LINES, ranges: int | None = None
 ) -> DataFrame:
     """Admit the lines one after another; a refused line uses no stock.
 
-    Adds ``accepted``. Products are sorted out first by their totals: with
-    stock for all lines, or for none, nothing is order dependent. Of the rest,
-    products of ordinary size are folded in order, many per task. A product
-    with more than ``task_lines`` lines is spread over the cluster and resolved
-    in rounds, see ``_resolve_large``. An amount that is NULL or not positive
-    breaks the rules of the table and is refused.
+    Adds ``accepted``. Products of ordinary size are sorted and decided many per
+    task, see ``first_fit``. A product with more than ``task_lines`` lines is
+    spread over the cluster and resolved in rounds, see ``_resolve_large``. An
+    amount that is NULL or not positive breaks the rules of the table and is
+    refused.
     """
-    wanted = F.when(F.col("amount") > 0, F.col("amount"))
-    totals = lines.groupBy(F.col("id_flower").alias("_product")).agg(
-        F.sum(wanted).alias("_demand"),
-        F.count(wanted).alias("_lines"),
-        F.max(wanted).alias("_largest"),
-    )
-    supply = stock.select(F.col("id_flower").alias("_product"), F.col("available").alias("_supply"))
-    way = (
-        F.when(F.col("_demand") <= F.col("_supply"), _ALL)
-        .when(F.col("_lines") <= task_lines, _FOLD)
-        .otherwise(_ROUNDS)
-    )
-    products = cut_lineage(
-        totals.join(supply, "_product")
-        .where("_supply > 0")
-        .select("_product", "_supply", "_largest", way.alias("_way"))
+    lines = cut_lineage(lines)
+    # At most one product per `task_lines` lines.
+    big = (
+        lines.groupBy(F.col("id_flower").alias("_product"))
+        .agg(F.count(F.lit(1)).alias("_lines"), F.max("amount").alias("_largest"))
+        .where((F.col("_lines") > task_lines) & F.col("_product").isNotNull())
+        .drop("_lines")
+        .collect()
     )
-    sized = lines.join(products, F.col("id_flower") == F.col("_product"), "left").withColumn(
-        # Lines that no stock or no valid amount lets pass need no more than this.
-        "_way", F.when(F.col("amount") > 0, F.coalesce("_way", F.lit(_NONE))).otherwise(_NONE)
+    if not big:
+        return _fold_in_order(lines, stock)
+    kinds = [lines.schema[c].dataType.simpleString() for c in ("id_flower", "amount")]
+    products = lines.sparkSession.createDataFrame(big, f"_product {kinds[0]}, _largest {kinds[1]}")
+    is_big = F.col("id_flower") == F.col("_product")
+    supply = stock.join(F.broadcast(products), is_big)
+    supply = cut_lineage(supply.select("_product", "_largest", F.col("available").alias("_supply")))
+    rest = lines.join(F.broadcast(products), is_big, "left_anti")
+    large = lines.join(F.broadcast(products), is_big, "left_semi")
+    return _fold_in_order(rest, stock).unionByName(
+        _resolve_large(cut_lineage(large), supply.where("_supply > 0 AND _largest > 0"), ranges)
     )
-    plain = (
-        sized.where(F.col("_way").isin(_NONE, _ALL))
-        .withColumn("accepted", F.col("_way") == _ALL)
-        .drop("_product", "_supply", "_largest", "_way")
-    )
-    folded = _fold_in_order(sized.where(F.col("_way") == _FOLD), lines.columns)
-    result = plain.unionByName(folded)
-
-    big = products.where(F.col("_way") == _ROUNDS).drop("_way")
-    if big.isEmpty():
-        return result
-    big_lines = lines.where("amount > 0").join(
-        big, F.col("id_flower") == F.col("_product"), "left_semi"
-    )
-    return result.unionByName(_resolve_large(cut_lineage(big_lines), big, block_bits))
 
 
-def _fold_in_order(sized: DataFrame, columns: list[str]) -> DataFrame:
-    """First-fit over sorted partitions; only a product's remaining stock is carried."""
+def first_fit():
+    """A function that admits the runs of a sorted partition, batch by batch.
+
+    It takes run numbers (0, 1, … in the order of the rows), amounts (at most 0
+    where a row cannot be admitted) and the stock of each run, and returns which
+    rows fit, and what each run has left. All runs are looked at together, in
+    phases of constant magnitude of the stock left, see ``_resolve_large``: no
+    more phases than the largest amount has binary digits, and one, whatever the
+    number of rows.
+    """
 
     # Nested, so that it travels by value and workers need not have the package.
-    def first_fit(batches):
+    def decide(run, amount, left):
+        import numpy as np
+
+        powers = 1 << np.arange(62, dtype=np.int64)
+        digits = lambda x: np.searchsorted(powers, x, side="right")
+        accepted = np.zeros(len(run), dtype=bool)
+        left = left.copy()
+        live = np.flatnonzero(amount > 0)
+        top = np.zeros(len(left), dtype=np.int64)
+        np.maximum.at(top, run, digits(amount) + 1)
+        while True:
+            # The stock only falls: what exceeds it now never fits.
+            live = live[amount[live] <= left[run[live]]]
+            if not len(live):
+                return accepted, left
+            own, wanted = run[live], amount[live]
+            level = np.minimum(digits(left[own]), top[own])
+            small = digits(wanted) < level
+            total = np.cumsum(np.where(small, wanted, 0))
+            begin = np.flatnonzero(np.diff(own, prepend=-1))
+            before = np.append(0, total)[begin]
+            total -= np.repeat(before, np.diff(np.append(begin, len(own))))
+            rest = left[own] - total
+            taken = ~small & (wanted <= rest)
+            ends = np.flatnonzero(taken | (digits(rest) < level))
+            ending, where = np.unique(own[ends], return_index=True)
+            stop = np.full(len(left), len(live))
+            stop[ending] = ends[where]
+            place = np.arange(len(live))
+            fits = (small & (place <= stop[own])) | (taken & (place == stop[own]))
+            accepted[live[fits]] = True
+            np.subtract.at(left, own[fits], wanted[fits])
+            live = live[place > stop[own]]
+
+    return decide
+
+
+def _fold_in_order(lines: DataFrame, stock: DataFrame) -> DataFrame:
+    """First-fit over sorted partitions; a product's stock comes in as a row before its lines."""
+    decide = first_fit()
+
+    def run(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        product, remaining = None, 0
+        last, carried = object(), 0
         for batch in batches:
-            accepted = []
-            for key, amount, supply in zip(
-                batch.column("id_flower").to_pylist(),
-                batch.column("amount").to_pylist(),
-                batch.column("_supply").to_pylist(),
-            ):
-                if key != product:
-                    product, remaining = key, supply
-                fits = amount <= remaining
-                if fits:
-                    remaining -= amount
-                accepted.append(fits)
-            names = [name for name in batch.schema.names if name != "_supply"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), pa.array(accepted, pa.bool_())],
-                names=[*names, "accepted"],
-            )
+            if batch.num_rows == 0:
+                continue
+            runs = pc.run_end_encode(batch.column("id_flower"))
+            sizes = np.diff(runs.run_ends.to_numpy().astype(np.int64), prepend=0)
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            supply = pc.fill_null(batch.column("_supply"), 0).to_numpy()
+            opening = batch.column("_opening").to_numpy(zero_copy_only=False)
+            left = np.zeros(len(sizes), dtype=np.int64)
+            np.add.at(left, own[opening], supply[opening])
+            if runs.values[0].as_py() == last:
+                left[0] += carried
+            amount = pc.fill_null(batch.column("amount").cast(pa.int64()), 0).to_numpy()
+            accepted, left = decide(own, np.where(opening, 0, amount), left)
+            last, carried = runs.values[-1].as_py(), int(left[-1])
+            kept = pa.array(~opening)
+            names = [n for n in batch.schema.names if n not in ("_supply", "_opening")]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(accepted)], [*names, "accepted"]).filter(kept)
 
+    opening = stock.where("available > 0").select(
+        F.col("id_flower").cast(lines.schema["id_flower"].dataType).alias("id_flower"),
+        F.col("available").cast("bigint").alias("_supply"),
+        F.lit(True).alias("_opening"),
+    )
     ordered = (
-        sized.select(*columns, F.col("_supply").cast("bigint").alias("_supply"))
+        lines.withColumn("_opening", F.lit(False))
+        .unionByName(opening, allowMissingColumns=True)
         .repartition("id_flower")
-        .sortWithinPartitions("id_flower", "id")
+        .sortWithinPartitions("id_flower", F.desc("_opening"), "id")
     )
-    schema = ordered.drop("_supply").schema.add("accepted", "boolean")
-    return ordered.mapInArrow(first_fit, schema)
+    schema = T.StructType([*lines.schema.fields, T.StructField("accepted", T.BooleanType())])
+    return ordered.mapInArrow(run, schema)
 
 
 def _magnitude(value: Column) -> Column:
@@ -142,7 +181,7 @@ def _magnitude(value: Column) -> Column:
     return F.when(value > 0, F.length(F.bin(value.cast("bigint")))).otherwise(0)
 
 
-def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> DataFrame:
+def _resolve_large(lines: DataFrame, products: DataFrame, ranges: int | None) -> DataFrame:
     """One-by-one admission of products whose lines do not fit one task.
 
     Compare magnitudes (binary digits) of the remaining stock and of a line.
@@ -171,7 +210,7 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
     phases = None
     while True:
         state = state.withColumn("_level", F.least(_magnitude(F.col("_left")), "_top"))
-        ends = cut_lineage(_phase_ends(lines, state, block_bits))
+        ends = cut_lineage(_phase_ends(lines, state, ranges))
         phases = ends if phases is None else phases.unionByName(ends)
         state = ends.where("_end IS NOT NULL AND _rest > 0").select(
             "_product", F.col("_end").alias("_after"), F.col("_rest").alias("_left"), "_top"
@@ -189,20 +228,20 @@ def _resolve_large(lines: DataFrame, products: DataFrame, block_bits: int) -> Da
     )
     return (
         join_by_key(lines, "id_flower", timeline, "_product", "left", ["id"])
-        .withColumn("accepted", F.coalesce(inside, F.lit(False)))
+        .withColumn("accepted", F.coalesce(inside & (F.col("amount") > 0), F.lit(False)))
         .drop("_product", "_phases", "_digits")
     )
 
 
-def _phase_ends(lines: DataFrame, state: DataFrame, block_bits: int) -> DataFrame:
+def _phase_ends(lines: DataFrame, state: DataFrame, ranges: int | None) -> DataFrame:
     """For each product in ``state`` the line that ends its current phase, if any."""
     still = (
         lines.join(state, F.col("id_flower") == F.col("_product"))
-        .where("amount <= _left AND (_after IS NULL OR id > _after)")
+        .where("amount > 0 AND amount <= _left AND (_after IS NULL OR id > _after)")
         .select("_product", "id", "amount", "_left", "_level", "_digits")
         .withColumn("_small", F.when(F.col("_digits") < F.col("_level"), F.col("amount")).otherwise(0))
     )
-    summed = running_total(still, "_product", "id", "_small", "_sum", block_bits)
+    summed = running_total(still, "_product", "id", "_small", "_sum", ranges=ranges)
     rest = F.col("_left") - F.col("_sum")
     taken = (F.col("_digits") == F.col("_level")) & (F.col("amount") <= rest)
     dropped = _magnitude(rest) < F.col("_level")

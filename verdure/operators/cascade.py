@@ -15,13 +15,22 @@ from verdure.sources.catalog import CATALOG, Reference, Relation
 Tables = Mapping[str, DataFrame]
 
 
+DOOMED = "_doomed"
+
+
 @dataclass(frozen=True)
 class Deletion:
-    """What a deletion would do; nothing is deleted where ``blockers`` has rows."""
+    """What a deletion would do; nothing is deleted where ``blockers`` has rows.
+
+    ``marked`` holds each table that the deletion reaches with the flag
+    ``DOOMED``: one pass that parts a table. ``kept`` and ``doomed`` are filters
+    of it; ``kept`` also has the tables that are not reached.
+    """
 
     kept: dict[str, DataFrame]
     doomed: dict[str, DataFrame]
     blockers: DataFrame
+    marked: dict[str, DataFrame]
 
     def apply(self) -> dict[str, DataFrame]:
         """The tables after the deletion; refuses if a row blocks it."""
@@ -96,25 +105,33 @@ def plan_deletion(
     ``left_out`` is an error; what is left out is taken to have no rows.
     """
     _refuse_absent(tables, {root}, left_out, follow=True)
-    victims = keys.toDF("id").distinct()
-    doomed: dict[str, DataFrame] = {
-        root: tables[root].join(victims, "id", "left_semi")
-    }
-    kept = dict(tables)
-    kept[root] = tables[root].join(victims, "id", "left_anti")
+    victims = keys.toDF("_gone").where("_gone IS NOT NULL").distinct()
+    marked = {root: _marked(tables[root], CATALOG[root], [("id", victims)])}
+    doomed = {root: _parted(marked[root], True)}
     for name in _order(tables, root)[1:]:
         relation = CATALOG[name]
-        survivors = tables[name]
-        taken = []
-        for ref in _owned_by(relation, doomed):
-            gone = _doomed_values(doomed[ref.parent])
-            # Each further reference looks only at rows that are still there.
-            lookup = (ref.column, gone, "_gone")
-            taken.append(join_by_key(survivors, *lookup, "left_semi", relation.key))
-            survivors = join_by_key(survivors, *lookup, "left_anti", relation.key)
-        doomed[name] = reduce(DataFrame.unionByName, taken)
-        kept[name] = survivors
-    return Deletion(kept, doomed, _blockers(tables, kept, doomed))
+        gone = [(r.column, _doomed_values(doomed[r.parent])) for r in _owned_by(relation, doomed)]
+        marked[name] = _marked(tables[name], relation, gone)
+        doomed[name] = _parted(marked[name], True)
+    kept = {**tables, **{name: _parted(df, False) for name, df in marked.items()}}
+    return Deletion(kept, doomed, _blockers(tables, kept, doomed), marked)
+
+
+def _marked(df: DataFrame, relation: Relation, gone: list[tuple[str, DataFrame]]) -> DataFrame:
+    """``df`` with the flag ``DOOMED``: some column has a value that is gone."""
+    flags = []
+    for number, (column, values) in enumerate(gone):
+        flag, value = f"_flag{number}", f"_gone{number}"
+        lookup = values.select(F.col("_gone").alias(value), F.lit(True).alias(flag))
+        df = join_by_key(df, column, lookup, value, "left", relation.key).drop(value)
+        flags.append(flag)
+    # Each value is listed once, so a row stays one row.
+    found = F.coalesce(*flags, F.lit(False)) if flags else F.lit(False)
+    return df.withColumn(DOOMED, found).drop(*flags)
+
+
+def _parted(marked: DataFrame, doomed: bool) -> DataFrame:
+    return marked.where(F.col(DOOMED) if doomed else ~F.col(DOOMED)).drop(DOOMED)
 
 
 def _blockers(tables: Tables, kept: Tables, doomed: Mapping[str, DataFrame]) -> DataFrame:

@@ -38,9 +38,14 @@ def full_names(
     parent: str = "id_parent",
     name: str = "name",
     keys: DataFrame | None = None,
+    one_job: bool = False,
 ) -> DataFrame:
     """``(id, fullname)`` for every node of a forest, any depth.
 
+    ``one_job`` is for shallow forests: one lazy recursive query that goes down
+    level by level, see ``recursive_names``. Otherwise rounds are run here, few
+    for any depth.
+
     With ``keys``, a table of one column, only for those nodes; then nothing
     but they and their ancestors is worked on.
 
@@ -54,6 +59,11 @@ def full_names(
     written again. A round that closes no node has met nothing but cycles.
     Duplicate rows count once.
     """
+    if one_job:
+        names = recursive_names(nodes, key, parent, name)
+        if keys is None:
+            return names
+        return names.join(keys.toDF("_key").distinct(), F.col("id") == F.col("_key"), "left_semi")
     if keys is not None:
         names = full_names(ancestry(nodes, keys, key, parent), key, parent, name)
         return names.join(keys.toDF("_key").distinct(), F.col("id") == F.col("_key"), "left_semi")
@@ -85,6 +95,36 @@ def full_names(
     )
 
 
+#: Levels that one recursive query goes down; a deeper forest fails there.
+MOST_LEVELS = 100
+
+
+def recursive_names(
+    nodes: DataFrame, key: str = "id", parent: str = "id_parent", name: str = "name"
+) -> DataFrame:
+    """``full_names`` as one recursive query over the roots and their children.
+
+    Lazy: nothing runs before it is read, so it can stand behind a view. Nodes
+    that no root reaches are never met, so cycles end nothing and get NULL. Each
+    level is a join with all nodes, hence for shallow forests; one of more than
+    ``MOST_LEVELS`` levels fails and needs the rounds of ``full_names``.
+    """
+    spark = nodes.sparkSession
+    # The engine stops a recursion after a number of rows unless told otherwise.
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    every = nodes.select(
+        F.col(key).alias("id"), F.col(parent).alias("parent"), F.col(name).alias("name")
+    ).distinct()
+    return spark.sql(
+        f"""WITH RECURSIVE paths(id, fullname) MAX RECURSION LEVEL {MOST_LEVELS} AS (
+            SELECT id, '' FROM {{every}} WHERE parent IS NULL
+            UNION ALL
+            SELECT n.id, p.fullname || ' ' || n.name FROM paths p JOIN {{every}} n ON n.parent = p.id)
+        SELECT n.id, p.fullname FROM {{every}} n LEFT JOIN paths p ON p.id = n.id""",
+        every=every,
+    )
+
+
 def _open(state: DataFrame) -> DataFrame:
     return state.where(F.col("anchor").isNotNull())
 

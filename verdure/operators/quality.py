@@ -1,17 +1,19 @@
 """Data-quality rules derived from the catalog.
 
-Row rules (NOT NULL, width, status words, mail form, value checks) of a table
-are all judged in one scan. Keys and references are reduced by their key
-before anything is shuffled, so a key with most of the rows costs one row.
+Row rules (NOT NULL, width, status words, mail form, value checks), keys and
+references of a table are all judged in one scan, and those of all tables in one
+shuffle, see ``judge``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdure.functions.periods import AsOf, as_of_date
 from verdure.operators.joins import join_by_key
@@ -149,44 +151,142 @@ def orphan_rows(child: DataFrame, reference: Reference, parent: DataFrame) -> Da
     return join_by_key(child, reference.column, missing, "_missing", "left_semi")
 
 
-def _summary(table: str, rule: str, counted: DataFrame, violations: Column) -> DataFrame:
-    return counted.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
-    )
+@dataclass(frozen=True)
+class Rule:
+    """A declared rule: a broken condition, a key that must not repeat, or a reference."""
 
+    table: str
+    name: str
+    condition: Column | None = None
+    key: tuple[str, ...] = ()
+    reference: Reference | None = None
 
-def count_key_violations(df: DataFrame, relation: Relation) -> list[DataFrame]:
-    """Surplus rows per repeated primary key."""
-    if not relation.key:
-        return []
-    surplus = F.sum(F.col("row_count") - 1)
-    return [_summary(relation.name, _key_label(relation), repeated_keys(df, relation.key), surplus)]
+
+def declared_rules(relation: Relation, as_of: AsOf = None) -> list[Rule]:
+    """All rules of a table: row rules, the primary key, unique columns and references."""
+    conditions = {**row_rules(relation, as_of), **key_rules(relation)}
+    rules = [Rule(relation.name, name, condition) for name, condition in conditions.items()]
+    if relation.key:
+        rules.append(Rule(relation.name, _key_label(relation), key=relation.key))
+    rules += [Rule(relation.name, f"unique:{c}", key=(c,)) for c in relation.unique]
+    rules += [
+        Rule(relation.name, f"foreign_key:{r.column}->{r.parent}", reference=r) for r in relation.references
+    ]
+    return rules
+
+
+_NO_KEY = -1
+
+
+def _key_value(df: DataFrame, columns: tuple[str, ...]) -> list[Column]:
+    """A key as two whole numbers and a text, the same for keys of the same values."""
+    whole = [isinstance(df.schema[c].dataType, T.IntegralType) for c in columns]
+    number, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if all(whole) and len(columns) <= 2:
+        parts = [F.col(c).cast("bigint") for c in columns]
+        return [*parts, number][:2] + [text]
+    if len(columns) == 1:
+        return [number, number, F.col(columns[0]).cast("string")]
+    return [number, number, F.to_json(F.struct(*columns))]
+
+
+def _entry(slot: int, value: list[Column], rule: int, owner: bool) -> Column:
+    a, b, text = value
+    return F.struct(
+        F.lit(slot).alias("slot"), a.alias("a"), b.alias("b"), text.alias("t"),
+        F.lit(rule).alias("rule"), F.lit(owner).alias("owner"),
+    )
 
 
-def count_unique_violations(df: DataFrame, relation: Relation) -> list[DataFrame]:
-    surplus = F.sum(F.col("row_count") - 1)
-    return [
-        _summary(relation.name, f"unique:{column}", repeated_keys(df, (column,)), surplus)
-        for column in relation.unique
+def _entries(df: DataFrame, name: str, rules: list[Rule], slots: dict[tuple, int]) -> list[Column]:
+    """What a row of the table says: broken conditions, the keys it has and the keys it uses."""
+    found, owned = [], set()
+    for number, rule in enumerate(rules):
+        if rule.table != name:
+            continue
+        if rule.condition is not None:
+            mark = [F.lit(number).cast("bigint"), F.lit(None).cast("bigint"), F.lit(None).cast("string")]
+            found.append(F.when(rule.condition, _entry(_NO_KEY, mark, number, False)))
+        elif rule.key:
+            owned.add(rule.key)
+            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.key])
+            entry = _entry(slots[name, rule.key], _key_value(df, rule.key), number, True)
+            found.append(F.when(present, entry))
+        elif (rule.reference.parent, ("id",)) in slots:
+            column = rule.reference.column
+            entry = _entry(slots[rule.reference.parent, ("id",)], _key_value(df, (column,)), number, False)
+            found.append(F.when(F.col(column).isNotNull(), entry))
+    if (name, ("id",)) in slots and ("id",) not in owned:
+        entry = _entry(slots[name, ("id",)], _key_value(df, ("id",)), -1, True)
+        found.append(F.when(F.col("id").isNotNull(), entry))
+    return found
+
+
+def judge(tables: Mapping[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """``table_name, rule, violations`` for the rules given, in one scan per table.
+
+    Every row is turned into entries for the rules it breaks, the keys it has and
+    the keys it uses. The entries of all tables are stacked and counted by key
+    before and in one shuffle, so a key with most of the rows costs one row per
+    task; then each key knows how often it is had and used. A repeated key counts
+    its surplus rows, a reference the rows whose key nobody has. A key with a
+    NULL part never equals another one. Where the parent table is not given,
+    violations are NULL: not checked.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    used = {r.reference.parent for r in rules if r.reference} & set(tables)
+    keys = dict.fromkeys([*((r.table, r.key) for r in rules if r.key), *((p, ("id",)) for p in sorted(used))])
+    slots = {key: number for number, key in enumerate(keys)}
+    stacked = []
+    for name, df in tables.items():
+        entries = _entries(df, name, rules, slots)
+        if entries:
+            stacked.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("x")).select("x.*"))
+    listed = [
+        (number, r.table, r.name, r.reference is None or r.reference.parent in tables)
+        for number, r in enumerate(rules)
     ]
+    every = spark.createDataFrame(listed, "number int, table_name string, rule string, checked boolean")
+    if not stacked:
+        return every.select("table_name", "rule", F.lit(None).cast("bigint").alias("violations"))
+    counted = (
+        reduce(DataFrame.unionAll, stacked)
+        .groupBy("slot", "a", "b", "t", "rule", "owner")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # A key has at most one entry per rule here.
+    uses = counted.groupBy("slot", "a", "b", "t").agg(
+        F.max("owner").alias("owned"), F.collect_list(F.struct("rule", "owner", "n")).alias("uses")
+    )
+    broken = (
+        uses.select("owned", F.inline("uses"))
+        .where((F.col("owner") & (F.col("n") > 1)) | ~F.col("owned"))
+        .groupBy(F.col("rule").alias("_number"))
+        .agg(F.sum(F.when(F.col("owner"), F.col("n") - 1).otherwise(F.col("n"))).alias("found"))
+    )
+    return every.join(broken, F.col("number") == F.col("_number"), "left").select(
+        "table_name",
+        "rule",
+        F.when(F.col("checked"), F.coalesce("found", F.lit(0).cast("bigint"))).alias("violations"),
+    )
 
 
-def count_orphans(tables: Mapping[str, DataFrame], relation: Relation) -> list[DataFrame]:
-    """Rows per reference that point nowhere; NULL where the parent table is not given."""
-    child, counted = tables[relation.name], []
-    for ref in relation.references:
-        rule = f"foreign_key:{ref.column}->{ref.parent}"
-        if ref.parent in tables:
-            orphans = orphan_keys(child, ref, tables[ref.parent])
-            counted.append(_summary(relation.name, rule, orphans, F.sum("row_count")))
-        else:
-            unknown = child.sparkSession.range(1).select(
-                F.lit(relation.name).alias("table_name"),
-                F.lit(rule).alias("rule"),
-                F.lit(None).cast("bigint").alias("violations"),
-            )
-            counted.append(unknown)
-    return counted
+def count_key_violations(df: DataFrame, relation: Relation) -> DataFrame:
+    """Surplus rows per repeated primary key, and rows with a NULL in it."""
+    rules = [r for r in declared_rules(relation) if r.name.startswith("primary_key:")]
+    return judge({relation.name: df}, rules)
+
+
+def count_unique_violations(df: DataFrame, relation: Relation) -> DataFrame:
+    """Surplus rows per repeated value of the unique columns."""
+    return judge({relation.name: df}, [r for r in declared_rules(relation) if r.name.startswith("unique:")])
+
+
+def count_orphans(tables: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
+    """Rows per reference of the tables ``names`` that point nowhere."""
+    rules = [r for name in names for r in declared_rules(CATALOG[name]) if r.reference]
+    needed = {*names, *(r.reference.parent for r in rules)}
+    return judge({name: tables[name] for name in tables if name in needed}, rules)
 
 
 def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> DataFrame:
@@ -194,13 +294,4 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> DataF
 
     A reference whose parent is not among them has NULL violations: not checked.
     """
-    parts = []
-    for name, df in tables.items():
-        relation = CATALOG[name]
-        rules = {**row_rules(relation, as_of), **key_rules(relation)}
-        if rules:
-            parts.append(count_row_violations(df, name, rules))
-        parts += count_key_violations(df, relation)
-        parts += count_unique_violations(df, relation)
-        parts += count_orphans(tables, relation)
-    return reduce(DataFrame.unionByName, parts)
+    return judge(tables, [r for name in tables for r in declared_rules(CATALOG[name], as_of)])

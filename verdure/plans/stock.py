@@ -17,18 +17,26 @@ def _sold_lines(tables: Tables, trust_orders: bool) -> DataFrame:
     return lines.join(tables["sale"].select(F.col("id").alias("id_sale")), "id_sale", "left_semi")
 
 
-def available_stock(tables: Tables, trust_orders: bool = False) -> DataFrame:
+def available_stock(
+    tables: Tables, trust_orders: bool = False, sold_units: DataFrame | None = None
+) -> DataFrame:
     """``id_flower, ready, sold, available`` of every product with a lot or a sale.
 
     Ready are the units of all lots marked so; sold are the units of all lines
     ever, of any date and status. Both sides are added up in one aggregation.
     ``trust_orders`` saves the look-up of the orders where no line lacks one.
+    ``sold_units`` (``id_flower, units``), the stored totals, stands for the
+    lines, and they are not read at all.
     """
     ready = F.when(F.col("ready_to_sale").eqNullSafe(True), F.col("amount")).otherwise(0)
     lots = tables["flower_warehouse"].select(
         "id_flower", ready.cast("bigint").alias("ready"), F.lit(0).cast("bigint").alias("sold")
     )
-    sold = _sold_lines(tables, trust_orders).select(
+    if sold_units is None:
+        lines = _sold_lines(tables, trust_orders)
+    else:
+        lines = sold_units.select("id_flower", F.col("units").alias("amount"))
+    sold = lines.select(
         "id_flower", F.lit(0).cast("bigint").alias("ready"), F.col("amount").cast("bigint").alias("sold")
     )
     return (

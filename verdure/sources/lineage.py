@@ -29,8 +29,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The copy outlives executors, keeps column pruning and filter pushdown, and
-    has a known size, so later joins are planned on facts.
+    has a known size, so later joins are planned on facts. What this function
+    returned is such a copy and is given back as it is.
     """
+    if hasattr(df, "written_state"):
+        return df
     path = f"{checkpoint_folder(df.sparkSession)}/verdure-{uuid.uuid4().hex}"
     df.write.parquet(path)
     state = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -45,9 +48,9 @@ def drop_state(state: DataFrame) -> None:
     not even to make up for a lost executor, so only drop what went into a
     table that is written in full.
     """
-    path = getattr(state, "written_state", None)
-    if path is None:
+    if not hasattr(state, "written_state"):
         return
+    path = state.written_state
     spark = state.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

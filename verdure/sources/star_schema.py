@@ -14,6 +14,7 @@ from functools import cache, partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdure.functions.periods import AsOf, window_start
 from verdure.sources.catalog import MONEY
 
 # The stored columns of the star schema.
@@ -230,25 +231,31 @@ def _lines_of(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def sales_tables(
-    spark: SparkSession, folder: str, order: int | None = None, bought_since: str | None = None
+    spark: SparkSession,
+    folder: str,
+    order: int | None = None,
+    as_of: AsOf = None,
+    window: str | None = None,
 ) -> DerivedTables:
     """Tables of the sales and order reports; lots carry prices.
 
-    ``order`` leaves one order and its lines, ``bought_since`` the orders from
-    that date on and their lines. Either cuts the lines at their scan or before
-    their first shuffle; a report with a window takes the window's first day.
+    ``order`` leaves one order and its lines; ``window`` (see ``periods.WINDOWS``)
+    the orders from the first day of that window before ``as_of``, and their
+    lines. Either cuts the lines at their scan or before their first shuffle,
+    and a report over the same window and day has the same result.
     """
+    since = None if window is None else window_start(as_of, window)
     read_all = cache(partial(read_star, spark, folder))
 
     def read(name: str) -> DataFrame:
         rows = read_all(name)
         if name == "orders" and order is not None:
             rows = rows.where(F.col("o_orderkey") == order)
-        if name == "orders" and bought_since is not None:
-            rows = rows.where(F.col("o_orderdate") >= F.lit(bought_since).cast("timestamp_ntz"))
+        if name == "orders" and since is not None:
+            rows = rows.where(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
         if name == "lineitem" and order is not None:
             rows = rows.where(F.col("l_orderkey") == order)
-        if name == "lineitem" and bought_since is not None:
+        if name == "lineitem" and since is not None:
             rows = _lines_of(rows, read("orders"))
         return rows
 
@@ -327,6 +334,124 @@ def flawed_tables(spark: SparkSession, folder: str) -> DerivedTables:
     )
 
 
+def every_flawed_table(spark: SparkSession, folder: str) -> DerivedTables:
+    """All 27 tables of the catalog with rule violations at fixed keys."""
+    read = cache(partial(read_star, spark, folder))
+    some = flawed_tables(spark, folder)
+
+    def of(source: str, *columns: str, **named: str) -> Callable[[], DataFrame]:
+        return lambda: read(source).selectExpr(*columns, *(f"{text} AS {name}" for name, text in named.items()))
+
+    def lines(**named: str) -> Callable[[], DataFrame]:
+        texts = [f"{text} AS {name}" for name, text in named.items()]
+        return lambda: read("lineitem").withColumn("line", line_id()).selectExpr(*texts)
+
+    return DerivedTables(
+        {
+            **{name: partial(some.__getitem__, name) for name in some},
+            "sale_sum": lambda: read("lineitem").selectExpr("CAST(sum(l_quantity) AS BIGINT) AS sum"),
+            "dead_flowers": lines(
+                id="line",
+                id_flower_warehouse="l_suppkey + CASE WHEN l_linenumber = 3 THEN 100000 ELSE 0 END",
+                date="CAST(l_shipdate AS DATE)",
+                count="CAST(l_quantity AS INT) - 2",
+                notes="l_returnflag",
+            ),
+            "disease": of("part", id="p_partkey", name="p_type", description="p_name", foto="CAST(NULL AS BINARY)"),
+            "disease_flower": lines(
+                id="line",
+                id_flower="l_partkey",
+                id_disease="l_suppkey * 30",
+                date="CAST(l_shipdate AS DATE)",
+                foto="CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_returnflag AS BINARY) END",
+                notes="CAST(NULL AS STRING)",
+            ),
+            "pest": of(
+                "supplier", id="s_suppkey", name="CASE WHEN s_suppkey % 30 = 8 THEN repeat(s_name, 2) ELSE s_name END"
+            ),
+            "pest_flower": lines(
+                id="line",
+                id_flower="CASE WHEN l_linenumber = 5 THEN -l_partkey ELSE l_partkey END",
+                id_pest="l_suppkey * 2",
+                date="CAST(l_shipdate AS DATE)",
+                foto="CAST(NULL AS BINARY)",
+                notes="l_linestatus",
+            ),
+            "greenhouse": lambda: greenhouses(read("supplier")).selectExpr("id", "id * 3 AS id_staff"),
+            "prevention": of(
+                "events",
+                id="event_id",
+                id_staff="nullif(user_id % 20, 11)",
+                date="CAST(ts AS DATE)",
+                cause="event_type",
+                note="CAST(NULL AS STRING)",
+                id_greenhouse="user_id % 12",
+            ),
+            "prevention_detail": of("events", id_preparation="user_id * 3", id_prevention="event_id - event_id % 5"),
+            "sheduled_prevention": of(
+                "events",
+                id="event_id - event_id % 2",
+                id_greenhouse="nullif(user_id % 11, 10)",
+                date="CASE WHEN event_type = 'view' THEN NULL ELSE CAST(ts AS DATE) END",
+                cause="event_type",
+            ),
+            "preparation": of(
+                "part", id="p_partkey", id_type="p_size - 1", name="CASE WHEN p_size = 9 THEN repeat(p_name, 4) ELSE p_name END"
+            ),
+            "preparation_type": of("nation", id="n_nationkey", name="CASE WHEN n_nationkey % 6 = 5 THEN 'other' ELSE n_name END"),
+            "position_rate": of(
+                "nation",
+                id="n_nationkey",
+                position="CASE WHEN n_nationkey % 9 = 4 THEN 'gardener' ELSE n_name END",
+                rate="CAST((n_nationkey - 2) * 10 AS DECIMAL(19,2))",
+            ),
+            "staff": of(
+                "supplier",
+                id="s_suppkey",
+                name="CASE WHEN s_suppkey % 50 = 7 THEN NULL WHEN s_suppkey % 45 = 6 THEN concat(s_name, 'xyz') ELSE s_name END",
+                surname="CASE WHEN s_suppkey % 40 = 3 THEN repeat(s_name, 2) ELSE s_name END",
+                patronymie="CASE WHEN s_suppkey % 3 = 0 THEN repeat(s_name, 2) END",
+                id_position="s_nationkey + CASE WHEN s_suppkey % 20 = 9 THEN 900 ELSE 0 END",
+                salary="CAST(s_acctbal AS DECIMAL(19,2))",
+                allowance="CAST(0 AS DECIMAL(38,2))",
+            ),
+            "purchase": of(
+                "orders",
+                id="o_orderkey",
+                id_staff="o_custkey % 120",
+                date="o_orderdate",
+                status=_PURCHASED,
+                notes="o_orderpriority",
+            ),
+            "purchase_detail": lines(
+                id_flower="l_partkey",
+                id_purchase="l_orderkey - l_orderkey % 4",
+                amount="CAST(l_quantity AS INT) - 1",
+                cost="CAST(l_extendedprice AS DECIMAL(19,2)) - 5000",
+            ),
+            "stock": of("part", id="p_partkey", id_type="p_size - 1", name="p_name", amount="p_size - 3"),
+            "stock_type": of("nation", id="n_nationkey * 2", name="repeat(n_name, 1 + n_nationkey % 5)"),
+            "stock_purchase": of(
+                "orders",
+                id="o_orderkey",
+                id_staff="nullif(o_custkey % 70, 5)",
+                date="CAST(o_orderdate AS DATE)",
+                status=_PURCHASED,
+            ),
+            "stock_purchase_detail": lines(
+                id_stock="l_partkey + CASE WHEN l_linenumber = 2 THEN 1000000 ELSE 0 END",
+                id_stock_purchase="l_orderkey - l_orderkey % 3",
+                amount="nullif(CAST(l_quantity AS INT) - 2, 5)",
+                cost="CASE WHEN l_linenumber > 1 THEN CAST(l_extendedprice AS DECIMAL(19,2)) - 9000 END",
+            ),
+        }
+    )
+
+
+# Status words of purchases by status letter; the last is not among the allowed ones.
+_PURCHASED = "CASE o_orderstatus WHEN 'F' THEN 'received' WHEN 'O' THEN 'not processed' ELSE 'ordered' END"
+
+
 def _flawed_clients(customer: DataFrame) -> DataFrame:
     return customer.selectExpr(
         "c_custkey AS id",

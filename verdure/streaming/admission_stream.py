@@ -2,14 +2,17 @@
 
 Each micro-batch is admitted as a whole, in the order of the line ids, against
 what earlier batches left; ``stock`` is what there was before the first batch.
-Two folders hold the outcome, one partition per
-batch:
-
-* ``decided`` – the lines, parted by ``accepted``,
-* ``used`` – units taken per product up to and including the batch.
-
-A batch reads only the last ``used`` partition before it and overwrites its
-own partitions, so a repeated batch gives the same result once.
+There are two ways:
+
+* ``keyed_admission`` keeps what each product has left in the state store. A
+  batch touches the products of its lines and nothing else. The lines of one
+  product in one batch go to one task.
+* ``admission_stream`` decides a batch with the batch operator, which spreads
+  the lines of one product over the cluster, and keeps its outcome in two
+  folders with one partition per batch: ``decided``, the lines, parted by
+  ``accepted``, and ``used``, the units that the batch took per product. A batch
+  reads what earlier ones took of its own products and overwrites only its own
+  partitions, so a repeated batch gives the same result once.
 """
 
 from __future__ import annotations
@@ -18,22 +21,85 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from verdure.operators.admission import admit_one_by_one
-from verdure.sources.lineage import cut_lineage
+from verdure.operators.admission import admit_one_by_one, first_fit
+from verdure.sources.lineage import cut_lineage, drop_state
 
 _USED = "id_flower bigint, units bigint"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _opening(stock: DataFrame) -> DataFrame:
+    return stock.groupBy("id_flower").agg(F.sum(F.col("available").cast("bigint")).alias("available"))
+
+
+def keyed_admission(lines: DataFrame, stock: DataFrame) -> DataFrame:
+    """A stream of the lines with ``accepted``, first fit over the stock left of each product.
+
+    What a product has left is its state, under its key in the state store; the
+    opening stock goes in with the first batch. The lines of a product in one
+    batch are sorted by id and decided together, by phases and not one by one.
+    One task holds them, so the sources' limits on a batch (files or bytes per
+    trigger) bound what a hot product asks of it.
+    """
+    lines.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    kind = lines.schema["id_flower"].dataType
+    schema = T.StructType([*lines.schema.fields, T.StructField("accepted", T.BooleanType())])
+    initial = _opening(stock).select(F.col("id_flower").cast(kind).alias("id_flower"), "available")
+    return lines.groupBy("id_flower").transformWithStateInPandas(
+        _stock_left(), schema, "Append", "None", initial.groupBy("id_flower")
+    )
+
+
+def _stock_left():
+    from pyspark.sql.streaming import StatefulProcessor
 
+    decide = first_fit()
 
-def _used_path(folder: str, batch: int) -> str:
-    return f"{folder}/used/batch={batch}"
+    # Nested, so that it travels by value and workers need not have the package.
+    class StockLeft(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.left = handle.getValueState("left", "units bigint")
+
+        def _units(self) -> int:
+            return self.left.get()[0] if self.left.exists() else 0
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            self.left.update((self._units() + int(initialState["available"].fillna(0).sum()),))
+
+        def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
+            import pandas as pd
+
+            part = pd.concat(list(rows)).sort_values("id", kind="stable")
+            amount = part["amount"].fillna(0).to_numpy().astype(np.int64)
+            run = np.zeros(len(part), dtype=np.int64)
+            accepted, left = decide(run, amount, np.array([self._units()], dtype=np.int64))
+            if accepted.any():
+                self.left.update((int(left[0]),))
+            yield part.assign(accepted=accepted)
+
+        def close(self) -> None:
+            pass
+
+    return StockLeft()
+
+
+def keyed_admission_stream(lines: DataFrame, stock: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
+    """Writer of ``keyed_admission`` into Parquet files, each line once; set a trigger and start it."""
+    decided = keyed_admission(lines, stock)
+    writer = decided.writeStream.outputMode("append").format("parquet")
+    return writer.option("path", folder).option("checkpointLocation", checkpoint)
 
 
 def _used_before(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """Units that earlier batches took, one row per product and batch."""
     if batch == 0:
         return spark.createDataFrame([], _USED)
-    return spark.read.schema(_USED).parquet(_used_path(folder, batch - 1))
+    used = spark.read.schema(f"{_USED}, batch int").parquet(f"{folder}/used")
+    return used.where(F.col("batch") < batch).drop("batch")
 
 
 def admit_batch(
@@ -46,11 +112,12 @@ def admit_batch(
     def decide(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         lines = cut_lineage(prepare(batch) if prepare else batch)
-        used = _used_before(spark, folder, number)
-        taken = used.select("id_flower", (-F.col("units")).alias("available"))
+        taken = _used_before(spark, folder, number).select("id_flower", (-F.col("units")).alias("available"))
+        wanted = lines.select(F.col("id_flower").alias("_wanted")).distinct()
         left = (
             stock.select("id_flower", F.col("available").cast("bigint").alias("available"))
             .unionByName(taken)
+            .join(wanted, F.col("id_flower") == F.col("_wanted"), "left_semi")
             .groupBy("id_flower")
             .agg(F.sum("available").alias("available"))
         )
@@ -60,18 +127,13 @@ def admit_batch(
         decided = admit_one_by_one(lines, left)
         writer = decided.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy("accepted").parquet(decided_path)
-        accepted = (
-            spark.read.schema(decided.schema)
-            .parquet(decided_path)
-            .where("accepted")
-            .select("id_flower", F.col("amount").cast("bigint").alias("units"))
-        )
+        drop_state(lines)
+        accepted = spark.read.schema(decided.schema).parquet(decided_path).where("accepted")
         (
-            used.unionByName(accepted)
-            .groupBy(F.col("id_flower").cast("bigint").alias("id_flower"))
-            .agg(F.sum("units").alias("units"))
+            accepted.groupBy(F.col("id_flower").cast("bigint").alias("id_flower"))
+            .agg(F.sum(F.col("amount").cast("bigint")).alias("units"))
             .write.mode("overwrite")
-            .parquet(_used_path(folder, number))
+            .parquet(f"{folder}/used/batch={number}")
         )
 
     return decide
@@ -88,15 +150,12 @@ def admission_stream(
 
     The opening stock is worked out and written here, once; the batches read it.
     """
-    opening = stock.groupBy("id_flower").agg(
-        F.sum(F.col("available").cast("bigint")).alias("available")
-    )
-    stock = cut_lineage(opening)
+    stock = cut_lineage(_opening(stock))
     return lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         admit_batch(stock, folder, prepare)
     )
 
 
 def decided_lines(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """All lines decided so far, with ``batch`` and ``accepted``."""
+    """All lines decided so far by ``admission_stream``, with ``batch`` and ``accepted``."""
     return spark.read.schema(f"{schema}, batch int, accepted boolean").parquet(f"{folder}/decided")
