@@ -158,26 +158,70 @@ def test_counts_follow_random_edits(encoder, monkeypatch, leaf):
     def some(n):
         return "".join(rng.choice(PIECES) for _ in range(n))
 
+    count = lambda t: len(encoder.encoding.encode_ordinary(t))
     for _ in range(400):
         text = some(rng.choice([0, 1, 5, 50, 300]))
-        tree = token_counts.CountTree(text, encoder)
-        for _ in range(5):
-            start = rng.randint(0, len(text))
-            end = min(len(text), start + rng.choice([0, 1, 2, 7, 30]))
-            new = some(rng.choice([0, 1, 2, 8]))
-            tree.edit(start, end, new)
-            text = text[:start] + new + text[end:]
-            assert tree.text() == text and tree.length == len(text)
-            assert tree.total == len(encoder.encoding.encode_ordinary(text))
+        tree = token_counts.CountTree.of_text(text, encoder)
+        for _ in range(4):
+            # One to four edits apart, in order, some of them beyond the text.
+            edits, at = [], 0
+            for _ in range(rng.randint(1, 4)):
+                start = at + rng.choice([0, 0, 1, 3, 20, 120])
+                end = start + rng.choice([0, 1, 2, 7, 30])
+                edits.append((start, end, some(rng.choice([0, 1, 2, 8]))))
+                at = end
+            expected, at = "", 0
+            for start, end, new in edits:
+                start, end = min(start, len(text)), min(end, len(text))
+                expected, at = expected + text[at:start] + new, end
+            expected += text[at:]
+            tree, text, encoded = tree.edited(text, edits, encoder)
+            assert text == expected and tree.length == len(text)
+            assert tree.total == count(text) and encoded <= len(text)
+            leaves = tree.chars[tree.width :]
+            assert tree.chars[1] == sum(leaves)
+            # As a tree of the whole text, but for where the leaves are cut.
+            assert tree.tokens[1] == sum(tree.tokens[tree.width :])
 
 
 def test_an_edit_encodes_its_surroundings_only(encoder):
     text = " ".join(cases.prose(5, 20_000))
-    tree = token_counts.CountTree(text, encoder)
-    tree.edit(50_000, 50_003, "new")
-    assert tree.encoded < 200
-    tree.edit(-5, 10**9, "")
-    assert tree.total == 0 and tree.text() == ""
+    tree = token_counts.CountTree.of_text(text, encoder)
+    tree, text, encoded = tree.edited(text, [(50_000, 50_003, "new"), (90_000, 90_000, " x ")], encoder)
+    assert 0 < encoded < 3000
+    # A place that is edited again and again does not gather one large leaf.
+    for k in range(200):
+        tree, text, encoded = tree.edited(text, [(60_000, 60_000, f" more{k} words")], encoder)
+        assert encoded < 3000
+    assert max(tree.chars[tree.width :]) < 64 * 30
+    tree, text, _ = tree.edited(text, [(-5, 10**9, "")], encoder)
+    assert tree.total == 0 and text == ""
+
+
+def test_trees_are_tables_that_updates_carry_on(spark, encoder):
+    texts = [(i, t) for i, t in cases.texts()] + [(None, "no id 12345"), (9, None)]
+    docs = cases.documents(spark, texts)
+    args = (RANKS, public_tokenizers.PATTERN)
+    trees = token_counts.build_trees(docs, *args)
+    keys = {(r.doc_id, r.text_key): r for r in token_counts.keyed(docs).collect()}
+    changes = [(i, k, [(3, 5, "new text"), (40, 41, "")]) for i, k in keys if i in (10, 60, 4, 1, None)]
+    schema = "doc_id bigint, text_key bigint, edits array<struct<start: int, `end`: int, new: string>>"
+    edits = spark.createDataFrame(changes, schema)
+    rows = token_counts.update_trees(docs, trees, edits, *args).collect()
+    count = lambda t: len(encoder.encoding.encode_ordinary(t))
+    assert len(rows) == len(changes)
+    for r in rows:
+        old = keys[r.doc_id, r.old_key].text or ""
+        assert r.text == old[:3] + "new text" + old[5:40] + old[41:]
+        assert (r.tokens[1], r.chars[1], r.n_edits) == (count(r.text), len(r.text), 2)
+    long = next(r for r in rows if r.doc_id == 60)
+    assert long.n_chars_encoded < 0.05 * len(long.text)
+    # The new rows are documents and trees of the next run.
+    again = spark.createDataFrame([(60, long.text_key, [(0, 0, "x ")])], schema)
+    next_docs = spark.createDataFrame([(60, long.text)], "doc_id bigint, text string")
+    next_trees = spark.createDataFrame([(60, long.text_key, long.chars, long.tokens)], trees.schema)
+    row = token_counts.update_trees(next_docs, next_trees, again, *args).first()
+    assert row.tokens[1] == count("x " + long.text) and row.n_chars_encoded < 3000
 
 
 def test_edited_counts_of_documents(spark, encoder):

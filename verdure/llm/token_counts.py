@@ -2,28 +2,33 @@
 
 A document's text is split into pre-tokens, which byte-pair encoding never
 joins. ``LEAF`` of them make a leaf; a segment tree over the leaves holds the
-characters and tokens below each node. An edit walks down to the leaf where it
-starts, splits anew from the last boundary that the edit cannot have moved, and
-goes on until a new boundary falls on an old one behind the edit: from there on
-everything is as it was, for the splitting looks ahead only. The leaves on the
-way are written anew and the sums above them updated.
-
-Defined results: NULL is an empty text; edits outside the text are cut to it;
-an empty edit changes nothing. Texts are handled row by row, so repeated rows,
-NULL ids and other columns need no rule.
+characters and tokens below each node. Trees are a table, one row per document,
+and so are edits. An update walks down each edited document's tree to the leaf
+where an edit starts, splits anew from the last boundary that the edit cannot have
+moved, and goes on until a new boundary falls on the end of an old leaf behind
+the edit: from there on everything is as it was, for the splitting looks ahead
+only. Leaves outside are taken over with their sums; trees and texts are given
+back for the tables, and documents without edits are not touched.
+
+Defined results: NULL is an empty text; edits outside the text, or inside an
+earlier one, are cut to what is left; an empty edit changes nothing. A tree
+belongs to an id (NULL is one) and a text; rows that repeat both share it, and
+each gets its result. Of several edit lists for one of them any one counts. An
+empty table gives none. Other columns need no rule.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
+
+from verdure.sources.lineage import cut_lineage
 
 LEAF = 64
 #: Characters behind a boundary that the splitting may have looked at.
@@ -57,42 +62,32 @@ class Encoder:
 
 
 class CountTree:
-    """Token count of one text under edits."""
-
-    def __init__(self, text: str, encoder: Encoder):
-        self.encoder = encoder
-        pieces = encoder.pattern.findall(text)
-        counts = encoder.count(pieces)
-        self.leaves = [
-            [list(map(len, pieces[i : i + LEAF])), counts[i : i + LEAF], "".join(pieces[i : i + LEAF])]
-            for i in range(0, len(pieces), LEAF)
-        ] or [[[], [], ""]]
-        self.width = 1 << (len(self.leaves) - 1).bit_length()
-        self.chars = [0] * (2 * self.width)
-        self.tokens = [0] * (2 * self.width)
-        for i in range(len(self.leaves)):
-            self._set(i)
-        for node in range(self.width - 1, 0, -1):
-            self._sum(node)
-        self.encoded = 0
-
-    def _set(self, leaf: int) -> None:
-        self.chars[self.width + leaf] = len(self.leaves[leaf][2])
-        self.tokens[self.width + leaf] = sum(self.leaves[leaf][1])
-
-    def _sum(self, node: int) -> None:
-        self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
-        self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
-
-    def _find(self, place: int) -> tuple[int, int]:
-        """The leaf that holds the character at ``place`` (the last one at the end), and where it begins."""
-        node, begin = 1, 0
-        while node < self.width:
-            node *= 2
-            if place >= begin + self.chars[node] and self.chars[node + 1]:
-                begin += self.chars[node]
-                node += 1
-        return node - self.width, begin
+    """Segment tree over the leaves of one text: characters and tokens below each node.
+
+    ``chars`` and ``tokens`` are the nodes in heap order, the root at 1 and the
+    leaves from ``width`` on. A leaf is a run of pre-tokens.
+    """
+
+    def __init__(self, chars: list[int], tokens: list[int]):
+        self.chars, self.tokens = chars, tokens
+        self.width = len(chars) // 2
+
+    @classmethod
+    def of_leaves(cls, chars: list[int], tokens: list[int]) -> CountTree:
+        width = 1 << max(len(chars) - 1, 0).bit_length()
+        nodes = []
+        for leaves in (chars, tokens):
+            level = leaves + [0] * (width - len(leaves))
+            heap = level
+            while len(level) > 1:
+                level = [x + y for x, y in zip(level[::2], level[1::2], strict=True)]
+                heap = level + heap
+            nodes.append([0, *heap])
+        return cls(*nodes)
+
+    @classmethod
+    def of_text(cls, text: str, encoder: Encoder) -> CountTree:
+        return cls.of_leaves(*_leaves(encoder.pattern.findall(text), encoder))
 
     @property
     def total(self) -> int:
@@ -102,85 +97,100 @@ class CountTree:
     def length(self) -> int:
         return self.chars[1]
 
-    def text(self) -> str:
-        return "".join(leaf[2] for leaf in self.leaves)
+    def leaf_at(self, place: int) -> tuple[int, int]:
+        """The leaf that holds the character at ``place`` (the last one at the end), and where it begins."""
+        node, begin = 1, 0
+        while node < self.width:
+            node *= 2
+            if place >= begin + self.chars[node] and self.chars[node + 1]:
+                begin += self.chars[node]
+                node += 1
+        return node - self.width, begin
 
-    def edit(self, start: int, end: int, new: str) -> None:
-        start = max(0, min(start, self.length))
-        end = max(start, min(end, self.length))
-        if start == end and not new:
-            return
-        # The last boundary that the edit cannot move. The pattern looks two characters
-        # ahead (blanks before a word, contractions), so what ends there is safe.
-        leaf, begin = self._find(max(start - AHEAD, 0))
-        last, last_begin = self._find(max(end - 1, start))
-        lengths = self.leaves[leaf][0]
-        keep, at = 0, begin
-        while keep < len(lengths) and at + lengths[keep] < start - AHEAD + 1:
-            at += lengths[keep]
-            keep += 1
-        # Old text from that boundary to the end of the last leaf touched.
-        parts = [self.leaves[i][2] for i in range(leaf, last + 1)]
-        region = "".join(parts)[at - begin :]
-        region = region[: start - at] + new + region[end - at :]
-        # Boundaries of the old text behind the edit, in the new text's places.
-        olds: list[int] = []
-        place = last_begin
-        for n in self.leaves[last][0]:
-            olds.append(place - at + len(new) - (end - start))
-            place += n
-        olds.append(place - at + len(new) - (end - start))
-        behind = start - at + len(new)
-        pieces, here, stop, tail = [], 0, None, last
-        while True:
-            for m in self.encoder.pattern.finditer(region, here):
-                # A piece that reaches the end of the region may go on behind it.
-                if m.end() > len(region) - AHEAD and any(self.chars[self.width + i] for i in range(tail + 1, len(self.leaves))):
-                    break
+    def edited(self, text: str, edits: list[Edit], encoder: Encoder) -> tuple[CountTree, str, int]:
+        """The tree and text after ``edits``, and the characters that were split and encoded anew.
+
+        Edits are in places of ``text``, in order and apart. Around each one the
+        new text is split from the start of the leaf that holds the last
+        boundary the edit cannot have moved, until a boundary falls on the end
+        of an old leaf behind the edit; a region that reaches the next edit goes
+        on over it. Leaves outside the regions are taken over with their sums,
+        those inside are cut anew, so leaves stay small however often a place
+        is edited. The sums above new leaves are made again from them.
+        """
+        new, edits = _spliced(text, edits)
+        if not edits:
+            return self, text, 0
+        first = self.width
+        chars, tokens = self.chars[first:], self.tokens[first:]
+        out_chars: list[int] = []
+        out_tokens: list[int] = []
+        encoded = done = 0  # old leaves that are dealt with
+        at = moved = k = 0  # where they end in the old text, and how far that has moved
+        while k < len(edits):
+            leaf, begin = self.leaf_at(max(edits[k][0] - AHEAD, 0))
+            if leaf < done:
+                leaf, begin = done, at
+            out_chars += chars[done:leaf]
+            out_tokens += tokens[done:leaf]
+            shift, end = moved, edits[k][1]
+            moved += len(edits[k][2]) - (end - edits[k][0])
+            k += 1
+            here, old, last = begin + shift, begin, leaf
+            pieces = []
+            for m in encoder.pattern.finditer(new, here):
                 pieces.append(m.group())
                 here = m.end()
-                if here >= behind:
-                    i = bisect_left(olds, here)
-                    if i < len(olds) and olds[i] == here:
-                        stop = i
-                        break
-            if stop is not None or here == len(region):
-                break
-            tail += 1
-            place = len(region)
-            region += self.leaves[tail][2]
-            for n in self.leaves[tail][0]:
-                place += n
-                olds.append(place)
-        counts = self.encoder.count(pieces)
-        self.encoded += sum(map(len, pieces))
-        rest_lengths, rest_counts, rest_text = self._rest(last, tail, region[here:])
-        head = self.leaves[leaf]
-        self.leaves[leaf] = [
-            head[0][:keep] + list(map(len, pieces)) + rest_lengths,
-            head[1][:keep] + counts + rest_counts,
-            head[2][: at - begin] + "".join(pieces) + rest_text,
-        ]
-        for i in range(leaf + 1, tail + 1):
-            self.leaves[i] = [[], [], ""]
-        nodes = set()
-        for i in range(leaf, tail + 1):
-            self._set(i)
-            nodes.add((self.width + i) // 2)
-        while nodes and max(nodes) >= 1:
-            for node in nodes:
-                self._sum(node)
-            nodes = {n // 2 for n in nodes if n > 1}
-
-    def _rest(self, last: int, tail: int, text: str) -> tuple[list[int], list[int], str]:
-        """Old pre-tokens of the leaves ``last`` to ``tail`` that make up ``text``, their end."""
-        lengths = [n for leaf in self.leaves[last : tail + 1] for n in leaf[0]]
-        counts = [n for leaf in self.leaves[last : tail + 1] for n in leaf[1]]
-        left, i = len(text), len(lengths)
-        while left > 0:
-            i -= 1
-            left -= lengths[i]
-        return lengths[i:], counts[i:], text
+                while True:
+                    # Old leaves that end before this boundary.
+                    while last < len(chars) and old + moved < here:
+                        old += chars[last]
+                        last += 1
+                    if k < len(edits) and edits[k][0] - AHEAD < old:
+                        # The next edit is in or before this leaf: its change counts from here on.
+                        end = max(end, edits[k][1])
+                        moved += len(edits[k][2]) - (edits[k][1] - edits[k][0])
+                        k += 1
+                        old, last = begin, leaf
+                        continue
+                    break
+                if old >= end and old + moved == here:
+                    break
+            else:
+                # To the end of the text.
+                last = len(chars)
+                old = self.length
+            counted = _leaves(pieces, encoder)
+            encoded += sum(counted[0])
+            out_chars += counted[0]
+            out_tokens += counted[1]
+            done, at = last, old
+        out_chars += chars[done:]
+        out_tokens += tokens[done:]
+        held = [i for i, n in enumerate(out_chars) if n]
+        tree = CountTree.of_leaves([out_chars[i] for i in held], [out_tokens[i] for i in held])
+        return tree, new, encoded
+
+
+def _leaves(pieces: list[str], encoder: Encoder) -> tuple[list[int], list[int]]:
+    """Characters and tokens of each ``LEAF`` pre-tokens."""
+    sizes, counts = list(map(len, pieces)), encoder.count(pieces)
+    at = range(0, len(pieces), LEAF)
+    return [sum(sizes[i : i + LEAF]) for i in at], [sum(counts[i : i + LEAF]) for i in at]
+
+
+def _spliced(text: str, edits: list[Edit]) -> tuple[str, list[Edit]]:
+    """The new text, and the edits cut to the old one, without those that change nothing."""
+    parts, at, kept = [], 0, []
+    for start, end, new in edits:
+        start = max(at, min(start, len(text)))
+        end = max(start, min(end, len(text)))
+        if start == end and not new:
+            continue
+        kept.append((start, end, new))
+        parts += [text[at:start], new]
+        at = end
+    return "".join([*parts, text[at:]]), kept
 
 
 _LONG_NUMBER = re.compile("[0-9]{4,}")
@@ -200,45 +210,129 @@ def cleaning_edits(text: str) -> list[Edit]:
     return edits
 
 
-def apply_edits(tree: CountTree, edits: Iterable[Edit]) -> None:
-    """Edits in places of the text as it was, in order and apart."""
-    moved = 0
-    for start, end, new in edits:
-        tree.edit(start + moved, end + moved, new)
-        moved += len(new) - (end - start)
+_READY: dict[tuple[str, str], Encoder] = {}
 
 
-_READY: dict[tuple[str, str], Encoder] = {}
+def _encoder(path: str, pattern: str) -> Encoder:
+    if (path, pattern) not in _READY:
+        _READY[path, pattern] = Encoder(path, pattern)
+    return _READY[path, pattern]
+
+
+_EDIT = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("new", pa.string())]))
+_NODES = pa.list_(pa.int32())
+_TREE = "chars array<int>, tokens array<int>"
+_EDITS = "edits array<struct<start: int, `end`: int, new: string>>"
+
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text``: a tree belongs to an id and the text that it was made of."""
+    return documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
+def build_trees(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, text_key, chars, tokens``: the segment tree of every row, with its texts encoded whole."""
 
-def _counts(path: str, pattern: str, edits_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, pattern) not in _READY:
-            _READY[path, pattern] = Encoder(path, pattern)
-        encoder = _READY[path, pattern]
+        encoder = _encoder(path, pattern)
         for batch in batches:
-            columns: list[list[int]] = [[], [], [], [], []]
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                tree = CountTree(text, encoder)
-                before = tree.total
-                edits = edits_of(text)
-                apply_edits(tree, edits)
-                for column, value in zip(
-                    columns, (before, len(edits), tree.total, tree.length, tree.encoded), strict=True
-                ):
-                    column.append(value)
+            trees = [CountTree.of_text(t or "", encoder) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in columns]],
-                ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_chars_encoded"],
+                [*batch.columns[:2], pa.array([t.chars for t in trees], _NODES), pa.array([t.tokens for t in trees], _NODES)],
+                ["doc_id", "text_key", "chars", "tokens"],
             )
 
-    return run
+    rows = keyed(documents)
+    return rows.mapInArrow(run, f"doc_id {_kind(rows)}, text_key bigint, {_TREE}")
+
+
+def edits_of_texts(documents: DataFrame, edits_of=cleaning_edits) -> DataFrame:
+    """``doc_id, text_key, edits`` of the rows that a cleaning step changes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("start", "end", "new")
+        for batch in batches:
+            found = [[dict(zip(names, e, strict=True)) for e in edits_of(t or "")] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, _EDIT)], ["doc_id", "text_key", "edits"])
+
+    rows = keyed(documents)
+    return rows.mapInArrow(run, f"doc_id {_kind(rows)}, text_key bigint, {_EDITS}").where(F.size("edits") > 0)
+
+
+def _kind(rows: DataFrame) -> str:
+    return rows.schema["doc_id"].dataType.simpleString()
+
+
+def update_trees(documents: DataFrame, trees: DataFrame, edits: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The trees and texts of the edited documents: ``doc_id, text_key, text, chars, tokens, n_edits, n_chars_encoded``.
+
+    ``documents`` holds the texts that the trees were made of, ``edits`` the
+    changes, one row for each document that has any. Only those documents are
+    joined with their trees, and of their texts only the regions around the
+    edits are encoded. The result has the new ``text_key``, so it takes the place
+    of the old rows in the table of trees.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(path, pattern)
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                tree = CountTree(row["chars"], row["tokens"])
+                changes = [(e["start"], e["end"], e["new"]) for e in row["edits"]]
+                tree, text, encoded = tree.edited(row["text"] or "", changes, encoder)
+                found.append((text, tree.chars, tree.tokens, len(changes), encoded))
+            columns = zip(*found, strict=True) if found else [[]] * 5
+            kinds = (pa.string(), _NODES, _NODES, pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                ["doc_id", "old_key", "text", "chars", "tokens", "n_edits", "n_chars_encoded"],
+            )
+
+    # A row that stands several times has one tree.
+    texts = keyed(documents).dropDuplicates(["doc_id", "text_key"]).alias("d")
+    changes = edits.dropDuplicates(["doc_id", "text_key"]).alias("e")
+    held = trees.dropDuplicates(["doc_id", "text_key"]).alias("t")
+    small = held.join(changes, _same_key("t", "e")).select("t.*", "e.edits").alias("s")
+    met = texts.join(small, _same_key("d", "s")).select("d.doc_id", "d.text_key", "d.text", "s.chars", "s.tokens", "s.edits")
+    schema = (
+        f"doc_id {_kind(documents)}, old_key bigint, text string, {_TREE}, n_edits bigint, n_chars_encoded bigint"
+    )
+    return met.mapInArrow(run, schema).select(
+        "doc_id", "old_key", F.xxhash64("text").alias("text_key"), "text", "chars", "tokens", "n_edits", "n_chars_encoded"
+    )
+
+
+def _same_key(a: str, b: str):
+    same = F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))
+    return same & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
 
 
 def edited_counts(documents: DataFrame, path: str, pattern: str, edits_of=cleaning_edits) -> DataFrame:
-    """Tokens of every text before and after its edits, and the characters encoded for them."""
-    source = documents.select("doc_id", "text")
-    names = ("n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_chars_encoded")
-    schema = T.StructType([source.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names]])
-    return source.mapInArrow(_counts(path, pattern, edits_of), schema)
+    """Tokens of every text before and after its edits, and the characters encoded for them.
+
+    Trees and edits are tables: the trees are built once and written, the edits
+    are found and written, and the update reads both.
+    """
+    trees = cut_lineage(build_trees(documents, path, pattern))
+    edits = cut_lineage(edits_of_texts(documents, edits_of))
+    new = cut_lineage(
+        update_trees(documents, trees, edits, path, pattern).select(
+            "doc_id", F.col("old_key").alias("text_key"), "n_edits", "n_chars_encoded",
+            F.get("tokens", F.lit(1)).cast("bigint").alias("tokens_now"),
+            F.get("chars", F.lit(1)).cast("bigint").alias("chars_now"),
+        )
+    )
+    rows = trees.select(
+        "doc_id", "text_key",
+        F.get("tokens", F.lit(1)).cast("bigint").alias("n_tokens"), F.get("chars", F.lit(1)).cast("bigint").alias("n_chars"),
+    )
+    none = F.lit(0).cast("bigint")
+    return rows.alias("t").join(new.alias("n"), _same_key("t", "n"), "left").select(
+        "t.doc_id",
+        "t.n_tokens",
+        F.coalesce("n.n_edits", none).alias("n_edits"),
+        F.coalesce("n.tokens_now", "t.n_tokens").alias("n_tokens_edited"),
+        F.coalesce("n.chars_now", "t.n_chars").alias("n_chars_edited"),
+        F.coalesce("n.n_chars_encoded", none).alias("n_chars_encoded"),
+    )
