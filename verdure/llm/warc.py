@@ -107,9 +107,19 @@ def record_bytes(
     return press.compress(head) + press.compress(body) + press.compress(b"\r\n\r\n") + press.flush()
 
 
+#: Names that Spark's file systems have beside those of the reader's.
+_SAME_STORE = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The store behind a URI as Spark writes it, and the path in it."""
+    scheme, mark, rest = uri.partition("://")
+    return pafs.FileSystem.from_uri(f"{_SAME_STORE.get(scheme, scheme)}{mark}{rest}")
+
+
 def _write(folder: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = pafs.FileSystem.from_uri(folder)
+        system, root = file_system(folder)
         stream, name, held, records = None, "", 0, 0
 
         def done() -> pa.RecordBatch:
@@ -245,7 +255,7 @@ def _read(keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                system, name = pafs.FileSystem.from_uri(path)
+                system, name = file_system(path)
                 with system.open_input_stream(name, compression=None) as stream:
                     held, size = [], 0
                     for record in read_records(stream, keep):
