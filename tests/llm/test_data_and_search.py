@@ -161,6 +161,11 @@ def _archive(*payloads):
     )
 
 
+def test_names_of_stores_as_spark_has_them(tmp_path):
+    for uri, path in (("s3a://bucket/a/b", "bucket/a/b"), ("s3n://bucket/a", "bucket/a"), (f"file://{tmp_path}/x", f"{tmp_path}/x")):
+        assert warc.file_system(uri)[1] == path
+
+
 def test_damaged_archives_are_refused():
     whole = _archive(b"one" * 50_000, b"", b"two")
     assert [r["payload_bytes"] for r in warc.read_records(io.BytesIO(whole))] == [150_000, 0, 3]
@@ -208,6 +213,53 @@ def test_neighbours_of_a_small_table_with_copies(spark, shard_rows):
     assert all(scores[q, i] == pytest.approx(s, rel=1e-12) for q in got for i, s in got[q] if (q, i) in scores)
 
 
+@pytest.mark.parametrize("size", [1e-300, 1e-30, 1e25, 1e150])
+def test_numbers_of_any_size(spark, size):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=6) * size).tolist()) for i in range(200)]
+    found = nearest.neighbours_of_every_twentieth(_vectors(spark, rows)).collect()
+    exact, got = _exact(rows), {}
+    for r in found:
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert got.keys() == exact.keys() and all(len(got[q]) == 20 for q in got)
+    if size > 1e-200:  # products of the smallest are all zero
+        assert np.mean([len(got[q].keys() & {i for i, _ in exact[q]}) / 20 for q in exact]) > 0.97
+
+
+def test_lengths_of_many_sizes_in_one_table(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=5) * 10.0 ** (int(i % 9) * 6 - 24)).tolist()) for i in range(600)]
+    got = {}
+    for r in nearest.neighbours_of_every_twentieth(_vectors(spark, rows)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    exact = _exact(rows)
+    assert np.mean([len(got[q] & {i for i, _ in exact[q]}) / 20 for q in exact]) > 0.95
+
+
+def test_every_node_is_reached_and_hubs_lose_no_link():
+    rng = np.random.default_rng(5)
+    # A dense cluster, far lone vectors and a few very long ones.
+    cluster = rng.normal(size=(1500, 6)) * 0.01 + 1
+    lone = rng.normal(size=(300, 6)) * 5
+    vectors = np.unique(np.concatenate([cluster, lone, rng.normal(size=(5, 6)) * 400]), axis=0)
+    edges, entry = nearest.build_graph(vectors)
+    seen = np.zeros(len(vectors), dtype=bool)
+    nearest._reached(edges, np.array([entry]), seen)
+    assert seen.all()
+    apart = np.full((40, nearest.DEGREE), -1)
+    linked = nearest._all_reached(nearest.lifted(rng.normal(size=(40, 3))), apart, 0)
+    seen = np.zeros(40, dtype=bool)
+    nearest._reached(linked, np.array([0]), seen)
+    assert seen.all()
+
+
+def test_rows_that_repeat_a_vector_are_each_found(spark):
+    rows = [(20, [1.0, 0.0])] + [(7, [2.0, 0.0])] * 3 + [(9, [1.5, 0.0])] * 40 + [(i, [0.1, float(i)]) for i in range(30, 40)]
+    found = nearest.neighbours_of_every_twentieth(_vectors(spark, rows)).where("query_id = 20").collect()
+    got = [r.vec_id for r in sorted(found, key=lambda r: r["rank"])]
+    assert got == [7] * 3 + [9] * 17
+
+
 def test_recall_on_the_drivers_vectors(spark):
     data = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, list(r.embedding)) for r in data.collect()]

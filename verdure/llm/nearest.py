@@ -1,16 +1,22 @@
 """Approximate nearest neighbours by inner product on robust-pruned graphs, shard by shard.
 
-Every usable vector belongs to a shard, by a hash of its id, so that shards are
-of equal size whatever the vectors are. In a shard equal vectors are one node.
-A node is lifted by one coordinate to the length of the longest vector; largest
-inner product is then smallest distance. Nodes enter the graph in batches: a
-greedy search from the entry point proposes neighbours, robust pruning keeps the
-near ones that are not behind one another (distances relaxed by ``ALPHA``), and
-the reverse edges are pruned alike.
-
-The index is a table with one row per vector. Queries go to every shard in
-blocks; a beam search finds their nodes, the nodes' rows are scored exactly in
-double precision, and the best of all shards are ranked by Spark.
+Every usable vector belongs to a shard of vectors of a like size (``BAND`` binary
+digits of the largest component), by a hash, so that shards are equally large
+whatever the vectors are; rows that repeat an id and a vector are one row with a
+count. Shards grow with the table up to ``SHARD_BYTES``, so their number, and with
+it the work of a query, grows only once memory is the limit. In a shard equal
+vectors are one node. Vectors are scaled to the longest one of the shard and
+lifted by one coordinate to its length; largest inner product is then smallest
+distance. Nodes enter the graph in batches: a greedy search from the entry point
+proposes neighbours, robust pruning keeps the near ones that are not behind one
+another (distances relaxed by ``ALPHA``), and all reverse edges are pruned alike, a
+part at a time. Nodes that the entry point does not reach are linked in the end
+from the nearest node that it does reach.
+
+The index is a table with one row per id and vector. Queries go to every shard
+in blocks; a beam search finds their nodes, the nodes' rows are scored exactly in
+double precision on the vectors as they are, and the best of all shards are
+ranked by Spark.
 
 Defined results: vectors that are NULL, empty, zero or have a NULL or
 non-finite component take no part; vectors of different lengths never meet; a
@@ -29,8 +35,12 @@ from pyspark.sql import functions as F
 
 from verdure.sources.lineage import cut_lineage
 
-SHARD_ROWS = 16_384
-QUERY_BLOCK = 32_768
+#: A shard holds so many rows, or its part of the table in so many shards if that is more.
+SHARD_ROWS, SHARDS = 16_384, 64
+#: Bytes of vectors and edges that one shard holds at most.
+SHARD_BYTES = 1 << 28
+QUERY_BLOCK = 131_072
+BAND = 16
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 128
@@ -55,13 +65,27 @@ def usable(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors over the length of the longest one; numbers of any size keep their digits."""
+    vectors = vectors / np.abs(vectors).max()
+    return vectors / np.sqrt((vectors**2).sum(axis=1).max())
+
+
 def lifted(vectors: np.ndarray) -> np.ndarray:
     """Vectors of equal length in one more dimension."""
+    vectors = scaled(vectors)
     square = (vectors**2).sum(axis=1)
-    extra = np.sqrt(np.maximum(square.max() - square, 0))
+    extra = np.sqrt(np.maximum(1 - square, 0))
     return np.column_stack([vectors, extra]).astype(np.float32)
 
 
+def asked_points(queries: np.ndarray) -> np.ndarray:
+    """Queries of length 1, which changes no order, with the coordinate of the lift."""
+    unit = queries / np.abs(queries).max(axis=1, keepdims=True)
+    unit = unit / np.sqrt((unit**2).sum(axis=1, keepdims=True))
+    return np.column_stack([unit, np.zeros(len(unit))]).astype(np.float32)
+
+
 def beam_search(
     points: np.ndarray, edges: np.ndarray, entry: int, asked: np.ndarray, beam: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -153,24 +177,57 @@ def build_graph(vectors: np.ndarray) -> tuple[np.ndarray, int]:
         source, target = source[target >= 0], target[target >= 0]
         _add_reverse(points, edges, source, target)
         done += len(batch)
-    return edges, entry
+    return _all_reached(points, edges, entry), entry
 
 
 def _add_reverse(points: np.ndarray, edges: np.ndarray, source: np.ndarray, target: np.ndarray) -> None:
+    """Adds edges from targets back to sources; a node that has too many is pruned, some at a time."""
     away = ((points[source] - points[target]) ** 2).sum(axis=1)
     order = np.lexsort((away, target))
     source, target = source[order], target[order]
-    nodes, first, count = np.unique(target, return_index=True, return_counts=True)
-    # The nearest of the new ones; farther ones would be pruned behind them.
-    most = min(int(count.max()), 2 * DEGREE)
-    place = np.arange(most)[None, :]
-    new = np.where(place < count[:, None], source[np.minimum(first[:, None] + place, len(source) - 1)], -1)
-    both = np.concatenate([edges[nodes], new], axis=1)
-    full = (both >= 0).sum(axis=1) > DEGREE
-    if full.any():
-        edges[nodes[full]] = robust_prune(points, nodes[full], both[full], DEGREE, ALPHA)
-    rest = both[~full]
-    edges[nodes[~full]] = np.take_along_axis(rest, np.argsort(rest < 0, axis=1, kind="stable"), axis=1)[:, :DEGREE]
+    while len(target):
+        nodes, first, count = np.unique(target, return_index=True, return_counts=True)
+        most = min(int(count.max()), 2 * DEGREE)
+        place = np.arange(most)[None, :]
+        new = np.where(place < count[:, None], source[np.minimum(first[:, None] + place, len(source) - 1)], -1)
+        both = np.concatenate([edges[nodes], new], axis=1)
+        full = (both >= 0).sum(axis=1) > DEGREE
+        if full.any():
+            edges[nodes[full]] = robust_prune(points, nodes[full], both[full], DEGREE, ALPHA)
+        rest = both[~full]
+        edges[nodes[~full]] = np.take_along_axis(rest, np.argsort(rest < 0, axis=1, kind="stable"), axis=1)[:, :DEGREE]
+        later = np.arange(len(target)) - np.repeat(first, count) >= most
+        source, target = source[later], target[later]
+
+
+def _reached(edges: np.ndarray, start: np.ndarray, seen: np.ndarray) -> None:
+    """Marks in ``seen`` all that can be reached from ``start``."""
+    seen[start] = True
+    while len(start):
+        start = np.unique(edges[start])
+        start = start[start >= 0]
+        start = start[~seen[start]]
+        seen[start] = True
+
+
+def _all_reached(points: np.ndarray, edges: np.ndarray, entry: int) -> np.ndarray:
+    """``edges`` with links to what the entry does not reach, in columns of their own if need be."""
+    seen = np.zeros(len(points), dtype=bool)
+    _reached(edges, np.array([entry]), seen)
+    for node in np.flatnonzero(~seen).tolist():
+        if seen[node]:
+            continue
+        near, _ = beam_search(points, edges, entry, points[[node]], BUILD_BEAM)
+        near = near[0][near[0] >= 0]
+        free = (edges[near] < 0).any(axis=1)
+        if not free.any():
+            edges = np.column_stack([edges, np.full(len(edges), -1)])
+            free[:] = True
+        # The nearest one with room; edges are filled from the left.
+        place = int(near[np.flatnonzero(free)[0]])
+        edges[place, int(np.argmax(edges[place] < 0))] = node
+        _reached(edges, np.array([node]), seen)
+    return edges
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -186,16 +243,14 @@ def _index_shard(table: pa.Table) -> pa.Table:
     different, node = np.unique(vectors, axis=0, return_inverse=True)
     node = node.ravel()
     edges, entry = build_graph(different)
+    width = edges.shape[1]
     lists = pa.ListArray.from_arrays(
-        pa.array(np.arange(0, (len(node) + 1) * DEGREE, DEGREE, dtype=np.int32)),
+        pa.array(np.arange(0, (len(node) + 1) * width, width, dtype=np.int32)),
         pa.array(edges[node].astype(np.int32).ravel()),
     )
     return pa.table(
         {
-            "dims": table.column("dims"),
-            "shard": table.column("shard"),
-            "id": table.column("id"),
-            "vector": table.column("vector"),
+            **{c: table.column(c) for c in ("dims", "band", "shard", "id", "copies", "vector")},
             "node": pa.array(node.astype(np.int32)),
             "entry": pa.array(np.full(len(node), entry, dtype=np.int32)),
             "edges": lists,
@@ -204,17 +259,35 @@ def _index_shard(table: pa.Table) -> pa.Table:
 
 
 def build_index(embeddings: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per usable vector: its shard, its node there and the node's edges."""
-    rows = usable(embeddings).withColumn("dims", F.size("vector"))
-    counts = rows.groupBy("dims").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
-    # One row per length of vectors.
-    placed = rows.join(counts, "dims").withColumn(
-        "shard", F.pmod(F.xxhash64("id", "vector"), F.col("shards")).cast("int")
-    ).drop("shards")
+    """One row per usable id and vector: its shard, its node there and the node's edges."""
+    largest = F.aggregate("vector", F.lit(0.0), lambda most, x: F.greatest(most, F.abs(x)))
+    rows = (
+        usable(embeddings)
+        .groupBy("id", "vector")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumns({"dims": F.size("vector"), "band": F.floor(F.log2(largest) / BAND).cast("int")})
+    )
+    rows = cut_lineage(rows)
+    held = F.least(
+        F.greatest(F.lit(shard_rows), F.count(F.lit(1)) / SHARDS),
+        F.lit(SHARD_BYTES) / (8 * F.col("dims") + 8 * DEGREE),
+    )
+    shards = F.ceil(F.count(F.lit(1)) / F.greatest(held, F.lit(1))).cast("int")
+    # One row per length of vectors and band.
+    counts = cut_lineage(rows.groupBy("dims", "band").agg(shards.alias("shards")))
+    total = counts.agg(F.sum("shards").alias("n")).first()["n"] or 1
+    placed = (
+        rows.join(F.broadcast(counts), ["dims", "band"])
+        .withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.col("shards")).cast("int"))
+        .drop("shards")
+    )
     schema = (
-        "dims int, shard int, id bigint, vector array<double>, node int, entry int, edges array<int>"
+        "dims int, band int, shard int, id bigint, copies bigint, vector array<double>, node int, entry int,"
+        " edges array<int>"
     )
-    return cut_lineage(placed.groupBy("dims", "shard").applyInArrow(_index_shard, schema))
+    key = ("dims", "band", "shard")
+    # As many partitions as shards, which are not merged: a shard is built by one task.
+    return cut_lineage(placed.repartition(total, *key).groupBy(*key).applyInArrow(_index_shard, schema))
 
 
 def _search_shard(beam: int, k: int):
@@ -228,6 +301,7 @@ def _search_shard(beam: int, k: int):
         vectors, queries = _matrix(index.column("vector")), _matrix(asked.column("vector"))
         ids = index.column("id").to_numpy()
         node = index.column("node").to_numpy()
+        copies = np.minimum(index.column("copies").to_numpy(), k)
         # Rows by node, smallest ids first; one row of each node stands for it.
         order = np.lexsort((ids, node))
         begin = np.flatnonzero(np.append(True, node[order][1:] != node[order][:-1]))
@@ -240,14 +314,16 @@ def _search_shard(beam: int, k: int):
         parts = []
         for at in range(0, len(queries), BATCH):
             block = queries[at : at + BATCH]
-            lifted_block = np.column_stack([block, np.zeros(len(block))]).astype(np.float32)
-            found, _ = beam_search(points, edges, entry, lifted_block, max(beam, k + 1))
+            found, _ = beam_search(points, edges, entry, asked_points(block), max(beam, k + 1))
             for i in range(len(block)):
                 nodes = found[i][found[i] >= 0][: k + 1 + EXPAND]
                 # Equal vectors: the k + 1 smallest ids are enough, one may be the query's own.
-                rows = np.concatenate([order[begin[x] : begin[x] + min(size[x], k + 1)] for x in nodes])
+                rows = [order[begin[x] : begin[x] + min(size[x], k + 1)] for x in nodes]
+                rows = np.concatenate([np.zeros(0, dtype=np.int64), *rows])
                 rows = rows[ids[rows] != query_id[at + i]]
-                score = (vectors[rows] * block[i]).sum(axis=1)
+                rows = np.repeat(rows, copies[rows])
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = (vectors[rows] * block[i]).sum(axis=1)
                 best = np.lexsort((ids[rows], -score))[:k]
                 parts.append((at + i, ids[rows[best]], score[best]))
         owner = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]).astype(np.int64)
@@ -269,14 +345,15 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH_
     asked = usable(queries).withColumns(
         {"dims": F.size("vector"), "query_key": F.xxhash64("vector")}
     ).dropDuplicates(["id", "query_key"])
-    shards = index.select(F.col("dims").alias("q_dims"), F.col("shard").alias("q_shard")).distinct()
+    key = ("dims", "band", "shard")
+    shards = index.select(*[F.col(c).alias(f"q_{c}") for c in key]).distinct()
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     everywhere = asked.withColumn(
         "q_block", F.pmod(F.col("query_key"), F.lit(blocks)).cast("int")
     ).join(shards, F.col("dims") == F.col("q_dims")).drop("dims")
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    there = copies.groupBy("dims", "shard", "block")
-    met = there.cogroup(everywhere.groupBy("q_dims", "q_shard", "q_block")).applyInArrow(
+    there = copies.groupBy(*key, "block")
+    met = there.cogroup(everywhere.groupBy(*[f"q_{c}" for c in key], "q_block")).applyInArrow(
         _search_shard(beam, k), "query_id bigint, query_key bigint, id bigint, score double"
     )
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "id")
