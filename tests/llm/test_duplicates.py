@@ -51,7 +51,22 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in found), key=str)
     assert got == sorted([(5, 5, True)] * 3 + [(7, 5, False), (None, 5, False), (None, None, True), (9, 9, True)], key=str)
     kept = near_duplicates.drop_duplicates(cases.documents(spark, rows), width=4)
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [5, 9, None]
+    # 5 stands with two texts: one of them goes for the copy under 7, the other stays.
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(5, "a b c d e f"), (7, "other words are here now"), (9, "nothing like the rest at all"), (None, None)], key=str
+    )
+
+
+def test_no_text_is_lost_where_an_id_repeats(spark):
+    a, b, c = (" ".join(cases.prose(k, 60)) for k in (41, 42, 43))
+    near = " ".join([*b.split()[:-1], "another"])
+    for rows in ([(5, a), (5, b), (7, b)], [(5, a), (5, b), (7, near)], [(7, a), (5, a), (5, b), (7, b)], [(5, a), (5, a)]):
+        docs = cases.documents(spark, [*rows, (9, c)])
+        kept = near_duplicates.drop_duplicates(docs)
+        assert kept.columns == docs.columns
+        texts = [r.text for r in kept.collect()]
+        assert len(texts) == len(set(texts)) == len({t if t != near else b for _, t in rows}) + 1
+        assert a in texts and c in texts
 
 
 def test_a_star_of_copies_that_link_only_through_its_centre(spark):

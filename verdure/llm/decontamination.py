@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdure.sources.lineage import cut_lineage
+
 N = 10
 #: Largest benchmark, in windows, that is broadcast; a larger one is shuffled.
 BROADCAST_WINDOWS = 2_000_000
@@ -97,7 +99,7 @@ def window_hits(documents: DataFrame, benchmark: DataFrame, n: int = N) -> DataF
     ``doc_id``, ``text_hash`` (two longs), ``n_words``, ``hits`` (array of
     ``start, length``, starts from 0) and ``items``.
     """
-    windows = benchmark_windows(benchmark, n).persist()
+    windows = cut_lineage(benchmark_windows(benchmark, n))
     # Lengths present: at most n values.
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
     small = windows.count() <= BROADCAST_WINDOWS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdure.sources.lineage import cut_lineage
+from verdure.sources.lineage import cut_lineage, drop_state
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,15 +28,21 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         told = both.join(
             labels.select(F.col("node").alias("other"), "component"), "other"
-        ).select("node", "component")
-        nearer = cut_lineage(told.union(labels).groupBy("node").agg(F.min("component").alias("component")))
+        ).select("node", "component", F.lit(None).cast("bigint").alias("before"))
+        own = labels.select("node", "component", F.col("component").alias("before"))
+        nearer = cut_lineage(
+            told.union(own).groupBy("node").agg(F.min("component").alias("component"), F.max("before").alias("before"))
+        )
         jump = nearer.select(F.col("node").alias("_n"), F.col("component").alias("_far"))
-        old = labels.select(F.col("node").alias("_o"), F.col("component").alias("_old"))
         moved = cut_lineage(
-            nearer.join(jump, F.col("component") == F.col("_n"))
-            .join(old, F.col("node") == F.col("_o"))
-            .select("node", F.col("_far").alias("component"), (F.col("_far") != F.col("_old")).alias("moved"))
+            nearer.join(jump, F.col("component") == F.col("_n")).select(
+                "node", F.col("_far").alias("component"), (F.col("_far") != F.col("before")).alias("moved")
+            )
         )
-        labels = moved.select("node", "component")
-        if moved.where("moved").isEmpty():
-            return labels
+        done = moved.where("moved").isEmpty()
+        drop_state(labels)
+        drop_state(nearer)
+        labels = moved
+        if done:
+            drop_state(both)
+            return labels.select("node", "component")

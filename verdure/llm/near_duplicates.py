@@ -13,7 +13,8 @@
    each document first; pairs that are connected by then need no look.
 4. Crowded regions, where not all members met, are joined through pivots first:
    all members that are not yet connected with the best linked member of the
-   region are held against it, until a round finds no new link.
+   region are held against it, ``PIVOT_ROUNDS`` times. It saves step 5 most of
+   its work; what it leaves, step 5 finds.
 5. Then they are finished exactly: the shingles of each crowded member are
    ordered by how few crowded members have them, and members of different
    components that share a shingle of their prefixes are candidates. A pair that
@@ -41,7 +42,7 @@ from verdure.llm.graph import components
 from verdure.llm.words import mix, shingle_sets, signed, split_words, text_chunks
 from verdure.operators.identity import assign_ids
 from verdure.operators.joins import join_by_key
-from verdure.sources.lineage import cut_lineage
+from verdure.sources.lineage import cut_lineage, drop_state
 
 WIDTH = 4
 PERCENT = 80
@@ -50,7 +51,9 @@ DEPTH = 8
 LEAST = 3
 NEIGHBOURS = 6
 BLOCK = 512
+PIVOT_ROUNDS = 2
 _NULL_FROM = 1 << 62
+_BY_TEXT = "_by_text"
 _RANDOM = np.random.default_rng(5).integers(0, 1 << 63, (2, TREES * DEPTH), dtype=np.uint64)
 
 
@@ -118,14 +121,15 @@ def _overlaps(width: int):
     return run
 
 
-def _keyed(documents: DataFrame, *more: Column) -> DataFrame:
+def _keyed(documents: DataFrame, *more: Column, by_text: Column | None = None) -> DataFrame:
+    """Vertices: the id, or for rows without one (or where ``by_text``) the text."""
     text_key = F.xxhash64("text")
     beyond = F.lit(_NULL_FROM) + text_key.bitwiseAND(_NULL_FROM - 1)
+    own = F.col("doc_id").cast("bigint")
+    if by_text is not None:
+        own = F.when(~by_text, own)
     return documents.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), beyond).alias("id"),
-        text_key.alias("text_key"),
-        "text",
-        *more,
+        F.coalesce(own, beyond).alias("id"), text_key.alias("text_key"), "text", *more
     )
 
 
@@ -340,26 +344,42 @@ def prefix_pairs(texts: DataFrame, labels: DataFrame, width: int, percent: int)
     )
 
 
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """The best candidate of each document, as the larger and as the smaller of a pair.
+
+    A maximum is formed before the shuffle, so a document with most of the
+    candidates is one row per task.
+    """
+    rank = F.struct("weight", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"), "a", "a_key", "b", "b_key")
+    best = [pairs.groupBy(end).agg(F.max(rank).alias("best")).select("best.*") for end in ("a", "b")]
+    return best[0].union(best[1]).select("a", "a_key", "b", "b_key").distinct()
+
+
 def _linked(
     pairs: DataFrame, texts: DataFrame, links: DataFrame | None, width: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Links with those that ``pairs`` confirm, and components: two candidates of each document first."""
-    best = Window.partitionBy("b").orderBy(F.desc("weight"), "a", "a_key", "b_key")
-    ranked = cut_lineage(pairs.withColumn("_rank", F.row_number().over(best)))
-    found = cut_lineage(_confirmed(ranked.where("_rank <= 2"), texts, width, percent))
-    links = found if links is None else links.union(found)
+    """Links with those that ``pairs`` confirm, and components: best candidates first."""
+    first = cut_lineage(_best_pairs(pairs))
+    found = _confirmed(first, texts, width, percent)
+    links = cut_lineage(found if links is None else links.union(found))
     labels = components(links)
-    rest = _apart(ranked.where("_rank > 2"), labels)
+    rest = _apart(pairs.join(first, ["a", "a_key", "b", "b_key"], "left_anti"), labels)
     more = cut_lineage(_confirmed(rest, texts, width, percent))
-    links = links.union(more)
+    drop_state(first)
+    if more.isEmpty():
+        return links, labels
+    links = cut_lineage(links.union(more))
     return links, components(links)
 
 
 def near_duplicates(
-    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT
+    documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, by_text: Column | None = None
 ) -> DataFrame:
-    """``id, text_key, n_shingles, component`` for every row of ``documents``."""
-    keyed = _keyed(documents)
+    """``id, text_key, n_shingles, component`` for every row of ``documents``.
+
+    Rows where the condition ``by_text`` holds are vertices by their text.
+    """
+    keyed = _keyed(documents, by_text=by_text)
     described = cut_lineage(
         keyed.mapInArrow(
             _describe(width),
@@ -382,17 +402,15 @@ def near_duplicates(
     links, labels = _linked(pairs, texts, None, width, percent)
 
     tried = pairs.select("a", "a_key", "b", "b_key")
-    while True:
+    for _ in range(PIVOT_ROUNDS):
         asked = cut_lineage(
             _pivot_pairs(crowded, links, labels).join(tried, ["a", "a_key", "b", "b_key"], "left_anti")
         )
-        if asked.isEmpty():
-            break
-        tried = tried.union(asked.select("a", "a_key", "b", "b_key"))
         found = cut_lineage(_confirmed(asked, texts, width, percent))
+        tried = tried.union(asked.select("a", "a_key", "b", "b_key"))
         if found.isEmpty():
             break
-        links = links.union(found)
+        links = cut_lineage(links.union(found))
         labels = components(links)
 
     finishing = texts.join(crowded.select("id", "text_key").distinct(), ["id", "text_key"])
@@ -439,13 +457,44 @@ def duplicate_report(documents: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(documents: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, the smallest, with all its columns."""
+    """One document of each group, the smallest, with all its columns.
+
+    No text is lost without a like one that stays: where an id stands with
+    different texts, each of them is a vertex of its own, larger than those of
+    all other ids; equal texts of such ids, and of rows without one, are one
+    vertex, of which the smallest id stays. Of rows that repeat an id and a text,
+    any one stays.
+    """
+    text_key = F.xxhash64("text")
+    several = (
+        documents.where(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("_several"))
+        .agg(F.min(text_key).alias("low"), F.max(text_key).alias("high"))
+        .where("low < high")
+        .select("_several")
+    )
+    several = cut_lineage(several)
+    by_text = None
+    if not several.isEmpty():
+        names = documents.columns
+        same = F.col("doc_id") == F.col("_several")
+        documents = documents.join(several, same, "left").select(
+            *names, F.col("_several").isNotNull().alias(_BY_TEXT)
+        )
+        by_text = F.col(_BY_TEXT)
     kept = (
-        near_duplicates(documents, width, percent)
+        near_duplicates(documents, width, percent, by_text)
         .where("id = component")
-        .groupBy("id")
-        .agg(F.min("text_key").alias("text_key"))
+        .select("id", "text_key")
+        .distinct()
+    )
+    rows = F.struct(*[c for c in documents.columns if c != _BY_TEXT]).alias("row")
+    keyed = _keyed(documents, rows, by_text=by_text).drop("text")
+    smallest = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"))
+    return (
+        # Rows that repeat one text under one id stand together already.
+        keyed.join(kept, ["id", "text_key"])
+        .groupBy("id", "text_key")
+        .agg(F.min_by("row", smallest).alias("row"))
+        .select("row.*")
     )
-    keyed = _keyed(documents, F.struct(*documents.columns).alias("row")).drop("text")
-    # Rows that repeat one text under one id stand together already.
-    return keyed.join(kept, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("row.*")

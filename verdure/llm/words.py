@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are looked at together; one longer text is taken whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
