@@ -175,3 +175,27 @@ def test_empty_tables(spark):
     assert near_duplicates.drop_duplicates(none).collect() == []
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert decontamination.contamination(none, items).collect() == []
+
+
+def _colliding_words() -> tuple[str, str]:
+    """Two words of 2,048 letters with one hash modulo 2**64, for any base and values of bytes."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_collide_in_one_hash_are_told_apart(spark):
+    import numpy as np
+
+    from verdure.llm.words import split_words
+
+    one, two = _colliding_words()
+    data = np.frombuffer(f"{one} {two}".encode(), dtype=np.uint8)
+    plain = split_words(data, np.array([0, len(data)])).hashes
+    checked = split_words(data, np.array([0, len(data)]), checked=True)
+    assert plain[0] == plain[1]
+    assert checked.hashes[0] != checked.hashes[1] and checked.checks[0] != checked.checks[1]
+    rows = [(i, " ".join([*cases.prose(3, 30), word, *cases.prose(4, 30)])) for i, word in ((1, one), (2, two), (3, one))]
+    docs = cases.documents(spark, rows)
+    assert cases.ordered(substrings.remove_repeats(docs).collect()) == cases.ordered(brute.substring_dedup(rows))
+    found = near_duplicates.duplicate_report(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.near_duplicates(rows)

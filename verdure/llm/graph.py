@@ -12,8 +12,10 @@ def components(links: DataFrame) -> DataFrame:
     """``node, component`` (smallest node reachable) for the nodes of ``links`` (a, b).
 
     Each round takes the smallest label among a node and its neighbours, then
-    the label of that label, so labels travel in doubling steps. Labels are
-    combined before they are shuffled; rounds write their state.
+    the label of that label, so labels travel in doubling steps. Once no node
+    has a neighbour with a smaller label, all of a component have one. Labels
+    are combined before they are shuffled; rounds write their state and delete
+    the one before.
     """
     both = cut_lineage(
         links.select(F.col("a").alias("node"), F.col("b").alias("other"))
@@ -33,16 +35,12 @@ def components(links: DataFrame) -> DataFrame:
         nearer = cut_lineage(
             told.union(own).groupBy("node").agg(F.min("component").alias("component"), F.max("before").alias("before"))
         )
+        drop_state(labels)
+        if not nearer.agg(F.max(F.col("component") != F.col("before")).alias("moved")).first()["moved"]:
+            drop_state(both)
+            return nearer.select("node", "component")
         jump = nearer.select(F.col("node").alias("_n"), F.col("component").alias("_far"))
-        moved = cut_lineage(
-            nearer.join(jump, F.col("component") == F.col("_n")).select(
-                "node", F.col("_far").alias("component"), (F.col("_far") != F.col("before")).alias("moved")
-            )
+        labels = cut_lineage(
+            nearer.join(jump, F.col("component") == F.col("_n")).select("node", F.col("_far").alias("component"))
         )
-        done = moved.where("moved").isEmpty()
-        drop_state(labels)
         drop_state(nearer)
-        labels = moved
-        if done:
-            drop_state(both)
-            return labels.select("node", "component")

@@ -13,8 +13,8 @@
    each document first; pairs that are connected by then need no look.
 4. Crowded regions, where not all members met, are joined through pivots first:
    all members that are not yet connected with the best linked member of the
-   region are held against it, ``PIVOT_ROUNDS`` times. It saves step 5 most of
-   its work; what it leaves, step 5 finds.
+   region are held against it. It saves step 5 most of its work; what it leaves,
+   step 5 finds.
 5. Then they are finished exactly: the shingles of each crowded member are
    ordered by how few crowded members have them, and members of different
    components that share a shingle of their prefixes are candidates. A pair that
@@ -51,7 +51,6 @@ DEPTH = 8
 LEAST = 3
 NEIGHBOURS = 6
 BLOCK = 512
-PIVOT_ROUNDS = 2
 _NULL_FROM = 1 << 62
 _BY_TEXT = "_by_text"
 _RANDOM = np.random.default_rng(5).integers(0, 1 << 63, (2, TREES * DEPTH), dtype=np.uint64)
@@ -71,7 +70,7 @@ def _describe(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in text_chunks(batch.column(2)):
-                flat, bounds = shingle_sets(split_words(data, offsets, lower=True), width)
+                flat, bounds = shingle_sets(split_words(data, offsets, lower=True, checked=True), width)
                 sizes = np.diff(bounds)
                 full = np.flatnonzero(sizes)
                 first = np.zeros(len(sizes), dtype=np.uint64)
@@ -106,7 +105,7 @@ def _overlaps(width: int):
             sets: list[list[np.ndarray]] = [[], []]
             for side in (0, 1):
                 for _, _, data, offsets in text_chunks(batch.column(2 + side)):
-                    flat, at = shingle_sets(split_words(data, offsets, lower=True), width)
+                    flat, at = shingle_sets(split_words(data, offsets, lower=True, checked=True), width)
                     sets[side] += [flat[at[i] : at[i + 1]] for i in range(len(at) - 1)]
             common = [
                 len(np.intersect1d(x, y, assume_unique=True))
@@ -248,7 +247,7 @@ def _shingle_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in text_chunks(batch.column(2)):
-                flat, bounds = shingle_sets(split_words(data, offsets, lower=True), width)
+                flat, bounds = shingle_sets(split_words(data, offsets, lower=True, checked=True), width)
                 sizes = np.diff(bounds)
                 owner = pa.array(np.repeat(np.arange(row, end), sizes))
                 yield pa.RecordBatch.from_arrays(
@@ -355,21 +354,34 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
     return best[0].union(best[1]).select("a", "a_key", "b", "b_key").distinct()
 
 
+_PAIR = ["a", "a_key", "b", "b_key"]
+
+
 def _linked(
-    pairs: DataFrame, texts: DataFrame, links: DataFrame | None, width: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links with those that ``pairs`` confirm, and components: best candidates first."""
+    pairs: DataFrame,
+    texts: DataFrame,
+    links: DataFrame | None,
+    width: int,
+    percent: int,
+    crowded: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links with those that ``pairs`` confirm, components, and the pairs that were tried.
+
+    The best candidates come first; others, and pivots of the ``crowded`` regions,
+    only where their ends are not connected by then.
+    """
     first = cut_lineage(_best_pairs(pairs))
     found = _confirmed(first, texts, width, percent)
     links = cut_lineage(found if links is None else links.union(found))
     labels = components(links)
-    rest = _apart(pairs.join(first, ["a", "a_key", "b", "b_key"], "left_anti"), labels)
-    more = cut_lineage(_confirmed(rest, texts, width, percent))
+    asked, tried = _apart(pairs.join(first, _PAIR, "left_anti"), labels).select(*_PAIR), pairs.select(*_PAIR)
+    if crowded is not None:
+        pivots = _pivot_pairs(crowded, links, labels).select(*_PAIR)
+        pivots = cut_lineage(pivots.join(tried, _PAIR, "left_anti"))
+        asked, tried = asked.union(pivots), tried.union(pivots)
+    links = cut_lineage(links.union(_confirmed(asked, texts, width, percent)))
     drop_state(first)
-    if more.isEmpty():
-        return links, labels
-    links = cut_lineage(links.union(more))
-    return links, components(links)
+    return links, components(links), tried
 
 
 def near_duplicates(
@@ -399,26 +411,14 @@ def near_duplicates(
     ).union(crowded.select("id", "text_key")).distinct()
     texts = cut_lineage(keyed.join(involved, ["id", "text_key"]).dropDuplicates(["id", "text_key"]))
 
-    links, labels = _linked(pairs, texts, None, width, percent)
-
-    tried = pairs.select("a", "a_key", "b", "b_key")
-    for _ in range(PIVOT_ROUNDS):
-        asked = cut_lineage(
-            _pivot_pairs(crowded, links, labels).join(tried, ["a", "a_key", "b", "b_key"], "left_anti")
-        )
-        found = cut_lineage(_confirmed(asked, texts, width, percent))
-        tried = tried.union(asked.select("a", "a_key", "b", "b_key"))
-        if found.isEmpty():
-            break
-        links = cut_lineage(links.union(found))
-        labels = components(links)
+    links, labels, tried = _linked(pairs, texts, None, width, percent, crowded)
 
     finishing = texts.join(crowded.select("id", "text_key").distinct(), ["id", "text_key"])
     asked = cut_lineage(
-        prefix_pairs(finishing, labels, width, percent).join(tried, ["a", "a_key", "b", "b_key"], "left_anti")
+        prefix_pairs(finishing, labels, width, percent).join(tried, _PAIR, "left_anti")
     )
     if not asked.isEmpty():
-        links, labels = _linked(asked, texts, links, width, percent)
+        links, labels, _ = _linked(asked, texts, links, width, percent)
 
     same_set = F.struct("set_a", "set_b", "n_shingles")
     classes = owners.select(same_set.alias("_set"), F.col("own.id").alias("owner"))

@@ -12,9 +12,13 @@ with one name are parallel (the texts branch there), equal ones are one path.
 4. Only where a k-mer branches are windows looked at one by one: the source
    coordinates are read again, for one representative of each path.
 
-Hashes of words are 64 bit wide; paths and windows are confirmed by a second
-hash of the same words from the source (128 bits in all), so the result holds
-for whole corpora, and no text is compared pairwise.
+This groups windows by their smallest k-mer instead of following links between
+single k-mers: a k-mer of every word of a corpus, with joins along its paths, is
+many times the text, while one edge stands for about twenty windows here.
+
+Words have two hashes that are made apart, one modulo 2**64 and one modulo a
+prime; paths and windows are named by one and confirmed by the other, so the
+result holds for whole corpora, and no text is compared pairwise.
 
 Defined results: NULL texts have no words; the smaller of two documents is the
 one with the smaller ``doc_id``, NULL being the largest; rows with one
@@ -39,7 +43,8 @@ from verdure.llm.words import (
     split_words,
     text_chunks,
 )
-from verdure.sources.lineage import cut_lineage
+from verdure.operators.joins import join_by_key
+from verdure.sources.lineage import cut_lineage, drop_state
 
 WINDOW = 50
 KMER = 12
@@ -60,7 +65,7 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 def _edges(data: np.ndarray, offsets: np.ndarray, window: int, kmer: int):
     """Text index, first window, number of windows, k-mer and two path hashes per edge."""
-    words = split_words(data, offsets)
+    words = split_words(data, offsets, checked=True)
     sums, again = words.prefix(0), words.prefix(1)
     places, text = ranges(words.first[:-1], words.last_starts(window))
     if not len(places):
@@ -117,7 +122,7 @@ def _window_hashes(window: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             edges = batch.column(2)
             for row, end, data, offsets in text_chunks(batch.column(1)):
-                words = split_words(data, offsets)
+                words = split_words(data, offsets, checked=True)
                 part = edges.slice(row, end - row)
                 flat = part.flatten()
                 text = np.repeat(
@@ -171,7 +176,10 @@ def repeated_windows(
         .where("low < high")
         .select("kmer", "branches")
     )
-    repeated = cut_lineage(edges.join(shared, "kmer"))
+    # A k-mer of a common passage may hold a large share of the edges.
+    shared = shared.withColumnRenamed("kmer", "_kmer")
+    repeated = cut_lineage(join_by_key(edges, "kmer", shared, "_kmer", "inner", ["id", "start"]).drop("_kmer"))
+    drop_state(edges)
     owner = F.min(F.struct("id", "text_key", "start", "n")).alias("own")
     paths = cut_lineage(
         repeated.groupBy("kmer", "path", "check").agg(owner, F.first("branches").alias("branches"))
@@ -194,17 +202,19 @@ def repeated_windows(
         windows.groupBy("hash", "check")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
-        .select("hash", "check", "low")
+        .select(F.struct("hash", "check").alias("_window"), "low")
     )
     partly = (
-        windows.join(lowest, ["hash", "check"])
+        join_by_key(windows.withColumn("window", F.struct("hash", "check")), "window", lowest, "_window", "inner", ["id", "place"])
         .where("low < id")
         .groupBy("path", "id")
         .agg(F.collect_list("place").alias("places"))
         .withColumnRenamed("id", "own_id")
     )
-    verdict = paths.select("kmer", "path", "check", F.col("own.id").alias("own_id")).join(
-        partly, ["path", "own_id"], "left"
+    verdict = (
+        paths.select("kmer", "path", "check", F.col("own.id").alias("own_id"))
+        .join(partly, ["path", "own_id"], "left")
+        .select(F.struct("kmer", "path", "check").alias("_path"), "own_id", "places")
     )
     whole = F.array(F.struct("start", "n"))
     single = F.transform(
@@ -214,7 +224,10 @@ def repeated_windows(
         F.col("places").isNotNull(), single
     )
     return (
-        repeated.join(verdict, ["kmer", "path", "check"])
+        # A passage that many documents share is one path with as many rows.
+        join_by_key(
+            repeated.withColumn("whole_path", F.struct("kmer", "path", "check")), "whole_path", verdict, "_path", "inner", ["id", "start"]
+        )
         .select("id", "text_key", removed.alias("removed"))
         .where("removed IS NOT NULL")
         .groupBy("id", "text_key")

@@ -66,18 +66,54 @@ def span_hashes(
     return mix(raw + mix((ends - starts).astype(np.uint64)))
 
 
+#: A prime below 2**31, so that products of two remainders fit 64 bits.
+_PRIME = np.uint64((1 << 31) - 1)
+_PRIME_BASE = 1_123_581_321
+_PRIME_POWERS: list[np.ndarray] = []
+
+
+def _prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n-1 of a base and of its inverse, modulo the prime."""
+    if not _PRIME_POWERS or len(_PRIME_POWERS[0]) < n:
+        made = []
+        for base in (_PRIME_BASE, pow(_PRIME_BASE, -1, int(_PRIME))):
+            powers, step = np.ones(1, dtype=np.uint64), base
+            while len(powers) < max(n, CHUNK_BYTES + 1):
+                powers = np.concatenate([powers, powers * np.uint64(step) % _PRIME])
+                step = step * step % int(_PRIME)
+            made.append(powers)
+        if n > 2 * CHUNK_BYTES:
+            return made[0], made[1]
+        _PRIME_POWERS[:] = made
+    return _PRIME_POWERS[0], _PRIME_POWERS[1]
+
+
+def span_checks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A second hash of spans of bytes, modulo a prime and so apart from that modulo 2**64."""
+    up, down = _prime_powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)] % _PRIME, out=sums[1:])
+    raw = (sums[ends] - sums[starts]) % _PRIME * down[starts] % _PRIME
+    return mix(raw + ((ends - starts).astype(np.uint64) << np.uint64(32)))
+
+
 @dataclass
 class Words:
-    """Words of several texts in a row; text ``i`` has words ``first[i]:first[i + 1]``."""
+    """Words of several texts in a row; text ``i`` has words ``first[i]:first[i + 1]``.
+
+    ``checks`` are hashes apart from ``hashes``, where they were asked for.
+    """
 
     hashes: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
     data: np.ndarray
+    checks: np.ndarray | None = None
 
     def prefix(self, which: int = 0) -> np.ndarray:
-        return _prefix(self.hashes, which)
+        """Prefix sums for ``span_hashes(…, which)``: 0 over the hashes, 1 over the checks."""
+        return _prefix(self.checks if which and self.checks is not None else self.hashes, which)
 
     def last_starts(self, length: int) -> np.ndarray:
         """For each text the end of the places at which ``length`` words begin."""
@@ -123,13 +159,17 @@ def word_bounds(
 
 
 def split_words(
-    data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = _BLANK
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, blank: np.ndarray = _BLANK, checked: bool = False
 ) -> Words:
+    """Words and their hashes; ``checked`` ones take in a second hash, so that no word collides in one alone."""
     if lower:
         data = _LOWER[data]
     starts, ends, first = word_bounds(data, offsets, blank)
     hashes = span_hashes(_prefix(_BYTE_VALUE[data], 1), starts, ends, 1)
-    return Words(hashes, starts, ends, first, data)
+    if not checked:
+        return Words(hashes, starts, ends, first, data)
+    checks = span_checks(data, starts, ends)
+    return Words(mix(hashes + checks * np.uint64(3)), starts, ends, first, data, checks)
 
 
 def exact_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
