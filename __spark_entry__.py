@@ -23,7 +23,7 @@ from verdure.operators.admission import admit_one_by_one, require_accepted
 from verdure.operators.hierarchy import full_names
 from verdure.operators.identity import assign_ids, fill_defaults
 from verdure.plans import greenhouses, orders, sales, stock
-from verdure.sources import decoders, star_schema, store
+from verdure.sources import decoders, star_schema, store, totals
 from verdure.sources.catalog import CATALOG
 from verdure.sources.lineage import checkpoint_folder
 from verdure.streaming.admission_stream import (
@@ -41,6 +41,8 @@ AS_OF = star_schema.ORDERS_AS_OF
 TREATED_AS_OF = star_schema.EVENTS_AS_OF
 SOLD_BEFORE = "1998-01-01"
 YEAR, CALENDAR, MONTH = "year", "calendar year", "month"
+# Tables that the price of an order needs.
+_SOLD = ("sale", "sale_detail", "sale_flower", "flower_warehouse")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -383,6 +385,43 @@ def _fingerprint(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+def _restored_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules judged on a snapshot after its checked reload, as a dump is checked after its rows."""
+    folder = _new_folder(spark)
+    store.save_snapshot(star_schema.sales_tables(spark, sf), folder, wide=True)
+    return store.restore(spark, folder, AS_OF, wide=True)[1]
+
+
+def _numbered_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders without a number are appended and get numbers above all that are stored."""
+    folder = _new_folder(spark)
+    sale = star_schema.sales(star_schema.read_star(spark, sf, "orders"))
+    store.save_table(sale, folder, "sale", wide=True)
+    new = sale.where("buy_date >= DATE'2001-01-01'").drop("id")
+    store.append_rows(new, folder, "sale", AS_OF, wide=True)
+    return store.load_snapshot(spark, folder, ["sale"], wide=True)["sale"]
+
+
+def _stock_from_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines are stored in two parts; the totals of the first are carried on by the second."""
+    folder = _new_folder(spark)
+    tables = star_schema.stock_tables(spark, sf)
+    lines, dated = tables["sale_detail"], {"sale": tables["sale"]}
+    old = F.col("id_sale") % 2 == 0
+    store.save_table(lines.where(old), folder, "sale_detail", wide=True, tables=dated)
+    totals.refresh_totals(spark, folder, wide=True)
+    store.append_rows(lines.where(~old), folder, "sale_detail", AS_OF, wide=True, tables=dated)
+    totals.refresh_totals(spark, folder, wide=True)
+    return stock.available_stock(tables, sold_units=totals.sold_units(spark, folder))
+
+
+def _stored_order_cost(spark: SparkSession, sf: str) -> DataFrame:
+    """One order of a store: its rows are found by the order of the files and their bloom filters."""
+    folder = _new_folder(spark)
+    store.save_snapshot(star_schema.sales_tables(spark, sf), folder, wide=True)
+    return orders.order_cost(store.load_tables(spark, folder, _SOLD, wide=True), 77)
+
+
 def _materialised_sum(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark)
     lines = star_schema.order_lines(star_schema.read_star(spark, sf, "lineitem"))
@@ -466,6 +505,10 @@ def queries() -> dict[str, Query]:
         "append_roundtrip": _append_roundtrip,
         "snapshot_roundtrip": _snapshot_roundtrip,
         "materialised_sum": _materialised_sum,
+        "restored_report": _restored_report,
+        "numbered_append": _numbered_append,
+        "stock_from_totals": _stock_from_totals,
+        "stored_order_cost_one": _stored_order_cost,
         **added,
     }
 

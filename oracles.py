@@ -407,6 +407,64 @@ _LINE_COLUMNS = (
 )
 
 
+# The tables of a saved snapshot as they are, without flaws put in.
+_CLEAN = (
+    "client AS (SELECT c_custkey AS id, c_name AS name, c_mktsegment AS surname,"
+    " lower(c_name) || '@example.com' AS e_mail, h.n_name AS city FROM customer"
+    " LEFT JOIN nation h ON h.n_nationkey = c_nationkey)",
+    "office AS (SELECT n_nationkey AS id, n_name AS adress FROM nation)",
+)
+
+
+def _lengths(table: str, source: str, **widths: int) -> list[str]:
+    return [_count(table, f"length:{c}", source, f"length({c}) > {w}") for c, w in widths.items()]
+
+
+def _address_lengths(table: str, source: str, city: str) -> list[str]:
+    wide = [(f"length:adress.{part}", "false") for part in ("code", "street", "phone_number")]
+    return [_count(table, rule, source, text) for rule, text in (*wide, ("length:adress.city", f"length({city}) > 30"))]
+
+
+_RESTORED = [
+    *_nulls("user", "client", "id", "name", "surname", "e_mail"),
+    *_lengths("user", "client", name=20, surname=30),
+    *_address_lengths("user", "client", "city"),
+    _count("user", "email:e_mail", "client", f"NOT regexp_matches(e_mail, '{_MAIL}')"),
+    *_primary("user", "client", "id"),
+    _surplus("user", "unique:e_mail", "client", "e_mail"),
+    *_nulls("adress_sale", "office", "id", "adress"),
+    *_address_lengths("adress_sale", "office", "adress"),
+    *_primary("adress_sale", "office", "id"),
+    *_nulls("flower", "flower", "id", "name"),
+    *_lengths("flower", "flower", name=20),
+    *_checks("flower", "flower", "id_parent > 0"),
+    *_primary("flower", "flower", "id"),
+    _surplus("flower", "unique:name", "flower", "name"),
+    _orphans("flower", "flower", "id_parent", "flower", "SELECT id FROM flower"),
+    *_nulls("flower_warehouse", "lot", "id", "id_flower", "ready_to_sale", "date", "amount", "cost"),
+    *_checks("flower_warehouse", "lot", "amount > 0", "cost > 0", "id_flower > 0"),
+    *_primary("flower_warehouse", "lot", "id"),
+    _orphans("flower_warehouse", "lot", "id_flower", "flower", "SELECT id FROM flower"),
+    "SELECT 'flower_warehouse', 'foreign_key:id_greenhouse->greenhouse', CAST(NULL AS BIGINT)",
+    *_nulls("sale", "sale", "id", "id_user", "buy_date", "status"),
+    _count("sale", "enum:status", "sale", "status NOT IN ('not processed', 'formation', 'ready to send', 'sent')"),
+    *_checks("sale", "sale", "id_user > 0 AND id_adress > 0"),
+    *_primary("sale", "sale", "id"),
+    _orphans("sale", "sale", "id_user", "user", "SELECT id FROM client"),
+    _orphans("sale", "sale", "id_adress", "adress_sale", "SELECT id FROM office"),
+    *_nulls("sale_detail", "sale_detail", "id", "id_sale", "id_flower", "amount"),
+    *_checks("sale_detail", "sale_detail", "amount > 0", "id_sale > 0 AND id_flower > 0"),
+    *_primary("sale_detail", "sale_detail", "id"),
+    _orphans("sale_detail", "sale_detail", "id_sale", "sale", "SELECT id FROM sale"),
+    _orphans("sale_detail", "sale_detail", "id_flower", "flower", "SELECT id FROM flower"),
+    *_nulls("sale_flower", "sale_flower", "id_sale_detail", "id_flower_warehouse", "amount"),
+    *_checks("sale_flower", "sale_flower", "amount > 0", "id_sale_detail > 0 AND id_flower_warehouse > 0"),
+    *_primary("sale_flower", "sale_flower", "id_sale_detail,id_flower_warehouse"),
+    _orphans("sale_flower", "sale_flower", "id_sale_detail", "sale_detail", "SELECT id FROM sale_detail"),
+    _orphans("sale_flower", "sale_flower", "id_flower_warehouse", "flower_warehouse", "SELECT id FROM lot"),
+]
+
+
 def statements() -> dict[str, str]:
     sales = _with(_SALES, _SOLD)
     chain = _with("sale sale_detail sale_flower lot")
@@ -548,6 +606,17 @@ def statements() -> dict[str, str]:
                 "sale_flower", "sale_flower", "id_sale_detail", "id_flower_warehouse", "amount"
             ),
         ),
+        "restored_report": _with("flower sale sale_detail sale_flower lot", *_CLEAN)
+        + _union(*_RESTORED),
+        "numbered_append": _with("sale")
+        + """SELECT id, id_user, id_adress, buy_date, status FROM sale UNION ALL
+        SELECT (SELECT max(id) FROM sale) + row_number() OVER (ORDER BY id_user, id_adress NULLS FIRST,
+        buy_date, status NULLS FIRST), id_user, id_adress, buy_date, status FROM sale
+        WHERE buy_date >= TIMESTAMP '2001-01-01'""",
+        "stock_from_totals": _with(_STOCK_TABLES, _STOCK.format(condition="")) + "SELECT * FROM stock",
+        "stored_order_cost_one": chain
+        + "SELECT CAST(77 AS INTEGER) AS id_sale, sum(cost)::DECIMAL(38,2) AS cost FROM ("
+        f"{_cost('lot.cost * sf.amount')} AND s.id = 77 GROUP BY s.id)",
         "admit_order_lines_rounds": _with(
             _STOCK_TABLES, _STOCK_OLD, _NEW, _admit("new_line", "stock"), recursive=True
         ),
