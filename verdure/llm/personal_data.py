@@ -43,7 +43,7 @@ CONTEXTS = 3
 SHARE = 0.5
 BITS = 4.0
 #: Distinct words that a task counts before it hands its counts on.
-HELD_WORDS = 1 << 20
+HELD_WORDS = 1 << 19
 #: Disclosing words that are sent to the tasks; more are joined to the words of all texts.
 SENT_WORDS = 1 << 18
 
@@ -251,10 +251,23 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
-def _together(found: DataFrame, contexts: int) -> tuple[DataFrame, DataFrame]:
+def _among(rows: DataFrame, column: str, words: DataFrame, salt_from: list[str]) -> DataFrame:
+    """Rows whose ``column`` is one of ``words`` (a written table of different words)."""
+    words = words.select(F.col("word").alias("_among"))
+    if words.count() <= SENT_WORDS:
+        return rows.join(F.broadcast(words), F.col(column) == F.col("_among"), "left_semi")
+    return join_by_key(rows, column, words, "_among", "left_semi", salt_from)
+
+
+def _together(
+    found: DataFrame, totals: DataFrame, contexts: int, share: float
+) -> tuple[DataFrame, DataFrame]:
     """``word, entity, together, contexts`` within documents, and ``entity, entity_n``.
 
-    Entities of fewer than ``contexts`` texts cannot be disclosed and are left out.
+    Entities of fewer than ``contexts`` texts cannot be disclosed and are left
+    out. Nor can a word disclose one of which less than ``share`` of all
+    occurrences lie in texts with such entities: these words, among them all
+    that are common, are left out before words meet entities.
     """
     held = found.select("text_key", F.explode("entities").alias("entity")).distinct()
     several = (
@@ -262,17 +275,24 @@ def _together(found: DataFrame, contexts: int) -> tuple[DataFrame, DataFrame]:
         .where(F.col("_texts") >= contexts)
     )
     held = join_by_key(held, "entity", several, "_entity", "inner", ["text_key"]).select("text_key", "entity")
+    held = cut_lineage(held)
+    texts = found.join(held.select("text_key").distinct(), "text_key", "left_semi")
+    rows = texts.select("text_key", F.explode("every").alias("x")).select("text_key", "x.*")
+    inside = rows.groupBy("word").agg(F.count(F.lit(1)).alias("inside")).where(F.col("inside") >= contexts)
+    candidates = cut_lineage(
+        inside.join(totals, "word").where(F.col("inside") >= share * F.col("occurrences")).select("word")
+    )
     words = (
-        found.select("text_key", F.explode("every").alias("x"))
-        .groupBy("text_key", "x.word", "x.context")
+        _among(rows, "word", candidates, ["text_key", "context"])
+        .groupBy("text_key", "word", "context")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    met = cut_lineage(words.join(held, "text_key"))
-    pairs = met.groupBy("word", "entity").agg(
+    pairs = words.join(held, "text_key").groupBy("word", "entity").agg(
         F.sum("n").alias("together"),
         F.least(F.count_distinct("context"), F.count_distinct("text_key")).alias("contexts"),
     )
-    return pairs, met.groupBy("entity").agg(F.sum("n").alias("entity_n"))
+    sizes = texts.groupBy("text_key").agg(F.sum(F.size("every")).alias("n"))
+    return pairs, sizes.join(held, "text_key").groupBy("entity").agg(F.sum("n").alias("entity_n"))
 
 
 def disclosing_words(
@@ -306,7 +326,7 @@ def disclosing_words(
         )
 
     close = telling(pairs, near.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_n")))
-    return close.union(telling(*_together(found, contexts))).distinct()
+    return close.union(telling(*_together(found, totals, contexts, share))).distinct()
 
 
 def find_spans(documents: DataFrame, reach: int = REACH) -> DataFrame:
