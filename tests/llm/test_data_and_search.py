@@ -116,6 +116,24 @@ def test_copies_of_one_text_are_no_evidence(spark):
     assert personal_data.personal_data_report(cases.documents(spark, [])).collect() == []
 
 
+def test_texts_with_thousands_of_entities(spark):
+    """Long texts share many addresses; only words that stand nowhere else disclose them."""
+    common = [(i, " ".join(cases.prose(i, 300))) for i in range(200)]
+    mails = [f"user{k}@host{k % 7}.org" for k in range(2500)]
+    long = []
+    for i in range(4):
+        words = cases.prose(1000 + i, 400)
+        words[50 * i + 17] = "Lampwick"
+        long.append((500 + i, " ".join([*words, *mails[: 2500 - 100 * i]])))
+    found = {r.doc_id: r for r in personal_data.personal_data_report(cases.documents(spark, common + long)).collect()}
+    assert [found[500 + i].n_email for i in range(4)] == [2500, 2400, 2300, 2200]
+    for i, text in long:
+        at = text.index("Lampwick")
+        terms = [x for x in found[i].spans.split(",") if x.startswith("term")]
+        assert terms == [f"term:{at}:{at + 8}"]
+    assert not any("term" in found[i].spans for i, _ in common)
+
+
 def test_overlapping_spans_become_one():
     assert personal_data.mask("abcdef", [(0, 1, 3), (4, 2, 5)]) == "a[EMAIL]f"
 

@@ -237,6 +237,8 @@ def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _fit(sizes: tuple[int, int], rarity: np.ndarray, word_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r for batch in batches for r in batch.to_pylist()), key=lambda r: r["doc_id"])
+        if not rows:
+            return
         table = np.array([np.frombuffer(r["terms"]) for r in rows])
         labels = np.array([r["label"] for r in rows])
         model = train(table[:, :-WORDS], table[:, -WORDS:], labels, sizes, rarity, word_share=word_share)
@@ -254,7 +256,7 @@ def fit(
     rarity = rarities(documents)
     made = rows.select("doc_id", "text", "label").mapInArrow(_sample_terms, f"doc_id {kind}, label int, terms binary")
     row = made.repartition(1).mapInArrow(_fit(sizes, rarity, word_share), "model binary").first()
-    if row is None:  # Spark plans no task for an empty sample.
+    if row is None:  # An empty sample.
         nothing = np.zeros((0, 1))
         return train(nothing, nothing, np.zeros(0), sizes, rarity)
     return pickle.loads(row["model"])
