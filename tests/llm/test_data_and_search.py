@@ -330,4 +330,16 @@ def test_pipeline_on_awkward_documents(spark, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").withColumn("row", F.lit(1)).write.parquet(f"{tmp_path}/{name}.parquet")
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert len(rows) > 5 and all(r.length >= 1 for r in rows)
+    assert len(rows) > 5 and all(1 <= r.length <= 2048 for r in rows)
+    # Nothing is lost but copies, hits and toxic texts: the lone ones are there, also without an id.
+    kept = {r.doc_id for r in rows}
+    assert {60, 61, None} <= kept <= {i for i, _ in cases.texts()} | {None}
+    pieces = [(r.doc_id, r.piece, r.start) for r in rows if r.doc_id is not None]
+    assert len(pieces) == len(set(pieces))
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    cases.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
