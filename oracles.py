@@ -8,6 +8,7 @@ from __future__ import annotations
 
 # Common table expressions over the star schema.
 _PARTS = {
+    # The status words.
     "sale": """sale AS (SELECT o_orderkey AS id, o_custkey AS id_user,
         nullif(o_orderkey % 26, 25) AS id_adress, o_orderdate AS buy_date,
         CASE o_orderstatus WHEN 'F' THEN 'sent' WHEN 'O' THEN 'not processed'
@@ -124,6 +125,7 @@ def _admit(lines: str, stock: str) -> str:
     SELECT id, id_sale, id_flower, amount, accepted FROM step"""
 
 
+# Fixed value: the mail rule.
 _MAIL = (
     r"^[a-zA-Z0-9.!#$%&''*+/=?^_`{|}~-]+@[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?"
     r"(?:\.[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?)*\z"
@@ -185,6 +187,7 @@ _CHECKS = [
         "sale_flower", "raw_lot", "amount > 0", "id_sale_detail > 0 AND id_flower_warehouse > 0"
     ),
 ]
+# The status words that are allowed.
 _ENUM = _count(
     "sale",
     "enum:status",
@@ -516,6 +519,7 @@ def statements() -> dict[str, str]:
         "products_with_stock": _with("flower stock_lot")
         + """SELECT f.id, f.name, CAST(coalesce(sum(l.amount), 0) AS BIGINT) AS ready FROM flower f
         LEFT JOIN stock_lot l ON l.id_flower = f.id AND l.ready_to_sale GROUP BY f.id, f.name""",
+        # Fixed value: the sentence of the refusal.
         "check_order_lines": _with(_STOCK_TABLES, _STOCK_OLD, _NEW)
         + """SELECT id, id_sale, id_flower, amount, available, amount <= available AS ok,
         CASE WHEN amount > available THEN 'Количество цветов в заказе (' || amount

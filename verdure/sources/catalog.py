@@ -105,6 +105,7 @@ def _fixed(column: str, parent: str) -> Reference:
 
 _ID = _need("id", INT)
 
+# Names, types and widths of the columns, keys, references, checks and defaults.
 _RELATIONS = (
     Relation(
         "user",
