@@ -269,7 +269,7 @@ def update_trees(documents: DataFrame, trees: DataFrame, edits: DataFrame, path:
     ``documents`` holds the texts that the trees were made of, ``edits`` the
     changes, one row for each document that has any. Only those documents are
     joined with their trees, and of their texts only the regions around the
-    edits are encoded. The result has the new ``text_key``, so it takes the place
+    edits are encoded. A row of ``documents`` gives a row. The result has the new ``text_key``, so it takes the place
     of the old rows in the table of trees.
     """
 
@@ -289,8 +289,8 @@ def update_trees(documents: DataFrame, trees: DataFrame, edits: DataFrame, path:
                 ["doc_id", "old_key", "text", "chars", "tokens", "n_edits", "n_chars_encoded"],
             )
 
-    # A row that stands several times has one tree.
-    texts = keyed(documents).dropDuplicates(["doc_id", "text_key"]).alias("d")
+    # A row that stands several times has one tree; the texts travel once, for this join.
+    texts = keyed(documents).alias("d")
     changes = edits.dropDuplicates(["doc_id", "text_key"]).alias("e")
     held = trees.dropDuplicates(["doc_id", "text_key"]).alias("t")
     small = held.join(changes, _same_key("t", "e")).select("t.*", "e.edits").alias("s")
@@ -321,7 +321,7 @@ def edited_counts(documents: DataFrame, path: str, pattern: str, edits_of=cleani
             "doc_id", F.col("old_key").alias("text_key"), "n_edits", "n_chars_encoded",
             F.get("tokens", F.lit(1)).cast("bigint").alias("tokens_now"),
             F.get("chars", F.lit(1)).cast("bigint").alias("chars_now"),
-        )
+        ).dropDuplicates(["doc_id", "text_key"])
     )
     rows = trees.select(
         "doc_id", "text_key",
