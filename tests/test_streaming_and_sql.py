@@ -10,6 +10,7 @@ from test_admission import draw_lines, one_by_one
 
 from verdure.functions.sql_surface import register_sql_functions, register_sql_surface
 from verdure.streaming.admission_stream import (
+    STATE_GROUPS,
     admission_stream,
     admit_batch,
     decided_lines,
@@ -125,6 +126,35 @@ def test_keyed_state_with_awkward_lines(spark, file_stream):
     assert run(available)[0] == {1: False, 2: False, 3: False, 4: True, 5: False, 6: False}
 
 
+def test_keyed_state_is_kept_by_groups_of_products(spark):
+    """More products than groups, with numbers that a float cannot hold, and NULLs among them."""
+    folder, line = tempfile.mkdtemp(prefix="verdure-test-"), "id bigint, id_flower bigint, amount int, note bigint"
+    numbers = [*((1 << 60) + i for i in range(STATE_GROUPS + 900)), None]
+    available = spark.createDataFrame([(n, 5) for n in numbers if n], "id_flower bigint, available bigint")
+
+    def run(lines):
+        rows = spark.createDataFrame(lines, line)
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(line).parquet(f"{folder}/in")
+        writer = keyed_admission_stream(arriving, available, f"{folder}/out", f"{folder}/state")
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = spark.read.schema(f"{line}, accepted boolean").parquet(f"{folder}/out").collect()
+        rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return {(r.id, r.id_flower, r.note): r.accepted for r in found}, max(rows)
+
+    def lines(first):
+        odd = lambda i: None if i % 3 else (1 << 61) + i
+        return [(2 * i + first, n, 3, odd(i)) for i, n in enumerate(numbers)]
+
+    expected = {(i, n, x): n is not None for i, n, _, x in lines(0)}
+    found, rows = run(lines(0))
+    assert found == expected
+    assert rows <= STATE_GROUPS
+    found, _ = run([(i, n, 2 + i % 4 // 2, x) for i, n, _, x in lines(1)])
+    assert found == expected | {(i, n, x): n is not None and i % 4 < 2 for i, n, _, x in lines(1)}
+
+
 @pytest.fixture(scope="module")
 def surface(spark, nursery):
     register_sql_surface(spark, nursery, AS_OF)

@@ -4,9 +4,9 @@ Each micro-batch is admitted as a whole, in the order of the line ids, against
 what earlier batches left; ``stock`` is what there was before the first batch.
 There are two ways:
 
-* ``keyed_admission`` keeps what each product has left in the state store. A
-  batch touches the products of its lines and nothing else. The lines of one
-  product in one batch go to one task.
+* ``keyed_admission`` keeps what each product has left in the state store, under
+  groups of products. A batch touches the groups of its lines and nothing else.
+  The lines of one product in one batch go to one task.
 * ``admission_stream`` decides a batch with the batch operator, which spreads
   the lines of one product over the cluster, and keeps its outcome in two
   folders with one partition per batch: ``decided``, the lines, parted by
@@ -28,6 +28,10 @@ from verdure.operators.admission import admit_one_by_one, first_fit
 from verdure.sources.lineage import cut_lineage, drop_state
 
 _USED = "id_flower bigint, units bigint"
+# Groups of products in the state store. Fixed, as a checkpoint is read again under the same ones.
+STATE_GROUPS = 4096
+# Not with an underscore first: rows reach pandas as named tuples.
+_GROUP, _ABSENT = "product_group", "absent_"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,47 +42,102 @@ def _opening(stock: DataFrame) -> DataFrame:
 def keyed_admission(lines: DataFrame, stock: DataFrame) -> DataFrame:
     """A stream of the lines with ``accepted``, first fit over the stock left of each product.
 
-    What a product has left is its state, under its key in the state store; the
-    opening stock goes in with the first batch. The lines of a product in one
-    batch are sorted by id and decided together, by phases and not one by one.
-    One task holds them, so the sources' limits on a batch (files or bytes per
-    trigger) bound what a hot product asks of it.
+    What the products have left is state, in the state store under the group that
+    a hash puts a product in; the opening stock goes in with the first batch. The
+    lines of a group in one batch are sorted by product and id and decided
+    together, by phases and not one by one, so a batch costs a call to Python per
+    group and not per product. One task holds them, so the sources' limits on a
+    batch (files or bytes per trigger) bound what a hot product asks of it.
     """
     lines.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kind = lines.schema["id_flower"].dataType
-    schema = T.StructType([*lines.schema.fields, T.StructField("accepted", T.BooleanType())])
     initial = _opening(stock).select(F.col("id_flower").cast(kind).alias("id_flower"), "available")
-    return lines.groupBy("id_flower").transformWithStateInPandas(
-        _stock_left(), schema, "Append", "None", initial.groupBy("id_flower")
+    schema = _grouped(lines).schema
+    decided = _grouped(lines).groupBy(_GROUP).transformWithStateInPandas(
+        _stock_left(kind.simpleString()),
+        T.StructType([*schema.fields, T.StructField("accepted", T.BooleanType())]),
+        "Append",
+        "None",
+        _grouped(initial).groupBy(_GROUP),
     )
+    absent = lambda c: F.when(~F.col(_ABSENT + c), F.col(c)).alias(c)
+    columns = [absent(c) if _ABSENT + c in schema.names else F.col(c) for c in lines.columns]
+    return decided.select(*columns, "accepted")
 
 
-def _stock_left():
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Rows with the group of their product.
+
+    A NULL would turn a column of whole numbers into floats on the way to
+    pandas, so those have 0 in its place and a flag beside it.
+    """
+    columns = []
+    for field in rows.schema.fields:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.IntegralType):
+            columns.append(F.coalesce(value, F.lit(0).cast(field.dataType)).alias(field.name))
+            columns.append(value.isNull().alias(_ABSENT + field.name))
+        else:
+            columns.append(value)
+    group = F.pmod(F.xxhash64("id_flower"), F.lit(STATE_GROUPS)).cast("int").alias(_GROUP)
+    return rows.select(group, *columns)
+
+
+def _stock_left(kind: str):
     from pyspark.sql.streaming import StatefulProcessor
 
-    decide = first_fit()
+    decide, absent = first_fit(), _ABSENT
 
     # Nested, so that it travels by value and workers need not have the package.
     class StockLeft(StatefulProcessor):
         def init(self, handle) -> None:
-            self.left = handle.getValueState("left", "units bigint")
+            self.left = handle.getValueState("left", f"products array<{kind}>, units array<bigint>")
+
+        def _units(self) -> dict:
+            return dict(zip(*self.left.get(), strict=True)) if self.left.exists() else {}
+
+        def _keep(self, units: dict) -> None:
+            self.left.update((list(units), list(units.values())))
+
+        def _products(self, rows):
+            """The number of each row's product, and the products; NULL is one of them."""
+            import pandas as pd
 
-        def _units(self) -> int:
-            return self.left.get()[0] if self.left.exists() else 0
+            column = rows["id_flower"]
+            missing = rows[absent + "id_flower"] if absent + "id_flower" in rows else column.isna()
+            if missing.any():
+                column = column.astype(object).mask(missing.astype(bool), None)
+            codes, products = pd.factorize(column, use_na_sentinel=True)
+            return codes, products.tolist()
 
         def handleInitialState(self, key, initialState, timerValues) -> None:
-            self.left.update((self._units() + int(initialState["available"].fillna(0).sum()),))
+            units = self._units()
+            codes, products = self._products(initialState)
+            for code, available in zip(codes, initialState["available"].tolist(), strict=True):
+                product = products[code] if code >= 0 else None
+                units[product] = units.get(product, 0) + available
+            self._keep(units)
 
         def handleInputRows(self, key, rows, timerValues):
             import numpy as np
             import pandas as pd
 
-            part = pd.concat(list(rows)).sort_values("id", kind="stable")
-            amount = part["amount"].fillna(0).to_numpy().astype(np.int64)
-            run = np.zeros(len(part), dtype=np.int64)
-            accepted, left = decide(run, amount, np.array([self._units()], dtype=np.int64))
+            part = pd.concat(list(rows), ignore_index=True)
+            codes, products = self._products(part)
+            # NULL, if there, is the last product.
+            codes = np.where(codes < 0, len(products), codes)
+            products = [*products, None][: int(codes.max()) + 1]
+            # Lines without an id come last.
+            unnumbered = part[absent + "id"].to_numpy(dtype=bool)
+            order = np.lexsort((part["id"].to_numpy(), unnumbered, codes))
+            part, run = part.iloc[order], codes[order]
+            amount = part["amount"].to_numpy().astype(np.int64)
+            units = self._units()
+            before = np.array([units.get(p, 0) for p in products], dtype=np.int64)
+            accepted, left = decide(run, amount, before)
             if accepted.any():
-                self.left.update((int(left[0]),))
+                units.update((products[i], int(left[i])) for i in np.flatnonzero(left != before))
+                self._keep(units)
             yield part.assign(accepted=accepted)
 
         def close(self) -> None:
