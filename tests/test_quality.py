@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 from functools import reduce
 
@@ -211,3 +212,37 @@ def test_judging_a_hot_key_and_text_keys(spark):
 def test_a_reference_to_an_absent_table_is_not_checked(spark, sound):
     found = {r.rule: r.violations for r in quality.quality_report({"sale_detail": sound["sale_detail"]}).collect()}
     assert found["foreign_key:id_sale->sale"] is None and found["check:amount > 0"] == 0
+
+
+def test_entries_are_dealt_out_once(spark):
+    """Keys and references of all tables meet in one shuffle, with references that share a parent apart."""
+    flowers = [(1, None, "a"), (2, 1, "b"), (2, 8, "b"), (None, 1, "c")]
+    lines = [(1, 1, 1, 2), (2, 2, 9, -1), (3, 3, None, 1), (3, 4, 9, 1)]
+    tables = {
+        "flower": spark.createDataFrame(flowers, CATALOG["flower"].schema.simpleString().replace("struct<", "")[:-1]),
+        "sale_detail": spark.createDataFrame(lines, "id int, id_sale int, id_flower int, amount int"),
+    }
+    report = quality.quality_report(tables)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(slot#\d+, a#\d+", plan)) == 1
+    found = {(r.table_name, r.rule): r.violations for r in report.collect()}
+    broken = {key: n for key, n in found.items() if n}
+    assert broken == {
+        ("flower", "not_null:id"): 1,
+        ("flower", "primary_key:id:null"): 1,
+        ("flower", "primary_key:id"): 1,
+        ("flower", "unique:name"): 1,
+        ("flower", "foreign_key:id_parent->flower"): 1,
+        ("sale_detail", "not_null:id_flower"): 1,
+        ("sale_detail", "check:amount > 0"): 1,
+        ("sale_detail", "primary_key:id"): 1,
+        ("sale_detail", "foreign_key:id_flower->flower"): 2,
+    }
+    assert found["sale_detail", "foreign_key:id_sale->sale"] is None
+
+
+def test_more_conditions_than_bits(spark):
+    rows = spark.createDataFrame([(n, 1) for n in range(200)], "id int, amount int")
+    rules = [quality.Rule("sale_detail", f"at most {n}", F.col("id") > n) for n in range(150)]
+    found = {r.rule: r.violations for r in quality.judge({"sale_detail": rows}, rules).collect()}
+    assert found == {f"at most {n}": 199 - n for n in range(150)}

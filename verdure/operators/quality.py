@@ -175,7 +175,9 @@ def declared_rules(relation: Relation, as_of: AsOf = None) -> list[Rule]:
     return rules
 
 
-_NO_KEY = -1
+# Broken conditions of a row are the bits of a whole number.
+MASK_BITS = 62
+_CONDITION, _KEY, _REFERENCE = 0, 1, 2
 
 
 def _key_value(df: DataFrame, columns: tuple[str, ...]) -> list[Column]:
@@ -190,35 +192,63 @@ def _key_value(df: DataFrame, columns: tuple[str, ...]) -> list[Column]:
     return [number, number, F.to_json(F.struct(*columns))]
 
 
-def _entry(slot: int, value: list[Column], rule: int, owner: bool) -> Column:
+def _entry(slot: int, value: list[Column], owner: bool) -> Column:
     a, b, text = value
     return F.struct(
-        F.lit(slot).alias("slot"), a.alias("a"), b.alias("b"), text.alias("t"),
-        F.lit(rule).alias("rule"), F.lit(owner).alias("owner"),
+        F.lit(slot).alias("slot"), a.alias("a"), b.alias("b"), text.alias("t"), F.lit(owner).alias("owner")
     )
 
 
-def _entries(df: DataFrame, name: str, rules: list[Rule], slots: dict[tuple, int]) -> list[Column]:
-    """What a row of the table says: broken conditions, the keys it has and the keys it uses."""
-    found, owned = [], set()
-    for number, rule in enumerate(rules):
-        if rule.table != name:
-            continue
+def _places(rules: list[Rule]) -> list[tuple[int, int]]:
+    """Slot and bit of each rule.
+
+    A key has a slot, and a reference shares one with the key of its parent. A
+    further reference to the same parent has a slot of its own, in which the
+    parent's keys come again, so that every slot needs two counts. The
+    conditions of a table share slots below 0, a bit each.
+    """
+    keys = {key: slot for slot, key in enumerate(dict.fromkeys((r.table, r.key) for r in rules if r.key))}
+    found, taken, masks, last, lowest = [], set(), {}, len(keys), 0
+    for rule in rules:
         if rule.condition is not None:
-            mark = [F.lit(number).cast("bigint"), F.lit(None).cast("bigint"), F.lit(None).cast("string")]
-            found.append(F.when(rule.condition, _entry(_NO_KEY, mark, number, False)))
+            slot, bit = masks.get(rule.table, (0, MASK_BITS))
+            if bit == MASK_BITS:
+                slot, bit, lowest = lowest - 1, 0, lowest - 1
+            masks[rule.table] = slot, bit + 1
+            found.append((slot, bit))
         elif rule.key:
-            owned.add(rule.key)
-            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.key])
-            entry = _entry(slots[name, rule.key], _key_value(df, rule.key), number, True)
-            found.append(F.when(present, entry))
-        elif (rule.reference.parent, ("id",)) in slots:
-            column = rule.reference.column
-            entry = _entry(slots[rule.reference.parent, ("id",)], _key_value(df, (column,)), number, False)
-            found.append(F.when(F.col(column).isNotNull(), entry))
-    if (name, ("id",)) in slots and ("id",) not in owned:
-        entry = _entry(slots[name, ("id",)], _key_value(df, ("id",)), -1, True)
-        found.append(F.when(F.col("id").isNotNull(), entry))
+            found.append((keys[rule.table, rule.key], 0))
+        else:
+            shared = keys.get((rule.reference.parent, ("id",)))
+            if shared is None or shared in taken:
+                shared, last = last, last + 1
+            taken.add(shared)
+            found.append((shared, 0))
+    return found
+
+
+def _entries(name: str, df: DataFrame, rules: list[Rule], places: list[tuple[int, int]]) -> list[Column]:
+    """What a row of the table says: broken conditions, the keys it has and the keys it uses."""
+    nothing = [F.lit(None).cast("bigint"), F.lit(None).cast("string")]
+    masks, owned, found = {}, {}, []
+    for rule, (slot, bit) in zip(rules, places, strict=True):
+        if rule.condition is not None and rule.table == name:
+            masks.setdefault(slot, []).append(F.when(rule.condition, F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
+        elif rule.key and rule.table == name:
+            owned[slot] = rule.key
+        elif rule.reference:
+            if rule.reference.parent == name:
+                owned[slot] = ("id",)
+            if rule.table == name:
+                column = rule.reference.column
+                entry = _entry(slot, _key_value(df, (column,)), False)
+                found.append(F.when(F.col(column).isNotNull(), entry))
+    for slot, bits in masks.items():
+        mask = reduce(lambda a, b: a + b, bits)
+        found.append(F.when(mask > 0, _entry(slot, [mask, *nothing], False)))
+    for slot, key in owned.items():
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        found.append(F.when(present, _entry(slot, _key_value(df, key), True)))
     return found
 
 
@@ -234,40 +264,49 @@ def judge(tables: Mapping[str, DataFrame], rules: list[Rule]) -> DataFrame:
     violations are NULL: not checked.
     """
     spark = next(iter(tables.values())).sparkSession
-    used = {r.reference.parent for r in rules if r.reference} & set(tables)
-    keys = dict.fromkeys([*((r.table, r.key) for r in rules if r.key), *((p, ("id",)) for p in sorted(used))])
-    slots = {key: number for number, key in enumerate(keys)}
+    checked = [r.reference is None or r.reference.parent in tables for r in rules]
+    judged = [r for r, c in zip(rules, checked, strict=True) if c]
+    places = _places(judged)
     stacked = []
     for name, df in tables.items():
-        entries = _entries(df, name, rules, slots)
+        entries = _entries(name, df, judged, places)
         if entries:
-            stacked.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("x")).select("x.*"))
+            stacked.append(df.select(F.explode(F.array(*entries)).alias("x")).where("x IS NOT NULL").select("x.*"))
+    at = iter(places)
     listed = [
-        (number, r.table, r.name, r.reference is None or r.reference.parent in tables)
-        for number, r in enumerate(rules)
+        (n, r.table, r.name, c, *(next(at) if c else (None, 0)))
+        + (_CONDITION if r.condition is not None else _KEY if r.key else _REFERENCE,)
+        for n, (r, c) in enumerate(zip(rules, checked, strict=True))
     ]
-    every = spark.createDataFrame(listed, "number int, table_name string, rule string, checked boolean")
+    every = spark.createDataFrame(
+        listed, "number int, table_name string, rule string, checked boolean, place int, bit int, kind int"
+    )
     if not stacked:
         return every.select("table_name", "rule", F.lit(None).cast("bigint").alias("violations"))
     counted = (
         reduce(DataFrame.unionAll, stacked)
-        .groupBy("slot", "a", "b", "t", "rule", "owner")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("slot", "a", "b", "t")
+        .agg(F.count_if("owner").alias("had"), F.count_if(~F.col("owner")).alias("used"))
     )
-    # A key has at most one entry per rule here.
-    uses = counted.groupBy("slot", "a", "b", "t").agg(
-        F.max("owner").alias("owned"), F.collect_list(F.struct("rule", "owner", "n")).alias("uses")
+    none = F.lit(0).cast("bigint")
+    found = (
+        counted.where("had <> 1")
+        .groupBy("slot", F.when(F.col("slot") < 0, F.col("a")).alias("mask"))
+        .agg(
+            F.sum(F.when(F.col("had") > 1, F.col("had") - 1).otherwise(none)).alias("surplus"),
+            F.sum(F.when(F.col("had") == 0, F.col("used")).otherwise(none)).alias("missing"),
+        )
     )
-    broken = (
-        uses.select("owned", F.inline("uses"))
-        .where((F.col("owner") & (F.col("n") > 1)) | ~F.col("owned"))
-        .groupBy(F.col("rule").alias("_number"))
-        .agg(F.sum(F.when(F.col("owner"), F.col("n") - 1).otherwise(F.col("n"))).alias("found"))
+    own = (
+        F.when(F.col("kind") == _KEY, F.col("surplus"))
+        .when(F.col("kind") == _REFERENCE, F.col("missing"))
+        .when(F.expr("shiftright(mask, bit) & 1 = 1"), F.col("missing"))
     )
-    return every.join(broken, F.col("number") == F.col("_number"), "left").select(
-        "table_name",
-        "rule",
-        F.when(F.col("checked"), F.coalesce("found", F.lit(0).cast("bigint"))).alias("violations"),
+    return (
+        every.join(found, F.col("place") == F.col("slot"), "left")
+        .groupBy("number", "table_name", "rule", "checked")
+        .agg(F.sum(own).alias("found"))
+        .select("table_name", "rule", F.when(F.col("checked"), F.coalesce("found", none)).alias("violations"))
     )
 
 
