@@ -413,3 +413,30 @@ def test_many_parts_become_one(spark, nursery, folder, monkeypatch):
     assert len(done.parts) <= 2
     found = totals.sold_units(spark, folder).groupBy("id_flower").agg(F.sum("units").alias("n")).collect()
     assert sum(r.n for r in found) == sum(line[3] for line in LINES)
+
+
+def test_snapshot_dates_tables_from_their_stored_owners(spark, folder, monkeypatch):
+    """Each dated table is planned once, its owners before it; lines without an order have no year."""
+    rows = {
+        "sale_flower": [(10, 7, 2), (20, 7, 1), (30, 8, 1), (99, 7, 1)],
+        "sale_detail": [(10, 1, 5, 2), (20, 2, 5, 1), (30, 9, 5, 1)],
+        "sale": [(1, 1, 1, dt.datetime(2001, 5, 1), "sent"), (2, 1, None, dt.datetime(1999, 1, 1), "sent")],
+    }
+    tables = {name: spark.createDataFrame(some, CATALOG[name].schema) for name, some in rows.items()}
+    dated, with_year = [], store._with_year
+
+    def seen(df, relation, *others):
+        dated.append(relation.name)
+        return with_year(df, relation, *others)
+
+    monkeypatch.setattr(store, "_with_year", seen)
+    store.save_snapshot(tables, folder)
+    assert dated == ["sale", "sale_detail", "sale_flower"]
+    bridge = store.load_table(spark, folder, "sale_flower")
+    year = next(c for c in bridge.columns if c not in CATALOG["sale_flower"].schema.names)
+    years = {r.id_sale_detail: r[year] for r in bridge.collect()}
+    assert years == {10: 2001, 20: 1999, 30: None, 99: None}
+    loaded, _ = store.restore(spark, folder)
+    assert {name: sorted(map(tuple, df.collect()), key=str) for name, df in loaded.items()} == {
+        name: sorted(some, key=str) for name, some in rows.items()
+    }

@@ -43,20 +43,31 @@ def load_tables(
 
 
 def _with_year(
-    rows: DataFrame, relation: Relation, tables: Mapping[str, DataFrame]
+    rows: DataFrame, relation: Relation, tables: Mapping[str, DataFrame], dated: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Rows with the year of their date; NULL where the dated table is not at hand."""
+    """Rows with the year of their date; NULL where the dated table is not at hand.
+
+    ``dated`` has tables that come with the year.
+    """
     year = year_column(relation.year_of)
     owner = relation.dated_by
     if owner is None:
         return rows.withColumn(year, F.year(relation.year_of))
     if owner.parent not in tables:
         return rows.withColumn(year, F.lit(None).cast(INT))
-    parents = _with_year(tables[owner.parent], CATALOG[owner.parent], tables)
+    parents = dated.get(owner.parent)
+    if parents is None:
+        parents = _with_year(tables[owner.parent], CATALOG[owner.parent], tables, dated)
     years = parents.select(F.col("id").alias("_owner"), year)
     return rows.join(years, F.col(owner.column) == F.col("_owner"), "left").drop("_owner")
 
 
+def _owners(name: str) -> int:
+    """Number of tables between a table and the one that has the date."""
+    owner = CATALOG[name].dated_by
+    return 0 if owner is None else 1 + _owners(owner.parent)
+
+
 def _write(
     df: DataFrame,
     base: str,
@@ -64,6 +75,7 @@ def _write(
     mode: str,
     wide: bool,
     tables: Mapping[str, DataFrame],
+    dated: Mapping[str, DataFrame] | None = None,
 ) -> None:
     schema = stored_schema(relation, wide)
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -74,7 +86,7 @@ def _write(
     # Ranges of year and order: a year that holds most of the data is written by
     # many tasks, and a file holds few neighbouring orders, in their order.
     place = [year, *_order_columns(relation)]
-    rows = _with_year(rows, relation, tables).repartitionByRange(*place).sortWithinPartitions(*place)
+    rows = _with_year(rows, relation, tables, dated or {}).repartitionByRange(*place).sortWithinPartitions(*place)
     # An overwrite replaces the table, not only the years that come again.
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
     for column in _order_columns(relation):
@@ -175,12 +187,19 @@ def fingerprints(df: DataFrame, name: str) -> DataFrame:
 
 
 def save_snapshot(tables: Mapping[str, DataFrame], base: str, wide: bool = False) -> None:
-    """Write every table given, and counts and fingerprints of what was written."""
-    for name, df in tables.items():
-        save_table(df, base, name, wide, tables)
+    """Write every table given, and counts and fingerprints of what was written.
+
+    A table that is stored by the year of its owner takes the year from the
+    stored owner, which is written before, and not from the owner's plan again.
+    """
     if not tables:
         return
     spark = next(iter(tables.values())).sparkSession
+    dated = {}
+    for name in sorted(tables, key=_owners):
+        _write(tables[name], base, CATALOG[name], "overwrite", wide, tables, dated)
+        if CATALOG[name].year_of:
+            dated[name] = load_table(spark, base, name, wide)
     written = load_snapshot(spark, base, tables, wide)
     prints = reduce(DataFrame.unionByName, [fingerprints(written[name], name) for name in tables])
     prints.coalesce(1).write.mode("overwrite").parquet(table_path(base, MANIFEST))
