@@ -253,6 +253,51 @@ def test_rules_without_labels_or_documents(spark):
     assert quality_rules.rules_report(cases.documents(spark, []), none).collect() == []
 
 
+def _plain_threshold(rows, known):
+    """The rule of ``threshold`` over ``(doc_id, ratio)`` and ``{doc_id: label}``, bin by bin."""
+    half = quality_rules.LEVELS // 2
+    seen = [(max(min(r // quality_rules.LEVEL, half - 1), -half), known[i]) for i, r in rows if i in known]
+    levels = sorted({x for x, _ in seen})
+    right = [sum((x >= at) == (label == 1) for x, label in seen) for at in levels]
+    best = right.index(max(right))
+    below = levels[best - 1] if best else levels[0] - 1
+    at = (below + 1 + levels[best]) // 2
+    return at * quality_rules.LEVEL if at > -half else None
+
+
+def test_labels_of_small_files_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes the size of a table from its files, and these hold many rows in few bytes."""
+    import zlib
+
+    n = 3000
+    label_rows = [(i, int(i % 3 > 0), 0) for i in range(n)] + [(5, 0, 0), (6, 1, 0), (7, None, 0), (None, 1, 0)]
+    spark.createDataFrame(label_rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels")
+    rng = random.Random(5)
+    rows = [(i, rng.randint(-9, 5) * quality_rules.LEVEL + (i % 3 > 0) * 7 * quality_rules.LEVEL + i) for i in range(n)]
+    # A hot id in one bin and in many, an id without a label, NULL ids, ratios beyond both ends.
+    rows += [(1, 3)] * 500 + [(4, k * quality_rules.LEVEL) for k in range(-40, 40)] + [(n + 1, 0), (None, 1), (None, 1)]
+    rows += [(8, 1 << 40), (9, -(1 << 40))]
+    spark.createDataFrame(rows, "doc_id bigint, ratio bigint").write.parquet(f"{tmp_path}/measured")
+    measured, labels = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("measured", "labels"))
+
+    plans, kind = [], type(measured)
+    collect = kind.collect
+
+    def seen(df):
+        found = collect(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(kind, "collect", seen)
+    least = quality_rules.threshold(measured, labels)
+    assert plans and not any("Broadcast" in p for p in plans)
+    known = {}
+    for i, label, _ in label_rows:
+        if i is not None and label is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            known[i] = max(label, known.get(i, 0))
+    assert least == _plain_threshold(rows, known)
+
+
 def test_held_out_share_on_the_given_data(spark):
     """Good documents of the held-out fold stay, bad ones mostly go."""
     from pyspark.sql import functions as F

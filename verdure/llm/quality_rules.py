@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from verdure.llm.labelled import held_out
 from verdure.llm.words import exact_ids, ranges, text_chunks, word_bounds
-from verdure.operators.joins import join_by_key
 from verdure.sources.lineage import cut_lineage
 
 ORDER = 3
@@ -200,13 +199,19 @@ def measures(documents: DataFrame, weights: np.ndarray | None) -> DataFrame:
 
 
 def threshold(measured: DataFrame, labels: DataFrame) -> int | None:
-    """Lowest ratio that is kept: an edge of a bin; None without good labelled documents."""
+    """Lowest ratio that is kept: an edge of a bin; None without good labelled documents.
+
+    Rows of one id in one bin are counted before they travel, so an id has at most
+    ``LEVELS`` rows in the join. Neither side is broadcast: files of labels are small
+    for the rows they hold.
+    """
     level = F.floor(F.col("ratio") / LEVEL).cast("int")
     level = F.greatest(F.least(level, F.lit(LEVELS // 2 - 1)), F.lit(-LEVELS // 2))
+    binned = measured.groupBy("doc_id", level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
     counted = (
-        join_by_key(measured.select("doc_id", "ratio"), "doc_id", _known(labels), "_id", "inner")
-        .groupBy(level.alias("level"), "_label")
-        .agg(F.count(F.lit(1)).alias("n"))
+        binned.join(_known(labels).hint("merge"), F.col("doc_id") == F.col("_id"))
+        .groupBy("level", "_label")
+        .agg(F.sum("n").alias("n"))
         .collect()
     )
     good, bad = ({r.level: r.n for r in counted if r._label == label} for label in (1, 0))
